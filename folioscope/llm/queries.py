@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioscope.llm import minhash
+from folioscope.llm import bpe, decontaminate, minhash, pii, token_counts
 from folioscope.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
+#: The tokenizer file of op3 and op5; its path is a parameter of the operators.
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
 
 def query(f):
     QUERIES[f.__name__] = f
@@ -21,3 +26,52 @@ def query(f):
 @query
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=2, percent=80)
+
+
+@query
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
+    return bpe.decode(ids, TOKENIZER).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("decoded", "utf-8"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate(F.zip_with("found.starts", "found.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
+    return found.select(
+        "doc_id",
+        F.col("found.n_words").alias("n_words"),
+        n_hit.alias("n_hit"),
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("found.items", ","), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
+def _said(spans):
+    """kind:start:end of spans, comma-joined."""
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    count = lambda kind: F.size(F.filter("_spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("_spans", lambda x: x["kind"] != "term")
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        F.sha2(_said(base), 256).alias("base_sha256"),
+        _said(F.col("_spans")).alias("spans"),
+        count("term").alias("n_term"),
+    )

@@ -7,7 +7,7 @@ import xxhash
 
 _LOWER = bytes(range(0x41)) + bytes(range(0x61, 0x7B)) + bytes(range(0x5B, 256))
 #: ASCII bytes other than digits and letters become blanks, for words of digits, letters and non-ASCII.
-_ALNUM = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
+ALNUM = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A else 0x20 for b in range(256))
 
 
 class WordHashes(dict):
@@ -36,7 +36,7 @@ def blank_words(text: str | None) -> list[bytes]:
 
 def alnum_words(text: str | None) -> list[bytes]:
     """Runs of digits, ASCII letters and non-ASCII characters, with A-Z lower-cased."""
-    return (text or "").encode("utf-8").translate(_ALNUM).split()
+    return (text or "").encode("utf-8").translate(ALNUM).split()
 
 
 def mix(h: np.ndarray) -> np.ndarray:
