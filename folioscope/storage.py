@@ -46,8 +46,8 @@ def land(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Lowers the rows per Arrow batch to ``rows``, so that batches of long texts stay small."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if int(spark.conf.get(key, "10000")) > rows:
-        spark.conf.set(key, str(rows))
+def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
+    """Lowers the bytes per Arrow batch to ``size``, so that Python holds few long texts at once."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > size:
+        spark.conf.set(key, str(size))
