@@ -28,7 +28,7 @@ def amount(text: Column) -> Column:
     """
     whole = F.regexp_replace(F.translate(F.regexp_extract(text, _AMOUNT, 1), "oO", "00"), r"[^0-9]", "")
     cents = F.rpad(F.regexp_extract(text, _AMOUNT, 2), 2, "0")
-    value = F.concat(whole, F.lit("."), cents).try_cast("decimal(18,2)")
+    value = F.when(whole != "", F.concat(whole, F.lit("."), cents).try_cast("decimal(18,2)"))
     currency = F.when(F.lower(F.regexp_extract(text, _AMOUNT, 3)).startswith("f"), "FRF").otherwise("EUR")
     return F.struct(value.alias("amount"), F.when(value.isNotNull(), currency).alias("currency"))
 

@@ -21,7 +21,7 @@ def box_of_polygon(polygon: Column, points: int | None = None) -> Column:
         xs, ys = ([F.get(F.get(polygon, F.lit(i)), F.lit(k)) for i in range(points)] for k in (0, 1))
         low, high = (F.least, F.greatest) if points > 1 else ((lambda x: x),) * 2
         return F.when(F.size(polygon) > 0, F.array(low(*xs), low(*ys), high(*xs), high(*ys)))
-    xs, ys = (F.transform(polygon, lambda p, k=k: F.get(p, F.lit(k))) for k in (0, 1))
+    xs, ys = F.transform(polygon, lambda p: F.get(p, F.lit(0))), F.transform(polygon, lambda p: F.get(p, F.lit(1)))
     return F.when(F.size(polygon) > 0, F.array(F.array_min(xs), F.array_min(ys), F.array_max(xs), F.array_max(ys)))
 
 

@@ -41,14 +41,15 @@ def requested_pages(requests: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def page_info(pages: DataFrame, sizes: DataFrame) -> DataFrame:
     """Size in points and number of lines of every page; pages without OCR have 0 lines."""
-    lines = pages.select("doc_id", "page", F.size(F.coalesce("ocr", F.expr("array()"))).alias("n_lines"))
+    lines = pages.select("doc_id", "page", F.greatest(F.size("ocr"), F.lit(0)).alias("n_lines"))
     return sizes.join(lines, ["doc_id", "page"], "left").select("doc_id", "page", "w_pt", "h_pt", F.coalesce("n_lines", F.lit(0)).alias("n_lines"), F.col("n_lines").isNotNull().alias("has_ocr"))
 
 
 def profile(pages: DataFrame, by: str) -> DataFrame:
     """Per group: pages, mean absolute skew, tables and lines per page."""
-    tables = F.size(F.filter(F.coalesce("layout", F.expr("cast(array() as array<struct<label: string>>)")), lambda r: r["label"] == "table"))
-    return pages.groupBy(by).agg(F.count(F.lit(1)).alias("n_pages"), F.avg(F.abs("skew_angle")).alias("skew"), F.avg(tables).alias("tables"), F.avg(F.size(F.coalesce("ocr", F.expr("array()")))).alias("lines"))
+    tables = F.greatest(F.size(F.filter("layout", lambda r: r["label"] == "table")), F.lit(0))
+    lines = F.greatest(F.size("ocr"), F.lit(0))
+    return pages.groupBy(by).agg(F.count(F.lit(1)).alias("n_pages"), F.avg(F.abs("skew_angle")).alias("skew"), F.avg(tables).alias("tables"), F.avg(lines).alias("lines"))
 
 
 def disagreements(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame:
