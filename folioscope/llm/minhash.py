@@ -12,10 +12,11 @@ sets have a Jaccard similarity of at least ``percent`` / 100 are linked; a group
    buckets are the largest: the centre of a group of near copies. So a bucket of n members gives n - 1 pairs.
 4. Pairs whose bits can't reach the similarity are dropped, the rest is confirmed on full sets, and components
    are found by alternating large-star and small-star.
-5. Only buckets in which two components meet can still hide a link. Their members outside the leader's
-   component are compared with the bucket's members of other components, confirmed likewise, and components
-   are found once more. After that every pair that shares a bucket is in one component or proven unlinked,
-   but for the bits' error (under 1e-6 for a linked pair); so no cap on buckets is needed.
+5. Only where members of one leader's buckets are in two components can a link still hide. The members outside
+   the leader's component are compared with all of its members by full sets, in blocks of ASKED and OTHERS
+   documents, as matrix products; only links are returned, one for each two components of a block. Then components are found
+   once more. After that every pair that shares a bucket is in one component or proven unlinked, but for
+   the bits' error (under 1e-6 for a linked pair), and no bucket needs a cap.
 
 At similarity 0.8, a pair shares no bucket with probability (1 - 0.8**5)**38 < 3e-7.
 
@@ -28,6 +29,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,6 +39,8 @@ from folioscope.llm.words import WordHashes, blank_words, grams, mix
 from folioscope.storage import BROADCAST_BYTES, bounded_batches, land
 
 BANDS, ROWS = 38, 5
+#: Documents in a block of step 5.
+ASKED, OTHERS = 128, 256
 #: 32-bit odd multipliers and addends of the hashes a * x + b (mod 2**32), from a fixed seed.
 _RANDOM = np.random.default_rng(20_250_101)
 _A = (_RANDOM.integers(0, 2**31, BANDS * ROWS, np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -119,17 +123,71 @@ def _alike(a: str, b: str, percent: int):
     return (100 * small >= percent * large) & (differ <= BANDS * ROWS - _least_equal_bits(percent))
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of landed pairs (a, b), those linked by their full sets."""
-    ids = land(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "ids")
+def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, set) of some documents, landed; their ids are broadcast only if they are few."""
+    ids = land(ids, "ids")
     small = 8 * ids.count() <= BROADCAST_BYTES // 8
     some = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    sets = land(some.mapInArrow(_sets(size), "doc_id long, set array<long>"), "sets")
+    return land(some.mapInArrow(_sets(size), "doc_id long, set array<long>"), "sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Of landed pairs (a, b), those linked by their full sets."""
+    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, size)
     both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
 
 
+def _compare(percent: int):
+    """Links between the asked rows and the others of a block, by full sets; one for each two components that meet."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        asked, others = pdf[pdf["asked"]], pdf[~pdf["asked"]]
+        x, y = asked["set"].to_list(), others["set"].to_list()
+        common = np.zeros((len(x), len(y)))
+        if x and y:
+            known = np.intersect1d(np.concatenate(x), np.concatenate(y))
+            for k in range(0, len(known), 4096):
+                part = known[k : k + 4096]
+                common += _held(x, part) @ _held(y, part).T
+        sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :]
+        at = np.argwhere((100 * common >= percent * (sizes - common)) & (asked["c"].to_numpy()[:, None] != others["c"].to_numpy()[None, :]))
+        out = pd.DataFrame({"a": asked["id"].to_numpy()[at[:, 0]], "b": others["id"].to_numpy()[at[:, 1]], "c": asked["c"].to_numpy()[at[:, 0]], "d": others["c"].to_numpy()[at[:, 1]]})
+        return out.drop_duplicates(["c", "d"])[["a", "b"]].astype("int64")
+
+    return run
+
+
+def _held(sets: list[np.ndarray], part: np.ndarray) -> np.ndarray:
+    """Which of the sorted hashes each set holds, as 0.0 and 1.0."""
+    out = np.zeros((len(sets), len(part)), np.float32)
+    for row, s in zip(out, sets):
+        row[np.searchsorted(part, s[np.isin(s, part, assume_unique=True)])] = 1
+    return out
+
+
+def _across(starred: DataFrame, comps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components that meet at a leader, of (id, leader) pairs; see step 5. Landed."""
+    own = starred.select(F.col("leader").alias("id"), "leader").distinct()
+    member = starred.unionByName(own).join(comps, F.col("id") == F.col("node"), "left").select("leader", "id", F.coalesce("component", "id").alias("c"))
+    member = land(member, "members")
+    main = land(member.where("id = leader").select("leader", F.col("c").alias("main")), "main")
+    member = member.join(main, "leader").withColumn("apart", F.col("c") != F.col("main"))
+    # with two members there is only the pair that has been judged
+    sizes = member.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("n_apart")).where("n > 2 and n_apart > 0")
+    sizes = land(sizes.select("leader", F.ceil(F.col("n") / OTHERS).cast("int").alias("others"), F.ceil(F.col("n_apart") / ASKED).cast("int").alias("askers")), "sizes")
+    member = land(member.join(sizes, "leader"), "apart")
+    sets = _sets_of(member.select(F.col("id").alias("doc_id")).distinct(), docs, size)
+    place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    others = member.select("leader", "id", "c", all_of("askers").alias("p"), place(F.col("others")).alias("t"), F.lit(False).alias("asked"))
+    asked = member.where("apart").select("leader", "id", "c", place(F.col("askers")).alias("p"), all_of("others").alias("t"), F.lit(True).alias("asked"))
+    both = others.unionByName(asked).join(sets, F.col("id") == F.col("doc_id")).select("leader", "p", "t", "id", "c", "asked", "set")
+    found = both.groupBy("leader", "p", "t").applyInPandas(_compare(percent), "a long, b long")
+    return land(found.distinct(), "across")
+
+
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """Per row of ``documents``: doc_id, n_shingles, component_id, kept (doc_id = component_id)."""
     spark = documents.sparkSession
@@ -156,18 +214,9 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     links = land(_confirmed(pairs, docs, size, percent), "links")
     comps = land(components(links), "components")
 
-    placed = buckets.join(comps, F.col("v.id") == F.col("node"), "left").select("bucket", "v", F.coalesce("component", "v.id").alias("c"))
-    mixed = land(placed.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("bucket"), "mixed")
-    left = land(placed.join(mixed, "bucket"), "left")
-    main = land(left.join(leaders, "bucket").where(F.col("v.id") == F.col("leader")).select("bucket", F.col("c").alias("main")).distinct(), "main")
-    probes = left.join(main, "bucket").where("c <> main").select("bucket", F.col("v").alias("w"), F.col("c").alias("d"), "main")
-    late = probes.join(left, "bucket").where((F.col("c") != F.col("d")) & ((F.col("c") == F.col("main")) | (F.col("v.id") < F.col("w.id"))) & _alike("v", "w", percent))
-    late = late.select(F.least("v.id", "w.id").alias("a"), F.greatest("v.id", "w.id").alias("b")).distinct()
-    late = land(late.join(pairs, ["a", "b"], "left_anti"), "late")
-    if not late.isEmpty():
-        more = land(_confirmed(late, docs, size, percent), "more")
-        if not more.isEmpty():
-            comps = land(components(links.unionByName(more)), "components")
+    more = _across(starred.select(F.col("v.id").alias("id"), "leader").distinct(), comps, docs, size, percent)
+    if not more.isEmpty():
+        comps = land(components(links.unionByName(more)), "components")
 
     out = rows.select("doc_id", "n_shingles", "key").join(classes, "key", "left")
     out = out.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))).join(comps, F.col("rep") == F.col("node"), "left")
