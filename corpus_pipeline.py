@@ -21,8 +21,7 @@ from folioscope.storage import land, table
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     identifier = language.learn(docs.where(F.col("lang").isNotNull() & ~language.held_out()))
-    kept = language.identify(docs, identifier).where("not rejected")
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return language.identify(docs, identifier).where("not rejected").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +31,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
-    return found.where(F.size("found.starts") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+    found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.where(F.size("found.starts") == 0).select("row.*")
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = pii.sanitise(docs)
-    new = {"text": F.col("_clean"), "n_chars": F.length("_clean").cast("long")}
-    return out.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
+    return out.select(*[new.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

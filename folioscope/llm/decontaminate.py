@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope.llm.words import WordHashes, alnum_words, grams
 from folioscope.storage import bounded_batches, land
@@ -131,7 +132,7 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 _CARRIED = pa.struct([("n_words", pa.int64()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("items", pa.list_(pa.string()))])
-_FOUND = "struct<n_words: long, starts: array<long>, ends: array<long>, items: array<string>>"
+_FOUND = "found struct<n_words: long, starts: array<long>, ends: array<long>, items: array<string>>"
 
 
 def _mark(index, first: bool):
@@ -157,21 +158,19 @@ def _mark(index, first: bool):
     return run
 
 
-def contamination(documents: DataFrame, benchmark: DataFrame, keep: list[str] | None = None, block_words: int = 2_000_000) -> DataFrame:
-    """Columns ``keep`` (default: doc_id) and found: n_words, spans (starts, ends) of hit words, items hit."""
+def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int = 2_000_000) -> DataFrame:
+    """For every row of ``documents``: ``row``, its columns, and ``found``: n_words, spans (starts, ends) of hit words, items."""
     spark = documents.sparkSession
     bounded_batches(spark)
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-size[1] // (2 * block_words)))  # a word takes two characters at least, with its blank
-    keep = keep or ["doc_id"]
-    out = documents.select(F.col("text").cast("string").alias("_scanned"), *keep)
+    out = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    schema = T.StructType([*out.schema.fields, *T.StructType.fromDDL(_FOUND).fields])
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.distinct().collect()]))
-        kept = [f for f in out.schema.fields if f.name != "found"]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", found {_FOUND}"
         out = out.mapInArrow(_mark(index, k == 0), schema)
         if k % 4 == 3 and k + 1 < blocks:
             out = land(out, "hits")
-    return out.drop("_scanned")
+    return out.select("row", "found")

@@ -46,10 +46,10 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate(F.zip_with("found.starts", "found.ends", lambda a, b: b - a), F.lit(0).cast("long"), lambda x, y: x + y)
     return found.select(
-        "doc_id",
+        "row.doc_id",
         F.col("found.n_words").alias("n_words"),
         n_hit.alias("n_hit"),
         F.size("found.items").cast("long").alias("n_items"),
@@ -66,13 +66,13 @@ def _said(spans):
 @query
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.sanitise(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    count = lambda kind: F.size(F.filter("_spans", lambda x: x["kind"] == kind)).cast("long")
-    base = F.filter("_spans", lambda x: x["kind"] != "term")
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda x: x["kind"] != "term")
     return found.select(
-        "doc_id",
+        "row.doc_id",
         *[count(k).alias(f"n_{k}") for k in pii.KINDS],
         F.sha2(_said(base), 256).alias("base_sha256"),
-        _said(F.col("_spans")).alias("spans"),
+        _said(F.col("spans")).alias("spans"),
         count("term").alias("n_term"),
     )
 
@@ -168,6 +168,7 @@ def op8_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     identifier = language.learn(docs.where(F.col("lang").isNotNull() & ~language.held_out()))
     found = language.identify(docs.select("doc_id", "text"), identifier)
+    found = found.select("row.doc_id", "lang_pred", "score")
     return found.select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 

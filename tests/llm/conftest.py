@@ -24,5 +24,5 @@ ODD_TEXTS = [None, "", " \n\t ", "a", "été 中文 🙂", "\x00\x1c\x85  x",
 @pytest.fixture
 def odd_documents(spark):
     """Odd texts, a null and a repeated doc_id, and columns whose names operators use themselves."""
-    rows = [(i, t, "en", i, "k") for i, t in enumerate(ODD_TEXTS)] + [(None, "no id at all", None, 1, "k"), (3, "a", "en", 3, "k")]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, n long, key string")
+    rows = [(i, t, "en", i, "k", "f", "r") for i, t in enumerate(ODD_TEXTS)] + [(None, "no id at all", None, 1, "k", "f", "r"), (3, "a", "en", 3, "k", "f", "r")]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, n long, key string, found string, row string")

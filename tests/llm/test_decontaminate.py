@@ -46,8 +46,8 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     items = [(k, t) for k, (_, t) in enumerate(items)]
     documents = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     benchmark = spark.createDataFrame(items, "item_id long, text string")
-    one = {r.doc_id: r.found for r in decontaminate.contamination(documents, benchmark).collect()}
-    many = {r.doc_id: r.found for r in decontaminate.contamination(documents, benchmark, block_words=60).collect()}
+    one = {r.row.doc_id: r.found for r in decontaminate.contamination(documents, benchmark).collect()}
+    many = {r.row.doc_id: r.found for r in decontaminate.contamination(documents, benchmark, block_words=60).collect()}
     assert one == many
     for i, d in enumerate(docs):
         hit, found = brute(alnum_words(d), [(str(k), t) for k, t in items])
@@ -56,10 +56,9 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
 
 def test_odd_documents(spark, odd_documents):
     benchmark = spark.createDataFrame([(1, "word " * 12), (1, "x"), (None, "same text here"), (2, None), (3, "")], "item_id long, text string")
-    keep = ["doc_id", "n", "key"]
-    rows = decontaminate.contamination(odd_documents, benchmark, keep=keep).collect()
-    assert len(rows) == odd_documents.count() and rows[0].__fields__ == [*keep, "found"]
-    of = {r.doc_id: r.found for r in rows}
+    rows = decontaminate.contamination(odd_documents, benchmark).collect()
+    assert len(rows) == odd_documents.count() and rows[0].row.__fields__ == odd_documents.columns
+    of = {r.row.doc_id: r.found for r in rows}
     assert of[0].n_words == 0 and of[0].starts == [] and of[8].ends == [30_000] and of[8]["items"] == ["1"]
     assert of[6].starts == [0] and of[6]["items"] == []
     empty = benchmark.where("false")
