@@ -53,9 +53,9 @@ def derived(components: DataFrame, registry: DataFrame, keys: list[str]) -> Data
     ``components``: keys, component, value. ``registry``: component, coefficient, required; it is small by nature.
     """
     joined = components.join(registry, "component")
-    need = registry.agg(F.count_if("required").alias("_need"))
+    need = registry.where("required").count()
     summed = joined.groupBy(*keys).agg(F.sum(F.col("value") * F.col("coefficient")).alias("_sum"), F.count_if(F.col("required") & F.col("value").isNotNull()).alias("_has"))
-    return summed.join(F.broadcast(need)).select(*keys, F.when(F.col("_has") == F.col("_need"), F.col("_sum")).alias("value"))
+    return summed.select(*keys, F.when(F.col("_has") == need, F.col("_sum")).alias("value"))
 
 
 def restatements(values: DataFrame, keys: list[str], year: str, value: str) -> DataFrame:

@@ -8,37 +8,34 @@ from pyspark.sql import functions as F
 from folioscope.storage import BROADCAST_BYTES
 
 
+def shortened(name: Column, distance: int) -> Column:
+    """All strings that up to ``distance`` deletions make of a name, itself included."""
+
+    def without_one(s: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.length(s)), lambda i: i > 0)
+        return F.transform(places, lambda i: F.concat(F.substr(s, F.lit(1), i - 1), F.substr(s, i + 1)))
+
+    out = F.array(name)
+    for _ in range(distance):
+        out = F.array_distinct(F.concat(out, F.flatten(F.transform(out, without_one))))
+    return out
+
+
 def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> DataFrame:
     """Mentions (mention_id, name) with the company they name: company_id, or null with resolved = false.
 
-    Names are in normal form. Candidates are compared inside blocks: a name cut into distance + 1 pieces shares
-    one with every name within the distance, at a place shifted by at most as much, so the join is on pieces
-    and their places and loses none. The nearest company wins; if two are equally near, none does.
+    Names are in normal form. Two names within ``distance`` edits have a form in common that at most as many
+    deletions make of each, so both sides are joined on these forms: near names meet, others hardly ever, also
+    where all names begin alike. The nearest company wins; if two are equally near, none does.
     """
-    pieces = distance + 1
-
-    def keyed(rows: DataFrame, shifts: range) -> DataFrame:
-        """Pieces by the length they were cut for, their number and text."""
-        n = F.length("name")
-        keys = []
-        for k in range(pieces):
-            for grow in shifts:
-                for shift in shifts:
-                    # the piece k of a name of n + grow characters, read ``shift`` characters on
-                    m = n + grow
-                    start, end = F.floor(m * k / pieces), F.floor(m * (k + 1) / pieces)
-                    at = start + shift
-                    keys.append(F.when(at >= 0, F.struct(m.cast("long").alias("m"), F.lit(k).alias("k"), F.substr("name", (at + 1).cast("int"), (end - start).cast("int")).alias("s"))))
-        return rows.select("*", F.explode(F.array_distinct(F.array_compact(F.array(*keys)))).alias("key"))
-
-    a = keyed(mentions.where("name is not null"), range(-distance, distance + 1)).select("mention_id", F.col("name").alias("said"), "key")
-    b = keyed(companies.where("name is not null"), range(1)).select("company_id", F.col("name").alias("known"), "key")
-    near = a.join(b, "key").select("mention_id", "company_id", F.levenshtein("said", "known", distance).alias("d")).where("d >= 0")
-    best = near.groupBy("mention_id").agg(F.min("d").alias("d"))
-    found = near.join(best, ["mention_id", "d"]).groupBy("mention_id").agg(F.min("company_id").alias("lo"), F.max("company_id").alias("hi"))
-    out = mentions.join(found, "mention_id", "left")
-    one = F.coalesce(F.col("lo") == F.col("hi"), F.lit(False))
-    return out.select("mention_id", "name", F.when(one, F.col("lo")).alias("company_id"), one.alias("resolved"))
+    a = mentions.where("name is not null").select("mention_id", F.col("name").alias("said"), F.explode(shortened(F.col("name"), distance)).alias("form"))
+    b = companies.where("name is not null").select("company_id", F.col("name").alias("known"), F.explode(shortened(F.col("name"), distance)).alias("form"))
+    near = a.join(b, "form").select("mention_id", "company_id", F.levenshtein("said", "known", distance).alias("d")).where("d >= 0")
+    # of the nearest companies the smallest and the largest id, in one aggregate
+    best = near.groupBy("mention_id").agg(F.min(F.struct("d", "company_id")).alias("lo"), F.min(F.struct("d", (-F.col("company_id")).alias("minus"))).alias("hi"))
+    out = mentions.join(best, "mention_id", "left")
+    one = F.coalesce(F.col("lo.company_id") == -F.col("hi.minus"), F.lit(False))
+    return out.select("mention_id", "name", F.when(one, F.col("lo.company_id")).alias("company_id"), one.alias("resolved"))
 
 
 def closure(edges: DataFrame, depth: int = 100) -> DataFrame:

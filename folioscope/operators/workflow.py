@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioscope.storage import land
+
 STAGES = ["Sourcing", "NDA", "Due diligence", "Offer"]
 
 
@@ -38,13 +40,15 @@ def transitions(requests: DataFrame, key: str, order: list[str], stage: str, sta
 def receipts(uploads: DataFrame, checksum: Column, order: list[str], document_id: str) -> DataFrame:
     """Adds checksum, created (first of its content) and document_id of the first; content alone is identity.
 
-    The first upload is found by a partial aggregate and joined back, so thousands of copies are no task's work.
+    First uploads are found by a partial aggregate; only those of contents with copies are landed and joined back, by a
+    join that Spark can split, so thousands of copies are no task's work.
     """
     marked = uploads.withColumn("checksum", checksum)
     key = F.struct(*order)
-    first = marked.groupBy("checksum").agg(F.min(key).alias("_first"))
-    out = marked.join(first, "checksum")
-    return out.withColumn("created", key == F.col("_first")).withColumn("document_id", F.col(f"_first.{document_id}")).drop("_first")
+    first = marked.groupBy("checksum").agg(F.min(key).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    out = marked.join(land(first, "first_uploads"), "checksum", "left")
+    created = F.col("_first").isNull() | (key == F.col("_first"))
+    return out.withColumn("created", created).withColumn("document_id", F.coalesce(F.col(f"_first.{document_id}"), F.col(document_id))).drop("_first")
 
 
 def over_rate(attempts: DataFrame, key: str, at: str, seconds: int, limit: int) -> DataFrame:
