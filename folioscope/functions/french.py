@@ -101,6 +101,17 @@ def document_name(text: Column) -> Column:
     return F.struct(*[F.nullif(F.regexp_extract(text, pattern, k), F.lit("")).alias(n) for k, n in enumerate(("siren", "registry", "management", "year", "chrono"), 1)])
 
 
+def form_number(text: Column) -> Column:
+    """Number of the one tax form that a line names, 2033 to 2059 with an optional letter or suffix; else null."""
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(r"\b(20(?:3[3-9]|[45][0-9]))(?:[- ]?[A-Z]{1,2})?\b"), F.lit(1)))
+    return F.when(F.size(found) == 1, F.get(found, F.lit(0)))
+
+
+def line_code(text: Column) -> Column:
+    """The two-letter code that stands alone at a form line's start or before its amount; null without one."""
+    return F.nullif(F.regexp_extract(text, r"(?:^|[ |])([A-Z]{2})(?=[ |]|$)", 1), F.lit(""))
+
+
 def luhn(digits: Column, length: int = 9) -> Column:
     """Luhn check of a string of ``length`` digits; false for any other string. Plain arithmetic, in whole-stage code."""
     total = F.lit(0)

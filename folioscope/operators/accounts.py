@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioscope.functions import french
+
 #: The one field whose code is known, and two that are named; users supply the registry for others.
 FIELDS = [("BS_TOTAL_ASSETS_FRGAAP", "total assets", True), (None, "cost of goods sold", True), (None, "average workforce", False)]
 
@@ -20,6 +22,16 @@ def document_unit(lines: DataFrame, key: str, thousands: str = r"(?i)\b(k€|keu
     return lines.groupBy(key).agg(F.when(F.max(F.coalesce(F.col("text").rlike(thousands), F.lit(False))), "kEUR").otherwise("EUR").alias("unit"))
 
 
+def field_candidates(lines: DataFrame, registry: DataFrame) -> DataFrame:
+    """Lines that a registry of (field, form, code) names by their page's form and their own line code.
+
+    ``lines`` are (doc_id, page, pos, text). A page's form is the one number on it, null if there are several.
+    """
+    marked = lines.withColumn("form", french.form_number(F.col("text"))).withColumn("code", french.line_code(F.col("text")))
+    forms = marked.groupBy("doc_id", "page").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo = hi").select("doc_id", "page", F.col("lo").alias("form"))
+    return marked.drop("form").join(forms, ["doc_id", "page"]).join(registry, ["form", "code"]).select("doc_id", "field", "page", "pos", "text")
+
+
 def label_values(labels: DataFrame, values: DataFrame, column: int = 0) -> DataFrame:
     """For each label box the value on its row: the (column + 1)-th box to its right whose y range meets its own.
 

@@ -56,3 +56,9 @@ def disagreements(a: DataFrame, b: DataFrame, key: str, value: str) -> DataFrame
     """Keys whose value differs between two sources or is in one only, as (key, a, b)."""
     both = a.select(key, F.col(value).alias("a")).join(b.select(key, F.col(value).alias("b")), key, "full_outer")
     return both.where(~F.col("a").eqNullSafe(F.col("b")))
+
+
+def missing_pages(requests: DataFrame, pages: DataFrame) -> DataFrame:
+    """Requested (doc_id, page) that aren't there, with the document's first and last page, null if it has none."""
+    absent = requests.join(pages.select("doc_id", "page"), ["doc_id", "page"], "left_anti")
+    return absent.join(page_range(pages), "doc_id", "left").select("doc_id", "page", "first", "last")

@@ -100,3 +100,16 @@ def repeated_filings(events: DataFrame, days: int) -> DataFrame:
     w = Window.partitionBy("siren", "code").orderBy("event_date", "id")
     out = events.withColumn("later", F.lead("id").over(w)).withColumn("later_date", F.lead("event_date").over(w))
     return out.where(F.datediff("later_date", "event_date").between(0, days)).select("siren", "code", "id", "later")
+
+
+def capital_observations(lines: DataFrame, *keys: str) -> DataFrame:
+    """Lines that state a company's capital, with the amount: letterheads restate it, so these are no events."""
+    said = lines.withColumn("_said", french.capital_statement(F.col("text")))
+    return said.where("_said.absolute is not null").select(*keys, "text", F.col("_said.absolute").alias("capital"))
+
+
+def grounded(events: DataFrame, doc_id: str, page: str, box: str, snippet: str) -> DataFrame:
+    """Adds ``source``, where a value was read, or null and a ``note`` if it can't be pointed at."""
+    source = F.struct(F.col(doc_id).alias("inpi_id"), F.col(page).alias("page"), F.col(box).alias("bbox"), F.col(snippet).alias("snippet"))
+    there = F.col(doc_id).isNotNull() & F.col(page).isNotNull() & F.col(box).isNotNull()
+    return events.withColumn("source", F.when(there, source)).withColumn("note", F.when(~there, F.lit("no box: the text was not read")))

@@ -23,3 +23,8 @@ def contains(c: Column, needle: str) -> Column:
 def grep(rows: DataFrame, needle: str) -> DataFrame:
     """Rows whose ``text`` contains the needle, their text stripped; an empty needle finds none."""
     return rows.where(contains(F.col("text"), needle)).withColumn("text", stripped(F.col("text")))
+
+
+def confident(rows: DataFrame, least: float, score: str = "score") -> DataFrame:
+    """Rows that OCR read with at least the given score; a null score doesn't count as any."""
+    return rows.where(F.col(score) >= least)

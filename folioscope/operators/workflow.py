@@ -93,3 +93,8 @@ def search(companies: DataFrame, name: str, q: str, sector_column: str, sector:
 def visible(documents: DataFrame, states: DataFrame, key: str) -> DataFrame:
     """Documents whose stage rank is at most that of their deal's current stage."""
     return documents.join(states.select(key, "current_rank"), key).where("stage_rank <= current_rank")
+
+
+def history(events: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Numbers each key's events from 1, in a total order."""
+    return events.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy(*order)))

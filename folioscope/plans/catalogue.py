@@ -517,3 +517,87 @@ def union_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     actes = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.lit("acte").alias("kind"), F.to_date("o_orderdate").cast("string").alias("deposited"), F.col("o_orderpriority").alias("decision"))
     bilans = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("id"), F.lit("bilan").alias("kind"), F.to_date("l_shipdate").cast("string").alias("closed"))
     return actes.unionByName(bilans, allowMissingColumns=True)
+
+
+# --- forms, certificates, identifiers ---------------------------------------------------------------------
+
+
+@query("""
+WITH w AS (SELECT l_orderkey AS doc_id, 7 - l_linenumber AS page FROM lineitem),
+r AS (SELECT l_orderkey AS doc_id, min(l_linenumber) AS first, max(l_linenumber) AS last FROM lineitem GROUP BY 1)
+SELECT doc_id, page, first, last FROM w JOIN r USING (doc_id)
+WHERE NOT EXISTS (SELECT 1 FROM lineitem x WHERE x.l_orderkey = w.doc_id AND x.l_linenumber = w.page)
+""")
+def missing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("doc_id"), F.col("l_linenumber").alias("page"))
+    return coverage.missing_pages(pages.withColumn("page", 7 - F.col("page")), pages)
+
+
+@query("SELECT l_orderkey, l_linenumber FROM lineitem WHERE NOT (l_discount < 0.05)")
+def confident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text.confident(table(spark, sf_dir, "lineitem"), 0.05, "l_discount").select("l_orderkey", "l_linenumber")
+
+
+@query("""
+SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS pos, CASE l_linenumber WHEN 2 THEN 'assets' ELSE 'sales' END AS field
+FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
+WHERE (l_linenumber = 2 AND o_orderstatus = 'F') OR (l_linenumber = 3 AND o_orderstatus = 'O')
+""")
+def form_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    form = F.when(F.col("o_orderstatus") == "F", "DGFiP N° 2050-SD 2024").when(F.col("o_orderstatus") == "O", "N° 2052 2018").otherwise("2050 puis 2051")
+    heads = orders.select(F.col("o_orderkey").alias("k"), F.lit(0).alias("pos"), form.alias("text"))
+    code = F.when(F.col("l_linenumber") == 2, "TOTAL GENERAL CO 1 234").when(F.col("l_linenumber") == 3, "FL Chiffres d'affaires nets").otherwise("Autres charges")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("pos"), code.alias("text"))
+    rows = heads.unionByName(lines).select(F.col("k").cast("string").alias("doc_id"), F.lit(1).alias("page"), "pos", "text")
+    registry = spark.sql("SELECT * FROM VALUES ('assets', '2050', 'CO'), ('sales', '2052', 'FL') AS r(field, form, code)")
+    return accounts.field_candidates(rows, registry).select("doc_id", "pos", "field")
+
+
+@query("""
+SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS seq FROM events
+""")
+def activity_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return workflow.history(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"]).select("event_id", "seq")
+
+
+@query("""
+WITH d AS (SELECT c_custkey, lpad(CAST(c_custkey * 7919 % 100000000 AS VARCHAR), 8, '0') AS s FROM customer),
+v AS (SELECT c_custkey, s, [CAST(x AS INTEGER) FOR x IN string_split(s, '')] AS d FROM d),
+c AS (SELECT c_custkey, s, (10 - (d[1] + d[3] + d[5] + d[7] + (2 * d[2]) // 10 + (2 * d[2]) % 10 + (2 * d[4]) // 10 + (2 * d[4]) % 10
+  + (2 * d[6]) // 10 + (2 * d[6]) % 10 + (2 * d[8]) // 10 + (2 * d[8]) % 10) % 10) % 10 AS k FROM v)
+SELECT c_custkey, 'SIREN' AS kind, s || k AS value FROM c WHERE c_custkey % 3 <> 0
+""")
+def siren_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    body = F.lpad((F.col("c_custkey") * 7919 % 100_000_000).cast("string"), 8, "0")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", body.alias("s"))
+    digit = F.get(F.filter(F.sequence(F.lit(0), F.lit(9)), lambda k: french.luhn(F.concat("s", k.cast("string")))), F.lit(0))
+    siren = customers.select("c_custkey", F.concat("s", digit.cast("string")).alias("siren"))
+    spaced = F.concat_ws(" ", F.substring("siren", 1, 3), F.substring("siren", 4, 3), F.substring("siren", 7, 3))
+    # every third text holds a wrong check digit
+    wrong = F.translate(F.substring("siren", 9, 1), "0123456789", "1234567890")
+    said = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("RCS "), F.substring("siren", 1, 8), wrong)).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("RCS LYON "), spaced, F.lit(", France"))).otherwise(F.concat(F.lit("n° "), F.col("siren"), F.lit(".")))
+    found = siren.select("c_custkey", F.explode(french.identifiers(said)).alias("x"))
+    return found.select("c_custkey", "x.kind", "x.value")
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS deposited, 'A' || o_custkey AS chrono FROM orders WHERE o_orderkey % 2 = 0")
+def certificate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat(F.lit("Acte enregistré le "), F.date_format("o_orderdate", "dd/MM/yyyy"), F.lit(" sous le NUMÉRO de DépÔt A"), F.col("o_custkey").cast("string"), F.lit(" au greffe"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, said).otherwise("Acte non enregistré").alias("text"))
+    found = orders.select("o_orderkey", french.certificate(F.col("text")).alias("c")).where("c.chrono is not null")
+    return found.select("o_orderkey", F.col("c.deposited").cast("string").alias("deposited"), "c.chrono")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 10 <> 0 THEN sha256(text) END AS checksum FROM documents")
+def upload_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sent = F.when(F.col("doc_id") % 10 == 0, "%%% no base64").otherwise(F.base64(F.encode("text", "utf-8")))
+    return table(spark, sf_dir, "documents").select("doc_id", french.content_key(french.upload_bytes(sent)).alias("checksum"))
+
+
+@query("SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS year, CAST(o_custkey AS VARCHAR) AS chrono FROM orders WHERE o_orderkey % 5 <> 0")
+def document_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.concat_ws("_", F.lit("CA"), F.lit("012345678"), F.lit("6901"), F.lit("1999B1"), F.year("o_orderdate").cast("string"), F.col("o_custkey").cast("string"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 5 == 0, F.concat(said, F.lit("_x"))).otherwise(said).alias("name"))
+    parts = orders.select("o_orderkey", french.document_name(F.col("name")).alias("d")).where("d.siren = '012345678'")
+    return parts.select("o_orderkey", "d.year", "d.chrono")

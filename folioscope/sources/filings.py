@@ -47,6 +47,13 @@ def ocr_pages(spark: SparkSession, root: str, siren: str = "*", kind: str = "*",
     return raw.select(part(1).alias("siren"), _kind(part(2)).alias("kind"), part(3).alias("doc_id"), "*")
 
 
+def exists(spark: SparkSession, glob: str) -> bool:
+    """Whether any file matches, in whatever store the path names."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(glob)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
 def one_page(spark: SparkSession, path: str, page: int) -> DataFrame:
     """A page of a folder of pages, or the one page of a ``.json`` file, whatever its number; no row if it is missing."""
     if path.endswith(".json"):
@@ -55,6 +62,9 @@ def one_page(spark: SparkSession, path: str, page: int) -> DataFrame:
 
 
 def ocr_pages_at(spark: SparkSession, path: str) -> DataFrame:
+    """Pages at a path or glob; none, instead of an error, where nothing matches."""
+    if not exists(spark, path):
+        return spark.createDataFrame([], OCR_PAGE)
     return spark.read.schema(OCR_PAGE).option("multiLine", True).json(path)
 
 

@@ -24,5 +24,8 @@ def report_line(box: Column, text: Column) -> Column:
 
 
 def draw_list(boxes: DataFrame, colour: str, width: int) -> DataFrame:
-    """What to draw over a page: rectangles with colour, line width and number, in the given order."""
-    return boxes.select("doc_id", "page", "box", F.lit(colour).alias("colour"), F.lit(width).alias("width"), (F.col("pos") + 1).alias("label"))
+    """What to draw over a page: rectangles with colour, line width and number, in the given order.
+
+    Lines without a box are left out; a box beyond the page is drawn all the same.
+    """
+    return boxes.where("box is not null").select("doc_id", "page", "box", F.lit(colour).alias("colour"), F.lit(width).alias("width"), (F.col("pos") + 1).alias("label"))

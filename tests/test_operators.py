@@ -154,6 +154,7 @@ def test_corpus_readers(spark, corpus, tmp_path):
     folder = f"{corpus}/012345678/actes/ocr/{'a' * 24}"
     assert filings.one_page(spark, folder, 2).count() == 1 and filings.one_page(spark, folder, 3).count() == 0
     assert filings.one_page(spark, f"{folder}/page_005.json", 1).first().page == 5
+    assert filings.one_page(spark, f"{corpus}/nowhere", 1).count() == 0
     filings.land(filings.ocr_lines(pages), str(tmp_path / "lines"))
     assert spark.read.parquet(str(tmp_path / "lines")).where("siren = '012345678'").count() == 2
 
@@ -175,3 +176,11 @@ def test_costs_and_totals(spark):
     held = spark.createDataFrame([("x", 10), ("x", 5), ("y", 1)], "siren string, shares int")
     stated = spark.createDataFrame([("x", Decimal(15)), ("y", Decimal(2))], "siren string, stated decimal(18,0)")
     assert [r.siren for r in ledger.totals_differ(held, stated, "siren").collect()] == ["y"]
+
+
+def test_observations_and_sources(spark):
+    lines = spark.createDataFrame([("d", "SARL au capital de 368.102 €"), ("d", "rien"), ("e", "capital porté à 400/o0o euros")], "doc_id string, text string")
+    assert [(r.doc_id, r.capital) for r in ledger.capital_observations(lines, "doc_id").collect()] == [("d", Decimal(368102)), ("e", Decimal(400000))]
+    events = spark.createDataFrame([("d", 1, [0.0, 0.0, 1.0, 1.0], "x"), (None, None, None, None)], "doc string, page int, box array<double>, said string")
+    got = ledger.grounded(events, "doc", "page", "box", "said").collect()
+    assert got[0].source.inpi_id == "d" and got[0].note is None and got[1].source is None and got[1].note
