@@ -38,14 +38,24 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it back.
 
     It cuts lineage: a lost executor costs the tasks it ran, not the stages before. Each call writes to a
-    folder of its own.
+    folder of its own, under one of the application, which ``clean`` removes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/folioscope/{uuid.uuid4().hex}/{name}"
+    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/folioscope/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes all tables that this application has landed; call it once their readers are done."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def bounded_batches(spark: SparkSession, size: int = 16 << 20) -> None:
     """Lowers the bytes per Arrow batch to ``size``, so that Python holds few long texts at once."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"

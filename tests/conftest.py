@@ -10,6 +10,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 os.environ["PYTHONPATH"] = os.pathsep.join([sys.path[0], os.environ.get("PYTHONPATH", "")])
 
 
+from folioscope import storage  # noqa: E402
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = (
@@ -23,4 +26,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    storage.clean(session)
     session.stop()
