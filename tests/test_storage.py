@@ -9,10 +9,10 @@ def test_landed_tables_are_read_back_and_removed(spark):
     rows = spark.range(5).selectExpr("id", "cast(null as string) x")
     landed = storage.land(rows, "some")
     assert landed.dtypes == rows.dtypes and landed.count() == 5
-    folder = Path(storage.shared_dir(spark).removeprefix("file://")) / "folioscope"
+    folder = Path(storage.shared_dir(spark).removeprefix("file://")) / "folioscope" / spark.sparkContext.applicationId
     assert any(folder.iterdir())
     storage.clean(spark)
-    assert not any(folder.iterdir())
+    assert not folder.exists()
 
 
 def test_batches_are_bounded(spark):
