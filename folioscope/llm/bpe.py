@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.fragments import Encoder
+from folioscope.llm.fragments import Encoder, joined, token_bytes
 from folioscope.storage import bounded_batches
 
 
@@ -31,9 +31,9 @@ def _encoded(path: str):
 
 def _decoded(path: str):
     def run(batches):
-        encoder = Encoder(path)
+        tokens = token_bytes(path)
         for batch in batches:
-            texts = [encoder.decode(i) for i in batch.column(1).to_pylist()]
+            texts = [joined(tokens, i) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"])
 
     return run

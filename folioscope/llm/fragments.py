@@ -49,6 +49,11 @@ def token_bytes(path: str) -> list[bytes]:
     return out
 
 
+def joined(tokens: list[bytes], ids: bytes) -> str:
+    """The text of little-endian 32-bit ids, by the bytes of all tokens."""
+    return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+
+
 def cut_table(tokens: list[bytes]) -> np.ndarray:
     """65,536 booleans by ``left << 8 | right``: is a cut between these bytes certain and safe?"""
     seen = np.zeros(65536, bool)
@@ -138,7 +143,7 @@ class Encoder:
     #: Bytes of text that are cut into fragments at once.
     BLOCK = 1 << 21
 
-    def __init__(self, path: str, most: int = 600_000, longest: int = 32):
+    def __init__(self, path: str, most: int = 300_000, longest: int = 32):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -200,8 +205,7 @@ class Encoder:
 
     def decode(self, ids: bytes) -> str:
         """The text of ids as ``encode`` returns them; special tokens are kept, broken UTF-8 is replaced."""
-        tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
+        return joined(self.tokens, ids)
 
 
 def bounds(data: bytes, table: np.ndarray) -> list[int]:
