@@ -199,22 +199,21 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     classes = land(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key", "rep"), "classes")
     vertices = land(known.join(classes, "key", "left").where("rep is null or rep = doc_id").select("doc_id", F.col("n_shingles").alias("n"), "bits", "bands"), "vertices")
 
-    member = vertices.select(F.struct(F.col("doc_id").alias("id"), "n", "bits").alias("v"), F.explode("bands").alias("bucket"))
-    shared = vertices.select("doc_id", F.explode("bands").alias("bucket")).groupBy("bucket").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("bucket", "members")
+    member = vertices.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
+    shared = member.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("bucket", "members")
     buckets = land(member.join(land(shared, "shared"), "bucket"), "buckets")
-    central = land(buckets.groupBy(F.col("v.id").alias("id")).agg(F.sum("members").alias("weight")), "weights")
-    weighed = buckets.join(central, F.col("v.id") == F.col("id")).select("bucket", "v", F.struct("weight", (-F.col("id")).alias("minus")).alias("rank"))
+    weights = land(buckets.groupBy("id").agg(F.sum("members").alias("weight")), "weights")
+    weighed = buckets.join(weights, "id").select("bucket", F.struct("weight", (-F.col("id")).alias("minus")).alias("rank"))
     leaders = land(weighed.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", (-F.col("top.minus")).alias("leader")), "leaders")
-    named = vertices.select(F.struct(F.col("doc_id").alias("id"), "n", "bits").alias("w"), "doc_id")
-    heads = land(leaders.select(F.col("leader").alias("doc_id")).distinct().join(named, "doc_id").select(F.col("doc_id").alias("leader"), "w"), "heads")
 
-    starred = buckets.join(leaders, "bucket").where(F.col("v.id") != F.col("leader"))
-    pairs = starred.select("v", "leader").dropDuplicates(["v", "leader"]).join(heads, "leader").where(_alike("v", "w", percent))
-    pairs = land(pairs.select(F.least("v.id", "w.id").alias("a"), F.greatest("v.id", "w.id").alias("b")).distinct(), "pairs")
+    starred = land(buckets.join(leaders, "bucket").where("id <> leader").select("id", "leader").distinct(), "starred")
+    named = lambda key, name: vertices.select(F.col("doc_id").alias(key), F.struct("n", "bits").alias(name))
+    pairs = starred.join(named("id", "v"), "id").join(named("leader", "w"), "leader").where(_alike("v", "w", percent))
+    pairs = land(pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "pairs")
     links = land(_confirmed(pairs, docs, size, percent), "links")
     comps = land(components(links), "components")
 
-    more = _across(starred.select(F.col("v.id").alias("id"), "leader").distinct(), comps, docs, size, percent)
+    more = _across(starred, comps, docs, size, percent)
     if not more.isEmpty():
         comps = land(components(links.unionByName(more)), "components")
 
