@@ -1,11 +1,16 @@
 """Language identification by interpolated Kneser-Ney models of characters.
 
 Texts become lower-case letters, every run of other characters one blank, with a blank at both ends. Learning counts the
-ORDER-grams of all labelled texts per language, aggregated in each task before a shuffle. The driver gets a table of bounded
-size: where a language has more than ``most`` grams, those below the least count that keeps to the bound go to the
-back-off (discounts come from the counts of all). From it, per language, follow the Kneser-Ney probabilities of all
-orders: absolute counts at the highest, numbers of distinct predecessors below, interpolated down to the uniform
-distribution. They are stored as sorted arrays of 64-bit hashes with a column of log-probabilities per language.
+ORDER-grams of all labelled texts per language, aggregated in each task before a shuffle. From these, per language, follow
+the Kneser-Ney probabilities of all orders: absolute counts at the highest, numbers of distinct predecessors below,
+interpolated down to the uniform distribution. They are stored as sorted arrays of 64-bit hashes with a column of
+log-probabilities per language.
+
+No gram is left out. Beyond ``most`` grams, over all languages, the model is dealt to blocks of about ``most``, by the two
+characters before the predicted one: so every block has all followers and predecessors of its contexts of two
+and three characters. Lower orders and discounts are counted in Spark over all grams. Driver and executors hold
+blocks one after the other, and a text passes all blocks in one task, its sums of bits carried along. Grams
+of one such pair of characters stay together, even beyond ``most``.
 
 A text gets the language of the lowest cross-entropy per character. Its score is the posterior of that language,
 with the text's length counted up to CONFIDENT characters. Rejection is calibrated: a text is rejected if its cross-entropy
@@ -19,11 +24,15 @@ often as they occur in learning; other columns don't matter, and an empty table
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from folioscope.llm.words import mix
 from folioscope.storage import bounded_batches, land
@@ -88,13 +97,27 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return found, np.bincount(at, values, len(found))
 
 
+def discount_of(n1: int, n2: int) -> float:
+    """Of absolute discounting, from the numbers of grams counted once and twice."""
+    return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
+
+
+def slots(keys: np.ndarray) -> np.ndarray:
+    """Places of grams in the order of blocks: the character before the predicted one, then the one before that."""
+    return ((keys & np.uint64(0xFFFF0000)) | ((keys >> np.uint64(32)) & np.uint64(0xFFFF))).astype(np.int64)
+
+
 class Model:
-    """Kneser-Ney models of several languages; ``counts`` has (grams, counts) and the discount of each."""
+    """Kneser-Ney models of several languages; ``counts`` has (grams, counts) and the discount of each.
+
+    A model of a part of all grams, those with slots in (part[0], part[1]], has in ``lower``, by order below ORDER and language, what
+    the part's grams don't tell: (grams, counts, discount) over all grams, with None for grams and counts that they do tell.
+    """
 
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray, float]]):
-        self.langs = sorted(counts)
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray, float]], lower: dict | None = None, part: tuple[int, int] | None = None):
+        self.langs, self.part = sorted(counts), part
         symbols = set()
-        for keys, _, _ in counts.values():
+        for keys, _, _ in (lower[1] if lower else counts).values():
             symbols.update(np.unique(keys & np.uint64(0xFFFF)).tolist())
         self.uniform = 1 / (len(symbols) + 1)
         #: For n characters, n from 1 to ORDER: hashes of grams and log2-probabilities; for their n - 1 first: back-off weights.
@@ -110,8 +133,11 @@ class Model:
                 raw[order].append((keys, np.maximum(n - discount, 0) / total[at], context, np.minimum(1, discount * kinds / total)))
                 mask = np.uint64((1 << 16 * (order - 1)) - 1)
                 keys, n = _sums(keys & mask, np.ones(len(keys)))
-                n1, n2 = (n == 1).sum(), (n == 2).sum()
-                discount = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
+                if lower and order > 1:
+                    known, times, discount = lower[order - 1][lang]
+                    keys, n = (keys, n) if known is None else (known, times)
+                else:
+                    discount = discount_of((n == 1).sum(), (n == 2).sum())
         for order in range(1, ORDER + 1):
             keys = np.unique(np.concatenate([r[0] for r in raw[order]] or [np.empty(0, np.uint64)]))
             contexts = np.unique(np.concatenate([r[2] for r in raw[order]] or [np.empty(0, np.uint64)]))
@@ -150,10 +176,14 @@ class Model:
             out[~found] = self._weight(order, rest) * self._lower(order, rest)
         return out
 
-    def cross_entropy(self, x: np.ndarray) -> np.ndarray:
-        """Bits per character of a text's normal form, for each language."""
+    def bits(self, x: np.ndarray) -> np.ndarray:
+        """Bits of a text's normal form, for each language, in the grams of this model's part."""
         keys, n = np.unique(gram_keys(padded(x)), return_counts=True)
-        return -(n @ np.log2(self.probabilities(ORDER, keys))) / n.sum()
+        if self.part:
+            at = slots(keys)
+            own = (at > self.part[0]) & (at <= self.part[1])
+            keys, n = keys[own], n[own]
+        return -(n @ np.log2(self.probabilities(ORDER, keys)))
 
 
 def _look(hashed: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,42 +194,79 @@ def _look(hashed: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 class Identifier:
-    def __init__(self, model: Model | None, means: dict[str, float], q: float):
-        self.model, self.means, self.q = model, means, q
+    """Broadcast models, each of a part of all grams, and the calibration of rejection."""
+
+    def __init__(self, langs: list[str], blocks: list[Broadcast], means: dict[str, float], q: float):
+        self.langs, self.blocks, self.means, self.q = langs, blocks, means, q
+
+    @property
+    def model(self) -> Model | None:
+        """The first part."""
+        return self.blocks[0].value if self.blocks else None
 
     def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
         """Language, score, cross-entropy and whether it is rejected."""
         x = characters(text)
-        if not len(x) or self.model is None:
-            return UND, 0.0, None, True
-        h = self.model.cross_entropy(x)
-        best = int(np.argmin(h))
-        lang, bits = self.model.langs[best], float(h[best])
-        score = 1 / float(np.exp2((bits - h) * min(len(x), CONFIDENT)).sum())
-        return lang, score, bits, bits - self.means.get(lang, bits) > SLACK + self.q / len(x) ** 0.5
+        return decide(self.langs, self.means, self.q, x, sum(b.value.bits(x) for b in self.blocks) if len(x) else None)
 
 
-def _calibration(rows: DataFrame, model: Model) -> dict[str, list[tuple[float, int]]]:
-    """(cross-entropy, length) of a sample of distinct texts under their own language's model.
+def decide(langs: list[str], means: dict[str, float], q: float, x: np.ndarray, bits: np.ndarray | None) -> tuple[str, float, float | None, bool]:
+    """What ``predict`` says of a normal form with ``bits`` in each language."""
+    if not len(x) or not langs:
+        return UND, 0.0, None, True
+    h = bits / (len(x) - 1)
+    best = int(np.argmin(h))
+    lang, least = langs[best], float(h[best])
+    score = 1 / float(np.exp2((least - h) * min(len(x), CONFIDENT)).sum())
+    return lang, score, least, least - means.get(lang, least) > SLACK + q / len(x) ** 0.5
 
-    Texts are taken by their hashes, some 2 * CALIBRATION of them, and of these the CALIBRATION of least hashes. They
-    are scored where they lie; only numbers reach the driver.
-    """
-    known = rows.sparkSession.sparkContext.broadcast(model)
+
+def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema):
+    """Adds a block's bits to the last column, which ``first`` creates; ``finish`` makes the last columns of the sums."""
 
     def run(batches):
-        own = known.value
+        model = block.value if block else None
         for batch in batches:
-            bits, length = [], []
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rest = batch.columns[1 : len(batch.columns) - (not first)]
+            names = batch.schema.names[1 : len(rest) + 1]
+            was = [None] * len(batch) if first else batch.column(len(batch.columns) - 1).to_pylist()
+            out = []
+            for text, before in zip(batch.column(0).to_pylist(), was):
                 x = characters(text)
-                length.append(len(x))
-                bits.append(float(own.cross_entropy(x)[own.langs.index(lang)]) if len(x) else 0.0)
-            yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(0), pa.array(bits, pa.float64()), pa.array(length, pa.int64())], ["h", "lang", "bits", "length"])
+                bits = model.bits(x) if model and len(x) else None
+                if before is not None:
+                    bits = bits + np.array(before)
+                out.append(finish(x, bits) if finish else (None if bits is None else bits.tolist(),))
+            columns = list(zip(*out)) if out else [[]] * len(added)
+            kept = rest if finish else [batch.column(0), *rest]
+            names = names if finish else [batch.schema.names[0], *names]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, f.type) for c, f in zip(columns, added)]], [*names, *added.names])
+
+    return run
+
+
+def _scored(rows: DataFrame, blocks: list[Broadcast], finish, added: pa.Schema) -> DataFrame:
+    """``rows`` without their first column, the text, and with the columns that ``finish`` makes of its normal form and bits."""
+    fields = rows.schema.fields
+    sums = pa.schema([("bits", pa.list_(pa.float64()))])
+    out = rows
+    for k, block in enumerate(blocks[:-1]):
+        out = out.mapInArrow(_pass(block, k == 0, None, sums), T.StructType([*fields, *from_arrow_schema(sums).fields]))
+        if k % 4 == 3:
+            out = land(out, "bits")
+    last = blocks[-1] if blocks else None
+    return out.mapInArrow(_pass(last, len(blocks) < 2, finish, added), T.StructType([*fields[1:], *from_arrow_schema(added).fields]))
+
+
+def _calibration(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> dict[str, list[tuple[float, int]]]:
+    """(cross-entropy, length) of a sample of distinct texts under their own language's model.
 
+    Texts are taken by their hashes, some 2 * CALIBRATION of them, and of these the CALIBRATION of least hashes. They
+    are scored where they lie; only numbers reach the driver.
+    """
     share = min(1.0, 2 * CALIBRATION / max(1, rows.count()))
-    some = rows.withColumn("h", F.xxhash64("text", "lang")).where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
-    scored = some.mapInArrow(run, "h long, lang string, bits double, length long").where("length > 0")
+    some = rows.select("text", "lang", F.xxhash64("text", "lang").alias("h")).where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
+    scored = _bits(some, langs, blocks)
     found = scored.groupBy("h", "lang").agg(F.max("bits").alias("bits"), F.max("length").alias("length")).orderBy("h").limit(CALIBRATION).collect()
     seen: dict[str, list[tuple[float, int]]] = {}
     for r in found:
@@ -207,35 +274,65 @@ def _calibration(rows: DataFrame, model: Model) -> dict[str, list[tuple[float, i
     return seen
 
 
+def _bits(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> DataFrame:
+    """``rows`` of (text, lang, ...) with letters: without text, with ``bits`` a character under their own language's model and ``length``."""
+    added = pa.schema([("all_bits", pa.list_(pa.float64())), ("length", pa.int64())])
+    scored = _scored(rows, blocks, lambda x, bits: (None if bits is None else bits.tolist(), len(x)), added).where("length > 0")
+    own = F.get("all_bits", F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1)
+    return scored.withColumn("bits", own / (F.col("length") - 1)).drop("all_bits")
+
+
+def _arrays(table: pa.Table, langs: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Grams and counts of each language."""
+    of, grams, n = table["lang"].to_numpy(), table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
+    return {k: (grams[at], n[at]) for k in langs for at in [of == k]}
+
+
+def _blocks(counts: DataFrame, discounts: dict[str, float], total: int, most: int) -> list[Broadcast]:
+    """Models of all grams, in parts of about ``most``."""
+    context, langs = counts.sparkSession.sparkContext, sorted(discounts)
+    of = lambda rows, d: {k: (*v, d[k]) for k, v in _arrays(rows.toArrow(), langs).items()}
+    if total <= most:
+        return [context.broadcast(Model(of(counts, discounts)))]
+    tables, lower = {}, {}
+    above = counts
+    for order in range(ORDER - 1, 0, -1):
+        above = tables[order] = land(above.groupBy("lang", F.col("gram").bitwiseAND((1 << 16 * order) - 1).alias("gram")).agg(F.count("*").alias("n")), f"grams{order}")
+        lower[order] = _discounts(above)[0]
+    slot = F.col("gram").bitwiseAND(0xFFFF0000).bitwiseOR(F.shiftrightunsigned("gram", 32).bitwiseAND(0xFFFF))
+    placed = counts.withColumn("slot", slot)
+    n = -(-total // most)
+    ends = sorted({int(x) for x in placed.approxQuantile("slot", [k / n for k in range(1, n)], 0.1 / n)} - {1 << 32})
+    single = of(tables[1], lower[1])
+    out = []
+    for a, b in zip([-1, *ends], [*ends, 1 << 32]):
+        # the pairs of a part's slots: the character before the predicted one is in a range
+        two = tables[2].where(F.shiftright("gram", 16).between(max(a, 0) >> 16, b >> 16))
+        known = {1: single, 2: of(two, lower[2]), 3: {k: (None, None, lower[3][k]) for k in langs}}
+        out.append(context.broadcast(Model(of(placed.where((F.col("slot") > a) & (F.col("slot") <= b)), discounts), known, (a, b))))
+    return out
+
+
+def _discounts(counts: DataFrame) -> tuple[dict[str, float], int]:
+    """By language, and the number of all grams."""
+    found = counts.groupBy("lang").agg(F.count_if(F.col("n") == 1).alias("n1"), F.count_if(F.col("n") == 2).alias("n2"), F.count("*").alias("size")).collect()
+    return {r.lang: discount_of(r.n1, r.n2) for r in found}, sum(r["size"] for r in found)
+
+
 def learn(labelled: DataFrame, most: int = MOST) -> Identifier:
     """Learns from rows of (lang, text), lang not null."""
     bounded_batches(labelled.sparkSession)
-    rows = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = land(rows.mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
-    sizes = counts.groupBy("lang", F.least(F.col("n"), F.lit(1 << 20)).alias("n")).count().collect()
-    if not sizes:
-        return Identifier(None, {}, 0.0)
-    least, discounts = {}, {}
-    for lang in {r.lang for r in sizes}:
-        of = {r.n: r["count"] for r in sizes if r.lang == lang}
-        n1, n2 = of.get(1, 0), of.get(2, 0)
-        discounts[lang] = min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
-        held, least[lang] = 0, max(of)
-        for n in sorted(of, reverse=True):
-            held += of[n]
-            if held > most:
-                break
-            least[lang] = n
-    bound = F.coalesce(*[F.when(F.col("lang") == k, F.lit(v)) for k, v in least.items()])
-    table = counts.where(F.col("n") >= bound).toArrow()
-    langs, grams, n = np.array(table["lang"].to_pylist()), table["gram"].to_numpy().view(np.uint64), table["n"].to_numpy()
-    model = Model({k: (grams[langs == k], n[langs == k], discounts[k]) for k in least})
-    identifier = Identifier(model, {}, 0.0)
-    seen = _calibration(rows, model)
-    identifier.means = {k: sum(h * n for h, n in v) / sum(n for _, n in v) for k, v in seen.items()}
-    excess = [(h - identifier.means[k]) * n**0.5 for k, v in seen.items() for h, n in v]
-    identifier.q = max(0.0, float(np.quantile(excess, QUANTILE))) if excess else 0.0
-    return identifier
+    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    counts = land(rows.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    discounts, total = _discounts(counts)
+    langs = sorted(discounts)
+    if not langs:
+        return Identifier([], [], {}, 0.0)
+    blocks = _blocks(counts, discounts, total, most)
+    seen = _calibration(rows, langs, blocks)
+    means = {k: sum(h * n for h, n in v) / sum(n for _, n in v) for k, v in seen.items()}
+    excess = [(h - means[k]) * n**0.5 for k, v in seen.items() for h, n in v]
+    return Identifier(langs, blocks, means, max(0.0, float(np.quantile(excess, QUANTILE))) if excess else 0.0)
 
 
 def held_out() -> Column:
@@ -245,19 +342,7 @@ def held_out() -> Column:
 
 def identify(documents: DataFrame, identifier: Identifier) -> DataFrame:
     """For every row of ``documents``: ``row``, its columns, lang_pred, score, bits and rejected, from the text alone."""
-    spark = documents.sparkSession
-    bounded_batches(spark)
-    known = spark.sparkContext.broadcast(identifier)
-    names = ["lang_pred", "score", "bits", "rejected"]
-    types = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
-
-    def run(batches):
-        predict = known.value.predict
-        for batch in batches:
-            out = [predict(t) for t in batch.column(0).to_pylist()]
-            columns = zip(*out) if out else [[]] * 4
-            yield pa.RecordBatch.from_arrays([batch.column(1), *[pa.array(c, t) for c, t in zip(columns, types)]], ["row", *names])
-
+    bounded_batches(documents.sparkSession)
+    added = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("rejected", pa.bool_())])
     rows = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
-    added = T.StructType.fromDDL("lang_pred string, score double, bits double, rejected boolean")
-    return rows.mapInArrow(run, T.StructType([rows.schema["row"], *added.fields]))
+    return _scored(rows, identifier.blocks, partial(decide, identifier.langs, identifier.means, identifier.q), added)

@@ -48,3 +48,19 @@ def test_rejection_and_odd_documents(spark, odd_documents):
     # a bound on the model's size drops the rarest grams only
     small = language.learn(learned, most=20)
     assert len(small.model.grams[language.ORDER][0]) <= 40 and small.predict("the cat sat on the mat")[0] == "en"
+
+
+def test_blocks_leave_no_gram_out(spark):
+    learned = spark.createDataFrame([("en", "the cat sat on the mat with another cat and many other words"), ("fr", "le chat est sur la table avec un autre chat été noël"), ("zh", "中文字符很多 中文 漢字 文字")], "lang string, text string")
+    whole, parts = language.learn(learned), language.learn(learned, most=15)
+    assert len(whole.blocks) == 1 and len(parts.blocks) > 4
+    grams = [set(b.value.grams[language.ORDER][0].tolist()) for b in parts.blocks]
+    assert set.union(*grams) == set(whole.model.grams[language.ORDER][0].tolist()) and sum(map(len, grams)) == len(set.union(*grams))
+    texts = ["the cat", "le chat noël", "unseen zqx words", "中文 mat", "x" * 50, "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [{r.row.doc_id: r for r in language.identify(rows, x).collect()} for x in (whole, parts)]
+    for k, text in enumerate(texts):
+        one, many = found[0][k], found[1][k]
+        assert (one.lang_pred, one.rejected) == (many.lang_pred, many.rejected)
+        assert one.score == pytest.approx(many.score) and one.bits == (None if one.bits is None else pytest.approx(many.bits))
+        assert whole.predict(text)[2] == (None if one.bits is None else pytest.approx(one.bits))
