@@ -15,7 +15,7 @@ of one such pair of characters stay together, even beyond ``most``.
 A text gets the language of the lowest cross-entropy per character. Its score is the posterior of that language,
 with the text's length counted up to CONFIDENT characters. Rejection is calibrated: a text is rejected if its cross-entropy
 exceeds its language's mean by more than SLACK bits plus q / sqrt(length), where q is the QUANTILE of that
-excess over a sample of at most CALIBRATION learned texts.
+excess (its rank within 1 / RANKS) over all distinct learned texts. Every language of the model has learned texts, and so a mean.
 
 A text that is null or has no letters is ``und``, with score 0, and rejected. Ties go to the language that
 sorts first. Without any labelled text every prediction is ``und``. Rows are independent in prediction; repeated rows count as
@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from folioscope.llm.words import mix
 from folioscope.storage import bounded_batches, land
 
-ORDER, MOST, CALIBRATION, SLACK, QUANTILE, CONFIDENT, FLUSH = 4, 400_000, 2000, 1.0, 0.999, 50, 4_000_000
+ORDER, MOST, SLACK, QUANTILE, RANKS, CONFIDENT, FLUSH = 4, 400_000, 1.0, 0.999, 100_000, 50, 4_000_000
 UND = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -218,7 +218,7 @@ def decide(langs: list[str], means: dict[str, float], q: float, x: np.ndarray, b
     best = int(np.argmin(h))
     lang, least = langs[best], float(h[best])
     score = 1 / float(np.exp2((least - h) * min(len(x), CONFIDENT)).sum())
-    return lang, score, least, least - means.get(lang, least) > SLACK + q / len(x) ** 0.5
+    return lang, score, least, least - means[lang] > SLACK + q / len(x) ** 0.5
 
 
 def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema):
@@ -258,28 +258,23 @@ def _scored(rows: DataFrame, blocks: list[Broadcast], finish, added: pa.Schema)
     return out.mapInArrow(_pass(last, len(blocks) < 2, finish, added), T.StructType([*fields[1:], *from_arrow_schema(added).fields]))
 
 
-def _calibration(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> dict[str, list[tuple[float, int]]]:
-    """(cross-entropy, length) of a sample of distinct texts under their own language's model.
+def _calibration(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> tuple[dict[str, float], float]:
+    """Each language's mean cross-entropy, and the quantile of the excess, over all distinct texts with letters.
 
-    Texts are taken by their hashes, some 2 * CALIBRATION of them, and of these the CALIBRATION of least hashes. They
-    are scored where they lie; only numbers reach the driver.
+    Texts are scored where they lie; only their hashes and numbers are shuffled, after partial aggregates.
     """
-    share = min(1.0, 2 * CALIBRATION / max(1, rows.count()))
-    some = rows.select("text", "lang", F.xxhash64("text", "lang").alias("h")).where(F.pmod("h", F.lit(1 << 40)) < int(share * (1 << 40)))
-    scored = _bits(some, langs, blocks)
-    found = scored.groupBy("h", "lang").agg(F.max("bits").alias("bits"), F.max("length").alias("length")).orderBy("h").limit(CALIBRATION).collect()
-    seen: dict[str, list[tuple[float, int]]] = {}
-    for r in found:
-        seen.setdefault(r.lang, []).append((r.bits, r.length))
-    return seen
-
-
-def _bits(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> DataFrame:
-    """``rows`` of (text, lang, ...) with letters: without text, with ``bits`` a character under their own language's model and ``length``."""
     added = pa.schema([("all_bits", pa.list_(pa.float64())), ("length", pa.int64())])
-    scored = _scored(rows, blocks, lambda x, bits: (None if bits is None else bits.tolist(), len(x)), added).where("length > 0")
+    hashed = rows.select("text", "lang", F.xxhash64("text", "lang").alias("h"))
+    scored = _scored(hashed, blocks, lambda x, bits: (None if bits is None else bits.tolist(), len(x)), added).where("length > 0")
     own = F.get("all_bits", F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1)
-    return scored.withColumn("bits", own / (F.col("length") - 1)).drop("all_bits")
+    scored = scored.select("h", "lang", (own / (F.col("length") - 1)).alias("bits"), "length")
+    texts = land(scored.groupBy("h", "lang").agg(F.max("bits").alias("bits"), F.max("length").alias("length")), "calibration")
+    # as decimals, so that the order of tasks doesn't change the sums
+    total = F.sum((F.col("bits") * F.col("length")).cast("decimal(28,9)")).cast("double")
+    means = {r.lang: r["mean"] for r in texts.groupBy("lang").agg((total / F.sum("length")).alias("mean")).collect()}
+    mean = F.element_at(F.create_map(*[F.lit(x) for pair in means.items() for x in pair]), F.col("lang"))
+    excess = (F.col("bits") - mean) * F.sqrt(F.col("length"))
+    return means, max(0.0, texts.agg(F.percentile_approx(excess, QUANTILE, RANKS)).first()[0])
 
 
 def _arrays(table: pa.Table, langs: list[str]) -> dict[str, tuple[np.ndarray, np.ndarray]]:
@@ -329,10 +324,7 @@ def learn(labelled: DataFrame, most: int = MOST) -> Identifier:
     if not langs:
         return Identifier([], [], {}, 0.0)
     blocks = _blocks(counts, discounts, total, most)
-    seen = _calibration(rows, langs, blocks)
-    means = {k: sum(h * n for h, n in v) / sum(n for _, n in v) for k, v in seen.items()}
-    excess = [(h - means[k]) * n**0.5 for k, v in seen.items() for h, n in v]
-    return Identifier(langs, blocks, means, max(0.0, float(np.quantile(excess, QUANTILE))) if excess else 0.0)
+    return Identifier(langs, blocks, *_calibration(rows, langs, blocks))
 
 
 def held_out() -> Column:

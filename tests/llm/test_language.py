@@ -64,3 +64,16 @@ def test_blocks_leave_no_gram_out(spark):
         assert (one.lang_pred, one.rejected) == (many.lang_pred, many.rejected)
         assert one.score == pytest.approx(many.score) and one.bits == (None if one.bits is None else pytest.approx(many.bits))
         assert whole.predict(text)[2] == (None if one.bits is None else pytest.approx(one.bits))
+
+
+def test_calibration_covers_rare_languages(spark):
+    many = [("en", f"the cat number {'abcdefghij'[k % 10]}{'klmnopqrst'[k // 10 % 10]}{'uvwxyzabcd'[k // 100 % 10]}{'efghijklmn'[k // 1000]} sat on the mat") for k in range(6000)]
+    rare = [("zh", f"中文字符很多{x}") for x in "甲乙丙"]
+    found = language.learn(spark.createDataFrame(many + rare, "lang string, text string"))
+    assert set(found.means) == {"en", "zh"}
+    bits = {k: [found.predict(t)[2] * len(language.characters(t)) for lang, t in many + rare if lang == k] for k in found.means}
+    sizes = {k: sum(len(language.characters(t)) for lang, t in many + rare if lang == k) for k in found.means}
+    assert found.means == pytest.approx({k: sum(v) / sizes[k] for k, v in bits.items()})
+    lang, _, _, rejected = found.predict("漢龍鳳麟龜" * 20 + "中")
+    assert lang == "zh" and rejected
+    assert not found.predict(rare[0][1])[3]
