@@ -1,8 +1,9 @@
 """Personal data: base patterns, and terms whose co-occurrence in the corpus reveals protected entities.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers. Every distinct value found is a
-protected entity c. Terms are words (runs of digits, ASCII letters and non-ASCII characters, A-Z lower-cased,
-at most LONGEST bytes) within WINDOW words and REACH characters of an occurrence. With N documents, n(c) that hold c, n(t) that
+protected entity c. Terms are words (runs of digits, ASCII letters and non-ASCII characters, A-Z lower-cased)
+within WINDOW words of an occurrence that have a character within REACH characters of it; those of more than LONGEST bytes stand as
+128-bit hashes. With N documents, n(c) that hold c, n(t) that
 hold t, and n(c, t) in which t stands near c,
 
     PMI(c; t) = log2(N n(c, t) / (n(c) n(t))),    IC(c) = log2(N / n(c)),
@@ -24,16 +25,18 @@ often as they occur; ties and other columns don't matter; an empty table gives a
 from __future__ import annotations
 
 import bisect
+import hashlib
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope.llm.words import ALNUM
+from folioscope.llm.words import alnum_words
 from folioscope.storage import bounded_batches, land
 
 KINDS = ["email", "ip", "card", "phone"]
@@ -98,6 +101,36 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:" + (value.lower() if kind == "email" else value if kind == "ip" else re.sub("[^0-9]", "", value))
 
 
+def long_term(word: bytes) -> str:
+    """What stands for a lower-cased word of more than LONGEST bytes; no word has a #."""
+    return "#" + hashlib.blake2b(word, digest_size=16).hexdigest()
+
+
+def term(word: str) -> str:
+    """A word's normal form, by which its occurrences are one term."""
+    word = word.translate(_LOWER)
+    return word if 4 * len(word) <= LONGEST or len(x := word.encode("utf-8")) <= LONGEST else long_term(x)
+
+
+def terms_of(text: str | None) -> Iterator[str]:
+    """The terms of a text's words, with repeats."""
+    return (w.decode("utf-8") if len(w) <= LONGEST else long_term(w) for w in alnum_words(text))
+
+
+def word_start(text: str, at: int) -> int:
+    """Where the word that holds the characters before and after ``at`` begins; ``at`` if there is none."""
+    step, start = 64, at
+    while start and _WORD.match(text, start, start + 1):
+        lo = max(0, start - step)
+        last = None
+        for last in _WORD.finditer(text, lo, start):
+            pass
+        if not last or last.end() < start:
+            break
+        start, step = last.start(), 2 * step
+    return start
+
+
 def near(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str | None]]:
     """(entity, term) pairs of a document, and (entity, None) for every entity."""
     out: set[tuple[str, str | None]] = set()
@@ -105,11 +138,13 @@ def near(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str | N
         c = entity(kind, text[a:b])
         out.add((c, None))
         lo, hi = max(0, a - REACH), min(len(text), b + REACH)
-        before = [m for m in _WORD.finditer(text, lo, a) if m.start() > lo or lo == 0][-WINDOW:]
-        after = [m for m in _WORD.finditer(text, b, hi) if m.end() < hi or hi == len(text)][:WINDOW]
+        before = list(_WORD.finditer(text, word_start(text, lo), a))[-WINDOW:]
+        after = list(_WORD.finditer(text, b, hi))[:WINDOW]
+        if after and after[-1].end() == hi:
+            after[-1] = _WORD.match(text, after[-1].start())
         for m in before + after:
-            if len(m[0].encode()) <= LONGEST and not any(m.start() < q and p < m.end() for _, p, q in spans):
-                out.add((c, m[0].translate(_LOWER)))
+            if not any(m.start() < q and p < m.end() for _, p, q in spans):
+                out.add((c, term(m[0])))
     return out
 
 
@@ -145,7 +180,7 @@ def _frequencies(terms):
         for batch in batches:
             count: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
-                count.update(wanted.intersection(w.decode("utf-8") for w in (text or "").encode("utf-8").translate(ALNUM).split()))
+                count.update(wanted.intersection(terms_of(text)))
             yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(count.values(), pa.int64())], ["term", "n"])
 
     return run
@@ -158,7 +193,7 @@ def _blocks(df: DataFrame, most: int) -> list[list[tuple]]:
 
 
 def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
-    """(term, action) of every term that discloses a protected entity of ``documents``, landed."""
+    """(term, action) of every term that discloses a protected entity of ``documents``, landed; long terms as ``long_term`` has them."""
     spark = documents.sparkSession
     bounded_batches(spark)
     texts = documents.select(F.col("text").cast("string").alias("text"))
@@ -202,11 +237,11 @@ def _find(terms, first: bool):
                     spans = [(k, a, b, None) for k, a, b in base_spans(text)]
                 else:
                     spans = [(x["kind"], x["start"], x["end"], x["action"]) for x in spans]
-                if known and not known.keys().isdisjoint(w.decode("utf-8") for w in text.encode("utf-8").translate(ALNUM).split()):
+                if known and not known.keys().isdisjoint(terms_of(text)):
                     base = sorted((a, b) for k, a, b, _ in spans if k != "term")
                     starts = [a for a, _ in base]
                     for m in _WORD.finditer(text):
-                        if (action := known.get(m[0].translate(_LOWER))) and not _covered(base, starts, *m.span()):
+                        if (action := known.get(term(m[0]))) and not _covered(base, starts, *m.span()):
                             spans.append(("term", *m.span(), action))
                 out.append([dict(zip(("kind", "start", "end", "action"), x)) for x in spans])
             columns = batch.columns if first else batch.columns[:-1]

@@ -81,3 +81,30 @@ def test_query_and_odd_documents(spark, odd_documents):
     assert odd.select("row.*").columns == odd_documents.columns
     assert sorted(map(repr, (r.clean for r in odd.collect()))) == sorted(map(repr, (r.text for r in odd_documents.collect())))
     assert pii.sanitise(odd_documents.where("false")).count() == 0
+
+
+def test_long_terms_disclose(spark):
+    rng = random.Random(9)
+    filler = lambda n: " ".join(f"w{rng.randrange(60)}" for _ in range(n))
+    long = [hashlib.sha256(b"account").hexdigest().upper(), "".join(chr(0x4E00 + k) for k in range(30)), "Ab" * 700]
+    texts = [filler(30) for _ in range(300)]
+    for k, word in enumerate(long):
+        texts += [f"{filler(4)} {word} jz{k}@firm.example.com {filler(4)}" for _ in range(5)]
+        texts += [f"{filler(4)} mail al{k}@firm.example.com {word}x {filler(4)}" for _ in range(5)]
+    at = len(texts)
+    texts += [f"call {word} w1 {word}x w2" for word in long]
+    texts += [f"{filler(9)} user{k}@mail.example.com" for k in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (500_000, 8):
+        got = {r.row.doc_id: r.clean for r in pii.sanitise(docs, block_terms=block).collect()}
+        assert [got[at + k] for k in range(len(long))] == ["call [near EMAIL] w1 [near EMAIL] w2"] * len(long)
+        assert not any(word in x for word in long for x in got.values())
+
+
+def test_words_at_the_window_edge_are_whole():
+    rng = random.Random(2)
+    for _ in range(300):
+        text = "".join(rng.choice(["a", "b" * 70, "é" * 40, " ", ". ", "x y "]) for _ in range(40))
+        words = [m.span() for m in pii._WORD.finditer(text)]
+        for at in range(len(text) + 1):
+            assert pii.word_start(text, at) == next((a for a, b in words if a < at < b), at)
