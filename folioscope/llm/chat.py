@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+PIECE = 4096
+
 
 def escaped(c: Column) -> Column:
     return F.replace(F.replace(c, F.lit("\\"), F.lit("\\s")), F.lit("<"), F.lit("\\l"))
@@ -85,6 +87,18 @@ def loss_mask(chats: DataFrame) -> DataFrame:
 
 
 def loss_text(chats: DataFrame) -> DataFrame:
-    """Adds ``loss``: all text under the mask, unescaped; it is what stands in assistant blocks, without cuts."""
-    own = F.regexp_extract_all("formatted", F.lit("(?s)<turn>assistant<text>(.*?)</turn>"), F.lit(1))
-    return chats.withColumn("loss", F.array_join(F.transform(own, lambda b: unescaped(F.replace(b, F.lit("<cut>"), F.lit("")))), ""))
+    """Adds ``loss``: the ranges of ``mask``, which ``loss_mask`` gives where it is missing, cut out of ``formatted`` and unescaped.
+
+    They are cut from pieces of PIECE code points, so that no range is sought from the text's start.
+    """
+    known = chats if "mask" in chats.columns else loss_mask(chats)
+    pieces = F.regexp_extract_all("formatted", F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+    def cut(held: Column, m: Column) -> Column:
+        first, last = (F.floor(x / PIECE).cast("int") for x in (m["start"], m["start"] + F.greatest(m["length"], F.lit(1)) - 1))
+        around = F.array_join(F.transform(F.sequence(first, last), lambda k: F.get(held, k)), "")
+        return unescaped(F.substr(around, (m["start"] % PIECE + 1).cast("int"), m["length"].cast("int")))
+
+    # as a lambda's argument the pieces are made once
+    loss = F.transform(F.array(pieces), lambda held: F.array_join(F.transform("mask", lambda m: cut(held, m)), ""))
+    return known.withColumn("loss", F.get(loss, F.lit(0))).select(*[F.col(f"`{c}`") for c in chats.columns], "loss")

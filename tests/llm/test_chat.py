@@ -35,3 +35,13 @@ def test_main_path_has_no_python(spark):
     df = queries.QUERIES["op10_chat"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_loss_is_cut_by_the_mask(spark):
+    from folioscope.llm import chat
+
+    long = "🙂é" + "ab🙂" * 5000
+    rows = [(long, [(0, 2), (4095, 2), (9000, 5000), (5, 0), (len(long) - 1, 1)]), ("x\\l", [(0, 3)]), ("none", [])]
+    masked = spark.createDataFrame(rows, "formatted string, mask array<struct<start: long, length: long>>")
+    got = {r.formatted: r.loss for r in chat.loss_text(masked).collect()}
+    assert got == {f: "".join(f[a : a + n] for a, n in m).replace("\\l", "<") for f, m in rows}
