@@ -16,7 +16,7 @@ sets have a Jaccard similarity of at least ``percent`` / 100 are linked; a group
    the leader's component are compared with all of its members by full sets, in blocks of ASKED and OTHERS
    documents, as matrix products; only links are returned, one for each two components of a block. Then components are found
    once more. After that every pair that shares a bucket is in one component or proven unlinked, but for
-   the bits' error (under 1e-6 for a linked pair), and no bucket needs a cap.
+   the bits' error (under 1e-7 for a linked pair), and no bucket needs a cap.
 
 At similarity 0.8, a pair shares no bucket with probability (1 - 0.8**5)**38 < 3e-7.
 
@@ -111,9 +111,9 @@ def _sets(size: int):
 
 
 def _least_equal_bits(percent: int) -> int:
-    """Of BANDS * ROWS bits, so many are equal at the similarity, less five standard deviations."""
+    """Of BANDS * ROWS bits, so many are equal at the similarity, less six standard deviations."""
     n, p = BANDS * ROWS, (1 + percent / 100) / 2
-    return int(n * p - 5 * (n * p * (1 - p)) ** 0.5)
+    return int(n * p - 6 * (n * p * (1 - p)) ** 0.5)
 
 
 def _alike(a: str, b: str, percent: int):

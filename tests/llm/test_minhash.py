@@ -91,3 +91,11 @@ def test_query_agrees_with_sql(spark):
 
     for name in ("op7_minhash", "op9_winnowing", "op2_maxscore", "op4_warc", "op10_chat"):
         assert_same(queries.QUERIES[name](spark, "/root/testdata/sf0.001"), queries.ORACLE_SQL[name])
+
+
+def test_linked_pairs_are_missed_below_1e_6():
+    from math import comb
+
+    n, least = minhash.BANDS * minhash.ROWS, minhash._least_equal_bits(80)
+    by_bits = sum(comb(n, k) * 0.9**k * 0.1 ** (n - k) for k in range(least))
+    assert by_bits < 1e-7 and by_bits + (1 - 0.8**minhash.ROWS) ** minhash.BANDS < 1e-6
