@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,10 +40,11 @@ def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> Da
     return out.select("mention_id", "name", F.when(one, F.col("lo.company_id")).alias("company_id"), one.alias("resolved"))
 
 
-def closure(edges: DataFrame, depth: int = 100) -> DataFrame:
+def closure(edges: DataFrame, depth: int | None = None) -> DataFrame:
     """All (owner, owned, hops) reachable over edges (owner, owned), hops least; cycles end.
 
-    Rounds extend the paths found last by one edge and drop pairs that are known. Edges are broadcast only if they
+    Rounds extend the paths found last by one edge and drop pairs that are known, until none is new; with paths of more
+    than ``depth`` hops, if it is given, they raise. Edges are broadcast only if they
     are small, else joined by a shuffle.
     """
     from folioscope.storage import land
@@ -50,13 +53,14 @@ def closure(edges: DataFrame, depth: int = 100) -> DataFrame:
     small = 16 * edges.count() <= BROADCAST_BYTES // 4
     step = edges.select(F.col("owner").alias("owned"), F.col("owned").alias("next"))
     found = last = land(edges.withColumn("hops", F.lit(1)), "paths")
-    for hops in range(2, depth + 1):
+    for hops in count(2):
         more = last.join(F.broadcast(step) if small else step, "owned").select("owner", F.col("next").alias("owned")).distinct()
         last = land(more.join(found, ["owner", "owned"], "left_anti").withColumn("hops", F.lit(hops)), "paths")
         if last.isEmpty():
-            break
+            return found
+        if depth is not None and hops > depth:
+            raise ValueError(f"there are paths of more than {depth} hops")
         found = found.unionByName(last)
-    return found
 
 
 def graph(edges: DataFrame, evidence: Column) -> tuple[DataFrame, DataFrame]:

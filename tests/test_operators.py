@@ -184,3 +184,10 @@ def test_observations_and_sources(spark):
     events = spark.createDataFrame([("d", 1, [0.0, 0.0, 1.0, 1.0], "x"), (None, None, None, None)], "doc string, page int, box array<double>, said string")
     got = ledger.grounded(events, "doc", "page", "box", "said").collect()
     assert got[0].source.inpi_id == "d" and got[0].note is None and got[1].source is None and got[1].note
+
+
+def test_closure_does_not_end_silently(spark):
+    edges = spark.createDataFrame([(k, k + 1) for k in range(4)], "owner long, owned long")
+    assert entities.closure(edges, depth=4).count() == entities.closure(edges).count() == 10
+    with pytest.raises(ValueError):
+        entities.closure(edges, depth=3)
