@@ -75,7 +75,8 @@ def ocr_lines(pages: DataFrame, *keys: str) -> DataFrame:
     """
     keys = keys or ("siren", "kind", "doc_id", "page")
     lines = pages.select(*keys, F.posexplode_outer(F.coalesce("ocr", F.array().cast(f"array<{LINE}>"))).alias("pos", "line"))
-    box = geometry.box_of_polygon(F.col("line.polygon"), 4)
+    polygon = F.col("line.polygon")
+    box = F.when(F.size(polygon) == 4, geometry.box_of_polygon(polygon, 4)).otherwise(geometry.box_of_polygon(polygon))
     return lines.select(*keys, "pos", "line.text", "line.score", "line.polygon", *[box[i].alias(n) for i, n in enumerate(("px_x0", "px_y0", "px_x1", "px_y1"))])
 
 

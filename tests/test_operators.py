@@ -191,3 +191,10 @@ def test_closure_does_not_end_silently(spark):
     assert entities.closure(edges, depth=4).count() == entities.closure(edges).count() == 10
     with pytest.raises(ValueError):
         entities.closure(edges, depth=3)
+
+
+def test_ocr_lines_takes_all_points(spark):
+    points = [[5.0, 5.0], [6.0, 5.0], [6.0, 6.0], [5.0, 6.0], [1.0, 9.0]]
+    pages = spark.createDataFrame([(1, [(k, 1.0, 0, v, None) for k, v in {"a": points, "b": points[:4], "c": points[3:], "d": []}.items()])], f"page int, ocr array<{filings.LINE}>")
+    got = {r.text: (r.px_x0, r.px_y0, r.px_x1, r.px_y1) for r in filings.ocr_lines(pages, "page").collect()}
+    assert got == {"a": (1, 5, 6, 9), "b": (5, 5, 6, 6), "c": (1, 6, 5, 9), "d": (None,) * 4}
