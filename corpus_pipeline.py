@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages; each takes all documents its predecessor kept.
 
 1. Language identification: documents that the model rejects go.
-2. Near-duplicates: of every group of documents the one with the smallest doc_id stays.
+2. Near-duplicates: of every group of documents the one with the smallest doc_id stays (null ones count as the
+   largest), and one row of it.
 3. Decontamination: documents that hold a window of a benchmark item go.
 4. Personal data: base patterns and disclosing terms are replaced in the texts.
 5. Byte-pair encoding: the ids of every text, and the text they decode to.
@@ -25,9 +26,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = minhash.near_duplicates(docs, size=5, percent=80)
-    gone = land(found.where("not kept").select("doc_id").distinct(), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    # rows have keys of their own, landed so that they stay: a doc_id may be null or repeated
+    rows = land(docs.select(F.monotonically_increasing_id().alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), "keyed")
+    found = minhash.near_duplicates(rows.select(F.col("key").alias("doc_id"), F.col("row.text").alias("text")), size=5, percent=80)
+    found = found.select(F.col("doc_id").alias("key"), F.col("component_id").alias("c"))
+    grouped = land(found.join(rows.select("key", F.col("row.doc_id").alias("doc_id")), "key"), "grouped")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key"))
+    best = land(grouped.groupBy("c").agg(least.alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").select("c", F.col("least.key").alias("best")), "best")
+    gone = land(grouped.join(best, "c").where("key <> best").select("key"), "gone")
+    return rows.join(gone, "key", "left_anti").select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

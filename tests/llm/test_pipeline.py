@@ -42,3 +42,11 @@ def test_null_texts_go_and_extra_columns_stay(spark, odd_documents):
     assert first.columns == odd_documents.columns and first.where("text is null").count() == 0
     second = corpus_pipeline.STAGES[1][1](spark, odd_documents, SF)
     assert second.where("doc_id = 7").count() == 0 and second.columns == odd_documents.columns
+
+
+def test_near_duplicates_goes_by_rows(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(1, a), (1, a), (None, a), (5, a), (5, b), (None, None), (None, None), (None, "c d e f g h"), (None, "c d e f g h")]
+    left = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), SF).collect()
+    wanted = [(1, a), (5, b), (None, None), (None, None), (None, "c d e f g h")]
+    assert sorted(map(repr, map(tuple, left))) == sorted(map(repr, wanted))
