@@ -32,17 +32,51 @@ def test_cuts_are_certain(tokenizer_path):
     assert fragments.bounds("the quick fox".encode(), table) == [0, 3, 9, 13]
 
 
-def test_spliced_counts(tokenizer):
-    rng = random.Random(2)
+@pytest.mark.parametrize("plain", [True, False])
+def test_resynchronised_counts(tokenizer_path, tokenizer, plain):
+    rng, encoder = random.Random(2), token_counts.Encoder(tokenizer_path, most=300)
+    assert encoder.plain
+    encoder.plain = plain  # the library's own offsets otherwise
+    counter = token_counts.Resynchroniser(encoder, chunk=200, overlap=40)
     for _ in range(150):
         t = random_text(rng, 300) + "x" * rng.choice([0, 0, 900]) + random_text(rng, 100)
-        assert token_counts.spliced_count(tokenizer, t, chunk=200, overlap=40) == len(tokenizer.encode(t, add_special_tokens=False).ids)
+        assert counter.count(t) == len(tokenizer.encode(t, add_special_tokens=False).ids)
+    assert counter.splices > 100 and counter.widenings > 50
 
 
-def test_odd_documents(odd_documents, tokenizer_path, tokenizer):
+def test_every_character_is_read_as_the_library_reads_it(tokenizer_path, tokenizer):
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    random.Random(3).shuffle(points)
+    counter = token_counts.Resynchroniser(token_counts.Encoder(tokenizer_path))
+    for t in ("".join(points[:20_000]), " ".join(points[20_000:40_000]), "'".join(points[40_000:50_000])):
+        assert counter.count(t) == len(tokenizer.encode(t, add_special_tokens=False).ids)
+
+
+def test_a_long_word_is_read_in_growing_chunks(tokenizer_path, tokenizer):
+    counter = token_counts.Resynchroniser(token_counts.Encoder(tokenizer_path))
+    read = []
+    counter._read, inner = lambda text, a, b: (read.append(b - a), inner(text, a, b))[1], counter._read
+    t = "some words, " * 300 + "x" * 100_000 + " and more" * 300
+    assert counter.count(t) == len(tokenizer.encode(t, add_special_tokens=False).ids)
+    assert sum(read) < 6 * len(t)
+
+
+def test_the_query_splices(tokenizer_path, tokenizer, spark):
+    from oracle import SF
+
+    counter = token_counts.Resynchroniser(token_counts.Encoder(tokenizer_path))
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("text").collect()]
+    long = sum(len(t) > token_counts.CHUNK for t in texts)
+    for t in texts:
+        assert counter.count(t) == len(tokenizer.encode(t, add_special_tokens=False).ids)
+    assert long > 50 and counter.splices >= long
+
+
+@pytest.mark.parametrize("chunk", [100, 2048])
+def test_odd_documents(chunk, odd_documents, tokenizer_path, tokenizer):
     rows = {(r.doc_id, r.text) for r in odd_documents.collect()}
     wanted = sorted((repr(i), len((t or "").encode()), len(tokenizer.encode(t or "", add_special_tokens=False).ids)) for i, t in [(r.doc_id, r.text) for r in odd_documents.collect()])
-    got = sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in token_counts.token_counts(odd_documents, tokenizer_path, huge=20_000).collect())
+    got = sorted((repr(r.doc_id), r.n_bytes, r.n_tokens) for r in token_counts.token_counts(odd_documents, tokenizer_path, chunk=chunk).collect())
     assert got == wanted and len(rows) < len(got)
     for r in bpe.decode(bpe.encode(odd_documents, tokenizer_path), tokenizer_path).collect():
         assert (r.doc_id, r.decoded) in {(i, t or "") for i, t in rows}
