@@ -38,12 +38,21 @@ def land(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once as Parquet in the shared folder and reads it back.
 
     It cuts lineage: a lost executor costs the tasks it ran, not the stages before. Each call writes to a
-    folder of its own, under one of the application, which ``clean`` removes.
+    folder of its own, under one of the application, which ``clean`` removes; ``release`` removes one table.
     """
     spark = df.sparkSession
-    path = f"{_own_dir(spark)}/{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    folder = f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/{name}")
+    landed = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+    landed.landed_folder = folder
+    return landed
+
+
+def release(*landed: DataFrame) -> None:
+    """Removes tables that ``land`` has returned, once nothing lazy reads them any more; None is left out."""
+    for df in landed:
+        if df is not None:
+            _remove(df.sparkSession, df.landed_folder)
 
 
 def _own_dir(spark: SparkSession) -> str:
@@ -52,7 +61,11 @@ def _own_dir(spark: SparkSession) -> str:
 
 def clean(spark: SparkSession) -> None:
     """Removes all tables that this application has landed; call it once their readers are done."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+    _remove(spark, _own_dir(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 

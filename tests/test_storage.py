@@ -10,7 +10,9 @@ def test_landed_tables_are_read_back_and_removed(spark):
     landed = storage.land(rows, "some")
     assert landed.dtypes == rows.dtypes and landed.count() == 5
     folder = Path(storage.shared_dir(spark).removeprefix("file://")) / "folioscope" / spark.sparkContext.applicationId
-    assert any(folder.iterdir())
+    before = len(list(folder.iterdir()))
+    storage.release(storage.land(rows, "other"), None)
+    assert before == len(list(folder.iterdir())) > 0 and landed.count() == 5
     storage.clean(spark)
     assert not folder.exists()
 
