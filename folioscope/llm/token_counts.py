@@ -11,7 +11,7 @@ A text of one chunk is encoded as a whole.
 
 Chunks are read as the library's byte-level pre-tokeniser does: special tokens first, then its published pattern over
 classes of characters (letter, number, white space, other). The classes are asked of the library, character by character
-as they turn up, and every distinct pre-token is encoded by the library and kept in a cache of bounded size. Files of any other form
+as they turn up, and every distinct pre-token is encoded by the library's model and kept in a cache of bounded size. Files of any other form
 are encoded chunk by chunk by the library itself, with its offsets.
 
 A null text counts as empty: no bytes, no tokens. Rows are independent: repeated rows and doc_ids, ties and
@@ -22,12 +22,14 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folioscope.llm.fragments import byte_of_char
 from folioscope.storage import bounded_batches
 
 CHUNK, OVERLAP, MARGIN = 2048, 64, 32
@@ -52,7 +54,7 @@ class Classes(dict):
 class Encoder:
     """Pre-tokens of a text, by their lengths, and how many tokens each has."""
 
-    def __init__(self, path: str, most: int = 200_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 300_000, longest: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -66,11 +68,11 @@ class Encoder:
         self.margin = max([MARGIN, *[len(t["content"]) + 2 for t in added]])
         self.cache, self.most, self.longest = {}, most, longest
         if self.plain:
+            self.tokenize, self.letters = self.tokenizer.model.tokenize, {b: c for c, b in byte_of_char().items()}
             special = sorted((t["content"] for t in added), key=len, reverse=True)
             self.special = re.compile(f"({'|'.join(map(re.escape, special)) or '(?!)'})")
             self.classes = Classes(self.tokenizer.pre_tokenizer)
-            self.ascii = {i: c for i in range(128) if (c := self.classes[i])}
-            blank = re.escape("".join(chr(i) for i, c in self.ascii.items() if c == STANDS[2]))
+            blank = re.escape("".join(chr(i) for i in range(128) if self.classes[i] == STANDS[2]))
             self.classes.update({i: chr(i) for i in range(128)})
             self.split = re.compile(rf"'(?:s|t|re|ve|m|ll|d)| ?[A-Za-z]+| ?[0-9]+| ?[^{blank}A-Za-z0-9]+|[{blank}]+(?![^{blank}])|[{blank}]+").findall
 
@@ -78,14 +80,11 @@ class Encoder:
         """The pre-tokens of a text without special tokens."""
         if text.isascii():
             return self.split(text)
-        out, at = [], 0
-        for w in self.split(text.translate(self.classes)):
-            out.append(text[at : at + len(w)])
-            at += len(w)
-        return out
+        ends = list(accumulate(map(len, self.split(text.translate(self.classes)))))
+        return [text[a:b] for a, b in zip([0, *ends], ends)]
 
     def counts(self, words: list[str]) -> list[int]:
-        """Tokens of each pre-token; those not in the cache are encoded by the library."""
+        """Tokens of each pre-token; those not in the cache are encoded by the library's model, in its letters for bytes."""
         try:
             return list(map(self.cache.__getitem__, words))
         except KeyError:
@@ -94,7 +93,7 @@ class Encoder:
             self.cache.clear()
             new = list(set(words))
         for w in new:
-            self.cache[w] = len(self.tokenizer.encode(w, add_special_tokens=False))
+            self.cache[w] = len(self.tokenize(w.encode("utf-8").decode("latin-1").translate(self.letters)))
         out = list(map(self.cache.__getitem__, words))
         for w in new:
             if len(w) > self.longest:
