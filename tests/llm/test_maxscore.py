@@ -22,9 +22,9 @@ def brute(rows, asked, k):
 
 @pytest.mark.parametrize("kind", ["dense", "sparse", "ties", "mixed"])
 def test_equals_brute_force(spark, kind, monkeypatch):
-    monkeypatch.setattr(maxscore, "SHARD", 150)
-    monkeypatch.setattr(maxscore, "QUERIES", 10)
-    monkeypatch.setattr(maxscore, "STEP", 32)
+    monkeypatch.setattr(maxscore, "STEP", 64)
+    monkeypatch.setattr(maxscore, "SEED", 16)
+    monkeypatch.setattr(maxscore, "BATCH", 4)
     rng = np.random.default_rng(13)
     v = rng.normal(size=(500, 24)).astype(np.float32)
     if kind == "sparse":
@@ -33,8 +33,47 @@ def test_equals_brute_force(spark, kind, monkeypatch):
         v = np.round(v)
     rows = [(i, r.tolist()[: 24 if kind != "mixed" else 1 + i % 24]) for i, r in enumerate(v)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
-    got = {tuple(r) for r in maxscore.top_k(df, F.col("vec_id") % 50 == 0, 5).collect()}
-    assert got == brute(rows, lambda q: q % 50 == 0, 5)
+    for block_bytes in (1 << 20, 1000):
+        got = {tuple(r) for r in maxscore.top_k(df, F.col("vec_id") % 50 == 0, 5, block_bytes).collect()}
+        assert got == brute(rows, lambda q: q % 50 == 0, 5)
+
+
+def shown(v, asked, k=5, step=128):
+    ids = np.arange(len(v))
+    search = maxscore.Search(ids[asked], [v[i] for i in ids[asked]], k)
+    for a in range(0, len(v), step):
+        search.show(ids[a : a + step], list(v[a : a + step]), ids[a : a + step])
+    return search
+
+
+def test_non_essential_postings_are_not_traversed():
+    rng = np.random.default_rng(14)
+    v = rng.integers(1, 9, (4000, 200)) * (rng.random((4000, 200)) < 0.03)
+    v[:, :5] *= 40  # rare weights that matter
+    search = shown(v, np.arange(4000) % 50 == 0)
+    assert 0 < search.traversed < 0.03 * search.all_postings
+    got = set(zip(*(x.tolist() for x in search.rows()[:3])))
+    for q in range(0, 4000, 50):
+        best = sorted((-int(v[q] @ v[j]), j) for j in range(4000) if j != q)[:5]
+        assert {(q, j, -s) for s, j in best} <= got
+
+
+def test_scores_above_2_to_the_53_are_exact(spark):
+    big = 134_217_729 / 256  # the square of the weight exceeds 2**53
+    rows = [(0, [big, big, 1 / 256])] + [(i, [big, big, i / 256]) for i in range(1, 40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in maxscore.top_k(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    w = int(256 * big)
+    assert got == [(0, r + 1, 39 - r, 2 * w * w + 39 - r) for r in range(5)]
+
+
+def test_huge_weights_and_long_vectors_and_other_columns(spark):
+    rows = [(0, [1e30, 1.0], 1, "x"), (1, [1e30, -1.0], 2, "y"), (2, [-1e30], 3, "z"), (3, [1.0] * 50_000, 4, "w"), (4, [2.0], 5, "v")]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, key long, weights string")
+    got = [tuple(r) for r in maxscore.top_k(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    assert [r[2] for r in got] == [1, 3, 4, 2] and got[0][3] == 2**63 - 1 and got[3][3] == -(2**63)
+    got = {tuple(r) for r in maxscore.top_k(df.where("vec_id > 2"), F.lit(True), 5).collect()}
+    assert got == {(3, 1, 4, 512 * 256), (4, 1, 3, 512 * 256)}
 
 
 def test_odd_vectors(spark):
