@@ -11,17 +11,24 @@ sets have a Jaccard similarity of at least ``percent`` / 100 are linked; a group
 3. Of every band bucket with two vertices or more, all members are paired with one leader, the member whose
    buckets are the largest: the centre of a group of near copies. So a bucket of n members gives n - 1 pairs.
 4. Pairs whose bits can't reach the similarity are dropped, the rest is confirmed on full sets, and components
-   are found by alternating large-star and small-star.
-5. Only where members of one leader's buckets are in two components can a link still hide. The members outside
-   the leader's component are compared with all of its members by full sets, in blocks of ASKED and OTHERS
-   documents, as matrix products; only links are returned, one for each two components of a block. Then components are found
-   once more. After that every pair that shares a bucket is in one component or proven unlinked, but for
+   are found by alternating large-star and small-star. A leader's set is sent once per HUB pairs.
+5. Only where members of one leader's buckets are in two components can a link still hide. All links among these members
+   are found by a prefix filter, which is exact: with shingles in order from the rarest to the most frequent, two sets of
+   the similarity share one of the first shingles of both, as many as their sizes tell. Shingles that no two components
+   share come first and are never sent, so texts that have a template in common, however many, and words of their own in its gaps
+   meet nowhere unless they are within about a hundredth of the similarity. Sizes are dealt to classes of a fiftieth. Up to PAIRED
+   sets that meet at a shingle are paired. Those that meet at more frequent ones (versions of one text with scattered changes,
+   just below the similarity) are compared leader by leader, the members outside the leader's component with all of them, in blocks
+   of ASKED and OTHERS documents, as matrix products that return links only; their work grows with the square of such a
+   group, divided by the blocks' sizes. Then components are found once more. After that every pair that shares a bucket is in one component or proven unlinked, but for
    the bits' error (under 1e-7 for a linked pair), and no bucket needs a cap.
 
-At similarity 0.8, a pair shares no bucket with probability (1 - 0.8**5)**38 < 3e-7.
+At similarity 0.8, a pair shares no bucket with probability (1 - 0.8**5)**38 < 3e-7. Full sets are of 64-bit hashes: that any
+two of a billion different shingles are taken for one has a probability below 0.03.
 
 Nulls: a null text has no words. A row with null doc_id is linked with nothing; its component is null and it
-is kept. Rows that repeat a doc_id are one vertex. An empty table gives an empty result.
+is kept. Rows that repeat a doc_id are one vertex. An empty table gives an empty result. Landed tables are removed once
+they are used up, but for the three that the result is read from.
 """
 
 from __future__ import annotations
@@ -31,16 +38,18 @@ import hashlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
 from folioscope.llm.words import WordHashes, blank_words, grams, mix
-from folioscope.storage import BROADCAST_BYTES, bounded_batches, land
+from folioscope.storage import BROADCAST_BYTES, bounded_batches, land, release
 
 BANDS, ROWS = 38, 5
-#: Documents in a block of step 5.
-ASKED, OTHERS = 128, 256
+#: Pairs for which a leader's set is sent once; sizes up to which a class of sizes is one size, and the others' ratio.
+HUB, SINGLE, RATIO = 256, 50, 1.02
+#: Rows of a prefix shingle up to which they are paired; documents in a block of those that meet at more frequent ones.
+PAIRED, ASKED, OTHERS = 64, 128, 256
 #: 32-bit odd multipliers and addends of the hashes a * x + b (mod 2**32), from a fixed seed.
 _RANDOM = np.random.default_rng(20_250_101)
 _A = (_RANDOM.integers(0, 2**31, BANDS * ROWS, np.uint32) << np.uint32(1)) | np.uint32(1)
@@ -123,20 +132,103 @@ def _alike(a: str, b: str, percent: int):
     return (100 * small >= percent * large) & (differ <= BANDS * ROWS - _least_equal_bits(percent))
 
 
+def _possible(pairs: DataFrame, vertices: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (hub, id), those whose sizes and bits allow the similarity; landed."""
+    named = lambda key, name: vertices.select(F.col("doc_id").alias(key), F.struct("n", "bits").alias(name))
+    both = pairs.join(named("id", "v"), "id").join(named("hub", "w"), "hub")
+    return land(both.where(_alike("v", "w", percent)).select("hub", "id"), "pairs")
+
+
 def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, set) of some documents, landed; their ids are broadcast only if they are few."""
     ids = land(ids, "ids")
     small = 8 * ids.count() <= BROADCAST_BYTES // 8
     some = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    return land(some.mapInArrow(_sets(size), "doc_id long, set array<long>"), "sets")
+    sets = land(some.mapInArrow(_sets(size), "doc_id long, set array<long>"), "sets")
+    release(ids)
+    return sets
+
+
+def _linked(percent: int):
+    """Links of rows (hub, block, id, set) in order, where the row of null id has the hub's set."""
+
+    def run(batches):
+        hub, own = None, None
+        for batch in batches:
+            column, a, b = batch.column(3), [], []
+            flat, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().to_pylist()])
+            for k, (h, i) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                x = flat[ends[k] : ends[k + 1]].view(np.uint64)
+                if i is None:
+                    hub, own = h, x.copy()
+                    continue
+                if h != hub:
+                    raise RuntimeError("a hub's set is missing")
+                few, many = (x, own) if len(x) < len(own) else (own, x)
+                common = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+                if 100 * common >= percent * (len(x) + len(own) - common):
+                    a.append(h), b.append(i)
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    return run
 
 
 def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Of landed pairs (a, b), those linked by their full sets."""
-    sets = _sets_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), docs, size)
-    both = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("y")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    return both.where(100 * common >= percent * (F.size("x") + F.size("y") - common)).select("a", "b")
+    """Of landed pairs (hub, id), those linked by their full sets, as landed (a, b)."""
+    sets = _sets_of(pairs.select(F.explode(F.array("hub", "id")).alias("doc_id")).distinct(), docs, size)
+    blocks = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / HUB).cast("int").alias("blocks"))
+    placed = land(pairs.join(blocks, "hub").select("hub", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), "id"), "placed")
+    of = lambda rows, key: rows.join(sets, F.col(key) == F.col("doc_id")).select("hub", "block", "id", "set")
+    hubs = of(placed.select("hub", "block").distinct().withColumn("id", F.lit(None).cast("long")), "hub")
+    rows = hubs.unionByName(of(placed, "id")).repartition("hub", "block").sortWithinPartitions("hub", "block", F.asc_nulls_first("id"))
+    links = land(rows.mapInArrow(_linked(percent), "a long, b long"), "links")
+    release(sets, placed)
+    return links
+
+
+def _class(n: Column) -> Column:
+    """The class of a set's size."""
+    return F.when(n <= SINGLE, n).otherwise(SINGLE + F.floor(F.log(n / SINGLE) / float(np.log(RATIO)))).cast("int")
+
+
+def _least(c: Column) -> Column:
+    """A class's least size, or less."""
+    return F.when(c <= SINGLE, c).otherwise(F.floor(SINGLE * F.pow(F.lit(RATIO), c - SINGLE))).cast("long")
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Of (id, c, set) the shingles to meet others by: (shingle, lo, hi, id, c, n, place, low, high), landed.
+
+    ``place`` is the shingle's in the set, rarest first; lo and hi are the classes of sizes that meet, low and high whether
+    the set is of the one or the other.
+    """
+    held = sets.select("id", "c", F.size("set").cast("long").alias("n"), F.explode("set").alias("shingle"))
+    shared = held.groupBy("shingle").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count(F.lit(1)).alias("often")).where("lo < hi")
+    shared = land(shared.select("shingle", "often"), "shared")
+    held = held.join(shared, "shingle")
+    by_set = held.groupBy("id", "c", "n").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("held"))
+    n, least = F.col("n"), F.expr(f"({percent} * n + 99) div 100")
+    first = by_set.withColumn("before", n - F.size("held"))
+    first = first.withColumn("held", F.slice("held", F.lit(1), F.greatest(F.lit(0), n - least + 1 - F.col("before")).cast("int")))
+    placed = first.select("id", "c", "n", "before", F.posexplode("held").alias("at", "x"))
+    placed = placed.select("id", "c", "n", (F.col("before") + F.col("at")).alias("place"), "x.shingle", _class(n).alias("own"), F.explode(F.sequence(_class(least), _class(F.expr(f"100 * n div {percent}")))).alias("other"))
+    needed = F.ceil(percent * (n + _least(F.col("other"))) / (100 + percent))
+    placed = placed.where(F.col("place") < n - needed + 1)
+    lo, hi = F.least("own", "other"), F.greatest("own", "other")
+    placed = placed.select("shingle", lo.alias("lo"), hi.alias("hi"), "id", "c", "n", "place", (F.col("own") == lo).alias("low"), (F.col("own") == hi).alias("high"))
+    out = land(placed, "prefixes")
+    release(shared)
+    return out
+
+
+def meetings(prefix: DataFrame, percent: int) -> DataFrame:
+    """Pairs (hub, id) of sets of different components that share a prefix shingle and can still be similar."""
+    a, b = prefix.where("low").alias("a"), prefix.where("high").alias("b")
+    same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("shingle", "lo", "hi")]
+    apart = (F.col("a.c") != F.col("b.c")) & ((F.col("a.lo") < F.col("a.hi")) | (F.col("a.id") < F.col("b.id")))
+    left = F.least(F.col("a.n") - F.col("a.place"), F.col("b.n") - F.col("b.place"))
+    met = a.join(b, [*same, apart, (100 + percent) * left >= percent * (F.col("a.n") + F.col("b.n"))])
+    return met.select(F.least("a.id", "b.id").alias("hub"), F.greatest("a.id", "b.id").alias("id")).distinct()
 
 
 def _compare(percent: int):
@@ -167,25 +259,49 @@ def _held(sets: list[np.ndarray], part: np.ndarray) -> np.ndarray:
     return out
 
 
-def _across(starred: DataFrame, comps: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between components that meet at a leader, of (id, leader) pairs; see step 5. Landed."""
+def _block_links(starred: DataFrame, hot: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links of the (id, c) in ``hot`` with those that share a leader with them, one for each two components of a block; landed.
+
+    ``starred`` has (leader, id, c), each leader itself included. Those outside the leader's component are compared with all others.
+    """
+    main = starred.where("id = leader").select("leader", F.col("c").alias("main"))
+    member = land(starred.join(hot.select("id"), "id").join(main, "leader").withColumn("apart", F.col("c") != F.col("main")), "hot")
+    sizes = member.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("n_apart")).where("n > 1 and n_apart > 0")
+    sizes = sizes.select("leader", F.ceil(F.col("n") / OTHERS).cast("int").alias("others"), F.ceil(F.col("n_apart") / ASKED).cast("int").alias("askers"))
+    placed = land(member.join(sizes, "leader"), "placed")
+    place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    others = placed.select("leader", "id", "c", all_of("askers").alias("p"), place(F.col("others")).alias("t"), F.lit(False).alias("asked"))
+    asked = placed.where("apart").select("leader", "id", "c", place(F.col("askers")).alias("p"), all_of("others").alias("t"), F.lit(True).alias("asked"))
+    both = others.unionByName(asked).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("leader", "p", "t", "id", "c", "asked", "set")
+    found = land(both.groupBy("leader", "p", "t").applyInPandas(_compare(percent), "a long, b long").distinct(), "across")
+    release(member, placed)
+    return found
+
+
+def _across(starred: DataFrame, comps: DataFrame, docs: DataFrame, vertices: DataFrame, size: int, percent: int) -> DataFrame | None:
+    """Links between components that meet at a leader, of (id, leader) pairs; see step 5. Landed; None if there are none."""
     own = starred.select(F.col("leader").alias("id"), "leader").distinct()
     member = starred.unionByName(own).join(comps, F.col("id") == F.col("node"), "left").select("leader", "id", F.coalesce("component", "id").alias("c"))
     member = land(member, "members")
-    main = land(member.where("id = leader").select("leader", F.col("c").alias("main")), "main")
-    member = member.join(main, "leader").withColumn("apart", F.col("c") != F.col("main"))
     # with two members there is only the pair that has been judged
-    sizes = member.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.count_if("apart").alias("n_apart")).where("n > 2 and n_apart > 0")
-    sizes = land(sizes.select("leader", F.ceil(F.col("n") / OTHERS).cast("int").alias("others"), F.ceil(F.col("n_apart") / ASKED).cast("int").alias("askers")), "sizes")
-    member = land(member.join(sizes, "leader"), "apart")
-    sets = _sets_of(member.select(F.col("id").alias("doc_id")).distinct(), docs, size)
-    place = lambda n: F.pmod(F.xxhash64("id"), n).cast("int")
-    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    others = member.select("leader", "id", "c", all_of("askers").alias("p"), place(F.col("others")).alias("t"), F.lit(False).alias("asked"))
-    asked = member.where("apart").select("leader", "id", "c", place(F.col("askers")).alias("p"), all_of("others").alias("t"), F.lit(True).alias("asked"))
-    both = others.unionByName(asked).join(sets, F.col("id") == F.col("doc_id")).select("leader", "p", "t", "id", "c", "asked", "set")
-    found = both.groupBy("leader", "p", "t").applyInPandas(_compare(percent), "a long, b long")
-    return land(found.distinct(), "across")
+    apart = member.groupBy("leader").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 and lo < hi")
+    rest = land(member.join(apart.select("leader"), "leader").select("id", "c").distinct(), "rest")
+    sets = _sets_of(rest.select(F.col("id").alias("doc_id")), docs, size)
+    prefix = prefixes(rest.join(sets, F.col("id") == F.col("doc_id")).select("id", "c", "set"), percent)
+    keys = prefix.groupBy("shingle", "lo", "hi").agg(F.min("c").alias("c1"), F.max("c").alias("c2"), F.count(F.lit(1)).alias("rows")).where("c1 < c2")
+    keys = land(keys.select("shingle", "lo", "hi", (F.col("rows") > PAIRED).alias("hot")), "keys")
+    kept = land(prefix.join(keys, ["shingle", "lo", "hi"]), "kept")
+    links = None
+    if not kept.isEmpty():
+        pairs = _possible(meetings(kept.where("not hot"), percent), vertices, percent)
+        few = _confirmed(pairs, docs, size, percent)
+        hot = land(kept.where("hot").select("id", "c").distinct(), "hot")
+        many = None if hot.isEmpty() else _block_links(member, hot, sets, percent)
+        links = land(few if many is None else few.unionByName(many), "links")
+        release(pairs, few, hot, many)
+    release(member, rest, sets, prefix, keys, kept)
+    return links
 
 
 def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -201,21 +317,23 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
 
     member = vertices.select(F.col("doc_id").alias("id"), F.explode("bands").alias("bucket"))
     shared = member.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("members")).where("lo < hi").select("bucket", "members")
-    buckets = land(member.join(land(shared, "shared"), "bucket"), "buckets")
+    shared = land(shared, "shared")
+    buckets = land(member.join(shared, "bucket"), "buckets")
     weights = land(buckets.groupBy("id").agg(F.sum("members").alias("weight")), "weights")
     weighed = buckets.join(weights, "id").select("bucket", F.struct("weight", (-F.col("id")).alias("minus")).alias("rank"))
     leaders = land(weighed.groupBy("bucket").agg(F.max("rank").alias("top")).select("bucket", (-F.col("top.minus")).alias("leader")), "leaders")
-
     starred = land(buckets.join(leaders, "bucket").where("id <> leader").select("id", "leader").distinct(), "starred")
-    named = lambda key, name: vertices.select(F.col("doc_id").alias(key), F.struct("n", "bits").alias(name))
-    pairs = starred.join(named("id", "v"), "id").join(named("leader", "w"), "leader").where(_alike("v", "w", percent))
-    pairs = land(pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct(), "pairs")
-    links = land(_confirmed(pairs, docs, size, percent), "links")
-    comps = land(components(links), "components")
-
-    more = _across(starred, comps, docs, size, percent)
-    if not more.isEmpty():
-        comps = land(components(links.unionByName(more)), "components")
+    release(shared, buckets, weights, leaders)
+
+    pairs = _possible(starred.select(F.col("leader").alias("hub"), "id"), vertices, percent)
+    links = _confirmed(pairs, docs, size, percent)
+    release(pairs)
+    comps = components(links)
+    more = _across(starred, comps, docs, vertices, size, percent)
+    if more is not None and not more.isEmpty():
+        release(comps)
+        comps = components(links.unionByName(more))
+    release(links, more, starred, vertices)
 
     out = rows.select("doc_id", "n_shingles", "key").join(classes, "key", "left")
     out = out.withColumn("rep", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id"))).join(comps, F.col("rep") == F.col("node"), "left")

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from folioscope.llm import minhash
 from folioscope.llm.components import components
@@ -36,7 +37,12 @@ def edited(rng, words, n):
     return " ".join(out)
 
 
-def test_groups_equal_brute_force(spark):
+@pytest.mark.parametrize(("size", "paired"), [(2, 2), (5, 64)])
+def test_groups_equal_brute_force(spark, monkeypatch, size, paired):
+    monkeypatch.setattr(minhash, "PAIRED", paired)
+    monkeypatch.setattr(minhash, "ASKED", 8 * paired)
+    monkeypatch.setattr(minhash, "OTHERS", 10 * paired)
+    monkeypatch.setattr(minhash, "HUB", paired)
     rng = random.Random(6)
     docs = []
     for _ in range(60):
@@ -50,9 +56,50 @@ def test_groups_equal_brute_force(spark):
     docs += [docs[70]] * 30 + [docs[3].upper(), "", None, "  ", docs[75] + " "]
     rng.shuffle(docs)
     rows = list(enumerate(docs))
-    for size in (2, 5):
-        got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()}
-        assert got == brute(rows, size)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), size).collect()}
+    assert got == brute(rows, size)
+
+
+def test_no_link_escapes_the_prefix_filter(spark):
+    rng = random.Random(9)
+    sets = []
+    for _ in range(40):
+        base = [rng.randrange(10**6) for _ in range(rng.choice([3, 9, 30, 60, 200, 400]))]
+        for _ in range(12):  # around the similarity, of differing sizes
+            x = [y if rng.random() > rng.choice([0, 0.05, 0.1, 0.12]) else rng.randrange(10**6) for y in base]
+            sets.append(sorted({*x, *[rng.randrange(10**6) for _ in range(rng.choice([0, 0, 1, len(base) // 8]))]}))
+    for percent in (80, 60):
+        rows = [(i, i % 400, s) for i, s in enumerate(sets)]
+        prefix = minhash.prefixes(spark.createDataFrame(rows, "id long, c long, set array<long>"), percent)
+        met = {tuple(r) for r in minhash.meetings(prefix, percent).collect()}
+        linked = set()
+        for i, _, x in rows:
+            for j, _, y in rows[i + 1 :]:
+                both = len({*x} & {*y})
+                if 100 * both >= percent * (len(x) + len(y) - both) and i % 400 != j % 400:
+                    linked.add((i, j))
+        assert len(linked) > 100 and linked <= met
+
+
+def test_templated_texts_below_the_similarity_cost_linear_work(spark):
+    rng = random.Random(10)
+    template, rows, compared = [f"t{k}" for k in range(300)], {}, {}
+    for n in (500, 1000, 2000, 4000):
+        docs = []
+        for i in range(n):  # two of them have a similarity of about 0.77
+            words = list(template)
+            for k in range(0, 300, 15):
+                words[k] = f"u{i}x{k}"
+            docs.append((i, " ".join(words)))
+        hashes = WordHashes()
+        sets = [(i, i, minhash.shingles(hashes, t, 2).view(np.int64).tolist()) for i, t in docs]
+        a, b = ({*sets[k][2]} for k in (0, 1))
+        assert 0.74 < len(a & b) / len(a | b) < 0.79
+        prefix = minhash.prefixes(spark.createDataFrame(sets, "id long, c long, set array<long>"), 80)
+        rows[n], compared[n] = prefix.count(), minhash.meetings(prefix, 80).count()
+    assert rows[4000] <= 100 + rows[500] * 8**1.1 and compared[4000] <= 10 + compared[500] * 8**1.1
+    groups = minhash.near_duplicates(spark.createDataFrame(docs[:600], "doc_id long, text string"), 2)
+    assert groups.where("not kept").count() == 0
 
 
 def test_odd_documents(odd_documents):
