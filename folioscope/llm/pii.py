@@ -1,8 +1,8 @@
 """Personal data: base patterns, and terms whose co-occurrence in the corpus reveals protected entities.
 
 Base patterns find e-mail addresses, IP addresses, card and phone numbers. Every distinct value found is a
-protected entity c. Terms are words (runs of digits, ASCII letters and non-ASCII characters, A-Z lower-cased)
-within WINDOW words of an occurrence that have a character within REACH characters of it; those of more than LONGEST bytes stand as
+protected entity c. Terms are words (runs of digits, ASCII letters and non-ASCII characters, A-Z lower-cased) that meet no base span,
+within WINDOW words of an occurrence, that have a character within REACH characters of it; those of more than LONGEST bytes stand as
 128-bit hashes. With N documents, n(c) that hold c, n(t) that
 hold t, and n(c, t) in which t stands near c,
 
@@ -14,9 +14,10 @@ generalised to the kind of the entity it reveals (``[near EMAIL]``), if saying t
 GENERAL * IC(c), where the kind's own information is log2(N / n(kind)); otherwise, and if it reveals entities of
 several kinds, it is removed (``[removed]``). This holds wherever the term stands, as its text alone reveals c.
 
-Counts cover all documents: pairs and frequencies are aggregated before any shuffle, and n(t) is counted for
-terms of sufficient support only. These terms go to executors in blocks of at most ``block_terms`` (under 64 MB),
-a document passing all blocks in one task; no text is shuffled.
+Counts cover all documents: pairs and frequencies are aggregated in each task before any shuffle. n(t) is counted in one pass,
+for terms of sufficient support only; these are broadcast up to ``block_terms`` (under 64 MB), and joined with the counts of all
+terms beyond. Disclosing terms go to executors in blocks of at most ``block_terms``, a document passing all blocks in
+one task. No text is shuffled. A document's spans and the words about them are handled in time linear in its length.
 
 A null text counts as empty and stays null when sanitised. Each row is a document, so repeated rows count as
 often as they occur; ties and other columns don't matter; an empty table gives an empty result.
@@ -28,6 +29,7 @@ import bisect
 import hashlib
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -131,20 +133,46 @@ def word_start(text: str, at: int) -> int:
     return start
 
 
+class Covered:
+    """The union of spans (kind, start, end), to look up what meets it."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for _, a, b in sorted(spans, key=lambda x: x[1:]):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a), self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        k = bisect.bisect_left(self.starts, b) - 1
+        return k >= 0 and self.ends[k] > a
+
+
 def near(text: str, spans: list[tuple[str, int, int]]) -> set[tuple[str, str | None]]:
-    """(entity, term) pairs of a document, and (entity, None) for every entity."""
+    """(entity, term) pairs of a document, and (entity, None) for every entity.
+
+    Words are read once per stretch of text that spans with overlapping reach share, and looked up by bisection.
+    """
     out: set[tuple[str, str | None]] = set()
-    for kind, a, b in spans:
-        c = entity(kind, text[a:b])
-        out.add((c, None))
-        lo, hi = max(0, a - REACH), min(len(text), b + REACH)
-        before = list(_WORD.finditer(text, word_start(text, lo), a))[-WINDOW:]
-        after = list(_WORD.finditer(text, b, hi))[:WINDOW]
-        if after and after[-1].end() == hi:
-            after[-1] = _WORD.match(text, after[-1].start())
-        for m in before + after:
-            if not any(m.start() < q and p < m.end() for _, p, q in spans):
-                out.add((c, term(m[0])))
+    covered, order, at = Covered(spans), sorted(spans, key=lambda x: x[1]), 0
+    while at < len(order):
+        lo, hi, first = max(0, order[at][1] - REACH), 0, at
+        while at < len(order) and (at == first or order[at][1] - REACH <= hi):
+            hi = max(hi, min(len(text), order[at][2] + REACH))
+            at += 1
+        starts, ends = array("q"), array("q")
+        for m in _WORD.finditer(text, word_start(text, lo), hi):
+            starts.append(m.start()), ends.append(m.end())
+        if ends and ends[-1] == hi:
+            ends[-1] = _WORD.match(text, starts[-1]).end()
+        for kind, a, b in order[first:at]:
+            c = entity(kind, text[a:b])
+            out.add((c, None))
+            i, j = bisect.bisect_right(ends, a), bisect.bisect_left(starts, b)
+            for k in (*range(max(0, i - WINDOW), i), *range(j, min(len(starts), j + WINDOW))):
+                if ends[k] > a - REACH and starts[k] < b + REACH and not covered.meets(starts[k], ends[k]):
+                    out.add((c, term(text[starts[k] : ends[k]])))
     return out
 
 
@@ -174,18 +202,26 @@ def _pairs(batches):
         yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in count], pa.string()), pa.array([t for _, t in count], pa.string()), pa.array(count.values(), pa.int64())], ["entity", "term", "n"])
 
 
-def _frequencies(terms):
+def _frequencies(terms, most: int = 500_000):
+    """Number of documents per term: of the broadcast ``terms``, or of all terms if it is None."""
+
     def run(batches):
-        wanted = terms.value
+        wanted, count = terms.value if terms else None, Counter()
         for batch in batches:
-            count: Counter[str] = Counter()
             for text in batch.column(0).to_pylist():
-                count.update(wanted.intersection(terms_of(text)))
-            yield pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(count.values(), pa.int64())], ["term", "n"])
+                count.update(wanted.intersection(terms_of(text)) if terms else set(terms_of(text)))
+                if len(count) >= most:
+                    yield _counted(count)
+                    count = Counter()
+        yield _counted(count)
 
     return run
 
 
+def _counted(count: Counter[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(count.values(), pa.int64())], ["term", "n"])
+
+
 def _blocks(df: DataFrame, most: int) -> list[list[tuple]]:
     """Broadcastable blocks of rows keyed by a string ``term``, each of about ``most`` rows."""
     n = max(1, -(-df.count() // most))
@@ -203,11 +239,13 @@ def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFr
     joint = counts.where((F.col("n") >= SUPPORT) & F.col("term").isNotNull())
     single = counts.where("term is null and n >= %d" % SUPPORT).select("entity", F.col("n").alias("n_c"))
     terms = land(joint.select("term").distinct(), "terms")
-    found = None
-    for block in _blocks(terms, block_terms):
-        known = spark.sparkContext.broadcast(frozenset(r.term for r in block.collect()))
-        part = texts.mapInArrow(_frequencies(known), "term string, n long").groupBy("term").agg(F.sum("n").alias("n_t"))
-        found = part if found is None else found.unionByName(part)
+    known = None
+    if terms.count() <= block_terms:
+        known = spark.sparkContext.broadcast(frozenset(r.term for r in terms.collect()))
+    found = texts.mapInArrow(_frequencies(known), "term string, n long")
+    if known is None:
+        found = found.join(terms, "term", "left_semi")
+    found = found.groupBy("term").agg(F.sum("n").alias("n_t"))
     joined = joint.join(land(single, "entities"), "entity").join(land(found, "frequencies"), "term")
     # PMI - DISCLOSURE * IC as one sum of logarithms
     log = lambda c: F.log2(c.cast("double"))
@@ -238,10 +276,9 @@ def _find(terms, first: bool):
                 else:
                     spans = [(x["kind"], x["start"], x["end"], x["action"]) for x in spans]
                 if known and not known.keys().isdisjoint(terms_of(text)):
-                    base = sorted((a, b) for k, a, b, _ in spans if k != "term")
-                    starts = [a for a, _ in base]
+                    covered = Covered([x[:3] for x in spans if x[0] != "term"])
                     for m in _WORD.finditer(text):
-                        if (action := known.get(term(m[0]))) and not _covered(base, starts, *m.span()):
+                        if (action := known.get(term(m[0]))) and not covered.meets(*m.span()):
                             spans.append(("term", *m.span(), action))
                 out.append([dict(zip(("kind", "start", "end", "action"), x)) for x in spans])
             columns = batch.columns if first else batch.columns[:-1]
@@ -250,12 +287,6 @@ def _find(terms, first: bool):
     return run
 
 
-def _covered(base: list[tuple[int, int]], starts: list[int], a: int, b: int) -> bool:
-    """Whether [a, b) meets one of the base spans; at most four kinds overlap at a place."""
-    k = bisect.bisect_left(starts, b)
-    return any(base[i][1] > a for i in range(max(0, k - 8), k))
-
-
 def _replace(batches):
     for batch in batches:
         out = []

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
+import time
+from collections import Counter
 
 from folioscope.llm import pii
 
@@ -64,6 +67,62 @@ def test_terms_that_disclose(spark):
     assert again == {i: r.clean for i, r in got.items()}
 
 
+def slow_actions(texts):
+    """Disclosing terms and what replaces them, from whole lists of words."""
+    documents, together, seen, kinds = Counter(), Counter(), Counter(), Counter()
+    for t in texts:
+        spans = slow_spans(t)
+        words = [(m.start(), m.end(), re.sub("[A-Z]", lambda c: c[0].lower(), m[0])) for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010ffff]+", t)]
+        seen.update({w for _, _, w in words})
+        kinds.update({k for k, _, _ in spans})
+        pairs = set()
+        for kind, a, b in spans:
+            value = (kind, t[a:b].lower() if kind == "email" else t[a:b] if kind == "ip" else re.sub("[^0-9]", "", t[a:b]))
+            pairs.add((value, None))
+            for p, q, w in [x for x in words if x[1] <= a][-10:] + [x for x in words if x[0] >= b][:10]:
+                if q > a - 1000 and p < b + 1000 and not any(p < y and x < q for _, x, y in spans):
+                    pairs.add((value, w))
+        documents.update(c for c, w in pairs if w is None)
+        together.update((c, w) for c, w in pairs if w is not None)
+    reveals = {}
+    for (c, w), n in together.items():
+        pmi, information = math.log2(len(texts) * n / (documents[c] * seen[w])), math.log2(len(texts) / documents[c])
+        if n >= 3 and pmi >= 0.9 * information - 1e-9:
+            general = math.log2(len(texts) / kinds[c[0]]) <= 0.75 * information + 1e-9
+            reveals.setdefault(w, set()).add((c[0], general))
+    return {w: f"[near {min(x)[0].upper()}]" if len({k for k, _ in x}) == 1 and all(g for _, g in x) else "[removed]" for w, x in reveals.items()}
+
+
+def test_term_spans_equal_brute_force(spark):
+    from oracle import SF
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    rng = random.Random(11)
+    for k in range(120):  # names that stand with an address, a number or both, some of them elsewhere too
+        parts = [f"name{k % 16} writes n{k % 16}@people.example.org", f"call{k % 9} at +33 1 23 45 6{k % 9} 00 or name{k % 3}", "some words"]
+        texts[10**6 + k] = " and ".join(rng.sample(parts, rng.choice([1, 2, 3])))
+    wanted = slow_actions(list(texts.values()))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.term: r.action for r in pii.disclosing_terms(docs).collect()}
+    assert got == wanted and len(wanted) > 5
+    assert {r.term: r.action for r in pii.disclosing_terms(docs, block_terms=3).collect()} == wanted
+    for r in pii.sanitise(docs).collect():
+        t, spans = texts[r.row.doc_id], slow_spans(texts[r.row.doc_id])
+        words = [(m.start(), m.end()) for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010ffff]+", t) if re.sub("[A-Z]", lambda c: c[0].lower(), m[0]) in wanted]
+        terms = [w for w in words if not any(w[0] < y and x < w[1] for _, x, y in spans)]
+        assert [(x["start"], x["end"]) for x in r.spans if x["kind"] == "term"] == terms
+
+
+def test_many_values_in_one_text_take_linear_time():
+    text = " ".join(f"some words about user{k}@mail{k}.example.com" for k in range(20_000))
+    start = time.process_time()
+    found = pii.near(text, pii.base_spans(text))
+    assert time.process_time() - start < 6 and len(found) > 60_000
+    long = "a@" + "1.2.3.4." * 2_000 + "com and so on"  # one address over many others
+    assert ("email:" + long.split(" ")[0], "and") in pii.near(long, pii.base_spans(long))
+    assert not any(w and w in "1234com" for _, w in pii.near(long, pii.base_spans(long)))
+
+
 def test_query_and_odd_documents(spark, odd_documents):
     from oracle import SF
 
