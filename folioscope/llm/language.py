@@ -6,8 +6,9 @@ the Kneser-Ney probabilities of all orders: absolute counts at the highest, numb
 interpolated down to the uniform distribution. They are stored as sorted arrays of 64-bit hashes with a column of
 log-probabilities per language.
 
-No gram is left out. Beyond ``most`` grams, over all languages, the model is dealt to blocks of about ``most``, by the two
-characters before the predicted one: so every block has all followers and predecessors of its contexts of two
+No gram is left out. The arrays have a column per language, so a model's size is that of its distinct grams times its languages.
+Beyond ``most`` of such cells (16 bytes each, all orders together) it is dealt to blocks of about ``most``, by the two
+characters before the predicted one, however many languages there are: so every block has all followers and predecessors of its contexts of two
 and three characters. Lower orders and discounts are counted in Spark over all grams. Driver and executors hold
 blocks one after the other, and a text passes all blocks in one task, its sums of bits carried along. Grams
 of one such pair of characters stay together, even beyond ``most``.
@@ -37,7 +38,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from folioscope.llm.words import mix
 from folioscope.storage import bounded_batches, land
 
-ORDER, MOST, SLACK, QUANTILE, RANKS, CONFIDENT, FLUSH = 4, 400_000, 1.0, 0.999, 100_000, 50, 4_000_000
+ORDER, MOST, SLACK, QUANTILE, RANKS, CONFIDENT, FLUSH = 4, 1_600_000, 1.0, 0.999, 100_000, 50, 4_000_000
 UND = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -283,11 +284,11 @@ def _arrays(table: pa.Table, langs: list[str]) -> dict[str, tuple[np.ndarray, np
     return {k: (grams[at], n[at]) for k in langs for at in [of == k]}
 
 
-def _blocks(counts: DataFrame, discounts: dict[str, float], total: int, most: int) -> list[Broadcast]:
-    """Models of all grams, in parts of about ``most``."""
+def _blocks(counts: DataFrame, discounts: dict[str, float], n: int) -> list[Broadcast]:
+    """Models of all grams, in about ``n`` parts."""
     context, langs = counts.sparkSession.sparkContext, sorted(discounts)
     of = lambda rows, d: {k: (*v, d[k]) for k, v in _arrays(rows.toArrow(), langs).items()}
-    if total <= most:
+    if n == 1:
         return [context.broadcast(Model(of(counts, discounts)))]
     tables, lower = {}, {}
     above = counts
@@ -296,7 +297,6 @@ def _blocks(counts: DataFrame, discounts: dict[str, float], total: int, most: in
         lower[order] = _discounts(above)[0]
     slot = F.col("gram").bitwiseAND(0xFFFF0000).bitwiseOR(F.shiftrightunsigned("gram", 32).bitwiseAND(0xFFFF))
     placed = counts.withColumn("slot", slot)
-    n = -(-total // most)
     ends = sorted({int(x) for x in placed.approxQuantile("slot", [k / n for k in range(1, n)], 0.1 / n)} - {1 << 32})
     single = of(tables[1], lower[1])
     out = []
@@ -323,7 +323,10 @@ def learn(labelled: DataFrame, most: int = MOST) -> Identifier:
     langs = sorted(discounts)
     if not langs:
         return Identifier([], [], {}, 0.0)
-    blocks = _blocks(counts, discounts, total, most)
+    cells = total * len(langs)
+    if cells > most:
+        cells = counts.select("gram").distinct().count() * len(langs)
+    blocks = _blocks(counts, discounts, max(1, -(-cells // most)))
     return Identifier(langs, blocks, *_calibration(rows, langs, blocks))
 
 

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -21,6 +24,61 @@ def test_probabilities_sum_to_one():
         assert p.sum(0) == pytest.approx([1, 1])
 
 
+class SlowModels:
+    """Interpolated Kneser-Ney by the book, over strings and dictionaries, for each language."""
+
+    def __init__(self, texts):
+        self.counts, symbols = {}, set()
+        for lang, text in texts:
+            t = self.normal(text)
+            symbols |= set(t) if t else set()
+            self.counts.setdefault(lang, [None, None, None, None, Counter()])[4].update(t[i : i + 4] for i in range(len(t) - 3))
+        for c in self.counts.values():
+            for n in (3, 2, 1):
+                c[n] = Counter(g[1:] for g in c[n + 1])
+        self.uniform = 1 / (len({s for c in self.counts.values() for s in c[1]}) + 1)
+
+    @staticmethod
+    def normal(text):
+        t = " ".join("".join(c if c.isalpha() else " " for c in (text or "").lower()).split())
+        return f"   {t} " if t else ""
+
+    def probability(self, lang, gram):
+        n = len(gram)
+        if not n:
+            return self.uniform
+        c = self.counts[lang][n]
+        once, twice = (sum(v == k for v in c.values()) for k in (1, 2))
+        d = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
+        after = [v for g, v in c.items() if g[:-1] == gram[:-1]]
+        lower = self.probability(lang, gram[1:])
+        if not after:
+            return lower
+        return max(c[gram] - d, 0) / sum(after) + min(1, d * len(after) / sum(after)) * lower
+
+    def bits(self, lang, text):
+        t = self.normal(text)
+        return -sum(math.log2(self.probability(lang, t[i : i + 4])) for i in range(len(t) - 3))
+
+
+@pytest.mark.parametrize("most", [language.MOST, 400])
+def test_predictions_equal_brute_force(spark, most):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null").orderBy("doc_id").limit(60).collect()
+    learned = [(r.lang, " ".join((r.text or "").split()[:12])) for r in docs]
+    slow = SlowModels(learned)
+    found = language.learn(spark.createDataFrame(learned, "lang string, text string"), most=most)
+    assert (len(found.blocks) == 1) == (most == language.MOST) and found.langs == sorted(slow.counts) and len(found.langs) > 2
+    texts = [" ".join((r.text or "").split()[12:18]) for r in docs[:25]] + ["中文", "zq-xj", "l'été"]
+    rows = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), found).collect()
+    for r in rows:
+        t = texts[r.row.doc_id]
+        if not slow.normal(t):
+            assert r.lang_pred == "und"
+            continue
+        bits = {k: slow.bits(k, t) / (len(slow.normal(t)) - 3) for k in found.langs}
+        assert r.bits == pytest.approx(min(bits.values())) and bits[r.lang_pred] == pytest.approx(r.bits)
+
+
 def test_query_accuracy(spark):
     from folioscope.llm import queries
 
