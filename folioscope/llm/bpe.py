@@ -53,6 +53,24 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return rows.mapInArrow(_decoded(tokenizer), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
 
 
+def _recoded(path: str):
+    def run(batches):
+        encoder = Encoder(path)
+        for batch in batches:
+            ids = encoder.encode_many([(t or "").encode("utf-8") for t in batch.column(1).to_pylist()])
+            texts = [encoder.decode(i) for i in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "ids", "decoded"])
+
+    return run
+
+
+def recode(documents: DataFrame, tokenizer: str) -> DataFrame:
+    """What ``decode`` makes of what ``encode`` returns, by one Python worker instead of two."""
+    bounded_batches(documents.sparkSession)
+    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_recoded(tokenizer), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+
+
 def id_list(ids: bytes) -> list[int]:
     """Ids of the binary form as Python integers."""
     return np.frombuffer(ids, "<u4").tolist()

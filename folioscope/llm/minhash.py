@@ -36,7 +36,6 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -231,26 +230,47 @@ def meetings(prefix: DataFrame, percent: int) -> DataFrame:
     return met.select(F.least("a.id", "b.id").alias("hub"), F.greatest("a.id", "b.id").alias("id")).distinct()
 
 
+def _block(rows: list[tuple], percent: int) -> list[tuple[int, int]]:
+    """Links between the asked and the others of (id, c, asked, set), by full sets; one for each two components that meet."""
+    asked, others = [r for r in rows if r[2]], [r for r in rows if not r[2]]
+    x, y = [r[3] for r in asked], [r[3] for r in others]
+    common = np.zeros((len(x), len(y)))
+    if x and y:
+        known = np.intersect1d(np.concatenate(x), np.concatenate(y))
+        for k in range(0, len(known), 4096):
+            part = known[k : k + 4096]
+            common += _held(x, part) @ _held(y, part).T
+    sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :]
+    found = {}
+    for i, j in np.argwhere(100 * common >= percent * (sizes - common)).tolist():
+        if asked[i][1] != others[j][1]:
+            found.setdefault((asked[i][1], others[j][1]), (asked[i][0], others[j][0]))
+    return list(found.values())
+
+
 def _compare(percent: int):
-    """Links between the asked rows and the others of a block, by full sets; one for each two components that meet."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        asked, others = pdf[pdf["asked"]], pdf[~pdf["asked"]]
-        x, y = asked["set"].to_list(), others["set"].to_list()
-        common = np.zeros((len(x), len(y)))
-        if x and y:
-            known = np.intersect1d(np.concatenate(x), np.concatenate(y))
-            for k in range(0, len(known), 4096):
-                part = known[k : k + 4096]
-                common += _held(x, part) @ _held(y, part).T
-        sizes = np.array([len(s) for s in x])[:, None] + np.array([len(s) for s in y])[None, :]
-        at = np.argwhere((100 * common >= percent * (sizes - common)) & (asked["c"].to_numpy()[:, None] != others["c"].to_numpy()[None, :]))
-        out = pd.DataFrame({"a": asked["id"].to_numpy()[at[:, 0]], "b": others["id"].to_numpy()[at[:, 1]], "c": asked["c"].to_numpy()[at[:, 0]], "d": others["c"].to_numpy()[at[:, 1]]})
-        return out.drop_duplicates(["c", "d"])[["a", "b"]].astype("int64")
+    """Links of blocks of rows (leader, p, t, id, c, asked, set), which come block by block."""
+
+    def run(batches):
+        key, held = None, []
+        for batch in batches:
+            column, out = batch.column(6), []
+            flat, ends = column.flatten().to_numpy(), np.cumsum([0, *column.value_lengths().to_pylist()])
+            for k, (*own, i, c, asked) in enumerate(zip(*[batch.column(n).to_pylist() for n in range(6)])):
+                if own != key:
+                    out += _block(held, percent)
+                    key, held = own, []
+                held.append((i, c, asked, flat[ends[k] : ends[k + 1]].copy()))
+            yield _links(out)
+        yield _links(_block(held, percent))
 
     return run
 
 
+def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+
 def _held(sets: list[np.ndarray], part: np.ndarray) -> np.ndarray:
     """Which of the sorted hashes each set holds, as 0.0 and 1.0."""
     out = np.zeros((len(sets), len(part)), np.float32)
@@ -274,7 +294,8 @@ def _block_links(starred: DataFrame, hot: DataFrame, sets: DataFrame, percent: i
     others = placed.select("leader", "id", "c", all_of("askers").alias("p"), place(F.col("others")).alias("t"), F.lit(False).alias("asked"))
     asked = placed.where("apart").select("leader", "id", "c", place(F.col("askers")).alias("p"), all_of("others").alias("t"), F.lit(True).alias("asked"))
     both = others.unionByName(asked).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("leader", "p", "t", "id", "c", "asked", "set")
-    found = land(both.groupBy("leader", "p", "t").applyInPandas(_compare(percent), "a long, b long").distinct(), "across")
+    both = both.repartition("leader", "p", "t").sortWithinPartitions("leader", "p", "t")
+    found = land(both.mapInArrow(_compare(percent), "a long, b long").distinct(), "across")
     release(member, placed)
     return found
 

@@ -261,16 +261,16 @@ def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFr
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("action", pa.string())]))
 
 
-def _find(terms, first: bool):
-    """Adds term spans of one block to the column of spans, which ``first`` creates with the base spans."""
+def _find(terms, first: bool, last: bool):
+    """Adds term spans of one block to the column of spans, which ``first`` creates with the base spans; ``last`` adds the clean text."""
 
     def run(batches):
         known = terms.value
         for batch in batches:
-            out = []
+            out, texts = [], []
             was = [None] * len(batch) if first else batch.column(len(batch.columns) - 1).to_pylist()
-            for text, spans in zip(batch.column(0).to_pylist(), was):
-                text = text or ""
+            for said, spans in zip(batch.column(0).to_pylist(), was):
+                text = said or ""
                 if first:
                     spans = [(k, a, b, None) for k, a, b in base_spans(text)]
                 else:
@@ -281,21 +281,19 @@ def _find(terms, first: bool):
                         if (action := known.get(term(m[0]))) and not covered.meets(*m.span()):
                             spans.append(("term", *m.span(), action))
                 out.append([dict(zip(("kind", "start", "end", "action"), x)) for x in spans])
+                if last:
+                    texts.append(_cleaned(text, spans) if spans else said)
             columns = batch.columns if first else batch.columns[:-1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, _SPANS)], [*batch.schema.names[: len(columns)], "spans"])
+            added, names = [pa.array(out, _SPANS)], ["spans"]
+            if last:
+                added, names = [*added, pa.array(texts, pa.string())], [*names, "clean"]
+            yield pa.RecordBatch.from_arrays([*columns, *added], [*batch.schema.names[: len(columns)], *names])
 
     return run
 
 
-def _replace(batches):
-    for batch in batches:
-        out = []
-        for text, spans in zip(batch.column(0).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist()):
-            if spans:
-                named = [(x["action"] or x["kind"], x["start"], x["end"]) for x in spans]
-                text = clean(text, named, {x["action"]: x["action"] for x in spans if x["action"]})
-            out.append(text)
-        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.string())], [*batch.schema.names, "clean"])
+def _cleaned(text: str, spans: list[tuple]) -> str:
+    return clean(text, [(action or kind, a, b) for kind, a, b, action in spans], {action: action for *_, action in spans if action})
 
 
 def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
@@ -307,10 +305,10 @@ def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
     terms = disclosing_terms(documents, block_terms)
     out = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
     added = T.StructType.fromDDL("spans array<struct<kind: string, start: long, end: long, action: string>>, clean string").fields
-    schema = T.StructType([*out.schema.fields, added[0]])
-    for k, block in enumerate(_blocks(terms, block_terms)):
-        known = spark.sparkContext.broadcast({r.term: r.action for r in block.collect()})
-        out = out.mapInArrow(_find(known, k == 0), schema)
-        if k % 4 == 3:
+    fields, blocks = out.schema.fields, _blocks(terms, block_terms)
+    for k, block in enumerate(blocks):
+        known, last = spark.sparkContext.broadcast({r.term: r.action for r in block.collect()}), k + 1 == len(blocks)
+        out = out.mapInArrow(_find(known, k == 0, last), T.StructType([*fields, *added[: 1 + last]]))
+        if k % 4 == 3 and not last:
             out = land(out, "found")
-    return out.mapInArrow(_replace, T.StructType([*schema.fields, added[1]])).select("row", "spans", "clean")
+    return out.select("row", "spans", "clean")

@@ -35,8 +35,7 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = bpe.encode(table(spark, sf_dir, "documents"), TOKENIZER)
-    return bpe.decode(ids, TOKENIZER).select(
+    return bpe.recode(table(spark, sf_dir, "documents"), TOKENIZER).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

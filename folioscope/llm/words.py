@@ -13,7 +13,7 @@ ALNUM = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if b >= 0x80 or 0x30 <= b <=
 class WordHashes(dict):
     """Word to 64-bit hash; a cache that starts afresh beyond ``most`` words."""
 
-    def __init__(self, most: int = 200_000):
+    def __init__(self, most: int = 100_000):
         super().__init__()
         self.most = most
 
