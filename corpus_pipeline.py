@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    decoded = bpe.decode(bpe.encode(docs, TOKENIZER), TOKENIZER)
+    decoded = bpe.recode(docs, TOKENIZER)
     return decoded.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
