@@ -69,7 +69,7 @@ def _remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def bounded_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     """Lowers the bytes per Arrow batch to ``size``, so that Python holds few long texts at once."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key).rstrip("b")) > size:
