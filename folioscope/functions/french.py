@@ -26,10 +26,13 @@ def amount(text: Column) -> Column:
 
     A letter o counts as zero only inside an amount that has a currency, as OCR errors do.
     """
-    whole = F.regexp_replace(F.translate(F.regexp_extract(text, _AMOUNT, 1), "oO", "00"), r"[^0-9]", "")
-    cents = F.rpad(F.regexp_extract(text, _AMOUNT, 2), 2, "0")
-    value = F.when(whole != "", F.concat(whole, F.lit("."), cents).try_cast("decimal(18,2)"))
-    currency = F.when(F.lower(F.regexp_extract(text, _AMOUNT, 3)).startswith("f"), "FRF").otherwise("EUR")
+    found = F.regexp_extract(text, _AMOUNT, 0)  # the one costly match; the rest reads a short string
+    # currencies start with none of these characters, and francs alone hold an f
+    number = F.regexp_extract(found, r"^[0-9oO ./,\x{00A0}\x{202F}]*", 0)
+    whole = F.translate(F.substring_index(number, ",", 1), "oO ./\u00a0\u202f", "00")
+    cents = F.when(F.contains(number, F.lit(",")), F.rpad(F.translate(F.substring_index(number, ",", -1), " ./\u00a0\u202f", ""), 2, "0")).otherwise("00")
+    value = F.when(found != "", F.concat(whole, F.lit("."), cents).try_cast("decimal(18,2)"))
+    currency = F.when(F.contains(F.lower(found), F.lit("f")), "FRF").otherwise("EUR")
     return F.struct(value.alias("amount"), F.when(value.isNotNull(), currency).alias("currency"))
 
 
@@ -39,10 +42,13 @@ def amounts(text: Column) -> Column:
 
 
 def capital_statement(text: Column) -> Column:
-    """(delta, absolute) of a sentence on the capital: increased or reduced by, and set to or standing at, an amount."""
+    """(delta, absolute) of a sentence on the capital: increased or reduced by, and set to or standing at, an amount.
+
+    Of ``porté de X à Y`` the second amount counts.
+    """
     delta = amount(F.regexp_extract(folded(text), rf"(?:augmente|reduit|reduction|augmentation)[^0-9]*?({_AMOUNT})", 1))["amount"]
     sign = F.when(folded(text).rlike("reduit|reduction"), -1).otherwise(1)
-    absolute = amount(F.regexp_extract(folded(text), rf"(?:fixe|porte|ramene|capital(?: social)? de)[^0-9]*?({_AMOUNT})", 1))["amount"]
+    absolute = amount(F.regexp_extract(folded(text), rf"(?:fixe|porte|ramene|capital(?: social)? de)[^0-9]*?(?:{_NUMBER}[ \x{{00A0}}\x{{202F}}/]*{_CURRENCY}? +a +)?({_AMOUNT})", 4))["amount"]
     return F.struct((delta * sign).cast("decimal(18,2)").alias("delta"), absolute.alias("absolute"))
 
 
@@ -108,8 +114,21 @@ def form_number(text: Column) -> Column:
 
 
 def line_code(text: Column) -> Column:
-    """The two-letter code that stands alone at a form line's start or before its amount; null without one."""
-    return F.nullif(F.regexp_extract(text, r"(?:^|[ |])([A-Z]{2})(?=[ |]|$)", 1), F.lit(""))
+    """The two capitals that stand alone before an amount of a form line, else at its start; null without any.
+
+    Words of a label can look like it (``DE 3 ANS``), so join it with the codes of the form.
+    """
+    before = F.regexp_extract(text, r"(?:^|[ |])([A-Z]{2})(?=[ |]+[-(]?[0-9]++(?![0-9]*[/.][0-9]))", 1)
+    start = F.regexp_extract(text, r"^[ |]*([A-Z]{2})(?=[ |]|$)", 1)
+    return F.nullif(F.when(before != "", before).otherwise(start), F.lit(""))
+
+
+def plain_number(text: Column) -> Column:
+    """A text that is one number, as table cells have it: thousands apart, in brackets or with a minus if negative; else null."""
+    pattern = r"^[ |]*([-(]?) *([0-9](?:[0-9 .\x{00A0}\x{202F}]*[0-9])?)(?:,([0-9]{1,2}))? *\)?[ |]*$"
+    whole = F.translate(F.regexp_extract(text, pattern, 2), " .\u00a0\u202f", "")
+    value = F.concat(whole, F.lit("."), F.rpad(F.regexp_extract(text, pattern, 3), 2, "0")).try_cast("decimal(18,2)")
+    return F.when(whole != "", value * F.when(F.regexp_extract(text, pattern, 1) != "", -1).otherwise(1)).cast("decimal(18,2)")
 
 
 def luhn(digits: Column, length: int = 9) -> Column:
