@@ -25,15 +25,16 @@ def document_unit(lines: DataFrame, key: str, thousands: str = r"(?i)\b(k€|keu
 def field_candidates(lines: DataFrame, registry: DataFrame) -> DataFrame:
     """Lines that a registry of (field, form, code) names by their page's form and their own line code.
 
-    ``lines`` are (doc_id, page, pos, text). A page's form is the one number on it, null if there are several.
+    ``lines`` are (doc_id, page, pos, text) and other columns, which are kept. A page's form is the one number on it, null if
+    there are several.
     """
     marked = lines.withColumn("form", french.form_number(F.col("text"))).withColumn("code", french.line_code(F.col("text")))
     forms = marked.groupBy("doc_id", "page").agg(F.min("form").alias("lo"), F.max("form").alias("hi")).where("lo = hi").select("doc_id", "page", F.col("lo").alias("form"))
-    return marked.drop("form").join(forms, ["doc_id", "page"]).join(registry, ["form", "code"]).select("doc_id", "field", "page", "pos", "text")
+    return marked.drop("form").join(forms, ["doc_id", "page"]).join(registry, ["form", "code"]).select("field", *lines.columns)
 
 
-def label_values(labels: DataFrame, values: DataFrame, column: int = 0) -> DataFrame:
-    """For each label box the value on its row: the (column + 1)-th box to its right whose y range meets its own.
+def right_of(labels: DataFrame, values: DataFrame) -> DataFrame:
+    """For each label box (doc_id, page, pos) the values whose y range meets its own, as structs, numbered from 1 to the right.
 
     Both are (doc_id, page, pos, box); the join is on document and page, the geometry a residual condition.
     """
@@ -41,8 +42,29 @@ def label_values(labels: DataFrame, values: DataFrame, column: int = 0) -> DataF
     same = (F.col("a.doc_id") == F.col("b.doc_id")) & (F.col("a.page") == F.col("b.page"))
     meets = (F.col("a.box")[1] < F.col("b.box")[3]) & (F.col("b.box")[1] < F.col("a.box")[3]) & (F.col("b.box")[0] >= F.col("a.box")[2])
     order = Window.partitionBy("a.doc_id", "a.page", "a.pos").orderBy(F.col("b.box")[0], "b.pos")
-    ranked = a.join(b, same & meets).withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") == column + 1)
-    return ranked.select("a.doc_id", "a.page", "a.pos", F.col("b.pos").alias("value_pos"), F.col("b.box").alias("value_box"))
+    ranked = a.join(b, same & meets).withColumn("_rank", F.row_number().over(order))
+    return ranked.select("a.doc_id", "a.page", "a.pos", F.struct("b.*").alias("value"), F.col("_rank").alias("rank"))
+
+
+def label_values(labels: DataFrame, values: DataFrame, column: int = 0) -> DataFrame:
+    """For each label box the value on its row: the (column + 1)-th to its right."""
+    found = right_of(labels, values).where(F.col("rank") == column + 1)
+    return found.select("doc_id", "page", "pos", F.col("value.pos").alias("value_pos"), F.col("value.box").alias("value_box"))
+
+
+def field_values(lines: DataFrame, registry: DataFrame) -> DataFrame:
+    """Values of the registry's fields: field, doc_id, page, pos, unit, value (first column: year N) and previous (second: N-1).
+
+    ``lines`` are (doc_id, page, pos, text, box). A field's line is found by form and code, its values are the numbers to
+    the right of it on its row, scaled by the document's unit; null where there are none.
+    """
+    fields = field_candidates(lines, registry).select("field", "doc_id", "page", "pos", "box")
+    numbers = lines.select("doc_id", "page", "pos", "box", french.plain_number(F.col("text")).alias("number")).where("number is not null")
+    of = lambda k: F.max(F.when(F.col("rank") == k, F.col("value.number")))
+    read = right_of(fields, numbers).where("rank <= 2").groupBy("doc_id", "page", "pos").agg(of(1).alias("value"), of(2).alias("previous"))
+    out = fields.drop("box").join(read, ["doc_id", "page", "pos"], "left").join(document_unit(lines, "doc_id"), "doc_id")
+    scaled = [french.scaled(F.col(c), F.col("unit")).alias(c) for c in ("value", "previous")]
+    return out.select("field", "doc_id", "page", "pos", "unit", *scaled)
 
 
 def text_rows(lines: DataFrame, tolerance: float = 0.5) -> DataFrame:
@@ -62,11 +84,14 @@ def unbalanced(rows: DataFrame, a: Column, b: Column, tolerance: float) -> DataF
 def derived(components: DataFrame, registry: DataFrame, keys: list[str]) -> DataFrame:
     """Σ coefficient * value per key over the registry's components; null if a required one is missing.
 
-    ``components``: keys, component, value. ``registry``: component, coefficient, required; it is small by nature.
+    ``components``: keys, component, value; a component given several times counts with the sum of its values, and is there
+    if one of them is not null. ``registry``: component, coefficient, required; it is small by nature.
     """
     joined = components.join(registry, "component")
-    need = registry.where("required").count()
-    summed = joined.groupBy(*keys).agg(F.sum(F.col("value") * F.col("coefficient")).alias("_sum"), F.count_if(F.col("required") & F.col("value").isNotNull()).alias("_has"))
+    need = registry.where("required").select("component").distinct().count()
+    # of distinct components, so no more than the registry has
+    has = F.size(F.collect_set(F.when(F.col("required") & F.col("value").isNotNull(), F.col("component"))))
+    summed = joined.groupBy(*keys).agg(F.sum(F.col("value") * F.col("coefficient")).alias("_sum"), has.alias("_has"))
     return summed.select(*keys, F.when(F.col("_has") == need, F.col("_sum")).alias("value"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -27,6 +27,19 @@ def page_range(pages: DataFrame) -> DataFrame:
     return pages.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pages"), F.min("page").alias("first"), F.max("page").alias("last"))
 
 
+def filing_documents(filings: DataFrame, pages: DataFrame, key: str = "id") -> DataFrame:
+    """Every filing with its OCR document, found by id: has_ocr, number of pages (0 without), first and last page."""
+    held = page_range(pages).withColumnRenamed("doc_id", key)
+    out = filings.join(held, key, "left")
+    return out.withColumn("has_ocr", F.col("n_pages").isNotNull()).withColumn("n_pages", F.coalesce("n_pages", F.lit(0).cast("long")))
+
+
+def file_order(pages: DataFrame) -> DataFrame:
+    """Adds the page's file name and ``seq``, its place from 1 among the document's names as strings: beyond page 999 not by number."""
+    named = pages.withColumn("name", F.format_string("page_%03d.json", F.col("page")))
+    return named.withColumn("seq", F.row_number().over(Window.partitionBy("doc_id").orderBy("name")))
+
+
 def page_count_gaps(pages: DataFrame, sizes: DataFrame) -> DataFrame:
     """Documents that have OCR, but for another number of pages than the PDF has."""
     pdf = sizes.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_pdf"))

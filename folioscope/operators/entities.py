@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from itertools import count
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.storage import BROADCAST_BYTES
+from folioscope.storage import land, release
 
 
 def shortened(name: Column, distance: int) -> Column:
@@ -30,12 +28,13 @@ def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> Da
     deletions make of each, so both sides are joined on these forms: near names meet, others hardly ever, also
     where all names begin alike. The nearest company wins; if two are equally near, none does.
     """
-    a = mentions.where("name is not null").select("mention_id", F.col("name").alias("said"), F.explode(shortened(F.col("name"), distance)).alias("form"))
+    # each name once, however often it is said
+    a = mentions.where("name is not null").select(F.col("name").alias("said")).distinct().select("said", F.explode(shortened(F.col("said"), distance)).alias("form"))
     b = companies.where("name is not null").select("company_id", F.col("name").alias("known"), F.explode(shortened(F.col("name"), distance)).alias("form"))
-    near = a.join(b, "form").select("mention_id", "company_id", F.levenshtein("said", "known", distance).alias("d")).where("d >= 0")
+    near = a.join(b, "form").select("said", "company_id", F.levenshtein("said", "known", distance).alias("d")).where("d >= 0")
     # of the nearest companies the smallest and the largest id, in one aggregate
-    best = near.groupBy("mention_id").agg(F.min(F.struct("d", "company_id")).alias("lo"), F.min(F.struct("d", (-F.col("company_id")).alias("minus"))).alias("hi"))
-    out = mentions.join(best, "mention_id", "left")
+    best = near.groupBy(F.col("said").alias("name")).agg(F.min(F.struct("d", "company_id")).alias("lo"), F.min(F.struct("d", (-F.col("company_id")).alias("minus"))).alias("hi"))
+    out = mentions.join(best, "name", "left")
     one = F.coalesce(F.col("lo.company_id") == -F.col("hi.minus"), F.lit(False))
     return out.select("mention_id", "name", F.when(one, F.col("lo.company_id")).alias("company_id"), one.alias("resolved"))
 
@@ -43,24 +42,24 @@ def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> Da
 def closure(edges: DataFrame, depth: int | None = None) -> DataFrame:
     """All (owner, owned, hops) reachable over edges (owner, owned), hops least; cycles end.
 
-    Rounds extend the paths found last by one edge and drop pairs that are known, until none is new; with paths of more
-    than ``depth`` hops, if it is given, they raise. Edges are broadcast only if they
-    are small, else joined by a shuffle.
+    Each round joins the paths found so far with themselves, so paths of up to twice the length are known after it; it ends
+    when no path is new or shorter. With paths of more than ``depth`` hops, if it is given, it raises.
     """
-    from folioscope.storage import land
-
-    edges = land(edges.select("owner", "owned").where("owner is not null and owned is not null").distinct(), "edges")
-    small = 16 * edges.count() <= BROADCAST_BYTES // 4
-    step = edges.select(F.col("owner").alias("owned"), F.col("owned").alias("next"))
-    found = last = land(edges.withColumn("hops", F.lit(1)), "paths")
-    for hops in count(2):
-        more = last.join(F.broadcast(step) if small else step, "owned").select("owner", F.col("next").alias("owned")).distinct()
-        last = land(more.join(found, ["owner", "owned"], "left_anti").withColumn("hops", F.lit(hops)), "paths")
-        if last.isEmpty():
-            return found
-        if depth is not None and hops > depth:
+    edges = edges.select("owner", "owned").where("owner is not null and owned is not null").distinct()
+    found = land(edges.withColumn("hops", F.lit(1)), "paths")
+    before = None
+    while True:
+        first = found.select("owner", F.col("owned").alias("via"), F.col("hops").alias("a"))
+        second = found.select(F.col("owner").alias("via"), "owned", F.col("hops").alias("b"))
+        more = first.join(second, "via").select("owner", "owned", (F.col("a") + F.col("b")).alias("hops"))
+        last, found = found, land(found.unionByName(more).groupBy("owner", "owned").agg(F.min("hops").alias("hops")), "paths")
+        release(last)
+        now = found.agg(F.count(F.lit(1)), F.sum("hops"), F.max("hops")).first()
+        if depth is not None and (now[2] or 0) > depth:
             raise ValueError(f"there are paths of more than {depth} hops")
-        found = found.unionByName(last)
+        if now == before:
+            return found
+        before = now
 
 
 def graph(edges: DataFrame, evidence: Column) -> tuple[DataFrame, DataFrame]:

@@ -16,6 +16,8 @@ EVENT_RULES = [
 ]
 #: Decisions that are no capital events.
 OUT_OF_SCOPE = "commissaire|president|gerant|siege|denomination|objet social|date de cloture"
+#: Dates in one array of a plan.
+DATES = 1_000
 
 
 def classified(rows: DataFrame, text: Column, rules: list[tuple[str, str]] = EVENT_RULES) -> DataFrame:
@@ -25,10 +27,14 @@ def classified(rows: DataFrame, text: Column, rules: list[tuple[str, str]] = EVE
 
 
 def decisions(filings: DataFrame) -> DataFrame:
-    """One row per distinct decision of a filing, trimmed: filings repeat a decision once per kind of act."""
+    """One row per distinct decision of a filing, trimmed: filings repeat a decision once per kind of act.
+
+    Spellings that differ by case and accents only are one; the one that sorts first is kept.
+    """
     items = filings.select("id", "siren", "dateDepot", F.explode("typeRdd").alias("d"))
     named = items.select("id", "siren", "dateDepot", F.trim("d.decision").alias("decision")).where("decision is not null")
-    return named.withColumn("folded", french.folded(F.col("decision"))).dropDuplicates(["id", "folded"])
+    named = named.withColumn("folded", french.folded(F.col("decision")))
+    return named.groupBy("id", "folded").agg(*[F.min(c).alias(c) for c in ("siren", "dateDepot", "decision")])
 
 
 def dated(events: DataFrame, text: Column, deposit: str = "dateDepot") -> DataFrame:
@@ -66,12 +72,26 @@ def holdings(rows: DataFrame, holder: str, order: list[Column], shares: str) ->
     return out.withColumn("change", F.when((before == 0) & (F.col("balance") != 0), "entry").when((before != 0) & (F.col("balance") == 0), "end"))
 
 
-def state_as_of(states: DataFrame, dates: DataFrame, key: str, at: str, date: str, order: Column, value: str) -> DataFrame:
-    """The last value per key at or before each date; ``dates`` is a short list and is checked to be one."""
-    if dates.count() > 10_000:
-        raise ValueError("state_as_of takes a short list of dates; join on ranges of dates for more")
-    held = states.join(F.broadcast(dates), F.col(at) <= F.col(date))
-    return held.groupBy(key, date).agg(F.max_by(value, order).alias(value))
+def entry_events(held: DataFrame) -> DataFrame:
+    """Of ``holdings``, the rows at which a holder comes in or goes out, with their event code."""
+    return held.where("change is not null").withColumn("code", F.when(F.col("change") == "entry", "SHAREHOLDER_ENTRY").otherwise("SHAREHOLDER_END"))
+
+
+def state_as_of(states: DataFrame, dates: DataFrame, key: str, at: str, date: str, order: list[Column], value: str) -> DataFrame:
+    """The last value per key at or before each date of the list ``dates``, which the driver reads. ``order`` must be total.
+
+    A state holds from its time up to the next one's: one sort per key, and each state gives the dates it holds at; no
+    join. Dates go into the plan in blocks of DATES, of which every state takes those in its time.
+    """
+    days = sorted({r[0] for r in dates.select(date).where(F.col(date).isNotNull()).distinct().collect()})
+    held = states.withColumn("_until", F.lead(at).over(Window.partitionBy(key).orderBy(*order)))
+    out = None
+    for k in range(0, max(1, len(days)), DATES):
+        asked = F.array(*map(F.lit, days[k : k + DATES])).cast(f"array<{dates.schema[date].dataType.simpleString()}>")
+        own = F.filter(asked, lambda d: (d >= F.col(at)) & (F.col("_until").isNull() | (d < F.col("_until"))))
+        part = held.select(key, F.explode(own).alias(date), value)
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def share_range(text: Column) -> Column:
@@ -92,6 +112,15 @@ def totals_differ(held: DataFrame, stated: DataFrame, key: str) -> DataFrame:
     return summed.join(stated, key).where("held <> stated")
 
 
+def contradictions(key: str, balances: DataFrame, held: DataFrame, stated: DataFrame, differing: DataFrame) -> DataFrame:
+    """What can't be true, as rows (key, finding, a, b): negative balances, totals that differ from the holders' sum, and
+    values on which two sources (``differing``, with a and b) disagree."""
+    negative = findings(balances, key).select(key, "finding", F.col("balance").cast("long").alias("a"), F.lit(None).cast("long").alias("b"))
+    totals = totals_differ(held, stated, key).select(key, F.lit("holders and total differ").alias("finding"), F.col("held").cast("long").alias("a"), F.col("stated").cast("long").alias("b"))
+    sources = differing.select(key, F.lit("sources disagree").alias("finding"), F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    return negative.unionByName(totals).unionByName(sources)
+
+
 def repeated_filings(events: DataFrame, days: int) -> DataFrame:
     """Pairs of events of one company and code within ``days``: authorisation and realisation of one change, maybe.
 
