@@ -2,30 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.functions import french, geometry
 from folioscope.operators import accounts, coverage, entities, ledger, text, workflow
+from folioscope.plans import pages  # noqa: F401  (its queries register themselves)
+from folioscope.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from folioscope.storage import table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str):
-    """Registers a function under its name, with the SQL that must give the same rows."""
-
-    def register(f):
-        QUERIES[f.__name__] = f
-        ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 # --- text -------------------------------------------------------------------------------------------------
 
 
@@ -288,8 +273,8 @@ def balance_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT l_orderkey, CASE WHEN count(*) FILTER (l_linenumber IN (1, 2)) = 2 THEN
-  CAST(sum(CASE l_linenumber WHEN 1 THEN 1 WHEN 2 THEN 1 WHEN 3 THEN -1 ELSE 0 END * CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) END AS value
+SELECT l_orderkey, CASE WHEN bool_or(l_linenumber = 1) AND bool_or(l_linenumber = 2) THEN
+  CAST(sum(CASE l_linenumber WHEN 3 THEN -1 ELSE 1 END * CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) END AS value
 FROM lineitem WHERE l_linenumber <= 3 GROUP BY l_orderkey
 """)
 def derived_cogs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -342,12 +327,12 @@ def classify_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.classified(rows, F.col("said")).select("event_id", "code")
 
 
-@query("SELECT user_id, count(DISTINCT event_type) AS n_decisions FROM events GROUP BY user_id")
+@query("SELECT DISTINCT user_id, upper(event_type) AS decision FROM events")
 def decision_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     items = F.array(F.struct(F.lit("a").alias("typeActe"), F.concat(F.lit(" "), F.col("event_type")).alias("decision")), F.struct(F.lit("b").alias("typeActe"), F.concat(F.upper("event_type"), F.lit("  ")).alias("decision")))
     filings = events.select(F.col("user_id").alias("id"), F.lit("").alias("siren"), F.to_date("ts").alias("dateDepot"), items.alias("typeRdd"))
-    return ledger.decisions(filings).groupBy(F.col("id").alias("user_id")).agg(F.count(F.lit(1)).alias("n_decisions"))
+    return ledger.decisions(filings).select(F.col("id").alias("user_id"), "decision")
 
 
 _MOVES = """WITH m AS (SELECT event_id, user_id, ts, CASE WHEN event_type = 'signup' THEN CAST(floor(value) AS BIGINT) END AS absolute,
@@ -394,7 +379,7 @@ _DATES = "(VALUES (DATE '2024-01-10'), (DATE '2024-01-20'), (DATE '2024-06-30'))
 LATERAL (SELECT balance FROM t WHERE t.user_id = u.user_id AND t.ts <= d.date ORDER BY ts DESC, event_id DESC LIMIT 1) x""")
 def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = spark.sql(f"SELECT date FROM {_DATES}")
-    return ledger.state_as_of(_balances(spark, sf_dir), dates, "user_id", "ts", "date", F.struct("ts", "event_id"), "balance").select("user_id", F.col("date").cast("string").alias("date"), "balance")
+    return ledger.state_as_of(_balances(spark, sf_dir), dates, "user_id", "ts", "date", [F.col("ts"), F.col("event_id")], "balance").select("user_id", F.col("date").cast("string").alias("date"), "balance")
 
 
 @query(_TIMELINE + "SELECT event_id, user_id, balance, 'negative balance' AS finding FROM t WHERE balance < 0")
@@ -405,12 +390,14 @@ def timeline_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 WITH RECURSIVE up(owned, owner, hops) AS (
   SELECT c_custkey, c_custkey // 10, 1 FROM customer WHERE c_custkey // 10 > 0
-  UNION ALL SELECT owned, owner // 10, hops + 1 FROM up WHERE owner // 10 > 0)
-SELECT owner, owned, hops FROM up
+  UNION ALL SELECT owned, owner // 10, hops + 1 FROM up WHERE owner // 10 > 0
+), chain AS (SELECT -a AS owner, -b AS owned, CAST(b - a AS INTEGER) AS hops FROM range(1, 131) x(a), range(1, 131) y(b) WHERE a < b)
+SELECT owner, owned, hops FROM up UNION ALL SELECT owner, owned, hops FROM chain
 """)
 def ownership_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
     edges = table(spark, sf_dir, "customer").select(F.expr("c_custkey div 10").alias("owner"), F.col("c_custkey").alias("owned")).where("owner > 0")
-    return entities.closure(edges)
+    chain = spark.range(1, 130).select((-F.col("id")).alias("owner"), (-F.col("id") - 1).alias("owned"))
+    return entities.closure(edges.unionByName(chain))
 
 
 # --- workflow ---------------------------------------------------------------------------------------------
@@ -539,18 +526,18 @@ def confident_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS pos, CASE l_linenumber WHEN 2 THEN 'assets' ELSE 'sales' END AS field
+SELECT CAST(l_orderkey AS VARCHAR) AS doc_id, l_linenumber AS pos, CASE l_linenumber WHEN 2 THEN 'assets' WHEN 3 THEN 'sales' ELSE 'purchases' END AS field
 FROM lineitem l JOIN orders ON l_orderkey = o_orderkey
-WHERE (l_linenumber = 2 AND o_orderstatus = 'F') OR (l_linenumber = 3 AND o_orderstatus = 'O')
+WHERE (l_linenumber = 2 AND o_orderstatus = 'F') OR (l_linenumber IN (3, 4) AND o_orderstatus = 'O')
 """)
 def form_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     form = F.when(F.col("o_orderstatus") == "F", "DGFiP N° 2050-SD 2024").when(F.col("o_orderstatus") == "O", "N° 2052 2018").otherwise("2050 puis 2051")
     heads = orders.select(F.col("o_orderkey").alias("k"), F.lit(0).alias("pos"), form.alias("text"))
-    code = F.when(F.col("l_linenumber") == 2, "TOTAL GENERAL CO 1 234").when(F.col("l_linenumber") == 3, "FL Chiffres d'affaires nets").otherwise("Autres charges")
+    code = F.when(F.col("l_linenumber") == 2, "TOTAL GENERAL CO 1 234").when(F.col("l_linenumber") == 3, "FL Chiffres d'affaires nets").when(F.col("l_linenumber") == 4, "ACHATS DE MARCHANDISES FS 1 234").otherwise("Du 01/01/2020 AU 31/12/2020")
     lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").alias("pos"), code.alias("text"))
     rows = heads.unionByName(lines).select(F.col("k").cast("string").alias("doc_id"), F.lit(1).alias("page"), "pos", "text")
-    registry = spark.sql("SELECT * FROM VALUES ('assets', '2050', 'CO'), ('sales', '2052', 'FL') AS r(field, form, code)")
+    registry = spark.sql("SELECT * FROM VALUES ('assets', '2050', 'CO'), ('sales', '2052', 'FL'), ('purchases', '2052', 'FS'), ('none', '2052', 'DE') AS r(field, form, code)")
     return accounts.field_candidates(rows, registry).select("doc_id", "pos", "field")
 
 

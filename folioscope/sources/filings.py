@@ -1,7 +1,8 @@
 """Readers of a filings corpus under explicit schemas, and its landing as Parquet.
 
 Layout: ``<root>/<siren>/{actes,bilans}/meta/*.json`` and ``<root>/<siren>/{actes,bilans}/ocr/<doc_id>/page_NNN.json``.
-Parquet is the form to query: it prunes nested columns and partitions, which JSON does not.
+Parquet is the form to query: it prunes nested columns and partitions, which JSON does not. A broken file fails the read,
+of metadata and of pages alike, so that it can't pass for an empty page.
 """
 
 from __future__ import annotations
@@ -32,16 +33,20 @@ def _kind(c):
     return F.when(c == "actes", "acte").when(c == "bilans", "bilan")
 
 
+def _json(spark: SparkSession, schema: str, path: str) -> DataFrame:
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").json(path)
+
+
 def filings(spark: SparkSession, root: str, siren: str = "*", kind: str = "*") -> DataFrame:
-    """One row per metadata file that isn't deleted, with ``kind`` and ``path``; a broken file fails the read."""
-    raw = spark.read.schema(FILING).option("multiLine", True).option("mode", "FAILFAST").option("dateFormat", "yyyy-MM-dd").json(f"{root}/{siren}/{kind}/meta/*.json")
+    """One row per metadata file that isn't deleted, with ``kind`` and ``path``."""
+    raw = _json(spark, FILING, f"{root}/{siren}/{kind}/meta/*.json")
     raw = raw.withColumn("path", F.col("_metadata.file_path"))
     return raw.where("not coalesce(deleted, false)").withColumn("kind", _kind(F.regexp_extract("path", _META_PATH, 2)))
 
 
 def ocr_pages(spark: SparkSession, root: str, siren: str = "*", kind: str = "*", doc_id: str = "*") -> DataFrame:
     """One row per OCR page; siren, kind and doc_id come from the path. Narrow the glob to read less."""
-    raw = spark.read.schema(OCR_PAGE).option("multiLine", True).json(f"{root}/{siren}/{kind}/ocr/{doc_id}/page_*.json")
+    raw = _json(spark, OCR_PAGE, f"{root}/{siren}/{kind}/ocr/{doc_id}/page_*.json")
     path = F.col("_metadata.file_path")
     part = lambda k: F.regexp_extract(path, _OCR_PATH, k)
     return raw.select(part(1).alias("siren"), _kind(part(2)).alias("kind"), part(3).alias("doc_id"), "*")
@@ -65,7 +70,7 @@ def ocr_pages_at(spark: SparkSession, path: str) -> DataFrame:
     """Pages at a path or glob; none, instead of an error, where nothing matches."""
     if not exists(spark, path):
         return spark.createDataFrame([], OCR_PAGE)
-    return spark.read.schema(OCR_PAGE).option("multiLine", True).json(path)
+    return _json(spark, OCR_PAGE, path)
 
 
 def ocr_lines(pages: DataFrame, *keys: str) -> DataFrame:
@@ -92,6 +97,13 @@ def page_sizes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("doc_id string, page int, w_pt double, h_pt double").option("header", True).csv(path)
 
 
-def land(df: DataFrame, path: str, by: str = "siren") -> None:
-    """Writes a table as Parquet, partitioned so that a company's rows are read alone."""
-    df.repartition(F.col(by)).write.mode("overwrite").partitionBy(by).parquet(path)
+def catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """The catalogue of companies, (company_id, name, siren, sector), from JSON lines or, if the path ends so, Parquet."""
+    schema = "company_id long, name string, siren string, sector string"
+    return spark.read.schema(schema).parquet(path) if path.rstrip("/").endswith(".parquet") else spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
+def land(df: DataFrame, path: str, by: str = "siren", salts: int = 8) -> None:
+    """Writes a table as Parquet, partitioned so that a company's rows are read alone; up to ``salts`` tasks write a company."""
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))
+    df.withColumn("_salt", salt).repartition(F.col(by), F.col("_salt")).drop("_salt").write.mode("overwrite").partitionBy(by).parquet(path)

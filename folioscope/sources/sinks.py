@@ -2,25 +2,32 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def results_json(parts: dict[str, DataFrame]) -> DataFrame:
+def results_json(parts: dict[str, DataFrame], most: int = 1_000_000) -> DataFrame:
     """One row with one JSON document: each part's rows as an array under its name, sorted.
 
-    It is for results, which are small; each part's rows meet in one task.
+    It is for results, which are small; they become one value, so a part of more than ``most`` rows is refused.
     """
     out = None
-    for name, rows in parts.items():
-        one = rows.agg(F.sort_array(F.collect_list(F.struct(*rows.columns))).alias(name))
-        out = one if out is None else out.join(F.broadcast(one))
-    return out.select(F.to_json(F.struct(*parts), {"ignoreNullFields": "false"}).alias("json"))
+    for k, (name, rows) in enumerate(parts.items()):
+        if rows.limit(most + 1).count() > most:
+            raise ValueError(f"{name} has more than {most} rows, too many for one document")
+        held = F.to_json(F.sort_array(F.collect_list(F.struct(*rows.columns))), {"ignoreNullFields": "false"})
+        one = rows.agg(F.concat(F.to_json(F.array(F.lit(name))).substr(F.lit(2), F.lit(len(json.dumps(name, ensure_ascii=False)))), F.lit(":"), held).alias("json")).select(F.lit(k).alias("k"), "json")
+        out = one if out is None else out.unionByName(one)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("k", "json"))), lambda x: x["json"]), ",")
+    return out.agg(F.concat(F.lit("{"), joined, F.lit("}")).alias("json"))
 
 
 def report_line(box: Column, text: Column) -> Column:
-    """``[x0, y0, x1, y1]  text`` with four decimals."""
-    return F.concat(F.lit("["), F.concat_ws(", ", *[F.format_string("%.4f", box[i]) for i in range(4)]), F.lit("]  "), text)
+    """``[x0, y0, x1, y1]  text`` with four decimals; null without a box."""
+    line = F.concat(F.lit("["), F.concat_ws(", ", *[F.format_string("%.4f", box[i]) for i in range(4)]), F.lit("]  "), text)
+    return F.when(box.isNotNull(), line)
 
 
 def draw_list(boxes: DataFrame, colour: str, width: int) -> DataFrame:

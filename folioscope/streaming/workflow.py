@@ -5,12 +5,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioscope.operators.workflow import STAGES
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """Keeps the state of streams that start afterwards in RocksDB, on disk, instead of the executors' heap."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+
 
 def first_uploads(uploads: DataFrame, content: str) -> DataFrame:
     """A stream of the uploads that create a document: the first of each content, for good.
@@ -23,7 +30,8 @@ def first_uploads(uploads: DataFrame, content: str) -> DataFrame:
 def stage_machine(requests: DataFrame, key: str, stages: list[str] = STAGES) -> DataFrame:
     """A stream of (key, at, request_id, asked, accepted, state): each request judged against its key's state.
 
-    Requests are (key, at, request_id, stage); within a micro-batch they are taken in order of (at, request_id).
+    Requests are (key, at, request_id, stage); within a micro-batch they are taken in order of (at, request_id). A key's requests
+    of one micro-batch are held in one task at once, so bound batches at the source (``maxFilesPerTrigger`` and the like).
     """
 
     def judge(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:

@@ -21,10 +21,10 @@ def test_grep_is_literal_and_keeps_places(spark):
 
 
 def test_timeline(spark):
-    rows = [(1, "s", 1, None, 200000), (2, "s", 2, 168102, None), (3, "s", 3, -150861, None), (4, "s", 4, 182759, None), (5, "s", 5, None, 7), (6, "s", 6, -9, None)]
+    rows = [(1, "s", 1, None, 300000), (2, "s", 2, 120500, None), (3, "s", 3, -90250, None), (4, "s", 4, 169750, None), (5, "s", 5, None, 7), (6, "s", 6, -9, None)]
     events = spark.createDataFrame(rows, "id int, siren string, at int, delta int, absolute int")
     got = ledger.timeline(events, "siren", [F.col("at"), F.col("id")], "delta", "absolute")
-    assert [r.balance for r in got.orderBy("id").collect()] == [200000, 368102, 217241, 400000, 7, -2]
+    assert [r.balance for r in got.orderBy("id").collect()] == [300000, 420500, 330250, 500000, 7, -2]
     assert [r.id for r in ledger.findings(got, "siren").collect()] == [6]
 
 
@@ -111,6 +111,45 @@ def test_derived_needs_required_components(spark):
     registry = spark.createDataFrame([("p", 1, True), ("s", -1, False)], "component string, coefficient int, required boolean")
     rows = spark.createDataFrame([(1, "p", 10), (1, "s", 3), (2, "s", 3)], "doc int, component string, value int")
     assert {r.doc: r.value for r in accounts.derived(rows, registry, ["doc"]).collect()} == {1: 7, 2: None}
+    both = spark.createDataFrame([("p", 1, True), ("q", 1, True)], "component string, coefficient int, required boolean")
+    rows = spark.createDataFrame([(1, "p", 10), (1, "p", 10), (2, "p", 1), (2, "q", 2), (2, "q", 3), (3, "p", 1), (3, "q", None)], "doc int, component string, value int")
+    assert {r.doc: r.value for r in accounts.derived(rows, both, ["doc"]).collect()} == {1: None, 2: 6, 3: None}
+
+
+def test_decisions_keep_the_first_spelling(spark):
+    item = lambda d: {"typeActe": "x", "decision": d}
+    rows = spark.createDataFrame([("a", "s", None, [item("Réduction "), item("REDUCTION"), item("reduction"), item(None)])], "id string, siren string, dateDepot date, typeRdd array<struct<typeActe: string, decision: string>>")
+    for n in (1, 3):
+        assert [r.decision for r in ledger.decisions(rows.repartition(n)).collect()] == ["REDUCTION"]
+
+
+def test_state_at_many_dates(spark, monkeypatch):
+    monkeypatch.setattr(ledger, "DATES", 3)
+    day = lambda k: datetime.date(2020, 1, 1) + datetime.timedelta(k)
+    states = spark.createDataFrame([("a", day(2), 1, 10), ("a", day(5), 3, 30), ("a", day(5), 2, 20), ("b", day(9), 4, 40)], "k string, at date, id int, v int")
+    dates = spark.createDataFrame([(day(k),) for k in range(11)] + [(day(3),), (None,)], "d date")
+    got = {(r.k, r.d): r.v for r in ledger.state_as_of(states, dates, "k", "at", "d", [F.col("at"), F.col("id")], "v").collect()}
+    assert got == {("a", day(k)): 10 if k < 5 else 30 for k in range(2, 11)} | {("b", day(k)): 40 for k in (9, 10)}
+
+
+def test_broken_pages_fail_the_read(spark, tmp_path):
+    (tmp_path / "page_001.json").write_text('{"page": 1, "ocr": [')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        filings.one_page(spark, str(tmp_path), 1).collect()
+
+
+def test_catalogue_source_and_sizes(spark, tmp_path):
+    (tmp_path / "companies.json").write_text('{"company_id": 1, "name": "EXEMPLE", "siren": "732829320", "sector": "x"}\n')
+    (tmp_path / "sizes.csv").write_text("doc_id,page,w_pt,h_pt\nd,1,595.0,842.0\n")
+    rows = filings.catalogue(spark, str(tmp_path / "companies.json"))
+    rows.write.parquet(str(tmp_path / "companies.parquet"))
+    assert rows.collect() == filings.catalogue(spark, str(tmp_path / "companies.parquet")).collect() == [(1, "EXEMPLE", "732829320", "x")]
+    assert tuple(filings.page_sizes(spark, str(tmp_path / "sizes.csv")).first()) == ("d", 1, 595.0, 842.0)
+
+
+def test_results_are_refused_beyond_a_bound(spark):
+    with pytest.raises(ValueError):
+        sinks.results_json({"x": spark.range(5)}, most=4)
 
 
 def test_values_right_of_labels(spark):
@@ -179,8 +218,8 @@ def test_costs_and_totals(spark):
 
 
 def test_observations_and_sources(spark):
-    lines = spark.createDataFrame([("d", "SARL au capital de 368.102 €"), ("d", "rien"), ("e", "capital porté à 400/o0o euros")], "doc_id string, text string")
-    assert [(r.doc_id, r.capital) for r in ledger.capital_observations(lines, "doc_id").collect()] == [("d", Decimal(368102)), ("e", Decimal(400000))]
+    lines = spark.createDataFrame([("d", "SARL au capital de 517.203 €"), ("d", "rien"), ("e", "capital porté à 700/o0o euros"), ("f", "capital porté de 1 000 à 2 000 euros")], "doc_id string, text string")
+    assert [(r.doc_id, r.capital) for r in ledger.capital_observations(lines, "doc_id").collect()] == [("d", Decimal(517203)), ("e", Decimal(700000)), ("f", Decimal(2000))]
     events = spark.createDataFrame([("d", 1, [0.0, 0.0, 1.0, 1.0], "x"), (None, None, None, None)], "doc string, page int, box array<double>, said string")
     got = ledger.grounded(events, "doc", "page", "box", "said").collect()
     assert got[0].source.inpi_id == "d" and got[0].note is None and got[1].source is None and got[1].note
