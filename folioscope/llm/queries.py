@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, chat, decontaminate, language, maxscore, minhash, pii, sharding, token_counts, warc
+from folioscope.llm import bpe, chat, decontaminate, language, maxscore, minhash, pii, sharding, token_counts, variants, warc
 from folioscope.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -220,3 +220,44 @@ WITH RECURSIVE w AS (
 SELECT doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id, doc_id = min(r) AS kept
 FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id
 """
+
+
+@query
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variants.with_lost_letters(variants.runs(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return variants.spelling_groups(variants.vocabulary(found))
+
+
+ORACLE_SQL["op11_variants"] = r"""
+WITH RECURSIVE checks AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t
+), said AS (
+  SELECT w, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w AS k, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS w FROM documents
+  ) WHERE length(w) >= 7 GROUP BY ALL
+), hashed AS (
+  SELECT w, n, xor(list_reduce(
+    list_transform(range(1, strlen(k) + 1), lambda i: CAST(('0x' || substr(hex(encode(k)), CAST(2 * i - 1 AS BIGINT), 2)) AS BIGINT)),
+    lambda c, b: xor(c >> 8, t[xor(c, b) % 256 + 1]), 4294967295), 4294967295) AS h FROM said, checks
+), lost AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, CAST(h % length(w) AS BIGINT)) || substr(w, CAST(h % length(w) + 2 AS BIGINT)) ELSE w END AS word, n FROM hashed
+), v AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM lost WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), gaps AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS key FROM (SELECT word, CAST(unnest(range(1, length(word) + 1)) AS BIGINT) AS i FROM v)
+), near AS (
+  SELECT a.word AS a, b.word AS b FROM gaps a JOIN gaps b ON a.key = b.key AND a.i = b.i AND a.word <> b.word
+  UNION SELECT g.word, v.word FROM gaps g JOIN v ON g.key = v.word
+  UNION SELECT v.word, g.word FROM gaps g JOIN v ON g.key = v.word
+), ranked AS (
+  SELECT a, b, v.n AS k, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY v.n DESC, b) AS r FROM near JOIN v ON v.word = b
+), formed AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN k >= 10 * n THEN b END AS form, CASE WHEN k >= 10 * n THEN k END AS form_n
+  FROM v LEFT JOIN ranked ON a = word AND r = 1
+), follow(word, reached, k) AS (
+  SELECT word, form, 1 FROM formed WHERE form IS NOT NULL
+  UNION ALL SELECT f.word, g.form, k + 1 FROM follow f JOIN formed g ON g.word = f.reached WHERE g.form IS NOT NULL
+)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, CAST(n_near AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM formed f LEFT JOIN (SELECT word, arg_max(reached, k) AS root FROM follow GROUP BY word) r ON r.word = f.word
+"""
