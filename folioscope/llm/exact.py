@@ -35,14 +35,3 @@ def products(queries: np.ndarray, weights: np.ndarray) -> np.ndarray:
         exact = queries[wide].astype(object) @ weights.T.astype(object)
         out[wide] = np.clip(exact, LOW, HIGH).astype(np.int64)
     return out
-
-
-def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Inner product of each row of ``a`` with the same row of ``b``, by the rules of ``products``."""
-    bound = (np.abs(a.astype(np.float64)) * np.abs(b.astype(np.float64))).sum(1) * (1 + 1e-9)
-    wide = bound >= 2.0**63 * (1 - 1e-6)
-    out = np.empty(len(a), np.int64)
-    out[~wide] = (a[~wide] * b[~wide]).sum(1)
-    if wide.any():
-        out[wide] = np.clip((a[wide].astype(object) * b[wide].astype(object)).sum(1), LOW, HIGH).astype(np.int64)
-    return out

@@ -10,18 +10,20 @@ Those of smallest bounds whose sum stays below the floor are non-essential: a ve
 postings can't reach it. Essential postings are traversed, each once for all queries that need it, adding up
 scores; non-essential terms and lowering ones are probed by falling bounds, in groups, for those vectors only whose score so far
 plus the bounds of what is left is still competitive. While a query has no floor all its terms are essential, so
-the first SEED rows of a task are scored whole. Ties count as competitive, so the smaller vec_id wins. The shards'
+the first SEED rows of a task are scored whole. Tasks go over 1 / FIRST of the vectors first; the merged k-th scores of these are
+proven floors with which all other tasks begin, so these report only what can still be among the best. Ties count as competitive, so the smaller vec_id wins. The shards'
 (tasks') lists are merged by a ranking whose limit Spark applies on both sides of the shuffle.
 
 Vectors are neither shuffled nor copied. Queries go to the tasks as a broadcast if their weights take at most
-``block_bytes``, else block by block, one pass over the landed vectors and one landed result per block. A task holds one
+``block_bytes``, else block by block, passes over the landed vectors and one landed result per block. A task holds one
 piece, the queries of a block and k rows for each.
 
 Vectors that are null or hold null or non-finite components take no part, as queries or candidates, nor do rows with
 null vec_id; other columns don't matter. Vectors of different lengths, also very long ones, are compared on their common dimensions
 (missing weights are 0). A row is no candidate for its own vec_id, and one of equal (vec_id, weights) is kept. Scores are
-exact in 64 bits; where weights are so large that scores could leave them, these are doubles, cut to the range of
-64 bits, and so are the weights. An empty table gives an empty result.
+exact in 64 bits: partial sums and bounds are kept in integers where they can't leave 63 bits, by |query weight| times the largest |weight| of
+each dimension, added up; beyond that, in Python's integers. Only a weight or a score that itself lies outside 64 bits is cut to their
+range. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from folioscope.storage import bounded_batches, land
+from folioscope.llm.exact import HIGH, LOW, products, reach
+from folioscope.storage import bounded_batches, land, release
 
 STEP, CELLS, BATCH, GROUP, SEED = 2048, 1 << 21, 64, 8, 256
+#: The share of rows whose results are floors for the others.
+FIRST = 16
 BLOCK_BYTES = 32 << 20
 #: Stands for a floor that isn't known.
-NONE = np.int64(-(2**62))
+NONE = np.int64(LOW)
 
 
 def padded(rows: list[np.ndarray], width: int, kind=np.int64) -> np.ndarray:
@@ -69,11 +74,10 @@ class Piece:
 class Search:
     """The best ``k`` candidates of each query among the pieces shown so far."""
 
-    def __init__(self, ids: np.ndarray, weights: list[np.ndarray], k: int):
+    def __init__(self, ids: np.ndarray, weights: list[np.ndarray], floors: np.ndarray, k: int):
         order = np.argsort([len(w) for w in weights], kind="stable")  # batches of like lengths
         self.ids, self.queries, self.k = ids[order], [weights[i] for i in order], k
-        self.most = max([int(np.abs(w.astype(float)).max(initial=0)) for w in weights], default=0)
-        self.floors = np.full(len(ids), NONE)
+        self.floors = floors[order]
         #: By a batch's first query: places of queries, ids, scores and keys.
         self.best = {a: tuple(np.empty(0, np.int64) for _ in range(4)) for a in range(0, len(ids), BATCH)}
         #: Postings traversed, and those there were, over all queries.
@@ -87,12 +91,7 @@ class Search:
         width = max(map(len, vectors), default=0)
         if not width:
             vectors, width = [np.zeros(1, np.int64)] * len(vectors), 1
-        if self.most * max(float(np.abs(v.astype(float)).max(initial=0)) for v in vectors) * width < 2**62:
-            small = self.most * max(int(np.abs(v).max(initial=0)) for v in vectors) * width < 2**30
-            kind = np.int32 if small else np.int64
-        else:
-            kind = np.float64
-        weights = padded(vectors, width, kind)
+        weights = padded(vectors, width)
         seed = SEED if (self.floors == NONE).any() else 0
         for part, whole in ((slice(0, seed), True), (slice(seed, None), False)):
             if len(ids[part]):
@@ -101,14 +100,21 @@ class Search:
                     self._batch(piece, ids[part], keys[part], a, min(a + BATCH, len(self.queries)), whole)
 
     def _batch(self, piece: Piece, ids: np.ndarray, keys: np.ndarray, a: int, b: int, whole: bool) -> None:
-        width, kind = piece.weights.shape[1], piece.weights.dtype
-        q = padded(self.queries[a:b], width, kind)
+        width = piece.weights.shape[1]
+        q = padded(self.queries[a:b], width)
         if whole:
             pairs = np.nonzero(ids[:, None] != self.ids[None, a:b])
-            self._keep(a, pairs[1], ids[pairs[0]], (piece.weights @ q.T)[pairs], keys[pairs[0]])
+            self._keep(a, pairs[1], ids[pairs[0]], products(q, piece.weights).T[pairs], keys[pairs[0]])
             return
-        wide = np.float64 if kind == np.float64 else np.int64
-        floors = self.floors[a:b].astype(wide)
+        # 32 bits hold the sums traversed, 63 all others, or else Python's integers do
+        most = np.maximum(piece.raised.astype(float), -piece.lowered.astype(float))
+        top = reach(q, most).max(initial=0)
+        kind, wide = (np.int32, np.int64) if top < 2**30 else (np.int64, np.int64) if top < 2**62 else (object, object)
+        weights, floors = piece.weights, self.floors[a:b].astype(wide)
+        if wide is object:
+            q, weights = q.astype(object), weights.astype(object)
+        elif kind is np.int32:
+            q = q.astype(np.int32)
         bound = np.maximum(q.astype(wide) * piece.raised, q.astype(wide) * piece.lowered)
         order = np.argsort(bound, axis=1, kind="stable")
         sums = np.cumsum(np.take_along_axis(bound, order, 1), axis=1)
@@ -120,6 +126,7 @@ class Search:
             needed = essential & (q * sign > 0)
             for d in np.flatnonzero(needed.any(0)).tolist():
                 rows, w = piece.list_of(d, sign)
+                w = w.astype(kind)
                 own = needed[:, d]
                 n = int(own.sum())
                 self.traversed += n * len(rows)
@@ -138,7 +145,7 @@ class Search:
         rest = np.concatenate([np.cumsum(rest[:, ::-1], axis=1)[:, ::-1], np.zeros((len(q), 1), wide)], 1)
         for at in range(0, width, GROUP):
             dims = order[:, at : at + GROUP][col]
-            product = piece.weights[row[:, None], dims].astype(wide) * q[col[:, None], dims]
+            product = weights[row[:, None], dims].astype(wide) * q[col[:, None], dims]
             found = found + np.where(essential[col[:, None], dims], np.minimum(product, 0), product).sum(1)
             alive = found + rest[col, min(at + GROUP, width)] >= floors[col]
             row, col, found = row[alive], col[alive], found[alive]
@@ -146,14 +153,14 @@ class Search:
 
     def _keep(self, a: int, col: np.ndarray, ids: np.ndarray, scores: np.ndarray, keys: np.ndarray) -> None:
         """Adds candidates of the batch from ``a`` on to the best rows and raises the floors."""
-        if scores.dtype == np.float64:
-            scores = np.where(scores >= 2.0**63, np.iinfo(np.int64).max, np.clip(scores, -(2.0**63), 2.0**63 - 1024).astype(np.int64))
+        if scores.dtype == object:
+            scores = np.clip(scores, LOW, HIGH)
         own = [np.concatenate(x) for x in zip(self.best[a], (col + a, ids, scores.astype(np.int64), keys))]
         at = np.lexsort((own[3], own[1], ~own[2], own[0]))
         own = [x[at] for x in own]
         rank = np.arange(len(at)) - np.searchsorted(own[0], own[0])
         last = rank == self.k - 1
-        self.floors[own[0][last]] = own[2][last]
+        self.floors[own[0][last]] = np.maximum(self.floors[own[0][last]], own[2][last])
         self.best[a] = tuple(x[rank < self.k] for x in own)
 
     def rows(self) -> tuple[np.ndarray, ...]:
@@ -162,7 +169,7 @@ class Search:
         return self.ids[at], *rest
 
 
-def _weights(column: pa.ListArray) -> list[np.ndarray]:
+def weight_lists(column: pa.ListArray) -> list[np.ndarray]:
     flat, ends = column.flatten().to_numpy(zero_copy_only=False), np.cumsum([0, *column.value_lengths().to_pylist()])
     return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
@@ -172,7 +179,7 @@ def _search(queries, k: int):
         search = Search(*queries.value, k)
         held, ids, keys, width = [], [], [], 0
         for batch in batches:
-            for i, w, key in zip(batch.column(0).to_pylist(), _weights(batch.column(1)), batch.column(2).to_pylist()):
+            for i, w, key in zip(batch.column(0).to_pylist(), weight_lists(batch.column(1)), batch.column(2).to_pylist()):
                 if held and (len(held) >= STEP or (len(held) + 1) * max(width, len(w)) > CELLS):
                     search.show(np.array(ids, np.int64), held, np.array(keys, np.int64))
                     held, ids, keys, width = [], [], [], 0
@@ -187,25 +194,45 @@ def _search(queries, k: int):
     return run
 
 
+def usable(vectors: DataFrame, *columns: Column) -> DataFrame:
+    """vec_id, weights (integers) and ``columns`` of rows whose vec_id and vector are whole and finite."""
+    broken = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    rows = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(broken, F.lit(False)))
+    weights = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
+    return rows.select(F.col("vec_id").cast("long").alias("vec_id"), weights.alias("weights"), *columns)
+
+
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` best of all other vectors for every query row."""
     spark = vectors.sparkSession
     bounded_batches(spark)
-    usable = vectors.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & ~F.coalesce(F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), F.lit(False)))
-    weights = F.transform("embedding", lambda x: F.floor(256 * x.cast("double")).cast("long"))
-    rows = usable.select(F.col("vec_id").cast("long").alias("vec_id"), weights.alias("weights"), F.coalesce(is_query, F.lit(False)).alias("asked"))
-    rows = land(rows.withColumn("key", F.xxhash64("weights")), "vectors")
+    rows = usable(vectors, F.coalesce(is_query, F.lit(False)).alias("asked")).withColumn("key", F.xxhash64("weights"))
+    rows = land(rows.withColumn("first", F.pmod(F.xxhash64("vec_id", "key"), F.lit(FIRST)) == 0), "vectors")
     asked = land(rows.where("asked").select("vec_id", "weights").distinct(), "queries")
     size = asked.agg(F.coalesce(F.sum(8 * F.size("weights") + 32), F.lit(0))).first()[0]
     blocks = max(1, -(-size // block_bytes))
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id", "key")
     found = None
     for block in range(blocks):
-        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id", "weights"), F.lit(blocks)) == block)
+        part = asked if blocks == 1 else asked.where(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block)
         held = part.toArrow()
-        queries = held["vec_id"].to_numpy(), [np.array(w, np.int64) for w in held["weights"].to_pylist()]
-        best = rows.select("vec_id", "weights", "key").mapInArrow(_search(spark.sparkContext.broadcast(queries), k), "query_id long, vec_id long, score long, key long")
-        best = best if blocks == 1 else land(best, "best")
+        ids, weights = held["vec_id"].to_numpy(), [np.array(w, np.int64) for w in held["weights"].to_pylist()]
+        floors, best = np.full(len(ids), NONE), None
+        for first in (True, False):
+            queries = spark.sparkContext.broadcast((ids, weights, floors))
+            some = rows.where(F.col("first") if first else ~F.col("first")).select("vec_id", "weights", "key")
+            some = some.mapInArrow(_search(queries, k), "query_id long, vec_id long, score long, key long")
+            some = some if best is None else some.unionByName(best.drop("rank"))
+            some = land(some.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k), "best")
+            if best is not None:
+                release(best)
+            best = some
+            if first:
+                # vectors that share a query's vec_id share its list, and so its floor
+                proven = dict(best.where(F.col("rank") == k).select("query_id", "score").toLocalIterator())
+                floors = np.array([proven.get(i, NONE) for i in ids.tolist()], np.int64)
         found = best if found is None else found.unionByName(best)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    if blocks > 1:
+        found = found.select("query_id", "vec_id", "score", "key").distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    release(asked, rows)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -40,7 +40,7 @@ def test_equals_brute_force(spark, kind, monkeypatch):
 
 def shown(v, asked, k=5, step=128):
     ids = np.arange(len(v))
-    search = maxscore.Search(ids[asked], [v[i] for i in ids[asked]], k)
+    search = maxscore.Search(ids[asked], [v[i] for i in ids[asked]], np.full(int(asked.sum()), maxscore.NONE), k)
     for a in range(0, len(v), step):
         search.show(ids[a : a + step], list(v[a : a + step]), ids[a : a + step])
     return search
@@ -83,3 +83,50 @@ def test_odd_vectors(spark):
     assert got == [(0, 1, 5, 65536), (0, 2, 6, 0)]
     assert maxscore.top_k(df.where("false"), F.col("vec_id") == 0).count() == 0
     assert maxscore.top_k(df.where("vec_id = 0"), F.col("vec_id") == 0).count() == 0
+
+
+def test_weights_whose_bound_leaves_64_bits_though_scores_do_not(spark):
+    """The bound of |weight| * |weight| * width is beyond 2**62, the scores differ by one and fit."""
+    big = 2**30 + 1
+    n, width = 700, 64
+    rows = [(0, [big / 256] + [1 / 256] * 63)] + [(i, [big / 256] + [0.0] * 62 + [(i % 40) / 256]) for i in range(1, n)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in maxscore.top_k(df, F.col("vec_id") == 0, 5).orderBy("rank").collect()]
+    assert width * big * big > 2**62
+    scores = sorted((-(big * big + i % 40), i) for i in range(1, n))[:5]
+    assert got == [(0, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+
+
+@pytest.mark.parametrize("power", [20, 29, 30, 31, 33])
+def test_equals_integers_of_any_size(spark, power, monkeypatch):
+    monkeypatch.setattr(maxscore, "SEED", 8)
+    monkeypatch.setattr(maxscore, "STEP", 64)
+    rng = np.random.default_rng(power)
+    weights = rng.integers(-(2**power), 2**power, (300, 8)).tolist()
+    rows = [(i, [x / 256 for x in w]) for i, w in enumerate(weights)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {tuple(r) for r in maxscore.top_k(df, F.col("vec_id") % 50 == 0, 4).collect()}
+    wanted = set()
+    for q in range(0, 300, 50):
+        score = [sum(a * b for a, b in zip(weights[q], w)) for w in weights]
+        best = sorted((-max(-(2**63), min(2**63 - 1, s)), i) for i, s in enumerate(score) if i != q)[:4]
+        wanted |= {(q, r, i, -s) for r, (s, i) in enumerate(best, 1)}
+    assert got == wanted
+
+
+def test_exact_products():
+    from folioscope.llm import exact
+
+    rng = np.random.default_rng(3)
+    for power in (4, 25, 27, 29, 31, 40, 62):
+        q, w = (rng.integers(-(2**power), 2**power, (9, 5)) for _ in "qw")
+        true = [[max(exact.LOW, min(exact.HIGH, sum(a * b for a, b in zip(x, y)))) for y in w.tolist()] for x in q.tolist()]
+        assert exact.products(q, w).tolist() == true
+
+
+def test_tasks_report_only_what_reaches_the_floors_of_the_first(spark):
+    rng = np.random.default_rng(4)
+    v = rng.normal(size=(4000, 8))
+    search = maxscore.Search(np.array([0]), [np.floor(256 * v[0]).astype(np.int64)], np.array([10**9]), 5)
+    search.show(np.arange(4000), list(np.floor(256 * v).astype(np.int64)), np.arange(4000))
+    assert len(search.rows()[0]) == 0
