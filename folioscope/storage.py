@@ -41,13 +41,18 @@ def land(df: DataFrame, name: str) -> DataFrame:
     folder of its own, under one of the application, which ``clean`` removes; ``release`` removes one table.
     """
     spark = df.sparkSession
-    folder = f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+    folder = new_folder(spark)
     df.write.parquet(f"{folder}/{name}")
     landed = spark.read.schema(df.schema).parquet(f"{folder}/{name}")
     landed.landed_folder = folder
     return landed
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The name of a folder in the shared one that nothing else uses; ``clean`` removes it."""
+    return f"{_own_dir(spark)}/{uuid.uuid4().hex}"
+
+
 def release(*landed: DataFrame) -> None:
     """Removes tables that ``land`` has returned, once nothing lazy reads them any more; None is left out."""
     for df in landed:
