@@ -8,14 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.llm import bpe, chat, decontaminate, hard_negatives, language, maxscore, minhash, pii, sharding, token_counts, variants, warc
+from folioscope.llm import bpe, chat, decontaminate, hard_negatives, language, maxscore, minhash, pii, sharding, token_counts, token_files, variants, warc
 from folioscope.storage import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-#: The tokenizer file of op3 and op5; its path is a parameter of the operators.
+#: The tokenizer files of op3 and op5, and of op13; their paths are parameters of the operators.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
 def query(f):
@@ -288,3 +289,10 @@ SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, vec_id AS negative
   FROM p JOIN s USING (anchor_id) WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
 ) WHERE rank <= 3
 """
+
+
+@query
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = token_files.write_token_files(table(spark, sf_dir, "documents"), WORD_TOKENIZER, end_id=1)
+    found = token_files.read_token_files(spark, folder)
+    return found.select("doc_id", "start", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
