@@ -16,40 +16,61 @@ LEGAL_FORMS = ["SARL", "SAS", "SASU", "SA", "SCI", "SNC", "EURL", "SELARL"]
 UNKNOWN_NAME = "NON RENSEIGNE"
 
 # digits, with letters o for zero inside; blanks (also no-break ones), full stops and slashes separate thousands
-_NUMBER = r"([0-9][0-9oO]{0,2}(?:[ \x{00A0}\x{202F}./][0-9oO]{3})+|[0-9]+)(?:,([0-9]{1,2}))?"
-_CURRENCY = r"(€|[Ee]uros?|EUROS?|EUR|[Ff]rancs?|FRANCS?|FRF)"
+_NUMBER = r"(?:[0-9][0-9oO]{0,2}(?:[ \x{00A0}\x{202F}./][0-9oO]{3})+|[0-9]+)(?:,[0-9]{1,2})?"
+_CURRENCY = r"(?:€|[Ee]uros?|EUROS?|EUR|[Ff]rancs?|FRANCS?|FRF)"
 _AMOUNT = rf"(?<![0-9]){_NUMBER}[ \x{{00A0}}\x{{202F}}/]*{_CURRENCY}"
+# what a sentence on the capital may hold between its verb and an amount; a delta's ends at a verb that sets the capital
+_SETS = r"\b(?:porte|ramene|passe|eleve|fixe)"
+_DELTA = rf"(?:augmente|reduit|reduction|augmentation)(?:(?!{_SETS})[^0-9])*?({_AMOUNT})"
+_CHANGE = rf"{_SETS}[^0-9.;]*?\bd(?:e|u montant de) +(?:la somme de +|celle de +)?{_NUMBER}[ \x{{00A0}}\x{{202F}}/]*{_CURRENCY}?[^0-9.;]{{0,80}}?\ba +[^0-9.;]{{0,40}}?({_AMOUNT})"
+_STANDS = rf"(?:{_SETS}[^0-9.;]*?\ba\b|capital(?: social)?[^0-9.;]{{0,40}}?(?::|\bde\b|\best\b))[^0-9.;]{{0,40}}?({_AMOUNT})"
 
 
-def amount(text: Column) -> Column:
-    """(amount, currency) of the first amount with a currency, EUR or FRF; nulls if there is none.
+def bound(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once: Catalyst copies an expression to every place that reads it, but not a lambda's argument."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
 
-    A letter o counts as zero only inside an amount that has a currency, as OCR errors do.
-    """
-    found = F.regexp_extract(text, _AMOUNT, 0)  # the one costly match; the rest reads a short string
+
+def _parsed(found: Column) -> Column:
     # currencies start with none of these characters, and francs alone hold an f
     number = F.regexp_extract(found, r"^[0-9oO ./,\x{00A0}\x{202F}]*", 0)
     whole = F.translate(F.substring_index(number, ",", 1), "oO ./\u00a0\u202f", "00")
     cents = F.when(F.contains(number, F.lit(",")), F.rpad(F.translate(F.substring_index(number, ",", -1), " ./\u00a0\u202f", ""), 2, "0")).otherwise("00")
     value = F.when(found != "", F.concat(whole, F.lit("."), cents).try_cast("decimal(18,2)"))
     currency = F.when(F.contains(F.lower(found), F.lit("f")), "FRF").otherwise("EUR")
-    return F.struct(value.alias("amount"), F.when(value.isNotNull(), currency).alias("currency"))
+    return bound(value, lambda v: F.struct(v.alias("amount"), F.when(v.isNotNull(), currency).alias("currency")))
+
+
+def amount(text: Column) -> Column:
+    """(amount, currency) of the first amount with a currency, EUR or FRF; nulls if there is none.
+
+    A letter o counts as zero only inside an amount that has a currency, as OCR errors do.
+    """
+    return bound(F.regexp_extract(text, _AMOUNT, 0), _parsed)
 
 
 def amounts(text: Column) -> Column:
     """All amounts of a text in order, as an array of (amount, currency)."""
-    return F.transform(F.regexp_extract_all(text, F.lit(_AMOUNT), F.lit(0)), amount)
+    return F.transform(F.regexp_extract_all(text, F.lit(_AMOUNT), F.lit(0)), _parsed)
 
 
 def capital_statement(text: Column) -> Column:
     """(delta, absolute) of a sentence on the capital: increased or reduced by, and set to or standing at, an amount.
 
-    Of ``porté de X à Y`` the second amount counts.
+    Of ``porté de X à Y`` the second amount counts, whatever words stand between (``à la somme de``, ``à celle de``). A capital
+    stands at an amount after a colon, ``de`` or ``est``; what ``augmentation du capital de`` names is a change only.
     """
-    delta = amount(F.regexp_extract(folded(text), rf"(?:augmente|reduit|reduction|augmentation)[^0-9]*?({_AMOUNT})", 1))["amount"]
-    sign = F.when(folded(text).rlike("reduit|reduction"), -1).otherwise(1)
-    absolute = amount(F.regexp_extract(folded(text), rf"(?:fixe|porte|ramene|capital(?: social)? de)[^0-9]*?(?:{_NUMBER}[ \x{{00A0}}\x{{202F}}/]*{_CURRENCY}? +a +)?({_AMOUNT})", 4))["amount"]
-    return F.struct((delta * sign).cast("decimal(18,2)").alias("delta"), absolute.alias("absolute"))
+
+    def read(plain: Column) -> Column:
+        rest = F.regexp_replace(plain, _DELTA, " ")  # without the amount of a change
+        change = F.regexp_extract(plain, _DELTA, 1)
+        said = bound(rest, lambda r: F.coalesce(F.nullif(F.regexp_extract(r, _CHANGE, 1), F.lit("")), F.regexp_extract(r, _STANDS, 1)))
+        delta = bound(change, lambda c: F.when(c != "", _parsed(c)["amount"]))
+        sign = F.when(plain.rlike("reduit|reduction"), -1).otherwise(1)
+        absolute = bound(said, lambda x: F.when(x != "", _parsed(x)["amount"]))
+        return F.struct((delta * sign).cast("decimal(18,2)").alias("delta"), absolute.alias("absolute"))
+
+    return bound(folded(text), read)
 
 
 def in_euros(value: Column, currency: Column) -> Column:
@@ -81,6 +102,14 @@ def written_date(text: Column) -> Column:
     return F.try_to_date(spelt, "yyyy-MM-dd")
 
 
+def first_date(text: Column) -> Column:
+    """The first date of a text in numbers or words; one that says when the text was deposited (``déposé le``) is passed over."""
+    deposit = r"(?<!\bdepo[st][a-z]{0,4} {1,3}(?:au greffe |au registre )?(?:le|du) {1,3})"
+    either = rf"{deposit}\b(?:[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{1,2}}(?:er)? +(?:{'|'.join(MONTHS)}) +[0-9]{{4}})\b"
+    read = F.transform(F.regexp_extract_all(folded(text), F.lit(either), F.lit(0)), lambda d: F.coalesce(numeric_date(d), written_date(d)))
+    return F.get(F.filter(read, lambda d: d.isNotNull()), F.lit(0))
+
+
 def exercise(text: Column) -> Column:
     """(start, end) of ``Du d/m/y au d/m/y``."""
     pattern = r"(?i)\bdu +([0-9]{2}/[0-9]{2}/[0-9]{4}) +au +([0-9]{2}/[0-9]{2}/[0-9]{4})"

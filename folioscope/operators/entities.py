@@ -32,10 +32,10 @@ def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> Da
     a = mentions.where("name is not null").select(F.col("name").alias("said")).distinct().select("said", F.explode(shortened(F.col("said"), distance)).alias("form"))
     b = companies.where("name is not null").select("company_id", F.col("name").alias("known"), F.explode(shortened(F.col("name"), distance)).alias("form"))
     near = a.join(b, "form").select("said", "company_id", F.levenshtein("said", "known", distance).alias("d")).where("d >= 0")
-    # of the nearest companies the smallest and the largest id, in one aggregate
-    best = near.groupBy(F.col("said").alias("name")).agg(F.min(F.struct("d", "company_id")).alias("lo"), F.min(F.struct("d", (-F.col("company_id")).alias("minus"))).alias("hi"))
+    # of the nearest companies the smallest and the largest id, in one aggregate; ids may be numbers or texts
+    best = near.groupBy(F.col("said").alias("name")).agg(F.min(F.struct("d", "company_id")).alias("lo"), F.max(F.struct((-F.col("d")).alias("minus"), "company_id")).alias("hi"))
     out = mentions.join(best, "name", "left")
-    one = F.coalesce(F.col("lo.company_id") == -F.col("hi.minus"), F.lit(False))
+    one = F.coalesce(F.col("lo.company_id") == F.col("hi.company_id"), F.lit(False))
     return out.select("mention_id", "name", F.when(one, F.col("lo.company_id")).alias("company_id"), one.alias("resolved"))
 
 

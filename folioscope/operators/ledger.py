@@ -38,8 +38,11 @@ def decisions(filings: DataFrame) -> DataFrame:
 
 
 def dated(events: DataFrame, text: Column, deposit: str = "dateDepot") -> DataFrame:
-    """Adds event_date and date_basis: a date from the text if it isn't after the deposit, else the deposit's."""
-    said = F.coalesce(french.numeric_date(text), french.written_date(text))
+    """Adds event_date and date_basis: the text's first date, in numbers or words, if it isn't after the deposit, else the deposit's.
+
+    A date that the text gives as that of its deposit is no evidence.
+    """
+    said = french.first_date(text)
     usable = said.isNotNull() & (said <= F.col(deposit))
     return events.withColumn("event_date", F.when(usable, said).otherwise(F.col(deposit))).withColumn("date_basis", F.when(usable, "text").otherwise("deposit"))
 
@@ -133,8 +136,9 @@ def repeated_filings(events: DataFrame, days: int) -> DataFrame:
 
 def capital_observations(lines: DataFrame, *keys: str) -> DataFrame:
     """Lines that state a company's capital, with the amount: letterheads restate it, so these are no events."""
-    said = lines.withColumn("_said", french.capital_statement(F.col("text")))
-    return said.where("_said.absolute is not null").select(*keys, "text", F.col("_said.absolute").alias("capital"))
+    some = lines.where(F.lower("text").contains("capital"))  # a cheap test before the parse
+    said = some.select(*keys, "text", F.explode(F.array(french.capital_statement(F.col("text"))["absolute"])).alias("capital"))
+    return said.where("capital is not null")
 
 
 def grounded(events: DataFrame, doc_id: str, page: str, box: str, snippet: str) -> DataFrame:

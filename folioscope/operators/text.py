@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: All white space of Unicode, which a line loses at both ends.
+BLANKS = "".join(chr(i) for i in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
+
+
 def stripped(c: Column) -> Column:
-    return F.trim(F.coalesce(c, F.lit("")))
+    return F.trim(F.coalesce(c, F.lit("")), F.lit(BLANKS))
 
 
 def lines(docs: DataFrame, *keys: str, column: str = "text") -> DataFrame:

@@ -14,11 +14,15 @@ from folioscope.storage import table
 # --- text -------------------------------------------------------------------------------------------------
 
 
-@query("""
-SELECT doc_id, i AS pos, trim(l) AS text
+_BLANK = r"[\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+_STRIPPED = f"regexp_replace(l, '^{_BLANK}|{_BLANK}$', '', 'g')"
+
+
+@query(f"""
+SELECT doc_id, i AS pos, {_STRIPPED} AS text
 FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS l,
              generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents)
-WHERE position('que' IN lower(trim(l))) > 0
+WHERE position('que' IN lower({_STRIPPED})) > 0
 """)
 def grep_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.grep(text.lines(table(spark, sf_dir, "documents"), "doc_id"), "que").select("doc_id", "pos", "text")
@@ -198,13 +202,13 @@ WITH m AS (SELECT s_suppkey AS mention_id, {_PERTURBED} AS name FROM supplier),
 d AS (SELECT mention_id, m.name, s_suppkey, levenshtein(m.name, s_name) AS d FROM m, supplier),
 near AS (SELECT *, min(d) OVER (PARTITION BY mention_id) AS least FROM d),
 best AS (SELECT mention_id, count(*) AS n, min(s_suppkey) AS s_suppkey FROM near WHERE d = least AND d <= 1 GROUP BY mention_id)
-SELECT m.mention_id, m.name, CASE WHEN n = 1 THEN s_suppkey END AS company_id, coalesce(n = 1, false) AS resolved
+SELECT m.mention_id, m.name, CASE WHEN n = 1 THEN 'S' || s_suppkey END AS company_id, coalesce(n = 1, false) AS resolved
 FROM m LEFT JOIN best USING (mention_id)
 """)
 def entity_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier")
     mentions = supplier.select(F.col("s_suppkey").alias("mention_id"), F.expr(_PERTURBED).alias("name"))
-    return entities.resolved(mentions, supplier.select(F.col("s_suppkey").alias("company_id"), F.col("s_name").alias("name")))
+    return entities.resolved(mentions, supplier.select(F.concat(F.lit("S"), F.col("s_suppkey").cast("string")).alias("company_id"), F.col("s_name").alias("name")))
 
 
 # --- coverage ---------------------------------------------------------------------------------------------

@@ -226,32 +226,55 @@ def share_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH d AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS deposit, CAST(o_orderdate AS DATE) - CAST(o_orderkey % 400 - 30 AS INTEGER) AS said FROM orders)
-SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 5 <> 0 AND said <= deposit THEN said ELSE deposit END, '%Y-%m-%d') AS event_date,
-  CASE WHEN o_orderkey % 5 <> 0 AND said <= deposit THEN 'text' ELSE 'deposit' END AS date_basis FROM d
+SELECT o_orderkey, strftime(CASE WHEN o_orderkey % 5 NOT IN (0, 3) AND said <= deposit THEN said ELSE deposit END, '%Y-%m-%d') AS event_date,
+  CASE WHEN o_orderkey % 5 NOT IN (0, 3) AND said <= deposit THEN 'text' ELSE 'deposit' END AS date_basis FROM d
 """)
 def event_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.date_sub(F.to_date("o_orderdate"), (F.col("o_orderkey") % 400 - 30).cast("int"))
-    said = F.when(F.col("o_orderkey") % 5 != 0, F.concat(F.lit("assemblée du "), F.date_format(day, "dd/MM/yyyy"))).otherwise("assemblée")
+    numeric, deposit = F.date_format(day, "dd/MM/yyyy"), F.date_format("o_orderdate", "dd/MM/yyyy")
+    month = F.element_at(F.array(*[F.lit(m.replace("fevrier", "février").replace("aout", "août")) for m in french.MONTHS]), F.month(day))
+    written = F.concat_ws(" ", F.dayofmonth(day), month, F.year(day))
+    # a written date before the deposit's, one after a deposit's date in words, and a deposit's date alone
+    said = F.when(F.col("o_orderkey") % 5 == 0, "assemblée").when(F.col("o_orderkey") % 5 == 1, F.concat(F.lit("acte du "), written, F.lit(" déposé le "), deposit))
+    said = said.when(F.col("o_orderkey") % 5 == 2, F.concat(F.lit("Dépôt du "), deposit, F.lit(", décision du "), numeric, F.lit(" et du 1er mai 1990")))
+    said = said.when(F.col("o_orderkey") % 5 == 3, F.concat(F.lit("déposé au greffe le "), deposit)).otherwise(F.concat(F.lit("assemblée du "), numeric))
     rows = table(spark, sf_dir, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("dateDepot"), said.alias("text"))
     return ledger.dated(rows, F.col("text")).select("o_orderkey", F.col("event_date").cast("string").alias("event_date"), "date_basis")
 
 
 def _statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentences of thirteen forms, of which ``_SAID`` says what each states: the new capital, a change, or nothing."""
     key, cents = F.col("o_orderkey"), F.round(F.col("o_totalprice") * 100).cast("long")
     new = F.concat(_spaced(F.expr("cast(round(o_totalprice * 100) as bigint) div 100")), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
-    said = F.when(key % 4 == 0, F.concat(F.lit("Le capital est porté de "), _spaced(1000 + key), F.lit(" euros à "), new, F.lit(" euros."))).when(key % 4 == 1, F.concat(F.lit("SARL au capital social de "), new, F.lit(" €"))).when(key % 4 == 2, F.concat(F.lit("Capital réduit de "), new, F.lit(" euros"))).otherwise("Objet social")
+    old = _spaced(1000 + key)
+    forms = [
+        ("Le capital est porté de ", old, " euros à ", new, " euros."),
+        ("SARL au capital social de ", new, " €"),
+        ("Capital réduit de ", new, " euros"),
+        ("Objet social",),
+        ("Le capital est porté de ", old, " euros à la somme de ", new, " euros"),
+        ("ramené de la somme de ", old, " € à celle de ", new, " €"),
+        ("Capital social : ", new, " euros"),
+        ("Son capital est de ", new, " euros, siège à Paris, apport de ", old, " euros"),
+        ("augmentation du capital social de ", new, " euros"),
+        ("Capital augmenté de ", old, " euros pour être porté à ", new, " euros"),
+        ("Le capital social est fixé à la somme de ", new, " euros"),
+        ("Prix de cession : ", new, " euros"),
+        ("augmentation de capital, porté de ", old, " F à ", new, " euros"),
+    ]
+    said = F.element_at(F.array(*[F.concat(*[F.lit(x) if isinstance(x, str) else x for x in form]) for form in forms]), (key % len(forms) + 1).cast("int"))
     return table(spark, sf_dir, "orders").select("o_orderkey", said.alias("text"))
 
 
-@query("SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders WHERE o_orderkey % 4 IN (0, 1)")
+@query("SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders WHERE o_orderkey % 13 IN (0, 1, 4, 6, 7, 9, 10, 12)")
 def capital_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = ledger.capital_observations(_statements(spark, sf_dir), "o_orderkey")
     return found.select("o_orderkey", (F.col("capital") * 100).cast("long").alias("cents"))
 
 
 @query("""
-SELECT o_orderkey, CASE o_orderkey % 4 WHEN 2 THEN -CAST(round(o_totalprice * 100) AS BIGINT) END AS delta,
-  CASE WHEN o_orderkey % 4 < 2 THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS absolute FROM orders
+SELECT o_orderkey, CASE o_orderkey % 13 WHEN 2 THEN -CAST(round(o_totalprice * 100) AS BIGINT) WHEN 8 THEN CAST(round(o_totalprice * 100) AS BIGINT) WHEN 9 THEN 100 * (1000 + o_orderkey) END AS delta,
+  CASE WHEN o_orderkey % 13 IN (0, 1, 4, 5, 6, 7, 9, 10, 12) THEN CAST(round(o_totalprice * 100) AS BIGINT) END AS absolute FROM orders
 """)
 def capital_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     cents = lambda c: (F.col(c) * 100).cast("long")

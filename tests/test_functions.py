@@ -135,3 +135,47 @@ def test_overlap(spark):
     assert one(spark, geometry.overlap(of(0, 0, 2, 2), of(1, 1, 3, 3))) == pytest.approx(1 / 7)
     assert one(spark, geometry.overlap(of(0, 0, 1, 1), of(2, 2, 3, 3))) == 0
     assert one(spark, geometry.overlap(of(0, 0, 0, 0), of(0, 0, 0, 0))) == 0
+
+
+@pytest.mark.parametrize(
+    ("text", "delta", "absolute"),
+    [
+        ("porté de 7 500 euros à la somme de 15 000 euros", None, 15000),
+        ("ramené de la somme de 9 000 € à celle de 3 000 €", None, 3000),
+        ("porté de 7 500 à 15 000 euros", None, 15000),
+        ("Capital social : 30 600 euros", None, 30600),
+        ("Son capital est de 30 600 euros", None, 30600),
+        ("Son capital social est de 30 600 euros. Siège à 75001 PARIS, apport de 20 euros", None, 30600),
+        ("SARL au capital de 8 000 €, siège à Lyon, prix de 12 €", None, 8000),
+        ("augmentation du capital social de 5 000 euros", 5000, None),
+        ("capital augmenté de 5 000 euros pour être porté à 15 000 euros", 5000, 15000),
+        ("réduction de capital de 5 000 euros, ramené de 20 000 euros à 15 000 euros", -5000, 15000),
+        ("augmentation de capital : le capital est porté de 7 500 euros à 15 000 euros", None, 15000),
+        ("fixé à 24.600 euros", None, 24600),
+        ("il est fixé à la somme de trente mille (30 000) euros", None, None),
+        ("Prix : 30 600 euros", None, None),
+        (None, None, None),
+    ],
+)
+def test_capital_statements(spark, text, delta, absolute):
+    got = spark.createDataFrame([(text,)], "t string").select(french.capital_statement(F.col("t")).alias("s")).first().s
+    assert (got.delta, got.absolute) == (delta, absolute)
+
+
+def test_first_date(spark):
+    texts = {
+        "acte du 3 mai 2010 déposé le 01/06/2010": "2010-05-03",
+        "déposé au greffe le 01/06/2010, acte du 3 mai 2010": "2010-05-03",
+        "Dépôt du 01/06/2010": None,
+        "le 31/02/2010 puis le 1er août 2011": "2011-08-01",
+        "du 05/04/2009 au 6 avril 2009": "2009-04-05",
+        "": None,
+    }
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", french.first_date(F.col("t")).cast("string").alias("d")).collect()
+    assert {r.t: r.d for r in rows} == texts
+
+
+def test_an_amount_is_matched_once(spark):
+    plan = spark.createDataFrame([("1 euro",)], "t string").select(french.amount(F.col("t")).alias("a")).select("a.amount", "a.currency")
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("(?<![0-9])") == 1, text
