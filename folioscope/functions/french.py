@@ -102,12 +102,22 @@ def written_date(text: Column) -> Column:
     return F.try_to_date(spelt, "yyyy-MM-dd")
 
 
-def first_date(text: Column) -> Column:
-    """The first date of a text in numbers or words; one that says when the text was deposited (``déposé le``) is passed over."""
+def dates(text: Column) -> Column:
+    """All dates of a text in numbers or words, in order; one that says when the text was deposited (``déposé le``) is passed over."""
     deposit = r"(?<!\bdepo[st][a-z]{0,4} {1,3}(?:au greffe |au registre )?(?:le|du) {1,3})"
     either = rf"{deposit}\b(?:[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{1,2}}(?:er)? +(?:{'|'.join(MONTHS)}) +[0-9]{{4}})\b"
     read = F.transform(F.regexp_extract_all(folded(text), F.lit(either), F.lit(0)), lambda d: F.coalesce(numeric_date(d), written_date(d)))
-    return F.get(F.filter(read, lambda d: d.isNotNull()), F.lit(0))
+    return F.filter(read, lambda d: d.isNotNull())
+
+
+def first_date(text: Column) -> Column:
+    """The first of ``dates``."""
+    return F.get(dates(text), F.lit(0))
+
+
+def last_date(text: Column) -> Column:
+    """The last of ``dates``."""
+    return F.try_element_at(dates(text), F.lit(-1))
 
 
 def exercise(text: Column) -> Column:
