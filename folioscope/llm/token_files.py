@@ -1,6 +1,6 @@
 """Token ids as flat binary files with 64-bit document offsets, for training readers that map them into memory.
 
-Documents are encoded, landed, dealt by ranges of doc_id and sorted; every partition streams one set of files:
+Documents are dealt by ranges of doc_id and sorted; every partition encodes its own and streams one set of files:
 
 * ``part-N-*.bin``: the ids of its documents, one after the other, as little-endian unsigned integers of 16 bits, or of 32 where the
   vocabulary needs them; nothing else.
@@ -10,36 +10,41 @@ Documents are encoded, landed, dealt by ranges of doc_id and sorted; every parti
 
 A part's base, the ids of all parts before it, comes from prefix sums over the parts' counts and stands in the table ``manifest`` (one
 row per part), so a document's global offset is base + offset, without a second pass over ids. Only counts go through the driver: one
-row per FILE_BYTES of ids. The manifest names the files: every attempt of a task writes files of its own, and those of an attempt
+row per FILE_BYTES of text. The manifest names the files: every attempt of a task writes files of its own, and those of an attempt
 that was lost are named nowhere. Files are written and read through Arrow's file systems in the folder that the cluster
 shares, mapped into memory where that is a mounted path, and read by ranges elsewhere.
 
-Texts are cut at ASCII white space, where the tokenizer file drops white space and no rule of it crosses any, and every distinct
-unit is encoded once by the library and kept in a cache of bounded size; with files of another form texts are encoded whole.
-Ids are those of the tokenizers library with add_special_tokens=False and the end id.
+Files of the form ``cuts_at_blanks`` tells (white space is dropped, and no rule crosses it) are read by their published pattern: texts, or their
+units between ASCII blanks, of ASCII and the letters U+00C0-00FF alone are lower-cased and cut into pre-tokens here, other units go
+through the library whole. Every distinct pre-token is encoded by the library's model and kept in a cache of bounded size, which tasks of a
+worker share. With files of another form texts are encoded whole. Ids are those of the tokenizers library with add_special_tokens=False and the end id.
 
 A null text is empty: its document is the end id alone. Documents are in ascending order of doc_id, null first; repeated doc_ids are in order
-of a hash of their ids, and rows equal in both are interchangeable, so no doc_id is bound to one part. An empty table gives no
+of a hash of their texts, and rows equal in both are interchangeable, so no doc_id is bound to one part. An empty table gives no
 part, and reading it no row. Other columns don't matter.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import sys
 import uuid
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.llm.fragments import byte_of_char
 from folioscope.storage import bounded_batches, land, new_folder, release
 
 MAGIC = b"FOLIOIDS"
-#: Bytes of ids per file, and the least for which a file more is made to keep all cores busy; of a batch read back.
-FILE_BYTES, LEAST_BYTES, READ_BYTES = 128 << 20, 4 << 20, 4 << 20
+#: Bytes of text per file, and the least for which a file more is made to keep all cores busy; bytes of a batch read back.
+FILE_BYTES, LEAST_BYTES, READ_BYTES = 256 << 20, 8 << 20, 4 << 20
 #: A pre-tokenizer pattern none of whose matches holds white space or depends on it (fixed value of such files).
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -60,50 +65,77 @@ def cuts_at_blanks(spec: dict) -> bool:
     return plain and not any(t["content"].split() != [t["content"]] for t in added) and spec["post_processor"] is None
 
 
-class Encoder:
-    """Ids of texts, as bytes of ``kind``; units are kept in a cache that starts afresh beyond ``most``."""
+#: Letters beyond ASCII that are read here, in lower case, and texts of which all characters are.
+_LATIN = "\u00df-\u00f6\u00f8-\u00ff"
+_KNOWN = re.compile(f"[\\t-\\r -~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
+#: The pattern WORDS over these characters; its alternatives exclude each other but for the contractions, which come first.
+_PIECES = re.compile(f"[a-z{_LATIN}]+|'(?:s|t|re|ve|m|ll|d)|[0-9]|[^\\sa-z0-9{_LATIN}]+").findall
 
-    BLOCK, LONGEST = 1 << 21, 64
 
-    def __init__(self, path: str, kind: str, most: int = 200_000):
+class Encoder(dict):
+    """Ids of texts, as bytes of ``kind``; itself the cache of pieces, in two generations of at most ``most`` each.
+
+    A piece is a pre-token, or after a NUL a unit that the library has to read.
+    """
+
+    LONGEST = 64
+
+    def __init__(self, path: str, kind: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
         with open(path, encoding="utf-8") as f:
-            self.cut = cuts_at_blanks(json.load(f))
-        self.kind, self.most, self.cache = kind, most, {}
-
-    def by_library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, self.kind).tobytes() for t in texts]
-
-    def encode_many(self, texts: list[str]) -> list[bytes]:
-        if not self.cut:
-            return self.by_library(texts)
-        out, block, held = [], [], 0
-        for t in texts:
-            units = t.encode("utf-8").split()
-            block.append(units)
-            held += len(t)
-            if held >= self.BLOCK:
-                out += self._block(block)
-                block, held = [], 0
-        return out + self._block(block)
-
-    def _block(self, texts: list[list[bytes]]) -> list[bytes]:
-        new = {u for units in texts for u in units if u not in self.cache}
-        if len(self.cache) + len(new) > self.most:
-            self.cache.clear()
-            new = {u for units in texts for u in units}
-        some = list(new)
-        self.cache.update(zip(some, self.by_library([u.decode("utf-8") for u in some])))
-        out = [b"".join(map(self.cache.__getitem__, units)) for units in texts]
-        for u in some:
-            if len(u) > self.LONGEST:
-                del self.cache[u]
+            spec = json.load(f)
+        self.cut, self.code, self.most, self.older = cuts_at_blanks(spec), {2: "H", 4: "I"}[np.dtype(kind).itemsize], most, {}
+        self.model, self.letters = self.tokenizer.model.tokenize, {b: c for c, b in byte_of_char().items()}
+        added = [re.escape(t["content"]) for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(added) or "(?!)").search
+
+    def packed(self, ids: list[int]) -> bytes:
+        out = array(self.code, ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
+    def by_library(self, text: str) -> bytes:
+        return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece[0] == "\0":
+                ids = self.by_library(piece[1:])
+            else:
+                word = piece if piece.isascii() else piece.encode("utf-8").decode("latin-1").translate(self.letters)
+                ids = self.packed([t.id for t in self.model(word)])
+        if len(piece) <= self.LONGEST:
+            if len(self) >= self.most:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
+
+    def pieces(self, text: str) -> list[str]:
+        if _KNOWN(text) and not self.special(text):
+            return _PIECES(text.lower())
+        out = []
+        for unit in text.encode("utf-8").split():
+            unit = unit.decode("utf-8")
+            out += _PIECES(unit.lower()) if _KNOWN(unit) and not self.special(unit) else ["\0" + unit]
         return out
 
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, self.pieces(text))) if self.cut else self.by_library(text)
+
+
+@lru_cache(maxsize=2)
+def encoder(path: str, kind: str) -> Encoder:
+    """The encoder of this worker, which its tasks share."""
+    return Encoder(path, kind)
+
 
 def id_kind(path: str, end_id: int) -> str:
     """Unsigned integers of 16 bits if all ids fit, else of 32."""
@@ -113,26 +145,16 @@ def id_kind(path: str, end_id: int) -> str:
     return "<u2" if max([*vocab.values(), end_id]) < 1 << 16 else "<u4"
 
 
-def _encoded(path: str, kind: str, end_id: int):
-    def run(batches):
-        encoder, end = Encoder(path, kind), np.array([end_id], kind).tobytes()
-        for batch in batches:
-            ids = encoder.encode_many([t or "" for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([i + end for i in ids], pa.binary())], ["doc_id", "ids"])
-
-    return run
-
-
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
 
-def _written(folder: str, size: int):
-    """Sorted rows (part, doc_id, ids) of one part to files, and one row about them."""
+def _written(folder: str, tokenizer: str, kind: str, end_id: int):
+    """Sorted rows (part, doc_id, text) of one part to files, and one row about them."""
 
     def run(batches):
-        out = docs = None
-        offsets = []
+        encode, end, size = encoder(tokenizer, kind).encode, np.array([end_id], kind).tobytes(), np.dtype(kind).itemsize
+        out, offsets = None, [0]
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -141,20 +163,19 @@ def _written(folder: str, size: int):
                 store.create_dir(path, recursive=True)
                 part = batch.column(0)[0].as_py()
                 name = f"part-{part:06d}-{uuid.uuid4().hex}"
-                out = store.open_output_stream(f"{path}/{name}.bin")
-                ids = store.open_output_stream(f"{path}/{name}.docs")
+                out, ids = store.open_output_stream(f"{path}/{name}.bin"), store.open_output_stream(f"{path}/{name}.docs")
                 docs = pa.ipc.new_file(ids, pa.schema([batch.schema.field(1)]))
             docs.write_batch(batch.select([1]))
-            for one in batch.column(2):
-                out.write(one.as_buffer())
-            offsets.append(np.asarray(pc.binary_length(batch.column(2))).astype(np.uint64) // size)
+            for text in batch.column(2).to_pylist():
+                data = encode(text or "") + end
+                out.write(data)
+                offsets.append(offsets[-1] + len(data) // size)
         if out is None:
             return
         out.close(), docs.close(), ids.close()
-        ends = np.concatenate([[np.uint64(0)], *offsets]).cumsum(dtype=np.uint64).astype("<u8")
         with store.open_output_stream(f"{path}/{name}.idx") as f:
-            f.write(MAGIC + np.array([size, len(ends) - 1], "<u8").tobytes() + ends.tobytes())
-        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "n_docs": [len(ends) - 1], "n_ids": [int(ends[-1])]})
+            f.write(MAGIC + np.array([size, len(offsets) - 1], "<u8").tobytes() + np.array(offsets, "<u8").tobytes())
+        yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "name": [name], "n_docs": [len(offsets) - 1], "n_ids": [offsets[-1]]})
 
     return run
 
@@ -162,29 +183,27 @@ def _written(folder: str, size: int):
 def write_token_files(documents: DataFrame, tokenizer: str, end_id: int = 1, folder: str | None = None, file_bytes: int = FILE_BYTES) -> str:
     """Writes the ids of (doc_id, text), each document's followed by ``end_id``, and returns the folder.
 
-    ``tokenizer`` is the path of a file of the tokenizers library, the same on all machines; ``folder`` is a URI that driver and executors share.
+    ``tokenizer`` is the path of a file of the tokenizers library, the same on all machines; ``folder`` is a URI that driver and executors
+    share. A file has the ids of about ``file_bytes`` of text.
     """
     spark = documents.sparkSession
     bounded_batches(spark)
     folder = folder or f"{new_folder(spark)}/tokens"
     kind = id_kind(tokenizer, end_id)
-    size = np.dtype(kind).itemsize
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    doc_id = rows.schema["doc_id"].dataType.simpleString()
-    ids = rows.mapInArrow(_encoded(tokenizer, kind, end_id), f"doc_id {doc_id}, ids binary")
-    ids = land(ids.withColumn("tie", F.xxhash64("ids")).withColumn("row", F.monotonically_increasing_id()), "ids")
-    count, total = ids.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()
-    parts = max(1, -(-total // file_bytes), min(spark.sparkContext.defaultParallelism, count, total // LEAST_BYTES))
+    count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-total // file_bytes), min(4 * spark.sparkContext.defaultParallelism, count, total // LEAST_BYTES))
     order = ["doc_id", "tie", "row"]
-    dealt = ids.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "ids")
-    found = land(dealt.mapInArrow(_written(folder, size), "part int, name string, n_docs long, n_ids long"), "parts")
+    dealt = rows.withColumn("tie", F.xxhash64("text")).withColumn("row", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(parts, *order).sortWithinPartitions(*order).select(F.spark_partition_id().alias("part"), "doc_id", "text")
+    found = land(dealt.mapInArrow(_written(folder, tokenizer, kind, end_id), "part int, name string, n_docs long, n_ids long"), "parts")
     held = found.orderBy("part").toArrow()
     for name, of in (("first_doc", "n_docs"), ("base", "n_ids")):
         n = held[of].to_numpy()
         held = held.append_column(name, pa.array(np.cumsum(n) - n, pa.int64()))
-    held = held.append_column("id_bytes", pa.array([size] * len(held), pa.int32()))
+    held = held.append_column("id_bytes", pa.array([np.dtype(kind).itemsize] * len(held), pa.int32()))
     spark.createDataFrame(held, SCHEMA).coalesce(1).write.parquet(f"{folder}/manifest")
-    release(ids, found)
+    release(found)
     return folder
 
 
