@@ -83,7 +83,7 @@ def scaled(value: Column, unit: Column) -> Column:
     return value * F.when(unit == "kEUR", 1000).otherwise(1)
 
 
-def folded(text: Column) -> Column:
+def folded(text: Column | str) -> Column:
     """Lower case without accents."""
     return F.lower(F.translate(text, ACCENTED, FOLDED))
 

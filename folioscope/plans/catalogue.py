@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import french, geometry
 from folioscope.operators import accounts, coverage, entities, ledger, text, workflow
-from folioscope.plans import captables, pages, readings  # noqa: F401  (their queries register themselves)
+from folioscope.plans import captables, pages, readings, statements  # noqa: F401  (their queries register themselves)
 from folioscope.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from folioscope.storage import table
 

@@ -145,24 +145,44 @@ def label_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return accounts.label_values(boxes.where(is_label), boxes.where(~is_label)).select("doc_id", "pos", "value_pos")
 
 
-@query(_L + """, v AS (
-  SELECT a.doc_id, CASE b.pos WHEN 3 THEN -1 ELSE 1 END * (b.p * 1000 + b.q) * CASE a.doc_id % 2 WHEN 1 THEN 1000 ELSE 1 END AS v,
-    row_number() OVER (PARTITION BY a.doc_id ORDER BY b.pos) AS n
-  FROM l a JOIN l b ON a.doc_id = b.doc_id AND a.pos = 1 AND b.pos > 1 AND abs(a.q - b.q) < 8)
-SELECT l.doc_id, 'assets' AS field, CASE l.doc_id % 2 WHEN 1 THEN 'kEUR' ELSE 'EUR' END AS unit, CAST(a.v AS DOUBLE) AS value, CAST(b.v AS DOUBLE) AS previous
-FROM l LEFT JOIN v a ON a.doc_id = l.doc_id AND a.n = 1 LEFT JOIN v b ON b.doc_id = l.doc_id AND b.n = 2 WHERE l.pos = 1
+@query(_L + """, r AS (
+  SELECT doc_id, pos, CASE WHEN (pos + doc_id) % 4 <> 0 THEN (p * 1000 + q) * CASE WHEN pos = 3 THEN -1 ELSE 1 END END AS a, CASE WHEN (pos + doc_id) % 5 <> 0 THEN p * 7 END AS b FROM l
+), c AS (SELECT doc_id, count(a) AS has_a, count(b) AS has_b, CASE doc_id % 2 WHEN 1 THEN 1000 ELSE 1 END AS scale FROM r GROUP BY doc_id),
+v AS (
+  SELECT doc_id, pos, scale,
+    CASE WHEN doc_id % 3 = 2 OR (doc_id % 3 = 0 AND has_a = 0) THEN b ELSE a END AS n,
+    CASE WHEN doc_id % 3 = 2 THEN a WHEN doc_id % 3 = 1 OR (has_a > 0 AND has_b > 0) THEN b END AS before
+  FROM r JOIN c USING (doc_id) WHERE pos <= 2
+)
+SELECT doc_id, CASE pos WHEN 1 THEN 'assets' ELSE 'equity' END AS field, CASE doc_id % 2 WHEN 1 THEN 'kEUR' ELSE 'EUR' END AS unit,
+  CAST(n * scale AS DOUBLE) AS value, CAST(before * scale AS DOUBLE) AS previous FROM v
 """)
 def page_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, pos = _lines(spark, sf_dir), F.col("pos")
+    """Statements of two columns with blanks; a third of the pages doesn't name them, a third has the year before first; some lines hold label and amount."""
+    lines, pos, key = _lines(spark, sf_dir), F.col("pos"), F.col("doc_id")
     number = _spaced((F.col("p") * 1000 + F.col("q")).cast("long"))
-    said = F.when(pos == 1, "CO Total général").when(pos == 3, F.concat(F.lit("("), number, F.lit(")"))).otherwise(number)
-    body = lines.select("doc_id", F.lit(1).alias("page"), "pos", said.alias("text"), _boxed(pos == 1).alias("box"))
+    left = F.when((pos + key) % 4 != 0, F.when(pos == 3, F.concat(F.lit("("), number, F.lit(")"))).otherwise(number))
+    right = F.when((pos + key) % 5 != 0, _spaced(F.col("p") * 7))
+    label = F.concat(F.element_at(F.array(*map(F.lit, ("CO", "DL", "AA", "AB", "AC", "AD", "AE"))), pos.cast("int")), F.lit(" Total général"))
+    box = lambda x0, x1: F.array(F.lit(float(x0)), 100.0 * pos, F.lit(float(x1)), 100.0 * pos + 30)
+    # every sixth line is read as one, up to the right edge of the first column
+    joined = ((pos + key) % 6 == 1) & left.isNotNull()
+    parts = F.filter(
+        F.array(
+            F.struct(F.lit(0).alias("at"), F.when(joined, F.concat(label, F.lit(" "), left)).otherwise(label).alias("text"), F.when(joined, box(100, 1200)).otherwise(box(100, 700)).alias("box")),
+            F.struct(F.lit(10).alias("at"), F.when(~joined, left).alias("text"), box(1040, 1203).alias("box")),
+            F.struct(F.lit(20).alias("at"), right.alias("text"), box(1700, 1795).alias("box")),
+        ),
+        lambda x: x["text"].isNotNull(),
+    )
+    body = lines.select("doc_id", F.lit(1).alias("page"), "pos", F.explode(parts).alias("x")).select("doc_id", "page", (pos + F.col("x.at")).alias("pos"), "x.text", "x.box")
     heads = lines.select("doc_id").distinct()
-    aside = F.array(*[F.lit(float(x)) for x in (0, 9000, 10, 9008)])
-    unit = F.when(F.col("doc_id") % 2 == 1, "Montants en milliers d'euros").otherwise("Montants en euros")
-    for at, text in ((0, F.lit("N° 2050-SD 2020")), (100, unit)):
-        body = body.unionByName(heads.select("doc_id", F.lit(1).alias("page"), F.lit(at).alias("pos"), text.alias("text"), aside.alias("box")))
-    registry = spark.sql("SELECT * FROM VALUES ('assets', '2050', 'CO'), ('none', '2050', 'ZZ') AS r(field, form, code)")
+    unit = F.when(key % 2 == 1, "Montants en milliers d'euros").otherwise("Montants en euros")
+    named = lambda a, b: F.when(key % 3 == 1, a).when(key % 3 == 2, b).otherwise("Divers")
+    for at, text, x in ((100, F.lit("N° 2050-SD 2020"), 0), (101, unit, 0), (102, named("Exercice N", "N - 1"), 1060), (103, named("N-1", "Exercice N"), 1650)):
+        place = F.array(*[F.lit(float(v)) for v in (x, 9000, x + 130, 9030)])
+        body = body.unionByName(heads.select("doc_id", F.lit(1).alias("page"), F.lit(at).alias("pos"), text.alias("text"), place.alias("box")))
+    registry = spark.sql("SELECT * FROM VALUES ('assets', '2050', 'CO'), ('equity', '2050', 'DL'), ('none', '2050', 'ZZ') AS r(field, form, code)")
     found = accounts.field_values(body, registry)
     return found.select("doc_id", "field", "unit", F.col("value").cast("double").alias("value"), F.col("previous").cast("double").alias("previous"))
 
