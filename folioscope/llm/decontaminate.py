@@ -7,7 +7,7 @@ those of the benchmark, and each hit is extended to the left and right as far as
 least SPAN words is marked. An item of 1 to SPAN - 1 words is one window as a whole and found by the hash of all
 its words, which is looked up at every place of a document.
 
-The benchmark's index goes to the executors in blocks of at most ``block_words`` words (16 bytes each), one
+The benchmark's index goes to the executors in blocks of at most ``block_words`` words (16 bytes each: a hash and an item), one
 broadcast a block; a document passes through all blocks in one task and carries its hits along. So the
 broadcast stays bounded for any benchmark, and no document's text is shuffled.
 
@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.llm.carried import parted
 from folioscope.llm.words import WordHashes, alnum_words, grams
 from folioscope.storage import bounded_batches, land
 
@@ -46,62 +47,61 @@ def fingerprints(h: np.ndarray, window: int) -> np.ndarray:
 
 
 class Index:
-    """Fingerprints of a block of benchmark items and what is needed to extend hits."""
+    """Fingerprints of a block of benchmark items, and their windows of SPAN words, each once with the list of items that hold it."""
 
     def __init__(self, items: list[tuple[str | None, str | None]]):
-        hashes, words, keys, item, place, self.names, self.starts = WordHashes(), [], [], [], [], [], [0]
-        self.short: dict[int, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
+        hashes, keys, windows, owners, self.names = WordHashes(), [np.empty(0, np.uint64)], [np.empty(0, np.uint64)], [np.empty(0, np.int64)], []
+        short: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for name, text in items:
             w = hashes.of(alnum_words(text))
             if not len(w):
                 continue
             k = len(self.names)
             self.names.append(name)
-            words.append(w)
-            self.starts.append(self.starts[-1] + len(w))
             if len(w) < SPAN:
-                self.short[len(w)][int(grams(w, len(w))[0])].append(k)
+                short[len(w)][int(grams(w, len(w))[0])].add(k)
                 continue
-            g = grams(w, GRAM)
-            at = fingerprints(g, SPAN - GRAM + 1)
-            keys.append(g[at]), place.append(at), item.append(np.full(len(at), k))
-        self.short = {n: dict(x) for n, x in self.short.items()}
-        self.short_keys = {n: np.sort(np.array(list(x), np.uint64)) for n, x in self.short.items()}
-        self.words = np.concatenate([np.empty(0, np.uint64), *words])
-        keys = np.concatenate([np.empty(0, np.uint64), *keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys = keys[order]
-        self.item = np.concatenate([np.empty(0, np.int64), *item])[order]
-        self.place = np.concatenate([np.empty(0, np.int64), *place])[order]
+            g, own = grams(w, GRAM), np.unique(grams(w, SPAN))
+            keys.append(g[fingerprints(g, SPAN - GRAM + 1)]), windows.append(own), owners.append(np.full(len(own), k))
+        self.short = {n: (np.sort(np.array(list(x), np.uint64)), {h: np.array(sorted(v)) for h, v in x.items()}) for n, x in short.items()}
+        self.keys = np.unique(np.concatenate(keys))
+        windows, owners = np.concatenate(windows), np.concatenate(owners)
+        order = np.argsort(windows, kind="stable")
+        self.windows, starts = np.unique(windows[order], return_index=True)
+        #: Windows that the same items hold share a list.
+        self.lists, self.list_of = [], np.empty(len(self.windows), np.int64)
+        seen: dict[bytes, int] = {}
+        for i, own in enumerate(np.split(owners[order], starts[1:]) if len(starts) else []):
+            k = seen.setdefault(own.tobytes(), len(self.lists))
+            if k == len(self.lists):
+                self.lists.append(own)
+            self.list_of[i] = k
 
     def hits(self, w: np.ndarray) -> tuple[list[tuple[int, int]], set[int]]:
-        """Spans of a document's words inside occurrences of windows, and the items that occur."""
-        spans, found = [], set()
-        for n, known in self.short.items():
+        """Spans of a document's words inside occurrences of windows, and the items that occur.
+
+        A fingerprint that both sides have is extended to every window of SPAN words around it; a window counts if it is one of the
+        benchmark's, however many items hold it, and its items are added once.
+        """
+        spans, found = [], [np.empty(0, np.int64)]
+        for n, (keys, known) in self.short.items():
             g = grams(w, n)
-            for p in np.flatnonzero(_member(self.short_keys[n], g)).tolist():
-                spans.append((p, p + n))
-                found.update(known[int(g[p])])
+            at = np.flatnonzero(_member(keys, g)) if len(g) else np.empty(0, np.int64)
+            spans += [(p, p + n) for p in at.tolist()]
+            found += [known[h] for h in np.unique(g[at]).tolist()]
         g = grams(w, GRAM)
-        if not len(g) or not len(self.keys):
-            return spans, found
-        at = fingerprints(g, SPAN - GRAM + 1)
-        at = at[_member(self.keys, g[at])]
-        done: dict[tuple[int, int], int] = {}
-        for p, lo, hi in zip(at.tolist(), np.searchsorted(self.keys, g[at]).tolist(), np.searchsorted(self.keys, g[at], "right").tolist()):
-            for k in range(lo, hi):
-                item, q = int(self.item[k]), int(self.place[k])
-                if done.get((item, p - q), 0) > p:
-                    continue
-                first, last = self.starts[item], self.starts[item + 1]
-                q += first
-                left = _run(w[:p][::-1], self.words[first:q][::-1])
-                right = _run(w[p:], self.words[q:last])
-                done[item, p - q + first] = p + max(right, 1)
-                if left + right >= min(SPAN, last - first):
-                    spans.append((p - left, p + right))
-                    found.add(item)
-        return spans, found
+        if len(w) >= SPAN and len(self.keys):
+            at = fingerprints(g, SPAN - GRAM + 1)
+            at = at[_member(self.keys, g[at])]
+            if len(at):
+                starts = np.unique((at[:, None] - np.arange(SPAN - GRAM + 1)).reshape(-1))
+                starts = starts[(starts >= 0) & (starts <= len(w) - SPAN)]
+                h = grams(w, SPAN)[starts]
+                own = _member(self.windows, h)
+                spans += [(p, p + SPAN) for p in starts[own].tolist()]
+                lists = np.unique(self.list_of[np.searchsorted(self.windows, np.unique(h[own]))])
+                found += [self.lists[k] for k in lists.tolist()]
+        return spans, set(np.unique(np.concatenate(found)).tolist())
 
 
 def _member(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -110,17 +110,6 @@ def _member(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
     return keys[at] == x
 
 
-def _run(a: np.ndarray, b: np.ndarray) -> int:
-    """Length of the common start, read in growing steps."""
-    n, k, step = min(len(a), len(b)), 0, 64
-    while k < n:
-        differ = np.flatnonzero(a[k : min(n, k + step)] != b[k : min(n, k + step)])
-        if len(differ):
-            return k + int(differ[0])
-        k, step = k + step, 4 * step
-    return n
-
-
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
@@ -165,7 +154,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
     items = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").cast("string").alias("text"))
     size = items.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
     blocks = max(1, -(-size[1] // (2 * block_words)))  # a word takes two characters at least, with its blank
-    out = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    out, row = parted(documents)
     schema = T.StructType([*out.schema.fields, *T.StructType.fromDDL(_FOUND).fields])
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
@@ -173,4 +162,4 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
         out = out.mapInArrow(_mark(index, k == 0), schema)
         if k % 4 == 3 and k + 1 < blocks:
             out = land(out, "hits")
-    return out.select("row", "found")
+    return out.select(row.alias("row"), "found")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from folioscope.llm.carried import parted
 from folioscope.llm.words import mix
 from folioscope.storage import bounded_batches, land
 
@@ -222,8 +223,8 @@ def decide(langs: list[str], means: dict[str, float], q: float, x: np.ndarray, b
     return lang, score, least, least - means[lang] > SLACK + q / len(x) ** 0.5
 
 
-def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema):
-    """Adds a block's bits to the last column, which ``first`` creates; ``finish`` makes the last columns of the sums."""
+def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema, keep: bool):
+    """Adds a block's bits to the last column, which ``first`` creates; ``finish`` makes the last columns of the sums; ``keep`` keeps the text."""
 
     def run(batches):
         model = block.value if block else None
@@ -239,24 +240,24 @@ def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema):
                     bits = bits + np.array(before)
                 out.append(finish(x, bits) if finish else (None if bits is None else bits.tolist(),))
             columns = list(zip(*out)) if out else [[]] * len(added)
-            kept = rest if finish else [batch.column(0), *rest]
-            names = names if finish else [batch.schema.names[0], *names]
+            kept = [batch.column(0), *rest] if keep else rest
+            names = [batch.schema.names[0], *names] if keep else names
             yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, f.type) for c, f in zip(columns, added)]], [*names, *added.names])
 
     return run
 
 
-def _scored(rows: DataFrame, blocks: list[Broadcast], finish, added: pa.Schema) -> DataFrame:
-    """``rows`` without their first column, the text, and with the columns that ``finish`` makes of its normal form and bits."""
+def _scored(rows: DataFrame, blocks: list[Broadcast], finish, added: pa.Schema, keep: bool = False) -> DataFrame:
+    """``rows``, without their first column, the text, unless ``keep``, and with the columns that ``finish`` makes of its normal form and bits."""
     fields = rows.schema.fields
     sums = pa.schema([("bits", pa.list_(pa.float64()))])
     out = rows
     for k, block in enumerate(blocks[:-1]):
-        out = out.mapInArrow(_pass(block, k == 0, None, sums), T.StructType([*fields, *from_arrow_schema(sums).fields]))
+        out = out.mapInArrow(_pass(block, k == 0, None, sums, True), T.StructType([*fields, *from_arrow_schema(sums).fields]))
         if k % 4 == 3:
             out = land(out, "bits")
     last = blocks[-1] if blocks else None
-    return out.mapInArrow(_pass(last, len(blocks) < 2, finish, added), T.StructType([*fields[1:], *from_arrow_schema(added).fields]))
+    return out.mapInArrow(_pass(last, len(blocks) < 2, finish, added, keep), T.StructType([*fields[0 if keep else 1 :], *from_arrow_schema(added).fields]))
 
 
 def _calibration(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> tuple[dict[str, float], float]:
@@ -339,5 +340,6 @@ def identify(documents: DataFrame, identifier: Identifier) -> DataFrame:
     """For every row of ``documents``: ``row``, its columns, lang_pred, score, bits and rejected, from the text alone."""
     bounded_batches(documents.sparkSession)
     added = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("rejected", pa.bool_())])
-    rows = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
-    return _scored(rows, identifier.blocks, partial(decide, identifier.langs, identifier.means, identifier.q), added)
+    rows, row = parted(documents)
+    scored = _scored(rows, identifier.blocks, partial(decide, identifier.langs, identifier.means, identifier.q), added, keep=True)
+    return scored.select(row.alias("row"), *added.names)

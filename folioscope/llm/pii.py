@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.llm.carried import parted
 from folioscope.llm.words import alnum_words
 from folioscope.storage import bounded_batches, land
 
@@ -303,7 +304,7 @@ def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
     """
     spark = documents.sparkSession
     terms = disclosing_terms(documents, block_terms)
-    out = documents.select(F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    out, row = parted(documents)
     added = T.StructType.fromDDL("spans array<struct<kind: string, start: long, end: long, action: string>>, clean string").fields
     fields, blocks = out.schema.fields, _blocks(terms, block_terms)
     for k, block in enumerate(blocks):
@@ -311,4 +312,4 @@ def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
         out = out.mapInArrow(_find(known, k == 0, last), T.StructType([*fields, *added[: 1 + last]]))
         if k % 4 == 3 and not last:
             out = land(out, "found")
-    return out.select("row", "spans", "clean")
+    return out.select(row.alias("row"), "spans", "clean")

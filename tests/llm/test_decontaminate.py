@@ -64,3 +64,25 @@ def test_odd_documents(spark, odd_documents):
     empty = benchmark.where("false")
     assert all(not r.found.starts for r in decontaminate.contamination(odd_documents, empty).collect())
     assert decontaminate.contamination(odd_documents.where("false"), benchmark).count() == 0
+
+
+def test_a_preamble_that_all_items_share_costs_as_much_as_one():
+    import time
+
+    import numpy as np
+
+    from folioscope.llm.words import WordHashes, alnum_words
+
+    preamble = " ".join(f"w{i}" for i in range(12))
+    text = " ".join(f"{preamble} own {i}" for i in range(20))
+    took = {}
+    for n in (1000, 16_000):
+        index = decontaminate.Index([(f"i{k}", f"{preamble} item {k} says this") for k in range(n)])
+        w = WordHashes().of(alnum_words(text))
+        assert len(index.lists) < n + 10
+        start = time.perf_counter()
+        spans, found = index.hits(w)
+        took[n] = time.perf_counter() - start
+        assert len(found) == n and decontaminate.merged(spans) == [(14 * i, 14 * i + 12) for i in range(20)]
+    assert took[16_000] < 0.2
+    assert isinstance(index.list_of, np.ndarray)
