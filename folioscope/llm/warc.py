@@ -6,18 +6,25 @@ archives of some ARCHIVE payload bytes; a dictionary is trained on each archive'
 (a bounded sample, of that archive alone) and stands, itself compressed, in a skippable frame of the magic number
 0x184D2A5D at the start of the file. Archives too small to train on have none.
 
-Reading: the dictionary is loaded from that frame if there is one, frames are found by their block headers, each is
-decoded by itself, and must hold exactly one record: its version line, required headers, lengths and the digest
-of its payload are checked, and anything wrong raises ValueError with the archive's name.
+Reading, also of archives from elsewhere: the dictionary is loaded from that frame if there is one, other skippable frames are passed over,
+frames are found by their block headers, each is decoded by itself, to FRAME bytes at most, and must hold exactly one record: its
+version line, required headers and length are checked, and its block and payload digests where they are of a known kind (md5, sha1,
+sha256 or sha512, in hexadecimal or base 32). Anything wrong raises ValueError with the archive's name. ``read_records`` returns records
+of every type; ``read_archives`` responses and revisits alone, as pages. Lengths are those of the WARC header; only a revisit, which has no payload,
+takes its payload's from the HTTP head, and null where that doesn't tell. A page_id is read off record ids of the form written here and is null
+for others. A response's payload_digest is computed; a revisit's is its header's, bare if it is SHA-256.
 
 Archives are binary rows, so that Spark commits them to any store; ``binaryFile`` gives rows of the same form
 from files. A null html is an empty payload, a null url ``about:blank``. Pages that repeat the smallest page_id of
 their payload are responses all. A null page_id is smaller than none: such a page is a response only if no other of its
-payload has an id. Empty tables give no archives. Other columns don't matter.
+payload has an id. A record's id is made of the page_id, so pages that repeat one have equal record ids, and null ones ``<urn:page:>``. Empty tables
+give no archives. Other columns don't matter.
 """
 
 from __future__ import annotations
 
+import base64
+import binascii
 import hashlib
 import re
 import struct
@@ -31,6 +38,8 @@ from pyspark.sql import functions as F
 from folioscope.storage import BROADCAST_BYTES, bounded_batches, land
 
 LEAST, ARCHIVE, TRAINED, DICTIONARY = 100, 8 << 20, 1 << 20, 32 << 10
+#: Bytes that one frame may decode to, and of its window.
+FRAME, FRAME_WINDOW = 1 << 30, 1 << 27
 DATE = "2025-01-01T00:00:00Z"
 #: Fixed values of the formats: magic numbers of the dictionary's frame, of dictionaries and of frames, and the profile of revisits.
 SKIPPABLE, DICT_MAGIC, FRAME_MAGIC = 0x184D2A5D, 0xEC30A437, 0xFD2FB528
@@ -111,45 +120,96 @@ def parsed(raw: bytes) -> tuple[dict[str, str], bytes]:
     return headers, rest[:-4]
 
 
-def records(data: bytes):
-    """(headers, block) of every record of an archive."""
+def _skippable(data: bytes, at: int) -> int:
+    """Where the skippable frame at ``at`` ends."""
+    if len(data) < at + 8 or len(data) < (end := at + 8 + struct.unpack_from("<I", data, at + 4)[0]):
+        raise ValueError("a skippable frame is cut off")
+    return end
+
+
+def records(data: bytes, most: int = FRAME):
+    """(headers, block) of every record of an archive, each of at most ``most`` bytes."""
     at, trained = 0, None
     if data[:4] == struct.pack("<I", SKIPPABLE):
-        if len(data) < 8 or len(data) < (at := 8 + struct.unpack_from("<I", data, 4)[0]):
-            raise ValueError("the dictionary's frame is cut off")
+        at = _skippable(data, 0)
         stored = data[8:at]
         if stored[:4] == struct.pack("<I", FRAME_MAGIC):
-            stored = zstandard.ZstdDecompressor().decompress(stored)
+            stored = _decoded(zstandard.ZstdDecompressor(max_window_size=FRAME_WINDOW), stored, most)
         if stored[:4] != struct.pack("<I", DICT_MAGIC):
             raise ValueError("no dictionary in the leading frame")
         trained = zstandard.ZstdCompressionDict(stored)
-    reader = zstandard.ZstdDecompressor(dict_data=trained)
+    reader = zstandard.ZstdDecompressor(dict_data=trained, max_window_size=FRAME_WINDOW)
     while at < len(data):
+        if len(data) >= at + 4 and struct.unpack_from("<I", data, at)[0] & 0xFFFFFFF0 == SKIPPABLE & 0xFFFFFFF0:
+            at = _skippable(data, at)
+            continue
         end = frame_end(data, at)
-        yield parsed(reader.decompressobj().decompress(data[at:end]))
+        yield parsed(_decoded(reader, data[at:end], most))
         at = end
 
 
-def _page(value: str) -> int | None:
-    if not (m := re.fullmatch(r"<urn:page:(-?[0-9]*)>", value)):
-        raise ValueError(f"a record id of another form: {value[:80]}")
-    return int(m[1]) if m[1] else None
-
-
-def page(headers: dict[str, str], block: bytes) -> tuple:
-    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of a record."""
-    kind, digest = headers["warc-type"], headers.get("warc-payload-digest", "")
-    http, found, payload = block.partition(b"\r\n\r\n")
-    length = re.search(rb"\r\nContent-Length: ([0-9]+)", http)
-    if kind not in ("response", "revisit") or not found or not length or not re.fullmatch("sha256:[0-9a-f]{64}", digest):
-        raise ValueError("a record of another form")
-    size = int(length[1])
-    if kind == "response" and (size != len(payload) or hashlib.sha256(payload).hexdigest() != digest[7:]):
-        raise ValueError(f"the payload of {headers['warc-record-id']} isn't what its length and digest say")
-    if kind == "revisit" and (payload or "warc-refers-to" not in headers):
-        raise ValueError(f"{headers['warc-record-id']} is no proper revisit")
-    refers_to = _page(headers["warc-refers-to"]) if kind == "revisit" else None
-    return _page(headers["warc-record-id"]), headers.get("warc-target-uri"), size, digest[7:], kind, refers_to, payload if kind == "response" else None
+def _decoded(reader: zstandard.ZstdDecompressor, frame: bytes, most: int) -> bytes:
+    with reader.stream_reader(frame) as f:
+        out = f.read(most + 1)
+    if len(out) > most:
+        raise ValueError(f"a frame of more than {most} bytes")
+    return out
+
+
+def verified(label: str, stated: str, data: bytes) -> None:
+    """Raises if ``data`` hasn't the digest ``algorithm:value``; other algorithms and forms can't be checked and pass."""
+    name, _, value = stated.partition(":")
+    name = name.lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha512"):
+        return
+    true = hashlib.new(name, data).digest()
+    try:
+        said = bytes.fromhex(value) if len(value) == 2 * len(true) else base64.b32decode(value.upper() + "=" * (-len(value) % 8))
+    except (ValueError, binascii.Error):
+        raise ValueError(f"a digest of another form: {stated[:80]}") from None
+    if said != true:
+        raise ValueError(f"the {label} isn't what its digest says")
+
+
+def entry(headers: dict[str, str], block: bytes) -> tuple:
+    """(record_id, type, url, date, content_type, payload_bytes, payload_digest, refers_to, payload) of a record of any type, checked.
+
+    The payload of HTTP messages is what follows their head, of other records the block; a revisit's is null.
+    """
+    kind, content = headers["warc-type"].lower(), headers.get("content-type", "")
+    payload, head = block, b""
+    if kind in ("response", "request", "revisit") and content.lower().replace(" ", "").startswith("application/http"):
+        head, found, payload = block.partition(b"\r\n\r\n")
+        if not found and kind == "response":
+            raise ValueError(f"{headers['warc-record-id']} holds no HTTP message")
+    if stated := headers.get("warc-block-digest"):
+        verified(f"block of {headers['warc-record-id']}", stated, block)
+    digest = headers.get("warc-payload-digest")
+    if kind == "revisit":
+        if payload:
+            raise ValueError(f"{headers['warc-record-id']} is no proper revisit")
+        length = re.search(rb"(?i)\r\ncontent-length:[ \t]*([0-9]+)[ \t]*(?:\r\n|$)", head)
+        size, payload = int(length[1]) if length else None, None
+    else:
+        if digest:
+            verified(f"payload of {headers['warc-record-id']}", digest, payload)
+        size, digest = len(payload), f"sha256:{hashlib.sha256(payload).hexdigest()}"
+    target = headers.get("warc-target-uri", "").strip("<>") or None
+    return headers["warc-record-id"], kind, target, headers["warc-date"], content or None, size, digest, headers.get("warc-refers-to"), payload
+
+
+def _page(value: str | None) -> int | None:
+    m = re.fullmatch(r"<urn:page:(-?[0-9]+)>", value or "")
+    return int(m[1]) if m else None
+
+
+def page(headers: dict[str, str], block: bytes) -> tuple | None:
+    """(page_id, url, payload_bytes, payload_digest, record_type, refers_to, payload) of a response or revisit, None of other records."""
+    record_id, kind, url, _, _, size, digest, refers_to, payload = entry(headers, block)
+    if kind not in ("response", "revisit"):
+        return None
+    digest = digest[7:].lower() if (digest or "").startswith("sha256:") and len(digest) == 71 else digest
+    return _page(record_id), url, size, digest, kind, _page(refers_to), payload
 
 
 def _write(batches):
@@ -172,26 +232,35 @@ def _write(batches):
 _PAGE = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
-def _read(with_payload: bool):
-    types = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
-    names = [x.split()[0] for x in _PAGE.split(", ")] + ["payload"]
+_RECORD = "path string, record_id string, type string, url string, date string, content_type string, payload_bytes long, payload_digest string, refers_to string"
+
+
+def _read(of, ddl: str, with_payload: bool):
+    """Rows (path, content) to the rows that ``of`` makes of each record, None for none; ``ddl`` names their columns, a payload last."""
+    names = [x.split()[0] for x in ddl.split(", ")]
+    types = [pa.int64() if x.endswith(" long") else pa.string() for x in ddl.split(", ")]
+    if with_payload:
+        names, types = [*names, "payload"], [*types, pa.binary()]
 
     def run(batches):
         for batch in batches:
             for path, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                rows = []
+                rows, held = [], 0
 
                 def some():
-                    columns = zip(*rows) if rows else [[]] * 7
-                    arrays = [pa.array(c, t) for c, t in zip(columns, types)]
-                    return pa.RecordBatch.from_arrays(arrays if with_payload else arrays[:-1], names if with_payload else names[:-1])
+                    columns = list(zip(*rows)) if rows else [[]] * len(names)
+                    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
                 try:
                     for headers, block in records(data):
-                        rows.append(page(headers, block) if with_payload else (*page(headers, block)[:-1], None))
-                        if len(rows) >= 500:
+                        row = of(path, headers, block)
+                        if row is None:
+                            continue
+                        rows.append(row if with_payload else row[:-1])
+                        held += len(block) if with_payload else 0
+                        if len(rows) >= 500 or held >= ARCHIVE:
                             yield some()
-                            rows.clear()
+                            rows, held = [], 0
                 except (ValueError, zstandard.ZstdError) as e:
                     raise ValueError(f"{path}: {e}") from e
                 yield some()
@@ -216,6 +285,14 @@ def write_archives(pages: DataFrame) -> DataFrame:
 
 
 def read_archives(archives: DataFrame, with_payload: bool = False) -> DataFrame:
-    """The pages of archives: rows of (path, content), from ``write_archives`` or Spark's ``binaryFile`` source."""
+    """The pages of archives, responses and revisits: rows of (path, content), from ``write_archives`` or Spark's ``binaryFile`` source."""
+    bounded_batches(archives.sparkSession)
+    read = _read(lambda path, headers, block: page(headers, block), _PAGE, with_payload)
+    return archives.select("path", "content").mapInArrow(read, _PAGE + (", payload binary" if with_payload else ""))
+
+
+def read_records(archives: DataFrame, with_payload: bool = False) -> DataFrame:
+    """All records of archives, of every type: path, record_id, type, url, date, content_type, payload_bytes, payload_digest, refers_to."""
     bounded_batches(archives.sparkSession)
-    return archives.select("path", "content").mapInArrow(_read(with_payload), _PAGE + (", payload binary" if with_payload else ""))
+    read = _read(lambda path, headers, block: (path, *entry(headers, block)), _RECORD, with_payload)
+    return archives.select("path", "content").mapInArrow(read, _RECORD + (", payload binary" if with_payload else ""))

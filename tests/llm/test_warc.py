@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import hashlib
 import struct
 
@@ -76,3 +77,73 @@ def test_pages(spark, tmp_path):
     texts = [r.payload for r in warc.read_archives(files, with_payload=True).collect()]
     assert len(texts) == len(rows) and sum(t is None for t in texts) == 3
     assert warc.read_archives(warc.write_archives(pages.where("false"))).count() == 0
+
+
+def foreign(kind, block, **headers):
+    """A record as other writers have it."""
+    names = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{kind}-{len(block)}>", "WARC-Date": "2020-02-02T00:00:00Z", **{k.replace("_", "-"): v for k, v in headers.items()}}
+    head = "".join(f"{k}: {v}\r\n" for k, v in names.items())
+    return f"WARC/1.0\r\n{head}Content-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def sha1(data):
+    return "sha1:" + base64.b32encode(hashlib.sha1(data).digest()).decode()
+
+
+BODY = b"<p>hello</p>" * 20
+HTTP = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n" + BODY
+MESSAGE = "application/http; msgtype=response"
+FOREIGN = [
+    foreign("warcinfo", b"software: other/1.0\r\n", Content_Type="application/warc-fields"),
+    foreign("request", b"GET / HTTP/1.1\r\nHost: x\r\n\r\n", Content_Type="application/http; msgtype=request", WARC_Target_URI="http://x/"),
+    foreign("response", HTTP, Content_Type=MESSAGE, WARC_Target_URI="<http://x/>", WARC_Payload_Digest=sha1(BODY), WARC_Block_Digest=sha1(HTTP)),
+    foreign("response", HTTP + b"2", Content_Type=MESSAGE, WARC_Target_URI="http://x/2"),
+    foreign("metadata", b"a: b", Content_Type="application/warc-fields", WARC_Block_Digest="md5:" + hashlib.md5(b"a: b").hexdigest(), WARC_Payload_Digest="blake3:zz"),
+    foreign("revisit", b"HTTP/1.1 200 OK\r\nX: y\r\n\r\n", Content_Type=MESSAGE, WARC_Payload_Digest=sha1(BODY), WARC_Refers_To="<urn:uuid:response>"),
+    foreign("revisit", b"", Content_Type=MESSAGE, WARC_Payload_Digest="sha256:" + "A" * 64),
+    foreign("resource", BODY, Content_Type="text/html"),
+]
+
+
+def test_archives_from_elsewhere(spark, tmp_path):
+    pack = zstandard.ZstdCompressor(write_content_size=False).compress
+    other = struct.pack("<II", 0x184D2A50, 3) + b"abc"
+    (tmp_path / "a.warc.zst").write_bytes(other + b"".join(map(pack, FOREIGN[:3])) + other + b"".join(map(pack, FOREIGN[3:])))
+    files = spark.read.format("binaryFile").load(str(tmp_path))
+    got = {(r.type, r.payload_bytes, r.payload_digest, r.url, r.refers_to, r.payload) for r in warc.read_records(files, with_payload=True).collect()}
+    sha = lambda x: "sha256:" + hashlib.sha256(x).hexdigest()
+    assert got == {
+        ("warcinfo", 21, sha(b"software: other/1.0\r\n"), None, None, b"software: other/1.0\r\n"),
+        ("request", 0, sha(b""), "http://x/", None, b""),
+        ("response", len(BODY), sha(BODY), "http://x/", None, BODY),
+        ("response", len(BODY) + 1, sha(BODY + b"2"), "http://x/2", None, BODY + b"2"),
+        ("metadata", 4, sha(b"a: b"), None, None, b"a: b"),
+        ("revisit", None, sha1(BODY), None, "<urn:uuid:response>", None),
+        ("revisit", None, "sha256:" + "A" * 64, None, None, None),
+        ("resource", len(BODY), sha(BODY), None, None, BODY),
+    }
+    pages = [tuple(r) for r in warc.read_archives(files).collect()]
+    assert sorted(p[4] for p in pages) == ["response", "response", "revisit", "revisit"] and all(p[0] is None and p[5] is None for p in pages)
+    assert ("a" * 64) in {p[3] for p in pages}
+
+
+@pytest.mark.parametrize("label", ["payload", "block", "form"])
+def test_wrong_digests_are_refused(label):
+    headers = {"payload": {"WARC_Payload_Digest": sha1(b"x")}, "block": {"WARC_Block_Digest": "sha256:" + "0" * 64}, "form": {"WARC_Payload_Digest": "sha1:abc"}}[label]
+    data = zstandard.ZstdCompressor().compress(foreign("response", HTTP, Content_Type=MESSAGE, **headers))
+    with pytest.raises(ValueError, match="digest"):
+        [warc.entry(h, b) for h, b in warc.records(data)]
+
+
+@pytest.mark.parametrize("sized", [True, False])
+def test_a_frame_that_decodes_to_too_much_is_refused(sized):
+    data = zstandard.ZstdCompressor(write_content_size=sized).compress(foreign("resource", b"\0" * 1_000_000))
+    assert len(list(warc.records(data, most=2_000_000))) == 1
+    with pytest.raises(ValueError, match="more than 1000 bytes"):
+        list(warc.records(data, most=1000))
+
+
+def test_record_ids_of_repeated_and_null_pages(spark):
+    pages = spark.createDataFrame([(1, "u", "a"), (1, "u", "b"), (None, "u", "c")], "page_id long, url string, html string")
+    found = warc.read_records(warc.write_archives(pages)).collect()
+    assert sorted(r.record_id for r in found) == ["<urn:page:1>", "<urn:page:1>", "<urn:page:>"]
