@@ -10,7 +10,7 @@ the template's, and every row can be read back as it was: blocks end at </turn>,
 the texts of merged rows at <cut>. The loss mask holds the texts (escaped, as code point ranges) of assistant
 rows, not the marks between them.
 
-Null roles and texts are empty. Repeated rows are rows. Null conv_ids are one conversation. Other columns don't
+Null roles and texts are empty. Turns are of any type that has an order; null ones come first. Repeated rows are rows. Null conv_ids are one conversation. Other columns don't
 matter, and an empty table gives an empty result. A conversation's text is one value, so its rows meet in one
 task; they are collected after a partial aggregate and handled by expressions linear in their number.
 """
@@ -57,7 +57,16 @@ def read_back(chats: DataFrame) -> DataFrame:
 
 
 def running(lengths: Column) -> Column:
-    """Sums of all entries before each entry, in runs of 512, so that no long array is copied per entry."""
+    """Sums of all entries before each entry: of few entries one by one, else in runs of 512, so that no long array is copied per entry."""
+
+    def few(x: Column) -> Column:
+        return F.transform(x, lambda _, i: F.aggregate(F.slice(x, F.lit(1), i), F.lit(0).cast("long"), lambda a, n: a + n))
+
+    # as a lambda's argument the lengths are made once
+    return F.get(F.transform(F.array(lengths), lambda x: F.when(F.size(x) <= 24, few(x)).otherwise(_running(x))), F.lit(0))
+
+
+def _running(lengths: Column) -> Column:
     zero = F.lit(0).cast("long")
     step = F.lit(512)
 
