@@ -42,24 +42,25 @@ def resolved(mentions: DataFrame, companies: DataFrame, distance: int = 1) -> Da
 def closure(edges: DataFrame, depth: int | None = None) -> DataFrame:
     """All (owner, owned, hops) reachable over edges (owner, owned), hops least; cycles end.
 
-    Each round joins the paths found so far with themselves, so paths of up to twice the length are known after it; it ends
-    when no path is new or shorter. With paths of more than ``depth`` hops, if it is given, it raises.
+    After a round all paths of up to n hops are known, and n doubles. A shortest way of more than n hops begins with one of exactly n,
+    so only these are joined with the paths known: every pair comes from few of its possible middles, not from all. It ends when no path has n
+    hops. With paths of more than ``depth`` hops, if it is given, it raises.
     """
     edges = edges.select("owner", "owned").where("owner is not null and owned is not null").distinct()
-    found = land(edges.withColumn("hops", F.lit(1)), "paths")
-    before = None
+    found, n = land(edges.withColumn("hops", F.lit(1)), "paths"), 1
     while True:
-        first = found.select("owner", F.col("owned").alias("via"), F.col("hops").alias("a"))
-        second = found.select(F.col("owner").alias("via"), "owned", F.col("hops").alias("b"))
-        more = first.join(second, "via").select("owner", "owned", (F.col("a") + F.col("b")).alias("hops"))
-        last, found = found, land(found.unionByName(more).groupBy("owner", "owned").agg(F.min("hops").alias("hops")), "paths")
+        first = found.where(F.col("hops") == n).select("owner", F.col("owned").alias("via"))
+        if first.isEmpty():
+            break
+        second = found.select(F.col("owner").alias("via"), "owned", (F.col("hops") + n).alias("hops"))
+        more = first.join(second, "via").select("owner", "owned", "hops")
+        last, found, n = found, land(found.unionByName(more).groupBy("owner", "owned").agg(F.min("hops").alias("hops")), "paths"), 2 * n
         release(last)
-        now = found.agg(F.count(F.lit(1)), F.sum("hops"), F.max("hops")).first()
-        if depth is not None and (now[2] or 0) > depth:
+        if depth is not None and n > depth and not found.where(F.col("hops") > depth).isEmpty():
             raise ValueError(f"there are paths of more than {depth} hops")
-        if now == before:
-            return found
-        before = now
+    if depth is not None and not found.where(F.col("hops") > depth).isEmpty():
+        raise ValueError(f"there are paths of more than {depth} hops")
+    return found
 
 
 def graph(edges: DataFrame, evidence: Column) -> tuple[DataFrame, DataFrame]:

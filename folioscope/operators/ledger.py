@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import french
+from folioscope.operators import captable
 
 #: Decisions to event codes, first match wins; texts are folded. The last code is a finding, not scored.
 EVENT_RULES = [
@@ -16,8 +17,6 @@ EVENT_RULES = [
 ]
 #: Decisions that are no capital events.
 OUT_OF_SCOPE = "commissaire|president|gerant|siege|denomination|objet social|date de cloture"
-#: Dates in one array of a plan.
-DATES = 1_000
 
 
 def classified(rows: DataFrame, text: Column, rules: list[tuple[str, str]] = EVENT_RULES) -> DataFrame:
@@ -80,21 +79,17 @@ def entry_events(held: DataFrame) -> DataFrame:
     return held.where("change is not null").withColumn("code", F.when(F.col("change") == "entry", "SHAREHOLDER_ENTRY").otherwise("SHAREHOLDER_END"))
 
 
-def state_as_of(states: DataFrame, dates: DataFrame, key: str, at: str, date: str, order: list[Column], value: str) -> DataFrame:
-    """The last value per key at or before each date of the list ``dates``, which the driver reads. ``order`` must be total.
+def state_as_of(states: DataFrame, dates: DataFrame, key: str, at: str, date: str, order: list[str], value: str) -> DataFrame:
+    """The last value per key at or before each date of the list ``dates``. ``order`` must be total.
 
-    A state holds from its time up to the next one's: one sort per key, and each state gives the dates it holds at; no
-    join. Dates go into the plan in blocks of DATES, of which every state takes those in its time.
+    Every key is asked for every date, which is as many rows as the result, and both logs are scanned together (``captable.as_of``), so
+    no list goes through the driver and a key's states may be in several tasks.
     """
-    days = sorted({r[0] for r in dates.select(date).where(F.col(date).isNotNull()).distinct().collect()})
-    held = states.withColumn("_until", F.lead(at).over(Window.partitionBy(key).orderBy(*order)))
-    out = None
-    for k in range(0, max(1, len(days)), DATES):
-        asked = F.array(*map(F.lit, days[k : k + DATES])).cast(f"array<{dates.schema[date].dataType.simpleString()}>")
-        own = F.filter(asked, lambda d: (d >= F.col(at)) & (F.col("_until").isNull() | (d < F.col("_until"))))
-        part = held.select(key, F.explode(own).alias(date), value)
-        out = part if out is None else out.unionByName(part)
-    return out
+    days = dates.where(F.col(date).isNotNull()).agg(F.collect_set(date)).scalar()
+    # from a key's first state on
+    asked = states.where(F.col(at).isNotNull()).groupBy(key).agg(F.min(at).alias("_first")).select(key, "_first", F.explode(days).alias(date))
+    asked = asked.where(F.col(date) >= F.col("_first")).select(key, date, F.col(date).cast(states.schema[at].dataType).alias(at))
+    return captable.as_of(asked, states, [key], at, order, [value]).select(key, date, value)
 
 
 def share_range(text: Column) -> Column:

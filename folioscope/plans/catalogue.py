@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import french, geometry
 from folioscope.operators import accounts, coverage, entities, ledger, text, workflow
-from folioscope.plans import captables, pages, readings, statements  # noqa: F401  (their queries register themselves)
+from folioscope.plans import captables, pages, readers, readings, statements  # noqa: F401  (their queries register themselves)
 from folioscope.plans.registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 from folioscope.storage import table
 
@@ -383,7 +383,7 @@ _DATES = "(VALUES (DATE '2024-01-10'), (DATE '2024-01-20'), (DATE '2024-06-30'))
 LATERAL (SELECT balance FROM t WHERE t.user_id = u.user_id AND t.ts <= d.date ORDER BY ts DESC, event_id DESC LIMIT 1) x""")
 def state_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     dates = spark.sql(f"SELECT date FROM {_DATES}")
-    return ledger.state_as_of(_balances(spark, sf_dir), dates, "user_id", "ts", "date", [F.col("ts"), F.col("event_id")], "balance").select("user_id", F.col("date").cast("string").alias("date"), "balance")
+    return ledger.state_as_of(_balances(spark, sf_dir), dates, "user_id", "ts", "date", ["event_id"], "balance").select("user_id", F.col("date").cast("string").alias("date"), "balance")
 
 
 @query(_TIMELINE + "SELECT event_id, user_id, balance, 'negative balance' AS finding FROM t WHERE balance < 0")

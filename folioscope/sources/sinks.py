@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
+import uuid
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +39,32 @@ def draw_list(boxes: DataFrame, colour: str, width: int) -> DataFrame:
     Lines without a box are left out; a box beyond the page is drawn all the same.
     """
     return boxes.where("box is not null").select("doc_id", "page", "box", F.lit(colour).alias("colour"), F.lit(width).alias("width"), (F.col("pos") + 1).alias("label"))
+
+
+def _written(root: str):
+    def run(batches):
+        store, path = pafs.FileSystem.from_uri(root)
+        for batch in batches:
+            size = []
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                target = f"{path}/{name}"
+                folder, _, file = target.rpartition("/")
+                store.create_dir(folder, recursive=True)
+                # an attempt that is lost leaves a hidden file at most; readers pass over these
+                hidden, data = f"{folder}/.{uuid.uuid4().hex}", (content or "").encode("utf-8")
+                with store.open_output_stream(hidden) as f:
+                    f.write(data)
+                store.move(hidden, target)
+                size.append(len(data))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64())], ["path", "n_bytes"])
+
+    return run
+
+
+def write_files(files: DataFrame, root: str) -> DataFrame:
+    """Writes rows (path, content) as UTF-8 files under ``root``, a URI that driver and executors share; returns path and n_bytes, lazily.
+
+    Each row is one file, written by the task that holds it; a repeated path is written again. Evaluate the result once. A null content is an empty file.
+    """
+    rows = files.select(F.col("path").cast("string").alias("path"), F.col("content").cast("string").alias("content"))
+    return rows.mapInArrow(_written(root), "path string, n_bytes long")
