@@ -123,12 +123,11 @@ def test_decisions_keep_the_first_spelling(spark):
         assert [r.decision for r in ledger.decisions(rows.repartition(n)).collect()] == ["REDUCTION"]
 
 
-def test_state_at_many_dates(spark, monkeypatch):
-    monkeypatch.setattr(ledger, "DATES", 3)
+def test_state_at_many_dates(spark):
     day = lambda k: datetime.date(2020, 1, 1) + datetime.timedelta(k)
     states = spark.createDataFrame([("a", day(2), 1, 10), ("a", day(5), 3, 30), ("a", day(5), 2, 20), ("b", day(9), 4, 40)], "k string, at date, id int, v int")
     dates = spark.createDataFrame([(day(k),) for k in range(11)] + [(day(3),), (None,)], "d date")
-    got = {(r.k, r.d): r.v for r in ledger.state_as_of(states, dates, "k", "at", "d", [F.col("at"), F.col("id")], "v").collect()}
+    got = {(r.k, r.d): r.v for r in ledger.state_as_of(states, dates, "k", "at", "d", ["id"], "v").collect()}
     assert got == {("a", day(k)): 10 if k < 5 else 30 for k in range(2, 11)} | {("b", day(k)): 40 for k in (9, 10)}
 
 
