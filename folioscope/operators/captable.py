@@ -101,3 +101,58 @@ def agreeing(observations: DataFrame, states: DataFrame, value: Column) -> DataF
     """Observed capitals (siren, event_date, ...) beside the capital that the events lead to: capital and differs (null before the first event)."""
     seen = as_of(observations, states, ["siren"], "event_date", ["seq"], ["capital"])
     return seen.withColumn("differs", value != F.col("capital"))
+
+
+def capital_levels(observations: DataFrame) -> DataFrame:
+    """(siren, event_date, capital, level) of the observations at which the observed capital changes, numbered from 1; the first one is none.
+
+    ``observations`` are (siren, event_date, capital); of several on one day the largest counts, and null capitals don't.
+    """
+    days = observations.where("capital is not null and event_date is not null").groupBy("siren", "event_date").agg(F.max("capital").alias("capital"))
+    rows = scan.ranged(days, KEY, ["event_date"])
+    seen = scan.last(rows, KEY, ["event_date"], {"_was": F.col("capital")}, before=True)
+    changed = F.when(F.col("_was").isNotNull() & (F.col("_was") != F.col("capital")), 1)
+    return scan.running(seen, KEY, ["event_date"], {"level": changed}).where("_was is not null and _was <> capital").select("siren", "event_date", "capital", "level")
+
+
+def realisations(events: DataFrame, observations: DataFrame, days: int) -> DataFrame:
+    """Authorisations and their realisations: siren, code, id, later (ids of both) and gap, in days. Landed.
+
+    Two events (siren, code, id, event_date) of one company and code may be the same change if the second comes at most ``days``
+    after the first and the observed capital changes exactly once between them, after the first's day and up to the second's. Of
+    all such pairs the closest are taken first (ties: the earlier first event, then the ids nearest the change), each event in one pair at most.
+
+    Pairs are never listed. The capital's changes cut a company's events into levels, and a pair joins neighbouring levels. Seen from
+    such a border pairs form outward, the k-th last event with the k-th next one. A round takes, border by border, the pairs up to the first
+    that has an end for which the nearest event beyond its other border is closer; what is left goes into the next round.
+    """
+    seen = as_of(events.where("event_date is not null and siren is not null and code is not null"), capital_levels(observations), KEY, "event_date", ["level"], ["level"])
+    left = land(seen.select("siren", "code", "id", "event_date", F.coalesce("level", F.lit(0)).cast("long").alias("level")), "events")
+    level, used, taken = ["siren", "code", "level"], [], None
+    while True:
+        dealt = scan.ranged(left, level, ["event_date", "id"])
+        rows = scan.running(dealt, level, ["event_date", "id"], {"nth": F.lit(1)})
+        ends = left.groupBy(*level).agg(F.count(F.lit(1)).alias("n"), F.min("event_date").alias("first"), F.max("event_date").alias("last"))
+        rows = rows.join(ends.select(*level, "n"), level)
+        a = rows.select("siren", "code", "level", "id", F.col("event_date").alias("at"), (F.col("n") - F.col("nth") + 1).alias("k"))
+        b = rows.select("siren", "code", (F.col("level") - 1).alias("level"), F.col("id").alias("later"), F.col("event_date").alias("later_at"), F.col("nth").alias("k"))
+        pairs = a.join(b, [*level, "k"]).withColumn("gap", F.datediff("later_at", "at")).where(F.col("gap") <= days)
+        # the nearest events beyond the other borders of both ends, while there are any
+        pairs = pairs.join(ends.select("siren", "code", (F.col("level") + 1).alias("level"), F.col("last").alias("_before")), level, "left")
+        pairs = pairs.join(ends.select("siren", "code", (F.col("level") - 2).alias("level"), F.col("first").alias("_after")), level, "left")
+        better = (F.datediff("at", "_before") <= F.col("gap")) | (F.datediff("_after", "later_at") < F.col("gap"))
+        pairs = pairs.withColumn("_waits", F.when(F.coalesce(better, F.lit(False)), F.col("k")))
+        stop = pairs.groupBy(*level).agg(F.min("_waits").alias("_stop"))
+        now = pairs.join(stop, level).where("_stop is null or k < _stop").select("siren", "code", "id", "later", "gap")
+        now = land(now, "taken")
+        release(dealt)
+        used.append(now)
+        taken = now if taken is None else taken.unionByName(now)
+        if now.isEmpty():
+            out = land(taken, "realisations")
+            release(left, *used)
+            return out
+        gone = now.select("siren", "code", "id").unionByName(now.select("siren", "code", F.col("later").alias("id")))
+        rest = land(left.join(gone, ["siren", "code", "id"], "left_anti"), "events")
+        release(left)
+        left = rest

@@ -80,3 +80,28 @@ def observed_capital(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.expr("timestamp'2024-01-01' + make_dt_interval(0, 12 * cast(o_orderkey % 60 as int))")
     seen = table(spark, sf_dir, "orders").select("o_orderkey", (F.col("o_custkey") % 150).alias("siren"), day.alias("event_date"), (F.floor("o_totalprice") % 500).alias("observed"))
     return captable.agreeing(seen, states, F.col("observed")).select("o_orderkey", F.col("siren").alias("user_id"), "capital", "differs")
+
+
+@query("""
+WITH e AS (SELECT user_id AS siren, CASE WHEN event_type IN ('click', 'view') THEN 'other' ELSE event_type END AS code, event_id AS id, CAST(ts AS DATE) AS d FROM events),
+o AS (SELECT user_id AS siren, CAST(ts AS DATE) AS d, max(CAST(floor(value / 40) AS BIGINT)) AS capital FROM events WHERE event_type = 'signup' GROUP BY ALL),
+c AS (SELECT siren, d FROM (SELECT *, lag(capital) OVER (PARTITION BY siren ORDER BY d) AS was FROM o) WHERE was <> capital),
+l AS (SELECT e.*, (SELECT count(*) FROM c WHERE c.siren = e.siren AND c.d <= e.d) AS level FROM e),
+p AS (
+  SELECT a.siren, a.code, a.id, b.id AS later, b.d - a.d AS gap, row_number() OVER (PARTITION BY a.siren, a.code ORDER BY b.d - a.d, a.d, a.id, b.d, b.id) AS r
+  FROM l a JOIN l b ON a.siren = b.siren AND a.code = b.code AND b.level = a.level + 1 AND b.d - a.d <= 4
+), q AS (SELECT *, row_number() OVER (PARTITION BY siren, code ORDER BY gap, (SELECT d FROM e x WHERE x.id = p.id), id DESC, later) AS s FROM p),
+taken AS (
+  SELECT siren, code, list_reduce(list_prepend({'a': [-1::BIGINT], 'r': [-1::BIGINT]}, list({'a': [id, later], 'r': [s]} ORDER BY s)),
+    lambda t, x: CASE WHEN list_contains(t.a, x.a[1]) OR list_contains(t.a, x.a[2]) THEN t ELSE {'a': list_concat(t.a, x.a), 'r': list_concat(t.r, x.r)} END) AS t
+  FROM q GROUP BY ALL
+)
+SELECT q.siren AS user_id, q.code, id, later, CAST(gap AS INTEGER) AS gap FROM q JOIN taken ON q.siren = taken.siren AND q.code = taken.code AND list_contains(t.r, s)
+""")
+def realised_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that are likely the authorisation and the realisation of one change of capital."""
+    events = table(spark, sf_dir, "events")
+    code = F.when(F.col("event_type").isin("click", "view"), "other").otherwise(F.col("event_type"))
+    rows = events.select(F.col("user_id").alias("siren"), code.alias("code"), F.col("event_id").alias("id"), F.to_date("ts").alias("event_date"))
+    seen = events.where("event_type = 'signup'").select(F.col("user_id").alias("siren"), F.to_date("ts").alias("event_date"), F.floor(F.col("value") / 40).alias("capital"))
+    return captable.realisations(rows, seen, 4).withColumnRenamed("siren", "user_id")

@@ -112,3 +112,35 @@ def test_as_of_equals_brute_force(spark):
         want = max(before, key=lambda x: x[:2]) if before else (None, None, None)
         assert (r.n, r.v) == want[1:], r
     assert got.count() == 200
+
+
+def greedy(events, observations, days):
+    """All pairs, the closest first; of equal gaps and dates the pair nearest the change."""
+    capital = {}
+    for siren, d, c in observations:
+        if c is not None and d is not None:
+            capital[siren, d] = max(c, capital.get((siren, d), c))
+    changes = defaultdict(list)
+    for siren in {k for k, _ in capital}:
+        log = sorted((d, c) for (s, d), c in capital.items() if s == siren)
+        changes[siren] = [d for (_, a), (d, b) in zip(log, log[1:]) if a != b]
+    level = lambda e: sum(d <= e[3] for d in changes[e[0]])
+    rows = [e for e in events if e[3]]
+    pairs = [((b[3] - a[3]).days, a[3], -a[2], b[2], a, b) for a in rows for b in rows if a[:2] == b[:2] and level(b) == level(a) + 1 and (b[3] - a[3]).days <= days]
+    used, out = set(), set()
+    for gap, _, _, _, a, b in sorted(pairs, key=lambda p: p[:4]):
+        if a not in used and b not in used:
+            used |= {a, b}
+            out.add((a[0], a[1], a[2], b[2], gap))
+    return out
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_realisations_equal_greedy_matching(spark, seed):
+    rng = random.Random(seed)
+    day = lambda: DAY + datetime.timedelta(rng.randint(0, 60))
+    events = [(rng.choice(["hot", "hot", "cold"]), rng.choice("xy"), i, day() if rng.random() < 0.97 else None) for i in range(150)]
+    observations = [(rng.choice(["hot", "cold", "none"]), day(), rng.choice([1, 2, 3, None])) for _ in range(40)]
+    got = captable.realisations(spark.createDataFrame(events, "siren string, code string, id int, event_date date"), spark.createDataFrame(observations, "siren string, event_date date, capital long"), 12)
+    wanted = greedy(events, observations, 12)
+    assert {tuple(r[c] for c in ("siren", "code", "id", "later", "gap")) for r in got.collect()} == wanted and len(wanted) > 15
