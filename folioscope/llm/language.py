@@ -6,12 +6,11 @@ the Kneser-Ney probabilities of all orders: absolute counts at the highest, numb
 interpolated down to the uniform distribution. They are stored as sorted arrays of 64-bit hashes with a column of
 log-probabilities per language.
 
-No gram is left out. The arrays have a column per language, so a model's size is that of its distinct grams times its languages.
-Beyond ``most`` of such cells (16 bytes each, all orders together) it is dealt to blocks of about ``most``, by the two
-characters before the predicted one, however many languages there are: so every block has all followers and predecessors of its contexts of two
-and three characters. Lower orders and discounts are counted in Spark over all grams. Driver and executors hold
-blocks one after the other, and a text passes all blocks in one task, its sums of bits carried along. Grams
-of one such pair of characters stay together, even beyond ``most``.
+No gram is left out. Up to ``most`` cells, distinct grams times languages, the model is broadcast, with a probability for every cell. Beyond
+that it stays a table in Spark: for every order the own probability of each gram and the back-off weight of each context, in those languages only
+that have it. Texts are then scored in chunks (lookups.py): the distinct grams, suffixes and contexts of a chunk are
+joined with the table, and a task computes probabilities from its chunk's share. So nothing of the model passes through the driver, a
+rare gram costs one language's entry, texts aren't shuffled, and the number of passes is the same for any model.
 
 A text gets the language of the lowest cross-entropy per character. Its score is the posterior of that language,
 with the text's length counted up to CONFIDENT characters. Rejection is calibrated: a text is rejected if its cross-entropy
@@ -35,11 +34,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import from_arrow_schema
 
+from folioscope.llm import lookups
 from folioscope.llm.carried import parted
 from folioscope.llm.words import mix
-from folioscope.storage import bounded_batches, land
+from folioscope.storage import bounded_batches, land, release
 
 ORDER, MOST, SLACK, QUANTILE, RANKS, CONFIDENT, FLUSH = 4, 1_600_000, 1.0, 0.999, 100_000, 50, 4_000_000
+#: Distinct grams of the texts that a task scores at once, where the model isn't broadcast.
+CHUNK = 200_000
 UND = "und"
 _LETTER: list[np.ndarray] = []
 
@@ -104,22 +106,13 @@ def discount_of(n1: int, n2: int) -> float:
     return min(0.95, max(0.05, n1 / (n1 + 2 * n2))) if n1 else 0.5
 
 
-def slots(keys: np.ndarray) -> np.ndarray:
-    """Places of grams in the order of blocks: the character before the predicted one, then the one before that."""
-    return ((keys & np.uint64(0xFFFF0000)) | ((keys >> np.uint64(32)) & np.uint64(0xFFFF))).astype(np.int64)
-
-
 class Model:
-    """Kneser-Ney models of several languages; ``counts`` has (grams, counts) and the discount of each.
+    """Kneser-Ney models of several languages; ``counts`` has (grams, counts) and the discount of each."""
 
-    A model of a part of all grams, those with slots in (part[0], part[1]], has in ``lower``, by order below ORDER and language, what
-    the part's grams don't tell: (grams, counts, discount) over all grams, with None for grams and counts that they do tell.
-    """
-
-    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray, float]], lower: dict | None = None, part: tuple[int, int] | None = None):
-        self.langs, self.part = sorted(counts), part
+    def __init__(self, counts: dict[str, tuple[np.ndarray, np.ndarray, float]]):
+        self.langs = sorted(counts)
         symbols = set()
-        for keys, _, _ in (lower[1] if lower else counts).values():
+        for keys, _, _ in counts.values():
             symbols.update(np.unique(keys & np.uint64(0xFFFF)).tolist())
         self.uniform = 1 / (len(symbols) + 1)
         #: For n characters, n from 1 to ORDER: hashes of grams and log2-probabilities; for their n - 1 first: back-off weights.
@@ -135,11 +128,7 @@ class Model:
                 raw[order].append((keys, np.maximum(n - discount, 0) / total[at], context, np.minimum(1, discount * kinds / total)))
                 mask = np.uint64((1 << 16 * (order - 1)) - 1)
                 keys, n = _sums(keys & mask, np.ones(len(keys)))
-                if lower and order > 1:
-                    known, times, discount = lower[order - 1][lang]
-                    keys, n = (keys, n) if known is None else (known, times)
-                else:
-                    discount = discount_of((n == 1).sum(), (n == 2).sum())
+                discount = discount_of((n == 1).sum(), (n == 2).sum())
         for order in range(1, ORDER + 1):
             keys = np.unique(np.concatenate([r[0] for r in raw[order]] or [np.empty(0, np.uint64)]))
             contexts = np.unique(np.concatenate([r[2] for r in raw[order]] or [np.empty(0, np.uint64)]))
@@ -179,12 +168,8 @@ class Model:
         return out
 
     def bits(self, x: np.ndarray) -> np.ndarray:
-        """Bits of a text's normal form, for each language, in the grams of this model's part."""
+        """Bits of a text's normal form, for each language."""
         keys, n = np.unique(gram_keys(padded(x)), return_counts=True)
-        if self.part:
-            at = slots(keys)
-            own = (at > self.part[0]) & (at <= self.part[1])
-            keys, n = keys[own], n[own]
         return -(n @ np.log2(self.probabilities(ORDER, keys)))
 
 
@@ -195,21 +180,73 @@ def _look(hashed: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, hashed[at] == keys
 
 
+def _tagged(kind: int, order: int, keys: np.ndarray) -> np.ndarray:
+    """Keys of the table: grams of ORDER characters as they are, all others with a mark above them, from the code points U+FDD0 to
+    U+FDD7, which aren't characters: grams (kind 0) of 1 to 3 characters, and contexts (kind 1) of 0 to 3."""
+    return keys if (kind, order) == (0, ORDER) else keys | np.uint64((0xFDD0 + order - 1 + kind * (ORDER - 1)) << 48)
+
+
+def needed(text: str | None) -> set[int]:
+    """Keys of everything that scoring a text may read, as signed integers."""
+    keys = np.unique(gram_keys(padded(characters(text))))
+    parts = []
+    for order in range(ORDER, 0, -1):
+        keys = np.unique(keys & np.uint64((1 << 16 * order) - 1)) if order < ORDER else keys
+        parts += [_tagged(0, order, keys), _tagged(1, order, np.unique(keys >> np.uint64(16)))]
+    return set(np.concatenate(parts).view(np.int64).tolist())
+
+
+class Share:
+    """What a chunk needs of the table: (key, langs, values) of its grams and contexts."""
+
+    def __init__(self, entries: pa.Table | None, n_langs: int, uniform: float):
+        self.n_langs, self.uniform = n_langs, uniform
+        keys = np.empty(0, np.uint64) if entries is None else entries["key"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        self.keys = keys[order]
+        langs, values = ([] if entries is None else entries[c].combine_chunks().take(pa.array(order)) for c in ("langs", "values"))
+        self.starts = np.concatenate([[0], np.cumsum(langs.value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64) if len(langs) else np.zeros(1, np.int64)
+        self.langs, self.values = (x.flatten().to_numpy(zero_copy_only=False) if len(x) else np.empty(0) for x in (langs, values))
+
+    def fill(self, out: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Sets what the table has of ``keys`` in a matrix by key and language."""
+        at, known = _look(self.keys, keys)
+        at, rows = at[known], np.flatnonzero(known)
+        n = self.starts[at + 1] - self.starts[at] if len(at) else np.empty(0, np.int64)
+        place = np.repeat(self.starts[at] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        out[np.repeat(rows, n), self.langs[place].astype(np.int64)] = self.values[place]
+        return out
+
+    def bits(self, x: np.ndarray) -> np.ndarray:
+        """Bits of a text's normal form, for each language."""
+        keys, n = np.unique(gram_keys(padded(x)), return_counts=True)
+        p = np.full((len(keys), self.n_langs), self.uniform)
+        for order in range(1, ORDER + 1):
+            own = keys & np.uint64((1 << 16 * order) - 1)
+            weight = self.fill(np.ones(p.shape), _tagged(1, order, own >> np.uint64(16)))
+            p = self.fill(np.zeros(p.shape), _tagged(0, order, own)) + weight * p
+        return -(n @ np.log2(p))
+
+
 class Identifier:
-    """Broadcast models, each of a part of all grams, and the calibration of rejection."""
+    """A model, broadcast or as a table of (key, langs, values), and the calibration of rejection."""
 
-    def __init__(self, langs: list[str], blocks: list[Broadcast], means: dict[str, float], q: float):
-        self.langs, self.blocks, self.means, self.q = langs, blocks, means, q
+    def __init__(self, langs: list[str], model: Broadcast | None = None, entries: DataFrame | None = None, uniform: float = 1.0, chunk: int = CHUNK):
+        self.langs, self.block, self.entries, self.uniform, self.chunk = langs, model, entries, uniform, chunk
+        self.means, self.q = {}, 0.0
 
     @property
     def model(self) -> Model | None:
-        """The first part."""
-        return self.blocks[0].value if self.blocks else None
+        """The model, if it is broadcast."""
+        return self.block.value if self.block else None
 
     def predict(self, text: str | None) -> tuple[str, float, float | None, bool]:
-        """Language, score, cross-entropy and whether it is rejected."""
+        """Language, score, cross-entropy and whether it is rejected, of one text on the driver."""
         x = characters(text)
-        return decide(self.langs, self.means, self.q, x, sum(b.value.bits(x) for b in self.blocks) if len(x) else None)
+        if not len(x) or not self.langs:
+            return decide(self.langs, self.means, self.q, x, None)
+        model = self.model or Share(self.entries.where(F.col("key").isin(list(needed(text)))).toArrow(), len(self.langs), self.uniform)
+        return decide(self.langs, self.means, self.q, x, model.bits(x))
 
 
 def decide(langs: list[str], means: dict[str, float], q: float, x: np.ndarray, bits: np.ndarray | None) -> tuple[str, float, float | None, bool]:
@@ -223,52 +260,49 @@ def decide(langs: list[str], means: dict[str, float], q: float, x: np.ndarray, b
     return lang, score, least, least - means[lang] > SLACK + q / len(x) ** 0.5
 
 
-def _pass(block: Broadcast | None, first: bool, finish, added: pa.Schema, keep: bool):
-    """Adds a block's bits to the last column, which ``first`` creates; ``finish`` makes the last columns of the sums; ``keep`` keeps the text."""
+def _pass(of_batch, finish, added: pa.Schema, keep: bool, carried: int):
+    """Replaces the first column, the text, unless ``keep``, and the last ``carried`` ones by what ``finish`` makes of a text's normal form and
+    bits; ``of_batch`` gives each row's model."""
 
     def run(batches):
-        model = block.value if block else None
         for batch in batches:
-            rest = batch.columns[1 : len(batch.columns) - (not first)]
-            names = batch.schema.names[1 : len(rest) + 1]
-            was = [None] * len(batch) if first else batch.column(len(batch.columns) - 1).to_pylist()
             out = []
-            for text, before in zip(batch.column(0).to_pylist(), was):
+            for text, model in zip(batch.column(0).to_pylist(), of_batch(batch)):
                 x = characters(text)
-                bits = model.bits(x) if model and len(x) else None
-                if before is not None:
-                    bits = bits + np.array(before)
-                out.append(finish(x, bits) if finish else (None if bits is None else bits.tolist(),))
+                out.append(finish(x, model.bits(x) if model and len(x) else None))
             columns = list(zip(*out)) if out else [[]] * len(added)
-            kept = [batch.column(0), *rest] if keep else rest
-            names = [batch.schema.names[0], *names] if keep else names
-            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, f.type) for c, f in zip(columns, added)]], [*names, *added.names])
+            kept = slice(0 if keep else 1, len(batch.columns) - carried)
+            yield pa.RecordBatch.from_arrays([*batch.columns[kept], *[pa.array(c, f.type) for c, f in zip(columns, added)]], [*batch.schema.names[kept], *added.names])
 
     return run
 
 
-def _scored(rows: DataFrame, blocks: list[Broadcast], finish, added: pa.Schema, keep: bool = False) -> DataFrame:
+def _scored(rows: DataFrame, known: Identifier, finish, added: pa.Schema, keep: bool = False) -> DataFrame:
     """``rows``, without their first column, the text, unless ``keep``, and with the columns that ``finish`` makes of its normal form and bits."""
-    fields = rows.schema.fields
-    sums = pa.schema([("bits", pa.list_(pa.float64()))])
-    out = rows
-    for k, block in enumerate(blocks[:-1]):
-        out = out.mapInArrow(_pass(block, k == 0, None, sums, True), T.StructType([*fields, *from_arrow_schema(sums).fields]))
-        if k % 4 == 3:
-            out = land(out, "bits")
-    last = blocks[-1] if blocks else None
-    return out.mapInArrow(_pass(last, len(blocks) < 2, finish, added, keep), T.StructType([*fields[0 if keep else 1 :], *from_arrow_schema(added).fields]))
-
-
-def _calibration(rows: DataFrame, langs: list[str], blocks: list[Broadcast]) -> tuple[dict[str, float], float]:
+    schema = T.StructType([*rows.schema.fields[0 if keep else 1 :], *from_arrow_schema(added).fields])
+    if known.entries is None:
+        block = known.block
+        return rows.mapInArrow(_pass(lambda batch: [block.value if block else None] * len(batch), finish, added, keep, 0), schema)
+    chunks = lookups.chunked(rows, needed, known.chunk)
+    folder = lookups.found(chunks, needed, "key", known.entries)
+    n, uniform = len(known.langs), known.uniform
+
+    def run(batches):
+        share = lookups.by_chunk(folder, lambda entries: Share(entries, n, uniform))
+        yield from _pass(lambda batch: (share(p, c) for p, c in zip(batch.column(len(batch.columns) - 2).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist())), finish, added, keep, 2)(batches)
+
+    return chunks.mapInArrow(run, schema)
+
+
+def _calibration(rows: DataFrame, known: Identifier) -> tuple[dict[str, float], float]:
     """Each language's mean cross-entropy, and the quantile of the excess, over all distinct texts with letters.
 
     Texts are scored where they lie; only their hashes and numbers are shuffled, after partial aggregates.
     """
     added = pa.schema([("all_bits", pa.list_(pa.float64())), ("length", pa.int64())])
     hashed = rows.select("text", "lang", F.xxhash64("text", "lang").alias("h"))
-    scored = _scored(hashed, blocks, lambda x, bits: (None if bits is None else bits.tolist(), len(x)), added).where("length > 0")
-    own = F.get("all_bits", F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1)
+    scored = _scored(hashed, known, lambda x, bits: (None if bits is None else bits.tolist(), len(x)), added).where("length > 0")
+    own = F.get("all_bits", F.array_position(F.array(*map(F.lit, known.langs)), F.col("lang")).cast("int") - 1)
     scored = scored.select("h", "lang", (own / (F.col("length") - 1)).alias("bits"), "length")
     texts = land(scored.groupBy("h", "lang").agg(F.max("bits").alias("bits"), F.max("length").alias("length")), "calibration")
     # as decimals, so that the order of tasks doesn't change the sums
@@ -285,28 +319,28 @@ def _arrays(table: pa.Table, langs: list[str]) -> dict[str, tuple[np.ndarray, np
     return {k: (grams[at], n[at]) for k in langs for at in [of == k]}
 
 
-def _blocks(counts: DataFrame, discounts: dict[str, float], n: int) -> list[Broadcast]:
-    """Models of all grams, in about ``n`` parts."""
-    context, langs = counts.sparkSession.sparkContext, sorted(discounts)
-    of = lambda rows, d: {k: (*v, d[k]) for k, v in _arrays(rows.toArrow(), langs).items()}
-    if n == 1:
-        return [context.broadcast(Model(of(counts, discounts)))]
-    tables, lower = {}, {}
-    above = counts
-    for order in range(ORDER - 1, 0, -1):
-        above = tables[order] = land(above.groupBy("lang", F.col("gram").bitwiseAND((1 << 16 * order) - 1).alias("gram")).agg(F.count("*").alias("n")), f"grams{order}")
-        lower[order] = _discounts(above)[0]
-    slot = F.col("gram").bitwiseAND(0xFFFF0000).bitwiseOR(F.shiftrightunsigned("gram", 32).bitwiseAND(0xFFFF))
-    placed = counts.withColumn("slot", slot)
-    ends = sorted({int(x) for x in placed.approxQuantile("slot", [k / n for k in range(1, n)], 0.1 / n)} - {1 << 32})
-    single = of(tables[1], lower[1])
-    out = []
-    for a, b in zip([-1, *ends], [*ends, 1 << 32]):
-        # the pairs of a part's slots: the character before the predicted one is in a range
-        two = tables[2].where(F.shiftright("gram", 16).between(max(a, 0) >> 16, b >> 16))
-        known = {1: single, 2: of(two, lower[2]), 3: {k: (None, None, lower[3][k]) for k in langs}}
-        out.append(context.broadcast(Model(of(placed.where((F.col("slot") > a) & (F.col("slot") <= b)), discounts), known, (a, b))))
-    return out
+def _entries(counts: DataFrame, langs: list[str]) -> tuple[DataFrame, float]:
+    """The model as a landed table of (key, langs, values), and the uniform probability. Counts of all orders are made in Spark."""
+    place = F.array_position(F.array(*map(F.lit, langs)), F.col("lang")).cast("int") - 1
+    table, now, symbols = None, counts, 1
+    for order in range(ORDER, 0, -1):
+        discounts, _ = _discounts(now)
+        discount = F.element_at(F.create_map(*[F.lit(x) for pair in discounts.items() for x in pair]), F.col("lang"))
+        contexts = now.groupBy("lang", F.shiftrightunsigned("gram", 16).alias("context")).agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        contexts = land(contexts, f"contexts{order}")
+        mark = lambda kind: F.lit(int(_tagged(kind, order, np.zeros(1, np.uint64)).view(np.int64)[0]))  # noqa: B023, E731
+        own = now.withColumn("context", F.shiftrightunsigned("gram", 16)).join(contexts, ["lang", "context"])
+        own = own.select(F.col("gram").bitwiseOR(mark(0)).alias("key"), place.alias("i"), (F.greatest(F.col("n") - discount, F.lit(0.0)) / F.col("total")).alias("v"))
+        weights = contexts.select(F.col("context").bitwiseOR(mark(1)).alias("key"), place.alias("i"), F.least(F.lit(1.0), discount * F.col("kinds") / F.col("total")).alias("v"))
+        both = own.unionByName(weights)
+        table = both if table is None else table.unionByName(both)
+        if order > 1:
+            now = land(now.groupBy("lang", F.col("gram").bitwiseAND((1 << 16 * (order - 1)) - 1).alias("gram")).agg(F.count("*").alias("n")), f"grams{order - 1}")
+        else:
+            symbols = now.select("gram").distinct().count()
+    # a key has one entry per language at most
+    table = table.groupBy("key").agg(F.collect_list(F.struct("i", "v")).alias("x")).select("key", F.col("x.i").alias("langs"), F.col("x.v").alias("values"))
+    return land(table, "model"), 1 / (symbols + 1)
 
 
 def _discounts(counts: DataFrame) -> tuple[dict[str, float], int]:
@@ -315,20 +349,27 @@ def _discounts(counts: DataFrame) -> tuple[dict[str, float], int]:
     return {r.lang: discount_of(r.n1, r.n2) for r in found}, sum(r["size"] for r in found)
 
 
-def learn(labelled: DataFrame, most: int = MOST) -> Identifier:
+def learn(labelled: DataFrame, most: int = MOST, chunk: int = CHUNK) -> Identifier:
     """Learns from rows of (lang, text), lang not null."""
-    bounded_batches(labelled.sparkSession)
+    spark = labelled.sparkSession
+    bounded_batches(spark)
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     counts = land(rows.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     discounts, total = _discounts(counts)
     langs = sorted(discounts)
     if not langs:
-        return Identifier([], [], {}, 0.0)
+        return Identifier([])
     cells = total * len(langs)
     if cells > most:
         cells = counts.select("gram").distinct().count() * len(langs)
-    blocks = _blocks(counts, discounts, max(1, -(-cells // most)))
-    return Identifier(langs, blocks, *_calibration(rows, langs, blocks))
+    if cells <= most:
+        arrays = _arrays(counts.toArrow(), langs)
+        out = Identifier(langs, spark.sparkContext.broadcast(Model({k: (*v, discounts[k]) for k, v in arrays.items()})))
+        release(counts)
+    else:
+        out = Identifier(langs, None, *_entries(counts, langs), chunk)
+    out.means, out.q = _calibration(rows, out)
+    return out
 
 
 def held_out() -> Column:
@@ -341,5 +382,5 @@ def identify(documents: DataFrame, identifier: Identifier) -> DataFrame:
     bounded_batches(documents.sparkSession)
     added = pa.schema([("lang_pred", pa.string()), ("score", pa.float64()), ("bits", pa.float64()), ("rejected", pa.bool_())])
     rows, row = parted(documents)
-    scored = _scored(rows, identifier.blocks, partial(decide, identifier.langs, identifier.means, identifier.q), added, keep=True)
+    scored = _scored(rows, identifier, partial(decide, identifier.langs, identifier.means, identifier.q), added, keep=True)
     return scored.select(row.alias("row"), *added.names)

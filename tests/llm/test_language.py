@@ -66,8 +66,8 @@ def test_predictions_equal_brute_force(spark, most):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("lang is not null").orderBy("doc_id").limit(60).collect()
     learned = [(r.lang, " ".join((r.text or "").split()[:12])) for r in docs]
     slow = SlowModels(learned)
-    found = language.learn(spark.createDataFrame(learned, "lang string, text string"), most=most)
-    assert (len(found.blocks) == 1) == (most == language.MOST) and found.langs == sorted(slow.counts) and len(found.langs) > 2
+    found = language.learn(spark.createDataFrame(learned, "lang string, text string"), most=most, chunk=90)
+    assert (found.entries is None) == (most == language.MOST) and found.langs == sorted(slow.counts) and len(found.langs) > 2
     texts = [" ".join((r.text or "").split()[12:18]) for r in docs[:25]] + ["中文", "zq-xj", "l'été"]
     rows = language.identify(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), found).collect()
     for r in rows:
@@ -103,25 +103,45 @@ def test_rejection_and_odd_documents(spark, odd_documents):
     assert language.identify(odd_documents.where("false"), found).count() == 0
     none = language.learn(learned.where("false"))
     assert none.predict("the cat") == ("und", 0.0, None, True)
-    # a bound on the model's size drops the rarest grams only
-    small = language.learn(learned, most=20)
-    assert len(small.model.grams[language.ORDER][0]) <= 40 and small.predict("the cat sat on the mat")[0] == "en"
-
-
-def test_blocks_leave_no_gram_out(spark):
-    learned = spark.createDataFrame([("en", "the cat sat on the mat with another cat and many other words"), ("fr", "le chat est sur la table avec un autre chat été noël"), ("zh", "中文字符很多 中文 漢字 文字")], "lang string, text string")
-    whole, parts = language.learn(learned), language.learn(learned, most=15)
-    assert len(whole.blocks) == 1 and len(parts.blocks) > 4
-    grams = [set(b.value.grams[language.ORDER][0].tolist()) for b in parts.blocks]
-    assert set.union(*grams) == set(whole.model.grams[language.ORDER][0].tolist()) and sum(map(len, grams)) == len(set.union(*grams))
-    texts = ["the cat", "le chat noël", "unseen zqx words", "中文 mat", "x" * 50, "", None]
-    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = [{r.row.doc_id: r for r in language.identify(rows, x).collect()} for x in (whole, parts)]
+    # the same as a table
+    table = language.learn(learned, most=20)
+    assert table.entries is not None and table.predict("the cat sat on the mat")[0] == "en" and table.predict(None)[3]
+    by = lambda rows: {(r.row.doc_id, r.row.text): (r.lang_pred, pytest.approx(r.score), r.rejected) for r in rows}
+    assert by(language.identify(odd_documents, table).collect()) == by(rows)
+    assert language.identify(odd_documents.where("false"), table).count() == 0
+
+
+LEARNED = [("en", "the cat sat on the mat with another cat and many other words"), ("fr", "le chat est sur la table avec un autre chat été noël"), ("zh", "中文字符很多 中文 漢字 文字")]
+
+
+@pytest.mark.parametrize("chunk", [5, 200_000])
+def test_the_table_is_the_model(spark, chunk):
+    learned = spark.createDataFrame(LEARNED, "lang string, text string")
+    whole, table = language.learn(learned), language.learn(learned, most=15, chunk=chunk)
+    assert whole.entries is None and table.model is None
+    # an entry for each language that has the gram or context, and no other
+    keys = {lang: language.needed(text) for lang, text in LEARNED}
+    held = {r.key: r.langs for r in table.entries.collect()}
+    assert {lang: {k for k, langs in held.items() if i in langs} for i, lang in enumerate(table.langs)} == keys
+    texts = ["the cat", "le chat noël", "unseen zqx words", "中文 mat", "x" * 50, "", None] * 3
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    found = [{r.row.doc_id: r for r in language.identify(rows, x).collect()} for x in (whole, table)]
     for k, text in enumerate(texts):
         one, many = found[0][k], found[1][k]
         assert (one.lang_pred, one.rejected) == (many.lang_pred, many.rejected)
         assert one.score == pytest.approx(many.score) and one.bits == (None if one.bits is None else pytest.approx(many.bits))
-        assert whole.predict(text)[2] == (None if one.bits is None else pytest.approx(one.bits))
+        if k < 7:
+            assert whole.predict(text)[2] == (None if one.bits is None else pytest.approx(one.bits)) == table.predict(text)[2]
+
+
+def test_passes_over_texts_do_not_grow_with_the_model(spark):
+    learned = spark.createDataFrame(LEARNED * 5, "lang string, text string")
+    rows = spark.createDataFrame([(1, "the cat")], "doc_id long, text string")
+    passes = []
+    for most in (200, 20, 1):
+        df = language.identify(rows, language.learn(learned, most=most))
+        passes.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+    assert set(passes) == {1}
 
 
 def test_calibration_covers_rare_languages(spark):
