@@ -16,8 +16,8 @@ several kinds, it is removed (``[removed]``). This holds wherever the term stand
 
 Counts cover all documents: pairs and frequencies are aggregated in each task before any shuffle. n(t) is counted in one pass,
 for terms of sufficient support only; these are broadcast up to ``block_terms`` (under 64 MB), and joined with the counts of all
-terms beyond. Disclosing terms go to executors in blocks of at most ``block_terms``, a document passing all blocks in
-one task. No text is shuffled. A document's spans and the words about them are handled in time linear in its length.
+terms beyond. Disclosing terms are broadcast up to ``block_terms``; beyond, documents look up those of their own words in chunks
+(lookups.py), so the number of passes over the corpus is the same for any number of terms. No text is shuffled. A document's spans and the words about them are handled in time linear in its length.
 
 A null text counts as empty and stays null when sanitised. Each row is a document, so repeated rows count as
 often as they occur; ties and other columns don't matter; an empty table gives an empty result.
@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folioscope.llm import lookups
 from folioscope.llm.carried import parted
 from folioscope.llm.words import alnum_words
 from folioscope.storage import bounded_batches, land
@@ -223,12 +224,6 @@ def _counted(count: Counter[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(count), pa.string()), pa.array(count.values(), pa.int64())], ["term", "n"])
 
 
-def _blocks(df: DataFrame, most: int) -> list[list[tuple]]:
-    """Broadcastable blocks of rows keyed by a string ``term``, each of about ``most`` rows."""
-    n = max(1, -(-df.count() // most))
-    return [df if n == 1 else df.where(F.pmod(F.xxhash64("term"), F.lit(n)) == k) for k in range(n)]
-
-
 def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
     """(term, action) of every term that discloses a protected entity of ``documents``, landed; long terms as ``long_term`` has them."""
     spark = documents.sparkSession
@@ -262,33 +257,34 @@ def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFr
 _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("action", pa.string())]))
 
 
-def _find(terms, first: bool, last: bool):
-    """Adds term spans of one block to the column of spans, which ``first`` creates with the base spans; ``last`` adds the clean text."""
+def words_of(text: str | None) -> set[str]:
+    """The distinct terms of a text."""
+    return set(terms_of(text))
+
+
+def _spans(text: str, known: dict[str, str]) -> list[tuple]:
+    """(kind, start, end, action) of base patterns and of terms in ``known``."""
+    spans = [(k, a, b, None) for k, a, b in base_spans(text)]
+    if known and not known.keys().isdisjoint(terms_of(text)):
+        covered = Covered([x[:3] for x in spans])
+        for m in _WORD.finditer(text):
+            if (action := known.get(term(m[0]))) and not covered.meets(*m.span()):
+                spans.append(("term", *m.span(), action))
+    return spans
+
+
+def _find(of_batch, carried: int):
+    """Replaces the last ``carried`` columns by spans and the clean text; ``of_batch`` gives the terms that each row looks for."""
 
     def run(batches):
-        known = terms.value
         for batch in batches:
             out, texts = [], []
-            was = [None] * len(batch) if first else batch.column(len(batch.columns) - 1).to_pylist()
-            for said, spans in zip(batch.column(0).to_pylist(), was):
-                text = said or ""
-                if first:
-                    spans = [(k, a, b, None) for k, a, b in base_spans(text)]
-                else:
-                    spans = [(x["kind"], x["start"], x["end"], x["action"]) for x in spans]
-                if known and not known.keys().isdisjoint(terms_of(text)):
-                    covered = Covered([x[:3] for x in spans if x[0] != "term"])
-                    for m in _WORD.finditer(text):
-                        if (action := known.get(term(m[0]))) and not covered.meets(*m.span()):
-                            spans.append(("term", *m.span(), action))
+            for said, known in zip(batch.column(0).to_pylist(), of_batch(batch)):
+                spans = _spans(said or "", known)
                 out.append([dict(zip(("kind", "start", "end", "action"), x)) for x in spans])
-                if last:
-                    texts.append(_cleaned(text, spans) if spans else said)
-            columns = batch.columns if first else batch.columns[:-1]
-            added, names = [pa.array(out, _SPANS)], ["spans"]
-            if last:
-                added, names = [*added, pa.array(texts, pa.string())], [*names, "clean"]
-            yield pa.RecordBatch.from_arrays([*columns, *added], [*batch.schema.names[: len(columns)], *names])
+                texts.append(_cleaned(said or "", spans) if spans else said)
+            n = len(batch.columns) - carried
+            yield pa.RecordBatch.from_arrays([*batch.columns[:n], pa.array(out, _SPANS), pa.array(texts, pa.string())], [*batch.schema.names[:n], "spans", "clean"])
 
     return run
 
@@ -300,16 +296,22 @@ def _cleaned(text: str, spans: list[tuple]) -> str:
 def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
     """For every row of ``documents``: ``row``, its columns, ``spans`` (kind, start, end, action) and the ``clean`` text.
 
-    Spans are ordered by kind as in KINDS, terms last, then by start.
+    Spans are ordered by kind as in KINDS, terms last, then by start. At most ``block_terms`` terms are broadcast, and a chunk
+    of documents has about as many distinct words at most.
     """
-    spark = documents.sparkSession
     terms = disclosing_terms(documents, block_terms)
-    out, row = parted(documents)
-    added = T.StructType.fromDDL("spans array<struct<kind: string, start: long, end: long, action: string>>, clean string").fields
-    fields, blocks = out.schema.fields, _blocks(terms, block_terms)
-    for k, block in enumerate(blocks):
-        known, last = spark.sparkContext.broadcast({r.term: r.action for r in block.collect()}), k + 1 == len(blocks)
-        out = out.mapInArrow(_find(known, k == 0, last), T.StructType([*fields, *added[: 1 + last]]))
-        if k % 4 == 3 and not last:
-            out = land(out, "found")
+    rows, row = parted(documents)
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("spans array<struct<kind: string, start: long, end: long, action: string>>, clean string").fields])
+    if terms.count() <= block_terms:
+        known = documents.sparkSession.sparkContext.broadcast({r.term: r.action for r in terms.collect()})
+        out = rows.mapInArrow(_find(lambda batch: [known.value] * len(batch), 0), schema)
+    else:
+        chunks = lookups.chunked(rows, words_of, block_terms)
+        folder = lookups.found(chunks, words_of, "term", terms)
+
+        def run(batches):
+            of = lookups.by_chunk(folder, lambda found: dict(zip(found["term"].to_pylist(), found["action"].to_pylist())) if found else {})
+            yield from _find(lambda batch: (of(p, c) for p, c in zip(*(batch.column(len(batch.columns) - k).to_pylist() for k in (2, 1)))), 2)(batches)
+
+        out = chunks.mapInArrow(run, schema)
     return out.select(row.alias("row"), "spans", "clean")

@@ -62,9 +62,10 @@ def test_terms_that_disclose(spark):
             assert got[i].clean == t
     assert "Zebrowski" not in got[305].clean and "[near EMAIL]" in got[305].clean
     assert got[306].clean == "ask [PHONE] w2"
-    # the same through several blocks of terms
-    again = {r.row.doc_id: r.clean for r in pii.sanitise(docs, block_terms=40).collect()}
-    assert again == {i: r.clean for i, r in got.items()}
+    # the same where chunks of documents look terms up
+    for block in (40, 0):
+        again = {r.row.doc_id: (r.clean, r.spans) for r in pii.sanitise(docs, block_terms=block).collect()}
+        assert again == {i: (r.clean, r.spans) for i, r in got.items()}
 
 
 def slow_actions(texts):
@@ -154,7 +155,7 @@ def test_long_terms_disclose(spark):
     texts += [f"call {word} w1 {word}x w2" for word in long]
     texts += [f"{filler(9)} user{k}@mail.example.com" for k in range(60)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    for block in (500_000, 8):
+    for block in (500_000, 8, 3):
         got = {r.row.doc_id: r.clean for r in pii.sanitise(docs, block_terms=block).collect()}
         assert [got[at + k] for k in range(len(long))] == ["call [near EMAIL] w1 [near EMAIL] w2"] * len(long)
         assert not any(word in x for word in long for x in got.values())
