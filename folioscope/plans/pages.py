@@ -321,7 +321,7 @@ def repeated_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.repeated_filings(events, 1)
 
 
-_HELD = """WITH m AS (SELECT event_id AS id, ts, user_id % 7 AS holder, CASE WHEN event_type = 'error' THEN -1 WHEN event_type = 'view' THEN 1 ELSE 0 END AS shares FROM events WHERE event_type IN ('view', 'error')),
+_HELD = """WITH m AS (SELECT event_id AS id, ts, user_id AS holder, CASE WHEN event_type = 'error' THEN -1 WHEN event_type = 'view' THEN 1 ELSE 0 END AS shares FROM events WHERE event_type IN ('view', 'error')),
 b AS (SELECT id, holder, shares, CAST(sum(shares) OVER (PARTITION BY holder ORDER BY ts, id) AS BIGINT) AS balance FROM m)
 """
 
@@ -330,7 +330,7 @@ b AS (SELECT id, holder, shares, CAST(sum(shares) OVER (PARTITION BY holder ORDE
 FROM b WHERE (balance = 0) <> (balance - shares = 0)""")
 def holder_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = table(spark, sf_dir, "events").where("event_type in ('view', 'error')")
-    moves = moves.select(F.col("event_id").alias("id"), "ts", (F.col("user_id") % 7).alias("holder"), F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
+    moves = moves.select(F.col("event_id").alias("id"), "ts", F.col("user_id").alias("holder"), F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
     held = ledger.holdings(moves, "holder", [F.col("ts"), F.col("id")], "shares")
     return ledger.entry_events(held).select("id", "holder", "balance", "code")
 
@@ -353,7 +353,7 @@ UNION ALL SELECT 'U' || u, 'sources disagree', nullif(a, 0), nullif(b, 0) FROM c
 """)
 def contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, items = table(spark, sf_dir, "events"), table(spark, sf_dir, "lineitem")
-    moves = events.where("event_type in ('view', 'error')").select(F.concat(F.lit("H"), F.col("user_id") % 7).alias("key"), "ts", "event_id", F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
+    moves = events.where("event_type in ('view', 'error')").select(F.concat(F.lit("H"), F.col("user_id")).alias("key"), "ts", "event_id", F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
     balances = ledger.holdings(moves, "key", [F.col("ts"), F.col("event_id")], "shares")
     held = items.select(F.concat(F.lit("O"), F.col("l_orderkey")).alias("key"), F.col("l_quantity").cast("long").alias("shares"))
     stated = held.select("key").distinct().withColumn("stated", F.lit(100).cast("long"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import geometry
 from folioscope.plans.registry import query
-from folioscope.sources import filings, sinks
+from folioscope.sources import filings, pdf, sinks
 from folioscope.storage import land, new_folder, table
 
 
@@ -100,3 +100,25 @@ def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows.write.parquet(f"{folder}/catalogue.parquet")
     read = lambda form, path: filings.catalogue(spark, path).withColumn("form", F.lit(form))
     return read("json", f"{folder}/catalogue").unionByName(read("parquet", f"{folder}/catalogue.parquet"))
+
+
+@query("""
+SELECT lpad(CAST(s_suppkey AS VARCHAR), 24, 'a') AS doc_id, page, CASE WHEN page = 2 AND s_suppkey % 2 = 1 THEN 842.0 ELSE CAST(500 + s_suppkey % 9 AS DOUBLE) END AS w_pt,
+  CASE WHEN page = 2 AND s_suppkey % 2 = 1 THEN CAST(500 + s_suppkey % 9 AS DOUBLE) ELSE 842.0 END AS h_pt FROM supplier, (VALUES (1), (2)) p(page)
+""")
+def pdf_page_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page sizes out of PDF files of two pages, of which every other file's second is turned."""
+    k = F.col("s_suppkey")
+    turn = F.when(k % 2 == 1, " /Rotate 90").otherwise("")
+    body = [
+        "%PDF-1.4\n1 0 obj << /Type /Catalog /Pages 2 0 R >> endobj\n2 0 obj << /Type /Pages /Kids [3 0 R 4 0 R] /Count 2 /MediaBox [0 0 ",
+        (500 + k % 9).cast("string"),
+        " 842] >> endobj\n3 0 obj << /Type /Page /Parent 2 0 R >> endobj\n4 0 obj << /Type /Page /Parent 2 0 R",
+        turn,
+        " >> endobj\ntrailer << /Root 1 0 R >>\n%%EOF",
+    ]
+    content = F.concat(*[F.lit(x) if isinstance(x, str) else x for x in body])
+    name = F.concat(F.lit("actes/pdf/acte_2020-01-01_"), F.lpad(k.cast("string"), 24, "a"), F.lit(".pdf"))
+    root = f"{new_folder(spark)}/data"
+    land(sinks.write_files(table(spark, sf_dir, "supplier").select(name.alias("path"), content.alias("content")), root), "files")
+    return land(pdf.page_sizes(spark, f"{root}/actes/pdf"), "sizes")
