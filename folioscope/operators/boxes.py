@@ -111,12 +111,12 @@ def accuracy(submitted: DataFrame, lines: DataFrame, least: float = 0.5) -> tupl
     """Which text each submitted box hits, and how often it is the right one.
 
     ``submitted`` are (id, doc_id, page, field, box, text), ``lines`` (id, doc_id, page, box, text), boxes as fractions; ids are unique in a
-    page. A box is given the line it overlaps most and a line one box at most, the largest overlaps first (ties: smaller ids). It hits
+    page. A box is given the line it overlaps most and a line one box at most, the largest overlaps first, to nine digits (ties: smaller ids). It hits
     where the overlap is at least ``least``, and is right where the line's text then is the submitted one, white space at the ends aside.
 
     Returns the boxes with line, overlap, hit and right, and per field and document n, hits, right and accuracy (right / n).
     """
-    pairs = overlapping(submitted, lines).where(F.col("overlap") > 0)
+    pairs = overlapping(submitted, lines).withColumn("overlap", F.round("overlap", 9)).where("overlap > 0")
     best = one_to_one(pairs, ["doc_id", "page"], "a", "b", [(-F.col("overlap")).alias("less"), F.col("a"), F.col("b")])
     read = lines.select("doc_id", "page", F.col("id").alias("b"), F.col("text").alias("_read"))
     best = best.join(read, ["doc_id", "page", "b"]).select("doc_id", "page", F.col("a").alias("id"), F.col("b").alias("line"), "overlap", "_read")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import french
 from folioscope.operators import scan
+from folioscope.storage import land
 
 SIZE, MARGIN = 64, 8
 
@@ -152,10 +153,12 @@ def evidence(decisions: DataFrame, lines: DataFrame, least: float = 0.5) -> Data
     of all its words; words that no line has weigh as if one document had them. Best is the highest score, then the line of fewest words, then the first. Both sides meet in an
     inverted index by document and word, so only lines that share a word with a decision are looked at.
     """
-    index = lines.select("doc_id", "page", "pos", F.size(tokens(F.col("text"))).alias("size"), F.explode(tokens(F.col("text"))).alias("token"))
-    n = lines.agg(F.count_distinct("doc_id").alias("n"))
-    df = index.select("doc_id", "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-    asked = decisions.select("doc_id", "decision_id", F.explode(tokens(F.col("text"))).alias("token"))
+    # lines are parsed once; of their words only those that some decision has are counted
+    parsed = land(lines.select("doc_id", "page", "pos", tokens(F.col("text")).alias("tokens")), "tokens")
+    index = parsed.select("doc_id", "page", "pos", F.size("tokens").alias("size"), F.explode("tokens").alias("token"))
+    n = parsed.agg(F.count_distinct("doc_id").alias("n"))
+    asked = land(decisions.select("doc_id", "decision_id", F.explode(tokens(F.col("text"))).alias("token")), "asked")
+    df = index.select("doc_id", "token").join(asked.select("token").distinct(), "token", "left_semi").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("df"))
     # the only row of n is a scalar of the plan
     weight = F.round(1000 * F.log1p(n.scalar() / F.coalesce("df", F.lit(1)))).cast("long")
     asked = asked.join(df, "token", "left").select("doc_id", "decision_id", "token", weight.alias("weight"))

@@ -57,9 +57,9 @@ def level_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     greatest(0, least(a.x + 0.2, b.pos * 0.05 + 0.2) - greatest(a.x, b.pos * 0.05)) * greatest(0, least(a.y, b.q / 60) + 0.02 - greatest(a.y, b.q / 60)) AS shared
   FROM (SELECT *, pos * 0.05 + p % 5 * 0.01 AS x, q / 60 + p % 7 * 0.001 AS y FROM l) a JOIN l b USING (doc_id)
 ), o AS (
-  SELECT *, shared / (0.2 * 0.02 * 2 - shared) AS overlap FROM s WHERE shared > 1e-12
+  SELECT *, round(shared / (0.2 * 0.02 * 2 - shared), 9) AS overlap FROM s WHERE shared > 1e-12
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(-overlap, 9), pos, line) AS r FROM o
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY -overlap, pos, line) AS r FROM o
 ), taken AS (
   SELECT doc_id, list_reduce(list_prepend({'a': [-1], 'b': [-1], 'r': [-1]}, list({'a': [pos], 'b': [line], 'r': [r]} ORDER BY r)),
     lambda t, x: CASE WHEN list_contains(t.a, x.a[1]) OR list_contains(t.b, x.b[1]) THEN t ELSE {'a': list_concat(t.a, x.a), 'b': list_concat(t.b, x.b), 'r': list_concat(t.r, x.r)} END) AS t
