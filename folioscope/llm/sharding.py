@@ -9,8 +9,8 @@ slots have no gap.
 
 Rows equal in all three are interchangeable; they are counted in a partial aggregate, numbered as one, and made rows
 again in pieces of PIECE that are dealt anew, so that neither a doc_id nor equal rows are one task's work. The counted keys are
-written once, without texts, so that numbers stay the same if executors are lost. Buckets hold some ROWS_A_BUCKET keys; only
-their row counts, two numbers each, are summed in order, on the driver (N / ROWS_A_BUCKET pairs), and joined back as a table whose size Spark knows.
+written once, without texts, so that numbers stay the same if executors are lost. Buckets hold some ROWS_A_BUCKET keys. Where each begins is a prefix sum
+on two levels: in Spark within GROUP buckets, and over the groups, of which there are N / (ROWS_A_BUCKET * GROUP), on the driver.
 
 A null text has no bytes and checksum 0. Null doc_ids are a key like others; repeated rows are each
 placed, other columns don't matter, and an empty table gives an empty result.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from folioscope.llm.words import mix
 from folioscope.storage import land
 
-ROWS_A_BUCKET, PIECE, ROUNDS = 50_000, 10_000, 6
+ROWS_A_BUCKET, GROUP, PIECE, ROUNDS = 50_000, 1_000, 10_000, 6
 
 
 def permuted(x: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -55,11 +55,14 @@ def shards(documents: DataFrame, count: int = 40, key: int = 7) -> DataFrame:
     total, n = keys.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     buckets = max(64, -(-total // ROWS_A_BUCKET))
     keys = keys.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(buckets)).cast("int"))
+    counts = land(keys.groupBy("bucket").agg(F.sum("n").alias("n")).withColumn("group", F.expr(f"bucket div {GROUP}").cast("int")), "buckets")
     before, first = 0, []
-    for b, k in sorted(tuple(r) for r in keys.groupBy("bucket").agg(F.sum("n")).collect()):
-        first.append((b, before))
+    for g, k in sorted(tuple(r) for r in counts.groupBy("group").agg(F.sum("n")).collect()):
+        first.append((g, before))
         before += k
-    starts = spark.createDataFrame(first, "bucket int, start long")
+    within = Window.partitionBy("group").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    groups = spark.createDataFrame(first, "group int, first long")
+    starts = counts.withColumn("k", F.coalesce(F.sum("n").over(within), F.lit(0))).join(groups, "group").select("bucket", (F.col("first") + F.col("k")).alias("start"))
     order = Window.partitionBy("bucket").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
     ranked = keys.withColumn("k", F.coalesce(F.sum("n").over(order), F.lit(0))).join(starts, "bucket")
     ranked = ranked.select("doc_id", "text_crc32", "size", (F.col("start") + F.col("k")).alias("a"), (F.col("start") + F.col("k") + F.col("n") - 1).alias("z"))

@@ -84,3 +84,14 @@ def test_odd_documents(odd_documents):
     assert next(r for r in rows if r.doc_id == 0).size == 16
     assert all(r.position == int(sharding.permuted(np.array([r.row_number]), len(rows), 7)[0]) for r in rows)
     assert sharding.shards(odd_documents.where("false")).count() == 0
+
+
+def test_numbers_have_no_gap_whatever_the_buckets(spark, monkeypatch):
+    rows = [(i % 70, f"text {i % 90}") for i in range(800)] + [(None, None)] * 5
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for bucket, group in ((50_000, 1_000), (7, 3), (1, 1)):
+        monkeypatch.setattr(sharding, "ROWS_A_BUCKET", bucket)
+        monkeypatch.setattr(sharding, "GROUP", group)
+        got = sharding.shards(docs, count=7).collect()
+        assert sorted(r.row_number for r in got) == sorted(r.position for r in got) == list(range(805))
+        assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
