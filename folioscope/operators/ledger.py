@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions import french
-from folioscope.operators import captable
+from folioscope.operators import captable, scan
 
 #: Decisions to event codes, first match wins; texts are folded. The last code is a finding, not scored.
 EVENT_RULES = [
@@ -46,14 +46,10 @@ def dated(events: DataFrame, text: Column, deposit: str = "dateDepot") -> DataFr
     return events.withColumn("event_date", F.when(usable, said).otherwise(F.col(deposit))).withColumn("date_basis", F.when(usable, "text").otherwise("deposit"))
 
 
-def timeline(events: DataFrame, key: str, order: list[Column], delta: str, absolute: str) -> DataFrame:
-    """Adds ``balance``: the running sum of deltas, set anew by every absolute statement. ``order`` must be total."""
-    w = Window.partitionBy(key).orderBy(*order)
-    island = F.count(absolute).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    out = events.withColumn("_island", island)
-    inner = Window.partitionBy(key, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    step = F.coalesce(F.col(absolute), F.col(delta), F.lit(0))
-    return out.withColumn("balance", F.sum(step).over(inner)).drop("_island")
+def timeline(events: DataFrame, key: str, order: list[str], delta: str, absolute: str) -> DataFrame:
+    """Adds ``balance``: the running sum of deltas, set anew by every absolute statement. ``order`` must be total. A key may have any share of all events."""
+    rows = scan.ranged(events, [key], order)
+    return scan.since_reset(rows, [key], order, {"balance": (F.col(delta), F.col(absolute))}).drop(scan.PART)
 
 
 def entries(transfers: DataFrame) -> DataFrame:
@@ -66,10 +62,9 @@ def entries(transfers: DataFrame) -> DataFrame:
     return out.unionByName(once.select("id", "date", F.col("taker").alias("holder"), "shares")).where("holder is not null")
 
 
-def holdings(rows: DataFrame, holder: str, order: list[Column], shares: str) -> DataFrame:
-    """Running balance per holder and ``change``: entry or end, where it leaves or returns to zero."""
-    w = Window.partitionBy(holder).orderBy(*order)
-    out = rows.withColumn("balance", F.sum(shares).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+def holdings(rows: DataFrame, holder: str, order: list[str], shares: str) -> DataFrame:
+    """Running balance per holder and ``change``: entry or end, where it leaves or returns to zero. A holder may have any share of all rows."""
+    out = scan.running(scan.ranged(rows, [holder], order), [holder], order, {"balance": F.col(shares)}).drop(scan.PART)
     before = F.col("balance") - F.col(shares)
     return out.withColumn("change", F.when((before == 0) & (F.col("balance") != 0), "entry").when((before != 0) & (F.col("balance") == 0), "end"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from folioscope.operators import scan
 from folioscope.storage import land
 
 STAGES = ["Sourcing", "NDA", "Due diligence", "Offer"]
@@ -24,17 +25,27 @@ def transitions(requests: DataFrame, key: str, order: list[str], stage: str, sta
 
     Adds ``accepted`` and ``state`` after each request; the first state is the first stage. A rejected request
     changes nothing. As only the next rank is ever accepted, rank k is reached by the first request for it after
-    rank k - 1 was: one running maximum per stage over one sort, instead of a fold over a key's whole log.
+    rank k - 1 was: one aggregate per stage, instead of a fold over a key's whole log, so a key may have any share of all requests.
     ``order`` must be total.
     """
-    w = Window.partitionBy(key).orderBy(*order)
-    past = w.rowsBetween(Window.unboundedPreceding, 0)
-    out = requests.withColumn("_asked", F.coalesce(rank(F.col(stage), stages), F.lit(-1))).withColumn("_r0", F.lit(1))
+    out = requests.withColumn("_asked", F.coalesce(rank(F.col(stage), stages), F.lit(-1))).withColumn("_at", F.struct(*order))
+    same = F.col(f"r.{key}").eqNullSafe(F.col(f"s.{key}"))
+    asked, reached = out.select(key, "_asked", "_at"), None
     for k in range(1, len(stages)):
-        out = out.withColumn(f"_r{k}", F.max(((F.col("_asked") == k) & (F.col(f"_r{k - 1}") == 1)).cast("int")).over(past))
-    reached = sum((F.col(f"_r{k}") for k in range(1, len(stages))), F.lit(0))
-    out = out.withColumn("_s", reached).withColumn("accepted", F.col("_s") > F.coalesce(F.lag("_s").over(w), F.lit(0)))
-    return out.select(*requests.columns, "accepted", F.get(F.array(*map(F.lit, stages)), F.col("_s")).alias("state"))
+        own = asked.where(F.col("_asked") == k).alias("r")
+        if reached is not None:
+            own = own.join(reached.alias("s"), same & (F.col("r._at") > F.col(f"s._t{k - 1}")))
+        before = [F.first(f"s._t{j}").alias(f"_t{j}") for j in range(1, k)]
+        now = own.groupBy(F.col(f"r.{key}").alias(key)).agg(*before, F.min("r._at").alias(f"_t{k}"))
+        if reached is not None:
+            left = F.col(f"n.{key}").eqNullSafe(F.col(f"p.{key}"))
+            now = reached.alias("p").join(now.alias("n"), left, "left").select("p.*", f"n._t{k}")
+        reached = land(now, "reached")
+    times = [F.col(f"_t{k}") for k in range(1, len(stages))]
+    out = out.alias("r").join(reached.alias("s"), same, "left").select("r.*", *times)
+    state = sum((F.coalesce(F.col("_at") >= t, F.lit(False)).cast("int") for t in times), F.lit(0))
+    accepted = F.greatest(F.lit(False), *[F.coalesce(F.col("_at") == t, F.lit(False)) for t in times])
+    return out.select(*requests.columns, accepted.alias("accepted"), F.get(F.array(*map(F.lit, stages)), state).alias("state"))
 
 
 def receipts(uploads: DataFrame, checksum: Column, order: list[str], document_id: str) -> DataFrame:
@@ -53,8 +64,11 @@ def receipts(uploads: DataFrame, checksum: Column, order: list[str], document_id
 
 def over_rate(attempts: DataFrame, key: str, at: str, seconds: int, limit: int) -> DataFrame:
     """Attempts with the number within the last ``seconds``, themselves included, and whether they exceed the limit."""
-    w = Window.partitionBy(key).orderBy(_micros(at)).rangeBetween(-seconds * 1_000_000, 0)
-    out = attempts.withColumn("recent", F.count(F.lit(1)).over(w))
+    # a key's attempts in stretches of that many seconds, each with the one before, so that a busy key is many tasks' work
+    stretch = F.floor(_micros(at) / (seconds * 1_000_000))
+    out = attempts.select("*", F.posexplode(F.array_distinct(F.array(stretch, stretch + 1))).alias("_copy", "_stretch"))
+    w = Window.partitionBy(key, "_stretch").orderBy(_micros(at)).rangeBetween(-seconds * 1_000_000, 0)
+    out = out.withColumn("recent", F.count(F.lit(1)).over(w)).where("_copy = 0").drop("_copy", "_stretch")
     return out.withColumn("limited", F.col("recent") > limit)
 
 
@@ -64,13 +78,13 @@ def code_checks(issued: DataFrame, attempts: DataFrame, key: str, seconds: int)
     Issues and attempts are one log per key; an issue at the same time comes first.
     """
     log = issued.select(key, "at", F.lit(0).alias("kind"), F.col("issue_id").alias("id")).unionByName(attempts.select(key, "at", F.lit(1).alias("kind"), F.col("attempt_id").alias("id")))
-    order = Window.partitionBy(key).orderBy("at", "kind", "id")
-    past = order.rowsBetween(Window.unboundedPreceding, 0)
-    log = log.withColumn("code", F.last(F.when(F.col("kind") == 0, F.struct("at", "id")), ignorenulls=True).over(past))
-    fresh = (F.col("kind") == 1) & F.col("code").isNotNull() & (_micros("at") - _micros("code.at") <= seconds * 1_000_000)
-    nth = F.row_number().over(Window.partitionBy(key, "code.id", "kind", "_fresh").orderBy("at", "id"))
-    out = log.withColumn("_fresh", F.coalesce(fresh, F.lit(False))).withColumn("_nth", nth).where("kind = 1")
-    return out.select(key, "at", F.col("id").alias("attempt_id"), (F.col("_fresh") & (F.col("_nth") == 1)).alias("ok"))
+    order = ["at", "kind", "id"]
+    log = scan.last(scan.ranged(log, [key], order), [key], order, {"code": F.when(F.col("kind") == 0, F.struct("at", "id"))}).where("kind = 1")
+    fresh = F.coalesce(F.col("code").isNotNull() & (_micros("at") - _micros("code.at") <= seconds * 1_000_000), F.lit(False))
+    # the attempts while one code lasts
+    nth = F.row_number().over(Window.partitionBy(key, "code.id").orderBy("at", "id"))
+    ok = log.where(fresh).withColumn("ok", nth == 1).unionByName(log.where(~fresh).withColumn("ok", F.lit(False)))
+    return ok.select(key, "at", F.col("id").alias("attempt_id"), "ok")
 
 
 def last_action(actions: DataFrame, keys: list[str], action: str, order: list[str]) -> DataFrame:
@@ -97,4 +111,5 @@ def visible(documents: DataFrame, states: DataFrame, key: str) -> DataFrame:
 
 def history(events: DataFrame, key: str, order: list[str]) -> DataFrame:
     """Numbers each key's events from 1, in a total order."""
-    return events.withColumn("seq", F.row_number().over(Window.partitionBy(key).orderBy(*order)))
+    rows = scan.running(scan.ranged(events, [key], order), [key], order, {"seq": F.lit(1)})
+    return rows.withColumn("seq", F.col("seq").cast("int")).drop(scan.PART)

@@ -354,7 +354,7 @@ def _moves(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _balances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.timeline(_moves(spark, sf_dir), "user_id", [F.col("ts"), F.col("event_id")], "delta", "absolute")
+    return ledger.timeline(_moves(spark, sf_dir), "user_id", ["ts", "event_id"], "delta", "absolute")
 
 
 @query(_TIMELINE + "SELECT event_id, user_id, balance FROM t")
@@ -373,7 +373,7 @@ def holder_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = table(spark, sf_dir, "events").select(F.col("event_id").alias("id"), F.to_date("ts").alias("date"), F.col("user_id").alias("giver"), ((F.col("user_id") * 7 + 3) % 50).alias("taker"), F.floor("value").cast("long").alias("shares"))
     seen = moves.unionByName(moves.withColumn("id", F.col("id") + 1_000_000))  # every movement is filed twice
     rows = ledger.entries(seen)
-    return ledger.holdings(rows, "holder", [F.col("date"), F.col("id"), F.col("shares")], "shares").select("id", "holder", "shares", "balance")
+    return ledger.holdings(rows, "holder", ["date", "id", "shares"], "shares").select("id", "holder", "shares", "balance")
 
 
 _DATES = "(VALUES (DATE '2024-01-10'), (DATE '2024-01-20'), (DATE '2024-06-30')) AS d(date)"

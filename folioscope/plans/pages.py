@@ -331,7 +331,7 @@ FROM b WHERE (balance = 0) <> (balance - shares = 0)""")
 def holder_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     moves = table(spark, sf_dir, "events").where("event_type in ('view', 'error')")
     moves = moves.select(F.col("event_id").alias("id"), "ts", F.col("user_id").alias("holder"), F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
-    held = ledger.holdings(moves, "holder", [F.col("ts"), F.col("id")], "shares")
+    held = ledger.holdings(moves, "holder", ["ts", "id"], "shares")
     return ledger.entry_events(held).select("id", "holder", "balance", "code")
 
 
@@ -354,7 +354,7 @@ UNION ALL SELECT 'U' || u, 'sources disagree', nullif(a, 0), nullif(b, 0) FROM c
 def contradictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     events, items = table(spark, sf_dir, "events"), table(spark, sf_dir, "lineitem")
     moves = events.where("event_type in ('view', 'error')").select(F.concat(F.lit("H"), F.col("user_id")).alias("key"), "ts", "event_id", F.when(F.col("event_type") == "error", -1).otherwise(1).alias("shares"))
-    balances = ledger.holdings(moves, "key", [F.col("ts"), F.col("event_id")], "shares")
+    balances = ledger.holdings(moves, "key", ["ts", "event_id"], "shares")
     held = items.select(F.concat(F.lit("O"), F.col("l_orderkey")).alias("key"), F.col("l_quantity").cast("long").alias("shares"))
     stated = held.select("key").distinct().withColumn("stated", F.lit(100).cast("long"))
     count = lambda kind: events.where(F.col("event_type") == kind).groupBy(F.concat(F.lit("U"), F.col("user_id")).alias("key")).agg(F.count(F.lit(1)).alias("n"))

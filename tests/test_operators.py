@@ -23,7 +23,7 @@ def test_grep_is_literal_and_keeps_places(spark):
 def test_timeline(spark):
     rows = [(1, "s", 1, None, 300000), (2, "s", 2, 120500, None), (3, "s", 3, -90250, None), (4, "s", 4, 169750, None), (5, "s", 5, None, 7), (6, "s", 6, -9, None)]
     events = spark.createDataFrame(rows, "id int, siren string, at int, delta int, absolute int")
-    got = ledger.timeline(events, "siren", [F.col("at"), F.col("id")], "delta", "absolute")
+    got = ledger.timeline(events, "siren", ["at", "id"], "delta", "absolute")
     assert [r.balance for r in got.orderBy("id").collect()] == [300000, 420500, 330250, 500000, 7, -2]
     assert [r.id for r in ledger.findings(got, "siren").collect()] == [6]
 
@@ -33,7 +33,7 @@ def test_movements_count_once(spark):
     moves = spark.createDataFrame([(1, day, "a", "b", 10), (2, day, "a", "b", 10), (3, day, None, "a", 10)], "id int, date date, giver string, taker string, shares int")
     rows = ledger.entries(moves)
     assert sorted((r.id, r.holder, r.shares) for r in rows.collect()) == [(1, "a", -10), (1, "b", 10), (3, "a", 10)]
-    got = ledger.holdings(rows, "holder", [F.desc("id")], "shares").where("holder = 'a'").orderBy(F.desc("id")).collect()
+    got = ledger.holdings(rows.withColumn("back", -F.col("id")), "holder", ["back"], "shares").where("holder = 'a'").orderBy("back").collect()
     assert [(r.balance, r.change) for r in got] == [(10, "entry"), (0, "end")]
 
 
@@ -236,3 +236,22 @@ def test_ocr_lines_takes_all_points(spark):
     pages = spark.createDataFrame([(1, [(k, 1.0, 0, v, None) for k, v in {"a": points, "b": points[:4], "c": points[3:], "d": []}.items()])], f"page int, ocr array<{filings.LINE}>")
     got = {r.text: (r.px_x0, r.px_y0, r.px_x1, r.px_y1) for r in filings.ocr_lines(pages, "page").collect()}
     assert got == {"a": (1, 5, 6, 9), "b": (5, 5, 6, 6), "c": (1, 6, 5, 9), "d": (None,) * 4}
+
+
+def test_rates_equal_a_count(spark):
+    rng = random.Random(8)
+    start = datetime.datetime(2024, 1, 1)
+    rows = [(rng.choice("uv"), start + datetime.timedelta(seconds=rng.randint(0, 120)) if rng.random() < 0.95 else None, i) for i in range(200)]
+    got = workflow.over_rate(spark.createDataFrame(rows, "user string, at timestamp, id int"), "user", "at", 10, 4).collect()
+    assert len(got) == 200
+    for r in got:
+        n = sum(u == r.user and (a is None) == (r.at is None) and (a is None or 0 <= (r.at - a).total_seconds() <= 10) for u, a, _ in rows)
+        assert (r.recent, r.limited) == (n, n > 4)
+
+
+def test_stages_of_odd_requests(spark):
+    rows = [(1, None, "NDA"), (2, None, "Due diligence"), (3, "d", "Offer"), (4, "d", None), (5, "d", "NDA"), (6, "d", "NDA")]
+    df = spark.createDataFrame(rows, "id int, deal string, stage string")
+    got = {r.id: (r.accepted, r.state) for r in workflow.transitions(df, "deal", ["id"], "stage").collect()}
+    assert got == {1: (True, "NDA"), 2: (True, "Due diligence"), 3: (False, "Sourcing"), 4: (False, "Sourcing"), 5: (True, "NDA"), 6: (False, "NDA")}
+    assert workflow.transitions(df.where("false"), "deal", ["id"], "stage").count() == 0
