@@ -12,11 +12,8 @@ Events are (key, at, event_id, kind) with these kinds and results:
 
 A session that runs out gives a row of its own: kind ``session``, result ``ended``, the time it ran out and the event that opened it or prolonged it last.
 
-Events are judged in order of time and event_id, whatever batches they come in: they wait in state until the watermark has
-passed them, when a timer takes up all that are due. The same timers clear codes, attempts and sessions that have run out, so a
-silent key keeps no state. Of attempts the last ``limit`` times are kept. Rows behind the watermark are dropped before they reach
-any state; Spark counts them (``numRowsDroppedByWatermark``). Rows without key or time take no part; repeated rows are judged each. State is in RocksDB
-(``workflow.use_rocksdb``), which this kind of operator needs.
+Events are judged in order of time and event_id once the watermark has passed them (ordered.py). Timers also clear codes, attempts and sessions that
+have run out, so a silent key keeps no state. Of attempts the last ``limit`` times are kept.
 """
 
 from __future__ import annotations
@@ -24,9 +21,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor
+
+from folioscope.streaming.ordered import InOrder, judged
 
 SECOND = 1_000_000
 
@@ -83,34 +81,18 @@ class Account:
         return min(ends, default=None)
 
 
-class Access(StatefulProcessor):
+class Access(InOrder):
     def __init__(self, key: str, rules: Rules):
-        self.key, self.rules = key, rules
+        super().__init__(key)
+        self.rules = rules
 
     def init(self, handle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "at long, event_id long, kind string")
+        super().init(handle)
         self.code = handle.getValueState("code", "at long, used boolean")
         self.session = handle.getValueState("session", "until long, event_id long")
         self.tries = handle.getListState("tries", "at long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        last, some = 0, []
-        for r in rows:
-            some.append((r["at_us"], r["event_id"], r["kind"]))
-            last = max(last, r["at_us"])
-            if len(some) >= 1000:
-                self.waiting.appendList(some)
-                some = []
-        if some:
-            self.waiting.appendList(some)
-        self.handle.registerTimer(-(-last // 1000))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs() * 1000
-        waiting = sorted((tuple(x) for x in self.waiting.get()), key=lambda x: (x[0], x[1], x[2] or "")) if self.waiting.exists() else []
-        due = [x for x in waiting if x[0] <= now]
+    def take(self, due: list[tuple], now: int) -> Iterator[dict]:
         code = self.code.get() if self.code.exists() else None
         session = self.session.get() if self.session.exists() else None
         tries = [x[0] for x in self.tries.get()] if self.tries.exists() else []
@@ -118,11 +100,6 @@ class Access(StatefulProcessor):
         before = (account.code, account.session, list(tries))
         out = [row for x in due for row in account.judge(self.rules, *x)]
         out += account.ended(self.rules, now)
-        if due:
-            left = waiting[len(due) :]
-            self.waiting.clear()
-            if left:
-                self.waiting.put(left)
         if (account.code, account.session, account.tries) != before:
             for state, value in ((self.code, account.code), (self.session, account.session)):
                 if value:
@@ -133,18 +110,12 @@ class Access(StatefulProcessor):
             if account.tries:
                 self.tries.put([(t,) for t in account.tries])
         if (ends := account.expiry(self.rules)) is not None:
-            self.handle.registerTimer(ends // 1000 + 1)
+            self.wake(ends)
         for at, event_id, kind, result in out:
-            yield Row(**{self.key: key[0], "at_us": at, "event_id": event_id, "kind": kind, "result": result})
-
-    def close(self) -> None:
-        pass
+            yield {"at_us": at, "event_id": event_id, "kind": kind, "result": result}
 
 
 def decisions(events: DataFrame, key: str, rules: Rules = Rules(), delay: str = "1 minute") -> DataFrame:  # noqa: B008
-    """The stream of (key, at, event_id, kind, result) of a stream of (key, at, event_id, kind), each once the watermark, ``delay`` behind the
-    latest time seen, has passed it."""
-    rows = events.where(F.col(key).isNotNull() & F.col("at").isNotNull()).select(key, "at", F.col("event_id").cast("long").alias("event_id"), "kind", F.unix_micros("at").alias("at_us"))
-    kind = rows.schema[key].dataType.simpleString()
-    judged = rows.withWatermark("at", delay).groupBy(key).transformWithState(Access(key, rules), f"{key} {kind}, at_us long, event_id long, kind string, result string", "append", "eventTime")
-    return judged.select(key, F.timestamp_micros("at_us").alias("at"), "event_id", "kind", "result")
+    """The stream of (key, at, event_id, kind, result) of a stream of (key, at, event_id, kind)."""
+    rows = judged(events, Access(key, rules), "event_id", "kind", "at_us long, event_id long, kind string, result string", delay)
+    return rows.select(key, F.timestamp_micros("at_us").alias("at"), "event_id", "kind", "result")

@@ -4,19 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from folioscope.operators.workflow import STAGES
-
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keeps the state of streams that start afterwards in RocksDB, on disk, instead of the executors' heap."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+from folioscope.streaming.ordered import InOrder, judged
 
 
 def first_uploads(uploads: DataFrame, content: str) -> DataFrame:
@@ -27,30 +19,31 @@ def first_uploads(uploads: DataFrame, content: str) -> DataFrame:
     return uploads.withColumn("checksum", F.sha2(F.col(content).cast("binary"), 256)).dropDuplicates(["checksum"])
 
 
-def stage_machine(requests: DataFrame, key: str, stages: list[str] = STAGES) -> DataFrame:
-    """A stream of (key, at, request_id, asked, accepted, state): each request judged against its key's state.
+class Stages(InOrder):
+    """Accepts a request for the stage after the key's current one; the rank of that one is all it keeps."""
+
+    def __init__(self, key: str, stages: list[str]):
+        super().__init__(key)
+        self.stages = stages
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.rank = handle.getValueState("rank", "rank int")
+
+    def take(self, due: list[tuple], now: int) -> Iterator[dict]:
+        rank = self.rank.get()[0] if self.rank.exists() else 0
+        before = rank
+        out = []
+        for at, request_id, stage in due:
+            ok = stage in self.stages and self.stages.index(stage) == rank + 1
+            rank += ok
+            out.append({"at_us": at, "request_id": request_id, "stage": stage, "accepted": ok, "state": self.stages[rank]})
+        if rank != before:
+            self.rank.update((rank,))
+        yield from out
 
-    Requests are (key, at, request_id, stage); within a micro-batch they are taken in order of (at, request_id). A key's requests
-    of one micro-batch are held in one task at once, so bound batches at the source (``maxFilesPerTrigger`` and the like).
-    """
 
-    def judge(keys: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = state.get[0] if state.exists else 0
-        rows = pd.concat(list(batches)).sort_values(["at", "request_id"])
-        accepted, after = [], []
-        for asked in rows["stage"]:
-            ok = asked in stages and stages.index(asked) == now + 1
-            now += ok
-            accepted.append(bool(ok))
-            after.append(stages[now])
-        state.update((now,))
-        yield pd.DataFrame({key: keys[0], "at": rows["at"], "request_id": rows["request_id"], "stage": rows["stage"], "accepted": accepted, "state": after})
-
-    kind = requests.schema[key].dataType.simpleString()
-    return requests.groupBy(key).applyInPandasWithState(
-        judge,
-        f"{key} {kind}, at timestamp, request_id long, stage string, accepted boolean, state string",
-        "rank int",
-        "append",
-        GroupStateTimeout.NoTimeout,
-    )
+def stage_machine(requests: DataFrame, key: str, stages: list[str] = STAGES, delay: str = "1 minute") -> DataFrame:
+    """A stream of (key, at, request_id, stage, accepted, state): each request (key, at, request_id, stage) judged against its key's state, in order of time and id."""
+    rows = judged(requests, Stages(key, stages), "request_id", "stage", "at_us long, request_id long, stage string, accepted boolean, state string", delay)
+    return rows.select(key, F.timestamp_micros("at_us").alias("at"), "request_id", "stage", "accepted", "state")

@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 
-from folioscope.streaming import access, workflow
+from folioscope.streaming import access, ordered
 
 START = datetime.datetime(2024, 1, 1)
 SCHEMA = "user string, at timestamp, event_id long, kind string"
@@ -16,7 +16,7 @@ RULES = access.Rules(code=40, session=60, window=30, limit=2)
 @pytest.fixture
 def rocksdb(spark):
     before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    workflow.use_rocksdb(spark)
+    ordered.use_rocksdb(spark)
     yield spark
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
 

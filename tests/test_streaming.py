@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from folioscope.streaming import workflow
+import datetime
+
+from folioscope.streaming import ordered, workflow
 
 
 def stream(spark, tmp_path, batches, schema):
@@ -23,8 +25,13 @@ def test_uploads_are_registered_once(spark, tmp_path):
 
 
 def test_stages_over_a_stream(spark, tmp_path):
-    rows = [("d", f"2024-01-0{k + 1}", k, s) for k, s in enumerate(["Offer", "NDA", "NDA", "Due diligence"])]
-    schema = "deal string, at string, request_id long, stage string"
-    source = stream(spark, tmp_path, [rows], schema).selectExpr("deal", "cast(at as timestamp) at", "request_id", "stage")
-    got = {r.request_id: (r.accepted, r.state) for r in results(spark, workflow.stage_machine(source, "deal"), tmp_path, "stages")}
-    assert got == {0: (False, "Sourcing"), 1: (True, "NDA"), 2: (False, "NDA"), 3: (True, "Due diligence")}
+    before = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    ordered.use_rocksdb(spark)
+    schema = "deal string, at timestamp, request_id long, stage string"
+    at = lambda m: datetime.datetime(2024, 1, 1, 0, m)
+    # out of order within a batch and over two; the last ones move the watermark on
+    batches = [[("d", at(4), 3, "Due diligence"), ("d", at(1), 0, "Offer"), ("d", at(3), 2, "NDA")], [("d", at(2), 1, "NDA"), ("e", at(5), 4, None)], [("z", at(30), 8, "x")], [("d", at(31), 5, "Offer")], [("z", at(59), 9, "x")], [("z", at(59), 10, "x")]]
+    source = stream(spark, tmp_path, batches, schema)
+    got = {r.request_id: (r.accepted, r.state) for r in results(spark, workflow.stage_machine(source, "deal", delay="10 minutes"), tmp_path, "stages") if r.deal != "z"}
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", before)
+    assert got == {0: (False, "Sourcing"), 1: (True, "NDA"), 2: (False, "NDA"), 3: (True, "Due diligence"), 4: (False, "Sourcing"), 5: (True, "Offer")}
