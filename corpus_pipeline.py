@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import bpe, decontaminate, language, minhash, pii
 from folioscope.llm.queries import TOKENIZER
-from folioscope.storage import land, table
+from folioscope.storage import land, release, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,9 +66,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
         if name != STAGES[-1][0]:
             docs = land(docs, name)
+            release(before)  # the last stage still reads the table before it
+            before = docs
     return docs
