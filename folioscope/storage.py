@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes up to which a side may be broadcast; every use measures the side first and has another way beyond.
@@ -79,3 +84,21 @@ def bounded_batches(spark: SparkSession, size: int = 4 << 20) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if int(spark.conf.get(key).rstrip("b")) > size:
         spark.conf.set(key, str(size))
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """Wraps the work of a Python task so that its memory goes back to the system when it ends.
+
+    Workers are kept for later tasks, and allocators keep what was freed; without this an idle worker weighs as much as at its busiest moment.
+    """
+
+    def frugally(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return frugally

@@ -22,3 +22,20 @@ def test_batches_are_bounded(spark):
     storage.bounded_batches(spark, 1 << 24)
     assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch").rstrip("b") == str(1 << 20)
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+
+
+def test_frugal_work_is_the_same_work(spark):
+    rows = spark.range(1000).mapInArrow(storage.frugal(lambda batches: (b for b in batches)), "id long")
+    assert rows.count() == 1000
+    ended = []
+
+    def run(batches):
+        try:
+            yield from batches
+        finally:
+            ended.append(True)
+
+    work = storage.frugal(run)(iter([1, 2, 3]))
+    assert next(work) == 1
+    work.close()
+    assert ended == [True]
