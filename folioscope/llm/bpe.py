@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.llm.fragments import Encoder, joined, token_bytes
-from folioscope.storage import bounded_batches
+from folioscope.storage import bounded_batches, frugal
 
 
 def _encoded(path: str):
@@ -43,14 +43,14 @@ def encode(documents: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id and ids of every row: binary, little-endian unsigned 32-bit integers."""
     bounded_batches(documents.sparkSession)
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encoded(tokenizer), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
+    return rows.mapInArrow(frugal(_encoded(tokenizer)), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
 def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     """Adds the decoded text to rows of (doc_id, ids) as ``encode`` returns them."""
     bounded_batches(encoded.sparkSession)
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(_decoded(tokenizer), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+    return rows.mapInArrow(frugal(_decoded(tokenizer)), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
 
 
 def _recoded(path: str):
@@ -68,7 +68,7 @@ def recode(documents: DataFrame, tokenizer: str) -> DataFrame:
     """What ``decode`` makes of what ``encode`` returns, by one Python worker instead of two."""
     bounded_batches(documents.sparkSession)
     rows = documents.select("doc_id", F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_recoded(tokenizer), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
+    return rows.mapInArrow(frugal(_recoded(tokenizer)), f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary, decoded string")
 
 
 def id_list(ids: bytes) -> list[int]:

@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from folioscope.llm.carried import parted
 from folioscope.llm.words import WordHashes, alnum_words, grams
-from folioscope.storage import bounded_batches, land
+from folioscope.storage import bounded_batches, frugal, land
 
 SPAN, GRAM = 10, 5
 
@@ -159,7 +159,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, block_words: int =
     for k in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k)
         index = spark.sparkContext.broadcast(Index([tuple(r) for r in part.distinct().collect()]))
-        out = out.mapInArrow(_mark(index, k == 0), schema)
+        out = out.mapInArrow(frugal(_mark(index, k == 0)), schema)
         if k % 4 == 3 and k + 1 < blocks:
             out = land(out, "hits")
     return out.select(row.alias("row"), "found")

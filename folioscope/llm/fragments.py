@@ -141,9 +141,9 @@ class Encoder:
     """
 
     #: Bytes of text that are cut into fragments at once.
-    BLOCK = 1 << 21
+    BLOCK = 1 << 20
 
-    def __init__(self, path: str, most: int = 300_000, longest: int = 32):
+    def __init__(self, path: str, most: int = 200_000, longest: int = 32):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -37,7 +37,7 @@ from pyspark.sql.pandas.types import from_arrow_schema
 from folioscope.llm import lookups
 from folioscope.llm.carried import parted
 from folioscope.llm.words import mix
-from folioscope.storage import bounded_batches, land, release
+from folioscope.storage import bounded_batches, frugal, land, release
 
 ORDER, MOST, SLACK, QUANTILE, RANKS, CONFIDENT, FLUSH = 4, 1_600_000, 1.0, 0.999, 100_000, 50, 4_000_000
 #: Distinct grams of the texts that a task scores at once, where the model isn't broadcast.
@@ -282,7 +282,7 @@ def _scored(rows: DataFrame, known: Identifier, finish, added: pa.Schema, keep:
     schema = T.StructType([*rows.schema.fields[0 if keep else 1 :], *from_arrow_schema(added).fields])
     if known.entries is None:
         block = known.block
-        return rows.mapInArrow(_pass(lambda batch: [block.value if block else None] * len(batch), finish, added, keep, 0), schema)
+        return rows.mapInArrow(frugal(_pass(lambda batch: [block.value if block else None] * len(batch), finish, added, keep, 0)), schema)
     chunks = lookups.chunked(rows, needed, known.chunk)
     folder = lookups.found(chunks, needed, "key", known.entries)
     n, uniform = len(known.langs), known.uniform
@@ -291,7 +291,7 @@ def _scored(rows: DataFrame, known: Identifier, finish, added: pa.Schema, keep:
         share = lookups.by_chunk(folder, lambda entries: Share(entries, n, uniform))
         yield from _pass(lambda batch: (share(p, c) for p, c in zip(batch.column(len(batch.columns) - 2).to_pylist(), batch.column(len(batch.columns) - 1).to_pylist())), finish, added, keep, 2)(batches)
 
-    return chunks.mapInArrow(run, schema)
+    return chunks.mapInArrow(frugal(run), schema)
 
 
 def _calibration(rows: DataFrame, known: Identifier) -> tuple[dict[str, float], float]:
@@ -354,7 +354,7 @@ def learn(labelled: DataFrame, most: int = MOST, chunk: int = CHUNK) -> Identifi
     spark = labelled.sparkSession
     bounded_batches(spark)
     rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counts = land(rows.select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    counts = land(rows.select("lang", "text").mapInArrow(frugal(_counted), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
     discounts, total = _discounts(counts)
     langs = sorted(discounts)
     if not langs:

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.components import components
 from folioscope.llm.words import WordHashes, blank_words, grams, mix
-from folioscope.storage import BROADCAST_BYTES, bounded_batches, land, release
+from folioscope.storage import BROADCAST_BYTES, bounded_batches, frugal, land, release
 
 BANDS, ROWS = 38, 5
 #: Pairs for which a leader's set is sent once; sizes up to which a class of sizes is one size, and the others' ratio.
@@ -143,7 +143,7 @@ def _sets_of(ids: DataFrame, docs: DataFrame, size: int) -> DataFrame:
     ids = land(ids, "ids")
     small = 8 * ids.count() <= BROADCAST_BYTES // 8
     some = docs.join(F.broadcast(ids) if small else ids, "doc_id", "left_semi")
-    sets = land(some.mapInArrow(_sets(size), "doc_id long, set array<long>"), "sets")
+    sets = land(some.mapInArrow(frugal(_sets(size)), "doc_id long, set array<long>"), "sets")
     release(ids)
     return sets
 
@@ -180,7 +180,7 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Da
     of = lambda rows, key: rows.join(sets, F.col(key) == F.col("doc_id")).select("hub", "block", "id", "set")
     hubs = of(placed.select("hub", "block").distinct().withColumn("id", F.lit(None).cast("long")), "hub")
     rows = hubs.unionByName(of(placed, "id")).repartition("hub", "block").sortWithinPartitions("hub", "block", F.asc_nulls_first("id"))
-    links = land(rows.mapInArrow(_linked(percent), "a long, b long"), "links")
+    links = land(rows.mapInArrow(frugal(_linked(percent)), "a long, b long"), "links")
     release(sets, placed)
     return links
 
@@ -295,7 +295,7 @@ def _block_links(starred: DataFrame, hot: DataFrame, sets: DataFrame, percent: i
     asked = placed.where("apart").select("leader", "id", "c", place(F.col("askers")).alias("p"), all_of("others").alias("t"), F.lit(True).alias("asked"))
     both = others.unionByName(asked).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("leader", "p", "t", "id", "c", "asked", "set")
     both = both.repartition("leader", "p", "t").sortWithinPartitions("leader", "p", "t")
-    found = land(both.mapInArrow(_compare(percent), "a long, b long").distinct(), "across")
+    found = land(both.mapInArrow(frugal(_compare(percent)), "a long, b long").distinct(), "across")
     release(member, placed)
     return found
 
@@ -330,7 +330,7 @@ def near_duplicates(documents: DataFrame, size: int = 5, percent: int = 80) -> D
     spark = documents.sparkSession
     bounded_batches(spark)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = land(docs.mapInArrow(_signatures(size), "doc_id long, n_shingles long, key binary, bands array<long>, bits array<long>"), "signatures")
+    rows = land(docs.mapInArrow(frugal(_signatures(size)), "doc_id long, n_shingles long, key binary, bands array<long>, bits array<long>"), "signatures")
 
     known = rows.where("key is not null and doc_id is not null")
     classes = land(known.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")).where("copies > 1").select("key", "rep"), "classes")

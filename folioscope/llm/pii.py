@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from folioscope.llm import lookups
 from folioscope.llm.carried import parted
 from folioscope.llm.words import alnum_words
-from folioscope.storage import bounded_batches, land
+from folioscope.storage import bounded_batches, frugal, land
 
 KINDS = ["email", "ip", "card", "phone"]
 WINDOW, REACH, LONGEST, SUPPORT, DISCLOSURE, GENERAL = 10, 1000, 48, 3, 0.9, 0.75
@@ -229,7 +229,7 @@ def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFr
     spark = documents.sparkSession
     bounded_batches(spark)
     texts = documents.select(F.col("text").cast("string").alias("text"))
-    counts = land(texts.mapInArrow(_pairs, "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n")), "pairs")
+    counts = land(texts.mapInArrow(frugal(_pairs), "entity string, term string, n long").groupBy("entity", "term").agg(F.sum("n").alias("n")), "pairs")
     total = counts.where("entity = ''").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     kinds = {r.entity: r.n for r in counts.where(F.col("entity").isin([f"{k}:" for k in KINDS])).collect()}
     joint = counts.where((F.col("n") >= SUPPORT) & F.col("term").isNotNull())
@@ -238,7 +238,7 @@ def disclosing_terms(documents: DataFrame, block_terms: int = 500_000) -> DataFr
     known = None
     if terms.count() <= block_terms:
         known = spark.sparkContext.broadcast(frozenset(r.term for r in terms.collect()))
-    found = texts.mapInArrow(_frequencies(known), "term string, n long")
+    found = texts.mapInArrow(frugal(_frequencies(known)), "term string, n long")
     if known is None:
         found = found.join(terms, "term", "left_semi")
     found = found.groupBy("term").agg(F.sum("n").alias("n_t"))
@@ -304,7 +304,7 @@ def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
     schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("spans array<struct<kind: string, start: long, end: long, action: string>>, clean string").fields])
     if terms.count() <= block_terms:
         known = documents.sparkSession.sparkContext.broadcast({r.term: r.action for r in terms.collect()})
-        out = rows.mapInArrow(_find(lambda batch: [known.value] * len(batch), 0), schema)
+        out = rows.mapInArrow(frugal(_find(lambda batch: [known.value] * len(batch), 0)), schema)
     else:
         chunks = lookups.chunked(rows, words_of, block_terms)
         folder = lookups.found(chunks, words_of, "term", terms)
@@ -313,5 +313,5 @@ def sanitise(documents: DataFrame, block_terms: int = 500_000) -> DataFrame:
             of = lookups.by_chunk(folder, lambda found: dict(zip(found["term"].to_pylist(), found["action"].to_pylist())) if found else {})
             yield from _find(lambda batch: (of(p, c) for p, c in zip(*(batch.column(len(batch.columns) - k).to_pylist() for k in (2, 1)))), 2)(batches)
 
-        out = chunks.mapInArrow(run, schema)
+        out = chunks.mapInArrow(frugal(run), schema)
     return out.select(row.alias("row"), "spans", "clean")
