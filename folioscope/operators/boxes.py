@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,9 @@ from folioscope.storage import land, release
 
 #: Cells along each side of a page, for boxes of fractions.
 CELLS = 16
+#: Boxes of one side up to which a page is matched as one value; beyond, its pairs are rows of a table.
+MOST = 256
+_PAGE = ["doc_id", "page"]
 
 
 def page_skew(lines: DataFrame) -> DataFrame:
@@ -69,14 +74,17 @@ def _cells(box: Column, cells: int) -> Column:
     return F.flatten(F.transform(ys, lambda y: F.transform(xs, lambda x: y * cells + x)))
 
 
+def _usable(box: Column) -> Column:
+    return box.isNotNull() & (box[0] <= box[2]) & (box[1] <= box[3])
+
+
 def overlapping(a: DataFrame, b: DataFrame, cells: int = CELLS) -> DataFrame:
     """Pairs (doc_id, page, a, b, overlap: intersection over union) of boxes of one page that meet.
 
     Both are (doc_id, page, id, box) with boxes of fractions, x0 <= x1 and y0 <= y1. A tiled join: each box goes to all cells it
     meets, and a pair counts in the cell of the upper left corner of what both share, so it comes out once without a distinct.
     """
-    usable = "box is not null and box[0] <= box[2] and box[1] <= box[3]"
-    tiled = lambda t, n: t.where(usable).select("doc_id", "page", F.col("id").alias(n), F.col("box").alias(f"_{n}"), F.explode(_cells(F.col("box"), cells)).alias("cell"))
+    tiled = lambda t, n: t.where(_usable(F.col("box"))).select("doc_id", "page", F.col("id").alias(n), F.col("box").alias(f"_{n}"), F.explode(_cells(F.col("box"), cells)).alias("cell"))
     x, y = F.greatest(F.col("_a")[0], F.col("_b")[0]), F.greatest(F.col("_a")[1], F.col("_b")[1])
     corner = _cells(F.array(x, y, x, y), cells)[0]
     pairs = tiled(a, "a").join(tiled(b, "b"), ["doc_id", "page", "cell"]).where(F.col("cell") == corner)
@@ -107,21 +115,66 @@ def one_to_one(pairs: DataFrame, keys: list[str], a: str, b: str, order: list[Co
             return out
 
 
-def accuracy(submitted: DataFrame, lines: DataFrame, least: float = 0.5) -> tuple[DataFrame, DataFrame]:
+def _crowded(*sides: DataFrame, most: int) -> DataFrame:
+    """Pages with more than ``most`` boxes of one side. Landed."""
+    many = [t.groupBy(*_PAGE).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most).select(*_PAGE) for t in sides]
+    return land(reduce(DataFrame.unionByName, many).distinct(), "crowded")
+
+
+def _by_page(submitted: DataFrame, lines: DataFrame) -> DataFrame:
+    """``submitted`` with line, overlap and _read, each page matched as one value: both sides move once, and pairs are never rows.
+
+    Boxes that aren't usable share nothing with others, so no filter sets the sides apart, and a caller's shuffle may serve both.
+    """
+    line = F.struct(F.col("id").alias("b"), "box", F.col("text").alias("_read"))
+    listed = submitted.join(lines.groupBy(*_PAGE).agg(F.collect_list(line).alias("_lines")), _PAGE, "left")
+    shared = lambda p, q, k: F.least(p[k + 2], q[k + 2]) - F.greatest(p[k], q[k])
+    met = F.filter("_lines", lambda x: (shared(F.col("box"), x["box"], 1) > 0) & (shared(F.col("box"), x["box"], 0) > 0))
+    less = lambda x: -F.round(geometry.overlap(F.col("box"), x["box"]), 9)
+    pair = lambda x: F.struct(less(x).alias("less"), F.col("id").alias("a"), x["b"].alias("b"), x["_read"].alias("_read"))
+    own = F.filter(F.transform(met, pair), lambda x: -x["less"] > 0)
+    boxed = F.struct(*submitted.drop(*_PAGE).columns)
+    pages = listed.select("*", own.alias("_own")).groupBy(*_PAGE).agg(F.collect_list(boxed).alias("_boxes"), F.sort_array(F.flatten(F.collect_list("_own"))).alias("_pairs"))
+    free = lambda t, x: ~F.exists(t, lambda y: (y["a"] == x["a"]) | (y["b"] == x["b"]))
+    greedy = F.aggregate("_pairs", F.slice("_pairs", 1, 0), lambda t, x: F.when(free(t, x), F.concat(t, F.array(x))).otherwise(t))
+    once = lambda end: F.size(F.array_distinct(f"_pairs.{end}")) == F.size("_pairs")
+    best = pages.select(*_PAGE, "_boxes", F.when(once("a") & once("b"), F.col("_pairs")).otherwise(greedy).alias("_best"))
+    found = best.select(*_PAGE, F.map_from_arrays("_best.a", "_best").alias("_taken"), F.explode("_boxes").alias("_box"))
+    found = found.select(*_PAGE, "_box.*", F.col("_taken")[F.col("_box.id")].alias("_pair"))
+    return found.select(*submitted.columns, F.col("_pair.b").alias("line"), (-F.col("_pair.less")).alias("overlap"), "_pair._read")
+
+
+def _by_pairs(submitted: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The same for pages with any number of boxes, in rounds over a table of pairs; and the landed pairs that it reads."""
+    pairs = overlapping(submitted, lines).withColumn("overlap", F.round("overlap", 9)).where("overlap > 0")
+    best = one_to_one(pairs, _PAGE, "a", "b", [(-F.col("overlap")).alias("less"), F.col("a"), F.col("b")])
+    read = lines.select(*_PAGE, F.col("id").alias("b"), F.col("text").alias("_read"))
+    taken = best.join(read, [*_PAGE, "b"]).select(*_PAGE, F.col("a").alias("id"), F.col("b").alias("line"), "overlap", "_read")
+    return submitted.join(taken, [*_PAGE, "id"], "left").select(*submitted.columns, "line", "overlap", "_read"), best
+
+
+def accuracy(submitted: DataFrame, lines: DataFrame, least: float = 0.5, most: int = MOST) -> tuple[DataFrame, DataFrame]:
     """Which text each submitted box hits, and how often it is the right one.
 
     ``submitted`` are (id, doc_id, page, field, box, text), ``lines`` (id, doc_id, page, box, text), boxes as fractions; ids are unique in a
     page. A box is given the line it overlaps most and a line one box at most, the largest overlaps first, to nine digits (ties: smaller ids). It hits
     where the overlap is at least ``least``, and is right where the line's text then is the submitted one, white space at the ends aside.
+    What has no id, document or page takes no part, though submitted boxes count. Pages with up to ``most`` boxes on either side are matched
+    within a row of their own, others through a table of pairs; the result is the same.
 
-    Returns the boxes with line, overlap, hit and right, and per field and document n, hits, right and accuracy (right / n).
+    Returns the boxes with line, overlap, hit and right, which are landed, and per field and document n, hits, right and accuracy (right / n).
     """
-    pairs = overlapping(submitted, lines).withColumn("overlap", F.round("overlap", 9)).where("overlap > 0")
-    best = one_to_one(pairs, ["doc_id", "page"], "a", "b", [(-F.col("overlap")).alias("less"), F.col("a"), F.col("b")])
-    read = lines.select("doc_id", "page", F.col("id").alias("b"), F.col("text").alias("_read"))
-    best = best.join(read, ["doc_id", "page", "b"]).select("doc_id", "page", F.col("a").alias("id"), F.col("b").alias("line"), "overlap", "_read")
-    boxes = submitted.join(best, ["doc_id", "page", "id"], "left")
+    placed = "doc_id is not null and page is not null and id is not null"
+    a, b = submitted.where(placed), lines.where(placed)
+    crowded = _crowded(a, b, most=most)
+    found, matched = _by_page(*(t.join(crowded, _PAGE, "left_anti") for t in (a, b))), None
+    if not crowded.isEmpty():
+        full, matched = _by_pairs(*(t.join(crowded, _PAGE, "left_semi") for t in (a, b)))
+        found = found.unionByName(full)
+    found = found.unionByName(submitted.where(f"not ({placed})"), allowMissingColumns=True)
     hit = F.coalesce(F.col("overlap") >= least, F.lit(False))
-    boxes = boxes.withColumn("hit", hit).withColumn("right", hit & F.coalesce(F.trim("text") == F.trim("_read"), F.lit(False))).drop("_read")
+    found = found.withColumn("hit", hit).withColumn("right", hit & F.coalesce(F.trim("text") == F.trim("_read"), F.lit(False))).drop("_read")
+    boxes = land(found, "boxes")
+    release(crowded, matched)
     n, right = F.count(F.lit(1)), F.count_if("right")
     return boxes, boxes.groupBy("field", "doc_id").agg(n.alias("n"), F.count_if("hit").alias("hits"), right.alias("n_right"), (right / n).alias("accuracy"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import geometry
 from folioscope.operators import boxes
 from folioscope.plans.registry import query
-from folioscope.storage import table
+from folioscope.storage import land, release, table
 
 _L = "WITH l AS (SELECT l_orderkey AS doc_id, l_linenumber AS pos, min(l_quantity) AS q, min(l_partkey) AS p FROM lineitem GROUP BY 1, 2)\n"
 
@@ -74,7 +74,9 @@ def box_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How often submitted boxes, here displaced ones, hit the text they name; per field and document."""
     x, y = F.col("pos") * 0.05, F.col("q") / 60
     box = lambda a, b: F.array(*[F.round(v, 9) for v in (a, b, a + 0.2, b + 0.02)])
-    rows = _lines(spark, sf_dir).select("doc_id", F.lit(1).alias("page"), F.col("pos").alias("id"), F.col("p").cast("string").alias("text"), F.concat(F.lit("F"), (F.col("pos") % 3).cast("string")).alias("field"), box(x, y).alias("box"), box(x + F.col("p") % 5 * 0.01, y + F.col("p") % 7 * 0.001).alias("said"))
+    lines = land(_lines(spark, sf_dir), "lines")  # a document's lines are dealt together once, for both sides, before boxes make them wide
+    rows = lines.repartition("doc_id").select("doc_id", F.lit(1).alias("page"), F.col("pos").alias("id"), F.col("p").cast("string").alias("text"), F.concat(F.lit("F"), (F.col("pos") % 3).cast("string")).alias("field"), box(x, y).alias("box"), box(x + F.col("p") % 5 * 0.01, y + F.col("p") % 7 * 0.001).alias("said"))
     submitted = rows.select("id", "doc_id", "page", "field", F.col("said").alias("box"), "text")
     _, found = boxes.accuracy(submitted, rows.select("id", "doc_id", "page", "box", "text"))
+    release(lines)
     return found.withColumn("accuracy", F.round("accuracy", 6))

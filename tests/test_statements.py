@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import math
 import random
+from pathlib import Path
 
 import pytest
+from oracle import SF
 from pyspark.sql import functions as F
 
 from folioscope.operators import accounts, boxes
+from folioscope.plans import statements
 
 LINE = "doc_id string, page int, pos int, text string, box array<double>"
 
@@ -154,3 +157,58 @@ def test_greedy_matching_of_chains(spark):
         if (k, a) not in one and (k, b) not in two:
             one.add((k, a)), two.add((k, b)), wanted.add((k, a, b, w))
     assert {tuple(r) for r in found.collect()} == wanted
+
+
+def shuffled_rows(spark, since=-1):
+    """Rows that stages after ``since`` wrote to shuffles, and the last stage's number."""
+    stages = spark.sparkContext._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    stages = [stages.apply(k) for k in range(stages.size())]
+    return sum(s.shuffleWriteRecords() for s in stages if s.stageId() > since), max((s.stageId() for s in stages), default=-1)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_matching_moves_boxes_not_cells_and_pairs(spark, no_broadcast):
+    """Wide boxes lie in many cells of a page; sent to each, with a round of joins over their pairs, they were far more rows than boxes."""
+    boxed = [(i, f"d{d}", 1, "x", [0.1, 0.05 * i, 0.9, 0.05 * i + 0.04], "t") for d in range(100) for i in range(10)]
+    a = spark.createDataFrame(boxed, BOX).repartition(4)
+    _, last = shuffled_rows(spark)
+    _, per_field = boxes.accuracy(a, a.drop("field"))
+    assert {(r.n, r.hits, r.n_right) for r in per_field.collect()} == {(10, 10, 10)}
+    assert shuffled_rows(spark, last)[0] <= 4 * 2 * len(boxed)
+
+
+@pytest.mark.skipif(not Path(SF).exists(), reason="the driver's tables aren't here")
+def test_box_accuracy_moves_a_line_few_times(spark, no_broadcast):
+    _, last = shuffled_rows(spark)
+    n = sum(r.n for r in statements.box_accuracy(spark, SF).collect())
+    assert n and shuffled_rows(spark, last)[0] <= 6 * n
+
+
+@pytest.mark.parametrize("most", [0, 12, 1000])
+def test_pages_of_any_number_of_boxes_match_alike(spark, most):
+    """All, some or no pages go through the table of pairs; a box without id, document or page, or without a usable box, hits nothing but counts."""
+    rng = random.Random(8)
+    a, b = some_boxes(rng, 50), some_boxes(rng, 50)
+    a += [(100, None, 1, "x", [0.0, 0.0, 1.0, 1.0], "t"), (101, "a", None, "y", [0.0, 0.0, 1.0, 1.0], "t"), (102, "a", 1, "x", [0.0, None, 1.0, 1.0], "t"), (103, "z", 1, "x", [0.0, 0.0, 1.0, 1.0], "t")]
+    a += [(None, "a", 1, "x", [0.0, 0.0, 1.0, 1.0], "t")]
+    b += [(None, "a", 1, "x", [0.0, 0.0, 1.0, 1.0], "t"), (100, None, 1, "x", [0.0, 0.0, 1.0, 1.0], "t"), (101, "a", None, "y", [0.0, 0.0, 1.0, 1.0], "t"), (102, "a", 1, "x", [0.0, 0.0, 1.0, 1.0], None)]
+    found, per_field = boxes.accuracy(spark.createDataFrame(a, BOX), spark.createDataFrame(b, BOX).drop("field"), 0.2, most)
+    ok = lambda x: x[0] is not None and x[1] and x[2] and x[4] and None not in x[4] and x[4][0] <= x[4][2] and x[4][1] <= x[4][3]
+    pairs = sorted((-round(iou(p[4], q[4]), 9), p[0], q[0]) for p in a for q in b if ok(p) and ok(q) and p[1:3] == q[1:3] and round(iou(p[4], q[4]), 9) > 0)
+    text, one, two = {q[0]: q[5] for q in b}, {}, set()
+    for s, i, j in pairs:
+        if i not in one and j not in two:
+            own = next(p[5] for p in a if p[0] == i)
+            one[i] = (j, -s, -s >= 0.2, -s >= 0.2 and text[j] is not None and own.strip() == text[j].strip())
+            two.add(j)
+    got = {r.id: (r.line, r.overlap, r.hit, r.right) for r in found.collect()}
+    assert got == {p[0]: one.get(p[0], (None, None, False, False)) for p in a}
+    assert sum(r.n for r in per_field.collect()) == len(a)
